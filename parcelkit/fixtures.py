@@ -145,6 +145,9 @@ PARAMS = {
 }
 
 
+_DRIVER_CACHE: dict = {}
+
+
 class Tables:
     """Lazy name -> DataFrame mapping over one test-data folder.
 
@@ -157,17 +160,32 @@ class Tables:
         self.spark = spark
         self.sf_dir = sf_dir
         self._frames: dict[str, DataFrame] = {}
-        for t in DRIVER_TABLES:
-            path = os.path.join(sf_dir, f"{t}.parquet")
-            if os.path.exists(path) or "://" in sf_dir:
-                spark.read.parquet(path).createOrReplaceTempView(t)
+
+    def _driver(self, t: str) -> DataFrame:
+        """The driver table ``t`` (read once per session and folder), registered as a temp view."""
+        key = (id(self.spark), self.sf_dir, t)
+        df = _DRIVER_CACHE.get(key)
+        if df is None:
+            df = self.spark.read.parquet(os.path.join(self.sf_dir, f"{t}.parquet"))
+            # the test files hold one row group each, i.e. one read task; spread such an input
+            # over the available cores (a real multi-file input already has many splits)
+            cores = self.spark.sparkContext.defaultParallelism
+            if df.rdd.getNumPartitions() < cores and t in ("lineitem", "orders", "events", "customer", "part"):
+                df = df.repartition(cores)
+            _DRIVER_CACHE[key] = df
+        df.createOrReplaceTempView(t)
+        return df
 
     def __getitem__(self, name: str) -> DataFrame:
         if name not in self._frames:
             if name in DERIVED_SQL:
-                self._frames[name] = self.spark.sql(DERIVED_SQL[name])
+                sql = DERIVED_SQL[name]
+                for t in DRIVER_TABLES:
+                    if re.search(rf"\b{t}\b", sql):
+                        self._driver(t)
+                self._frames[name] = self.spark.sql(sql)
             elif name in DRIVER_TABLES:
-                self._frames[name] = self.spark.table(name)
+                self._frames[name] = self._driver(name)
             else:
                 raise KeyError(name)
         return self._frames[name]
