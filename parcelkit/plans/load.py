@@ -79,8 +79,20 @@ def load_tables(spark: SparkSession, root: str, codebook: dict[str, list[ColumnD
         spec = KEYS.get(table, KeySpec())
         cols = [c.name for c in codebook[table]]
         try:
-            df, obs, unexpected, missing = clean_table(spark, root, table, cols, spec, written)
             path = os.path.join(out_dir, table)
+            pk = list(spec.primary_key)
+            missing = missing_key_columns(spark, root, table, pk) if pk else []
+            if missing:
+                # every row has a NULL key: write the empty table, report what was quarantined
+                scanned = tsv_scan(spark, root, table, cols).drop(I.ORDER_COL)
+                n_read = scanned.count()
+                scanned.limit(0).write.mode(mode).parquet(path)
+                written[table] = spark.read.parquet(path)
+                unexpected = project_to_schema(raw_scan(spark, root, table), cols)[1]
+                rows.append((table, "missing key columns", n_read, n_read, 0, 0, 0, ",".join(unexpected),
+                             ",".join(missing)))
+                continue
+            df, obs, unexpected, missing = clean_table(spark, root, table, cols, spec, written)
             df.write.mode(mode).parquet(path)
             written[table] = spark.read.parquet(path)
             n = {k: o.get.get("n", 0) for k, o in obs.items()}
