@@ -64,14 +64,27 @@ def entry(spark: SparkSession) -> DataFrame:
     return portable(V.residential_protest_analysis(_tables(spark, FLAGSHIP_DIR), AS_OF))
 
 
-def _q(fn: Callable[[Tables], DataFrame], clean: bool = True):
-    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        t = _tables(spark, sf_dir) if clean else _raw(spark, sf_dir)
-        return portable(fn(t))
-    return run
+class _Query:
+    """A registered query: ``fn(tables)`` over raw or key-cleaned input tables."""
 
+    def __init__(self, fn: Callable, clean: bool = True):
+        self.fn, self.clean = fn, clean
 
-def _queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    def __call__(self, spark: SparkSession, sf_dir: str) -> DataFrame:
+        t = _tables(spark, sf_dir) if self.clean else _raw(spark, sf_dir)
+        return portable(self.fn(t))
+
+
+def _q(fn: Callable, clean: bool = True) -> _Query:
+    return _Query(fn, clean)
+
+
+def query_functions() -> dict[str, _Query]:
+    """The registered queries as table-mapping functions (``.fn(tables)``), e.g. to run over a TableStore."""
+    return _queries()
+
+
+def _queries() -> dict[str, _Query]:
     a, nb, pre, z, st = P["acct"], P["neighborhood"], P["neighborhood_prefix"], P["zip_code"], P["street"]
     br_cols = ["acct", "bld_num", "impr_tp", "date_erected", "yr_remodel", "structure_dscr", "qa_cd", "dscr", "heat_ar",
                "gross_ar", "eff_ar", "im_sq_ft", "cama_replacement_cost", "accrued_depr_pct"]

@@ -34,10 +34,13 @@ def fixture_counts(fixtures: DataFrame) -> DataFrame:
     """Bedrooms, full baths and half baths per account, summed over all buildings, in one pass."""
     def cond(text, code):
         return F.col("type_dscr").ilike(f"%{text}%") | F.col("type").ilike(code)
-    return fixtures.groupBy("acct").agg(
-        F.sum(F.when(cond("Bedroom", "RMB"), _units())).alias("bedrooms"),
-        F.sum(F.when(cond("Full Bath", "RMF"), _units())).alias("full_baths"),
-        F.sum(F.when(cond("Half Bath", "RMH"), _units())).alias("half_baths"),
+    # one narrow projection: each row's units are parsed once and routed to its room kind
+    f = fixtures.select("acct", _units().alias("_u"), cond("Bedroom", "RMB").alias("_bed"),
+                        cond("Full Bath", "RMF").alias("_full"), cond("Half Bath", "RMH").alias("_half"))
+    return f.groupBy("acct").agg(
+        F.sum(F.when(F.col("_bed"), F.col("_u"))).alias("bedrooms"),
+        F.sum(F.when(F.col("_full"), F.col("_u"))).alias("full_baths"),
+        F.sum(F.when(F.col("_half"), F.col("_u"))).alias("half_baths"),
     )
 
 
@@ -60,8 +63,8 @@ def recent_event_counts(df: DataFrame, date_col: str, as_of, years: int = 5,
 
 def jur_value_sum(jur_value: DataFrame) -> DataFrame:
     """Sum of sanitised appraised values over all taxing jurisdictions of an account."""
-    return jur_value.groupBy("acct").agg(
-        F.sum(F.coalesce(safe_num("appraised_val"), F.lit(0).cast(NUM))).alias("jur_appraised_val_sum"))
+    return (jur_value.select("acct", F.coalesce(safe_num("appraised_val"), F.lit(0).cast(NUM)).alias("_v"))
+            .groupBy("acct").agg(F.sum("_v").alias("jur_appraised_val_sum")))
 
 
 def building_summary(building_res: DataFrame, internal: bool = False) -> DataFrame:
@@ -72,7 +75,13 @@ def building_summary(building_res: DataFrame, internal: bool = False) -> DataFra
     improvement area is kept (``_primary_im_sq_ft``) so the
     protest view needs no second scan of the building table.
     """
-    one = F.col("bld_num") == F.lit(PRIMARY)
+    # parse every numeric text once, in a narrow projection below the aggregate
+    b = building_res.select(
+        "acct", "bld_num", "date_erected", "yr_remodel", "structure_dscr", "qa_cd", "dscr", "heat_ar",
+        *[safe_num(c).alias(f"_{c}") for c in ("heat_ar", "gross_ar", "eff_ar", "cama_replacement_cost",
+                                                 "accrued_depr_pct", "im_sq_ft")],
+        (F.col("bld_num") == F.lit(PRIMARY)).alias("_one"))
+    one = F.col("_one")
 
     def prim(c):
         return F.max(F.when(one, c))
@@ -87,28 +96,30 @@ def building_summary(building_res: DataFrame, internal: bool = False) -> DataFra
         prim(F.col("structure_dscr")).alias("primary_structure_type"),
         prim(F.col("qa_cd")).alias("primary_quality_code"),
         prim(F.col("dscr")).alias("primary_quality_desc"),
-        prim(safe_num("heat_ar")).alias("primary_heated_sqft"),
-        prim(safe_num("gross_ar")).alias("primary_gross_sqft"),
-        prim(safe_num("eff_ar")).alias("primary_effective_sqft"),
-        prim(safe_num("cama_replacement_cost")).alias("primary_replacement_cost"),
-        prim(safe_num("accrued_depr_pct")).alias("primary_depreciation_pct"),
-        F.sum(safe_num("heat_ar")).alias("total_heated_sqft"),
-        F.sum(safe_num("gross_ar")).alias("total_gross_sqft"),
-        F.sum(safe_num("cama_replacement_cost")).alias("total_replacement_cost"),
-        string_agg_ordered(F.when(F.col("bld_num") != F.lit(PRIMARY), other), "bld_num", "; ")
+        prim(F.col("_heat_ar")).alias("primary_heated_sqft"),
+        prim(F.col("_gross_ar")).alias("primary_gross_sqft"),
+        prim(F.col("_eff_ar")).alias("primary_effective_sqft"),
+        prim(F.col("_cama_replacement_cost")).alias("primary_replacement_cost"),
+        prim(F.col("_accrued_depr_pct")).alias("primary_depreciation_pct"),
+        F.sum("_heat_ar").alias("total_heated_sqft"),
+        F.sum("_gross_ar").alias("total_gross_sqft"),
+        F.sum("_cama_replacement_cost").alias("total_replacement_cost"),
+        string_agg_ordered(F.when(~one, other), "bld_num", "; ")
         .alias("additional_buildings"),
     ]
     if internal:
-        aggs += [prim(safe_num("im_sq_ft")).alias("_primary_im_sq_ft")]
-    return building_res.groupBy("acct").agg(*aggs)
+        aggs += [prim(F.col("_im_sq_ft")).alias("_primary_im_sq_ft")]
+    return b.groupBy("acct").agg(*aggs)
 
 
 def protest_history(arb_protest_real: DataFrame) -> DataFrame:
     """Distinct protest dates, latest date (text order, as the source), agents list."""
     dt = F.col("protested_dt")
+    # distinct protest dates per account are bounded by the calendar, so the distinct count
+    # is taken from the partially aggregated set in the same pass (no extra distinct phase)
     return (arb_protest_real.where(dt.isNotNull() & (dt != ""))
             .groupBy("acct").agg(
-                F.count_distinct(dt).alias("total_protests"),
+                F.size(F.collect_set(dt)).cast("bigint").alias("total_protests"),
                 F.max(dt).alias("last_protest_date"),
                 string_agg_distinct("protested_by", ", ").alias("protest_agents")))
 
@@ -123,26 +134,31 @@ def hearing_history(arb_hearings_real: DataFrame, as_of, years: int = 5) -> Data
     overall maximum, otherwise the value is NULL.
     """
     year_txt = F.col("Tax_Year")
-    in_win = year_txt.isNotNull() & (year_txt.try_cast("int") >= F.year(_as_of_col(as_of)) - F.lit(years))
-    init, final = safe_num("Initial_Appraised_Value"), safe_num("Final_Appraised_Value")
+    h = arb_hearings_real.select(
+        "acct", "Tax_Year", "Actual_Hearing_Date",
+        safe_num("Initial_Appraised_Value").alias("_init"), safe_num("Final_Appraised_Value").alias("_final"),
+        (year_txt.isNotNull() & (year_txt.try_cast("int") >= F.year(_as_of_col(as_of)) - F.lit(years)))
+        .alias("_in_win"))
+    in_win = F.col("_in_win")
+    init, final = F.col("_init"), F.col("_final")
 
     def w(x):
         return F.when(in_win, x)
-    g = arb_hearings_real.groupBy("acct").agg(
+    g = h.groupBy("acct").agg(
         F.count_if(in_win).alias("hearing_count"),
         F.max(year_txt).alias("_max_year_all"),
         F.max(w(year_txt)).alias("last_hearing_year"),
         F.max(w(F.col("Actual_Hearing_Date"))).alias("last_hearing_date"),
-        F.max(w(F.struct(year_txt.alias("y"), init.alias("v")))).alias("_init"),
-        F.max(w(F.struct(year_txt.alias("y"), final.alias("v")))).alias("_final"),
+        F.max(w(F.struct(year_txt.alias("y"), init.alias("v")))).alias("_top_init"),
+        F.max(w(F.struct(year_txt.alias("y"), final.alias("v")))).alias("_top_final"),
         F.avg(w(init - final)).alias("_avg_red"),
         F.sum(w(F.when(final < init, 1).otherwise(0))).alias("successful_protests"),
     )
     top = F.col("_max_year_all")
     return g.where(F.col("hearing_count") > 0).select(
         "acct", "hearing_count", "last_hearing_year", "last_hearing_date",
-        F.when(F.col("_init.y") == top, F.col("_init.v")).alias("last_initial_appraised"),
-        F.when(F.col("_final.y") == top, F.col("_final.v")).alias("last_final_appraised"),
+        F.when(F.col("_top_init.y") == top, F.col("_top_init.v")).alias("last_initial_appraised"),
+        F.when(F.col("_top_final.y") == top, F.col("_top_final.v")).alias("last_final_appraised"),
         F.round(F.col("_avg_red"), 4).alias("avg_value_reduction"),
         F.col("successful_protests").cast("bigint").alias("successful_protests"),
     )
@@ -186,9 +202,11 @@ def exemption_summary(jur_exempt: DataFrame) -> DataFrame:
     v = F.col("exempt_val")
     cat = F.col("exempt_cat")
     return (jur_exempt.where(v.isNotNull() & (v != ""))
+            .select("acct", "exempt_cat", safe_num("exempt_val").alias("_v"))
             .groupBy("acct").agg(
-                F.count_distinct(cat).alias("exemption_count"),
-                F.sum(safe_num("exempt_val")).alias("total_exemption_value"),
+                # exemption categories are a small code domain: count and list come from one set
+                F.size(F.collect_set(cat)).cast("bigint").alias("exemption_count"),
+                F.sum("_v").alias("total_exemption_value"),
                 string_agg_distinct(cat, ", ").alias("exemption_codes"),
                 F.bool_or(cat.like("HS%")).alias("has_homestead"),
                 F.bool_or(cat.like("OA%")).alias("has_over_65"),

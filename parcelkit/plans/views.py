@@ -60,8 +60,11 @@ def _property_features_frame(tables, as_of, where=None) -> DataFrame:
     tables, ra = _select_accounts(tables, where)
     br1 = (tables["building_res"].where(F.col("bld_num") == F.lit(R.PRIMARY))
            .select("acct", "heat_ar", "im_sq_ft", "date_erected", "yr_remodel", "structure_dscr", "dscr", "qa_cd"))
+    br1 = br1.select("acct", "date_erected", "yr_remodel", "structure_dscr", "dscr", "qa_cd",
+                     safe_num("heat_ar").alias("_heat_ar"), safe_num("im_sq_ft").alias("_im_sq_ft"))
     pf = (ra.select("acct", "yr", "site_addr_1", "site_addr_2", "site_addr_3", "str_num", "str", "str_sfx",
-                    "str_unit", "tot_mkt_val", "tot_appr_val", "land_val", "land_ar", "bld_ar")
+                    "str_unit", *[safe_num(c).alias(f"_{c}") for c in ("tot_mkt_val", "tot_appr_val", "land_val",
+                                                                         "land_ar", "bld_ar")])
           .join(br1, "acct", "left")
           .join(R.owners_agg(tables["owners"]), "acct", "left")
           .join(R.fixture_counts(tables["fixtures"]), "acct", "left")
@@ -78,11 +81,11 @@ def _property_features_frame(tables, as_of, where=None) -> DataFrame:
         F.col("str").alias("street_name"),
         "str_sfx", "str_unit",
         F.coalesce(F.col("owners"), F.lit("")).alias("owners"),
-        safe_num("tot_mkt_val").alias("tot_mkt_val_num"),
-        safe_num("tot_appr_val").alias("tot_appr_val_num"),
-        safe_num("land_val").alias("land_val_num"),
-        safe_num("land_ar").alias("lot_sqft"),
-        F.coalesce(safe_num("heat_ar"), safe_num("im_sq_ft"), safe_num("bld_ar")).alias("heated_area_sqft"),
+        F.col("_tot_mkt_val").alias("tot_mkt_val_num"),
+        F.col("_tot_appr_val").alias("tot_appr_val_num"),
+        F.col("_land_val").alias("land_val_num"),
+        F.col("_land_ar").alias("lot_sqft"),
+        F.coalesce(F.col("_heat_ar"), F.col("_im_sq_ft"), F.col("_bld_ar")).alias("heated_area_sqft"),
         F.col("date_erected").alias("bld_date_erected"),
         F.col("yr_remodel").alias("bld_year_remodel"),
         F.col("structure_dscr").alias("building_type"),
@@ -96,7 +99,7 @@ def _property_features_frame(tables, as_of, where=None) -> DataFrame:
         F.coalesce(F.col("permits_last_5yr"), F.lit(0).cast("bigint")).alias("permits_last_5yr"),
         F.coalesce(F.col("sales_last_5yr"), F.lit(0).cast("bigint")).alias("sales_last_5yr"),
         F.coalesce(F.col("jur_appraised_val_sum"), _zero()).alias("jur_appraised_val_sum"),
-        safe_num("bld_ar").alias("_bld_ar_num"),
+        F.col("_bld_ar").alias("_bld_ar_num"),
     )
 
 
@@ -157,7 +160,11 @@ def residential_protest_analysis(tables, as_of, sales=None, where=None) -> DataF
     # the class filter alone keeps most accounts: filter the base only and let the
     # left joins drop detail aggregates; a caller's predicate also restricts the details
     tables, ra = _select_accounts(tables, None if where is None else (residential & where))
-    ra = ra.where(residential)
+    # parse the account's numeric texts once; everything below refers to these columns
+    nums = ("tot_mkt_val", "tot_appr_val", "land_val", "bld_val", "x_features_val", "ag_val", "land_ar", "bld_ar")
+    ra = ra.where(residential).select(
+        "acct", "site_addr_1", "site_addr_2", "site_addr_3", "str_num", "str", "str_sfx", "mailto", "state_class",
+        "Neighborhood_Code", "school_dist", *[safe_num(c).alias(f"_{c}") for c in nums])
     land1 = (tables["land"].where(F.col("num") == F.lit(R.PRIMARY)).select("acct", "use_cd")
              .join(_lookup(tables["desc_r_15_land_usecode"], "Code", "use_cd", "Description", "land_use_desc"),
                    "use_cd", "left")
@@ -185,10 +192,9 @@ def residential_protest_analysis(tables, as_of, sales=None, where=None) -> DataF
          .join(rs, "acct", "left")
          .join(es, "acct", "left"))
 
-    mkt, land_val, bld_val, land_ar = (safe_num("tot_mkt_val"), safe_num("land_val"), safe_num("bld_val"),
-                                       safe_num("land_ar"))
+    mkt, land_val, bld_val, land_ar = F.col("_tot_mkt_val"), F.col("_land_val"), F.col("_bld_val"), F.col("_land_ar")
     # primary building fields of property_features (NULL when the account has no building '1')
-    heated = F.coalesce(F.col("primary_heated_sqft"), F.col("_primary_im_sq_ft"), safe_num("bld_ar"))
+    heated = F.coalesce(F.col("primary_heated_sqft"), F.col("_primary_im_sq_ft"), F.col("_bld_ar"))
     flags = _feature_flags(_z("bedrooms"), _z("full_baths"), _z("half_baths"), heated)
     ths = F.col("total_heated_sqft")
     init, final = F.col("last_initial_appraised"), F.col("last_final_appraised")
@@ -206,11 +212,11 @@ def residential_protest_analysis(tables, as_of, sales=None, where=None) -> DataF
         F.col("Neighborhood_Code").alias("neighborhood_code"),
         "neighborhood_name",
         mkt.alias("current_market_value"),
-        safe_num("tot_appr_val").alias("current_appraised_value"),
+        F.col("_tot_appr_val").alias("current_appraised_value"),
         land_val.alias("land_value"),
         bld_val.alias("building_value"),
-        safe_num("x_features_val").alias("extra_features_value"),
-        safe_num("ag_val").alias("ag_value"),
+        F.col("_x_features_val").alias("extra_features_value"),
+        F.col("_ag_val").alias("ag_value"),
         (mkt - F.coalesce(land_val, _zero())).alias("improvement_value"),
         land_ar.alias("lot_sqft"),
         "land_use_desc",
