@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, SparkSession
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from parcelkit.catalog import primary_key  # noqa: E402
-from parcelkit.fixtures import AS_OF, PARAMS, Tables  # noqa: E402
+from parcelkit.fixtures import AS_OF, PARAMS, Tables, write_text_drop  # noqa: E402
 from parcelkit.functions.exprs import safe_num  # noqa: E402
 from parcelkit.functions.portable import portable  # noqa: E402
 from parcelkit.operators import integrity as I  # noqa: E402
@@ -33,9 +33,19 @@ from parcelkit.plans import quality as Q  # noqa: E402
 from parcelkit.plans import reports as B  # noqa: E402
 from parcelkit.plans import view_reports as VR  # noqa: E402
 from parcelkit.plans import views as V  # noqa: E402
+from parcelkit.plans.load import load_tables  # noqa: E402
+from parcelkit.plans.sql import register, sql_select  # noqa: E402
+from parcelkit.session import ensure_checkpoint_dir  # noqa: E402
+from parcelkit.sources.codebook import ColumnDef  # noqa: E402
+from parcelkit.sources.pages import page_links  # noqa: E402
+from parcelkit.sources.tsv import clean_cells  # noqa: E402
 
 P = PARAMS
 FLAGSHIP_DIR = "/root/testdata/sf0.001"
+LOADED = ("real_acct", "building_res", "jur_value", "arb_protest_real", "deeds")
+SQL_SELECT_TEXT = ("SELECT ra.state_class, sc.Description AS property_type, COUNT(*) AS property_count "
+                   "FROM real_acct ra LEFT JOIN desc_r_01_state_class sc ON ra.state_class = sc.Code "
+                   "WHERE ra.site_addr_3 = :zip GROUP BY ra.state_class, sc.Description")
 
 
 def _raw(spark: SparkSession, sf_dir: str) -> Tables:
@@ -108,6 +118,20 @@ def _queries() -> dict[str, _Query]:
     def over(t):
         return VR.q_over_assessment(t.with_table("deeds", t["deeds_priced"]), AS_OF, price_col="sale_price")
 
+    def state_class_sql(t):
+        register(t, ["real_acct", "desc_r_01_state_class"])
+        return sql_select(t["real_acct"].sparkSession, SQL_SELECT_TEXT, {"zip": z})
+
+    def load_round_trip(t):
+        """Write the drop as text (input construction), then run the loader over it."""
+        import uuid
+        spark = t["real_acct"].sparkSession
+        base = f"{ensure_checkpoint_dir(spark).rstrip('/')}/load-{uuid.uuid4().hex}"
+        drop = t.with_table("real_acct", t["real_acct"].join(t["real_acct_not_p"], "acct", "left_semi"))
+        cols = write_text_drop(drop, LOADED, f"{base}/drop")
+        codebook = {n: [ColumnDef(c, "varchar", None, True) for c in cs] for n, cs in cols.items()}
+        return load_tables(spark, f"{base}/drop", codebook, f"{base}/clean")
+
     return {
         # sources / cleaning / integrity
         "dedupe_keep_first": _q(lambda t: I.dedupe_keep_first(t["building_res"].select(*br_cols),
@@ -126,6 +150,10 @@ def _queries() -> dict[str, _Query]:
         "table_counts": _q(lambda t: I.table_counts({n: t[n] for n in counted}), False),
         "length_overflow_report": _q(lambda t: I.length_overflow_report(t["building_res"], sizes, "building_res"),
                                      False),
+        "clean_cells": _q(lambda t: clean_cells(t["deeds"]), False),
+        "load_tables": _q(load_round_trip, False),
+        "page_links": _q(lambda t: page_links(t["pages"], P["link_pattern"]), False),
+        "sql_select": _q(state_class_sql, False),
         # scalar function
         "safe_num": _q(lambda t: t["real_acct"].select("acct", "tot_mkt_val",
                                                        safe_num("tot_mkt_val").alias("tot_mkt_val_num"),

@@ -142,6 +142,7 @@ PARAMS = {
     "protest_year": 2024,
     "hearing_year": "2000",
     "acct": "0000000000042",
+    "link_pattern": "/",
 }
 
 
@@ -208,3 +209,23 @@ class Tables:
 def oracle_with(*names: str) -> str:
     """``WITH`` prefix defining the named derived tables for the DuckDB oracle."""
     return "WITH " + ",\n".join(f"{n} AS ({DERIVED_SQL[n]})" for n in names) + "\n"
+
+
+def write_text_drop(tables, names, root: str) -> dict:
+    """Write derived tables as a yearly text drop: one folder of tab-separated part files per table.
+
+    Input construction only: every value is padded with a space on both sides
+    (blank and NULL values are written as empty cells); the loader must undo it.
+    Written by Spark, one part file per partition. Returns ``table -> column names``.
+    """
+    from pyspark.sql import functions as F
+    cols_by_table = {}
+    for name in names:
+        df = tables[name]
+        cols = df.columns
+        padded = df.select(*[F.when(F.col(c).isNull() | (F.col(c) == ""), F.lit(""))
+                             .otherwise(F.concat(F.lit(" "), F.col(c), F.lit(" "))).alias(c) for c in cols])
+        (padded.write.mode("overwrite").option("sep", "\t").option("header", True).option("quote", "")
+         .option("escape", "").option("emptyValue", "").option("nullValue", "").csv(f"{root}/{name}"))
+        cols_by_table[name] = cols
+    return cols_by_table

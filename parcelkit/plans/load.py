@@ -22,33 +22,21 @@ from pyspark.sql import functions as F
 from ..catalog import KEYS, KeySpec, parents_first
 from ..operators import integrity as I
 from ..sources.codebook import ColumnDef, read_codebook
-from ..sources.tsv import missing_key_columns, project_to_schema, raw_scan, tsv_scan
+from ..sources.tsv import find_table_files, missing_key_columns, project_to_schema, raw_scan, tsv_scan
 
 REPORT_SCHEMA = ("table_name string, status string, rows_read bigint, null_key_rows bigint, duplicate_rows bigint, "
                  "orphan_rows bigint, rows_kept bigint, unexpected_columns string, missing_key_columns string")
 
 
-def find_table_files(spark: SparkSession, root: str) -> dict[str, str]:
-    """Table name -> path of every ``*.txt`` below ``root`` (metadata listing via the file source)."""
-    files = (spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.txt")
-             .load(root).select("path").collect())
-    out: dict[str, str] = {}
-    for r in files:
-        base = os.path.basename(r["path"])[:-4]
-        if base in out:
-            raise ValueError(f"duplicate data file for table {base}: {out[base]} and {r['path']}")
-        out[base] = r["path"]
-    return out
-
-
 def clean_table(spark: SparkSession, root: str, table: str, columns: list[str], spec: KeySpec,
-                parents: dict[str, DataFrame]) -> tuple[DataFrame, dict, list[str], list[str]]:
+                parents: dict[str, DataFrame], paths: list[str] | None = None
+                ) -> tuple[DataFrame, dict, list[str], list[str]]:
     """Lazy cleaned DataFrame of one table plus the observations attached to it."""
     pk = list(spec.primary_key)
-    missing = missing_key_columns(spark, root, table, pk) if pk else []
-    unexpected = project_to_schema(raw_scan(spark, root, table), columns)[1]
-    obs = {k: Observation(f"{table}_{k}") for k in ("read", "keyed", "unique", "kept")}
-    df = tsv_scan(spark, root, table, columns).observe(obs["read"], F.count(F.lit(1)).alias("n"))
+    missing = missing_key_columns(spark, root, table, pk, paths) if pk else []
+    unexpected = project_to_schema(raw_scan(spark, root, table, paths), columns)[1]
+    obs = {k: Observation(f"{table}_{k}_{id(parents)}") for k in ("read", "keyed", "unique", "kept")}
+    df = tsv_scan(spark, root, table, columns, paths=paths).observe(obs["read"], F.count(F.lit(1)).alias("n"))
     df = I.drop_null_keys(df, pk) if not missing else df.where(F.lit(False))
     df = df.observe(obs["keyed"], F.count(F.lit(1)).alias("n"))
     if pk:
@@ -81,18 +69,19 @@ def load_tables(spark: SparkSession, root: str, codebook: dict[str, list[ColumnD
         try:
             path = os.path.join(out_dir, table)
             pk = list(spec.primary_key)
-            missing = missing_key_columns(spark, root, table, pk) if pk else []
+            paths = files[table]
+            missing = missing_key_columns(spark, root, table, pk, paths) if pk else []
             if missing:
                 # every row has a NULL key: write the empty table, report what was quarantined
-                scanned = tsv_scan(spark, root, table, cols).drop(I.ORDER_COL)
+                scanned = tsv_scan(spark, root, table, cols, paths=paths).drop(I.ORDER_COL)
                 n_read = scanned.count()
                 scanned.limit(0).write.mode(mode).parquet(path)
                 written[table] = spark.read.parquet(path)
-                unexpected = project_to_schema(raw_scan(spark, root, table), cols)[1]
+                unexpected = project_to_schema(raw_scan(spark, root, table, paths), cols)[1]
                 rows.append((table, "missing key columns", n_read, n_read, 0, 0, 0, ",".join(unexpected),
                              ",".join(missing)))
                 continue
-            df, obs, unexpected, missing = clean_table(spark, root, table, cols, spec, written)
+            df, obs, unexpected, missing = clean_table(spark, root, table, cols, spec, written, paths)
             df.write.mode(mode).parquet(path)
             written[table] = spark.read.parquet(path)
             n = {k: o.get.get("n", 0) for k, o in obs.items()}

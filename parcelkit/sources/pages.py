@@ -4,7 +4,7 @@ For every ``<a href=...>`` whose href contains ``pattern`` (case-insensitive,
 anywhere — the source looks for ``.zip``), resolve it against the page URL,
 keep http/https only, and derive the file name from the URL path's last
 segment (the host when the path has none). Distinct per page, sorted.
-Pure DataFrame expressions: ``regexp_extract_all`` + ``explode`` + ``parse_url``.
+Pure DataFrame expressions: ``regexp_extract_all`` + ``explode`` + regex rewrites.
 """
 
 from __future__ import annotations
@@ -12,8 +12,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# --- fixed values: href attribute of an anchor tag (quoted or bare) --------------
+# --- fixed values ------------------------------------------------------------------
+# href attribute of an anchor tag (double-, single- or un-quoted)
 HREF = r"""(?i)<a\s[^>]*?href\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>"']+))"""
+# script bodies and comments hold no anchors an HTML parser would see
+NOT_MARKUP = r"(?is)<script.*?</script>|<!--.*?-->"
+# a path segment other than "." and ".." followed by "/../"
+DOT_DOT = r"/(?:[^/?#.][^/?#]*|\.[^/?#.][^/?#]*|\.\.[^/?#]+)/\.\./"
 
 
 def _resolve(base, href):
@@ -31,21 +36,26 @@ def _resolve(base, href):
               .when(href.startswith("#"), F.concat(no_frag, href))
               .when(href == "", no_frag)
               .otherwise(F.concat(dir_, href)))
-    # collapse "/./" and "seg/../" once per level (bounded passes keep it an expression)
-    for _ in range(4):
-        joined = F.regexp_replace(joined, r"/\./", "/")
-        joined = F.regexp_replace(joined, r"(://[^/]+)?/(?!\.\./)[^/?#]+/\.\./", "$1/")
-    return joined
+    # dot segments are removed from the path only (never from scheme://authority)
+    authority = r"^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*"
+    pre = F.regexp_extract(joined, f"({authority})", 1)
+    rest = F.regexp_replace(joined, authority, "")
+    rest = F.regexp_replace(rest, r"/\./", "/")
+    for _ in range(4):  # bounded passes keep it one expression
+        rest = F.regexp_replace(rest, DOT_DOT, "/")
+    rest = F.regexp_replace(rest, r"^(?:/\.\.)+/", "/")  # ".." above the root stays at the root
+    return F.concat(pre, rest)
 
 
 def page_links(pages: DataFrame, pattern: str = ".zip") -> DataFrame:
     """``page_id, url, link, file_name`` for each distinct matching link of each page."""
-    anchors = pages.select("page_id", "url", F.explode(F.regexp_extract_all(
-        F.col("html"), F.lit(HREF), F.lit(0))).alias("tag"))
+    html = F.regexp_replace(F.col("html"), NOT_MARKUP, "")
+    anchors = pages.select("page_id", "url", F.explode(F.regexp_extract_all(html, F.lit(HREF), F.lit(0))).alias("tag"))
     href = F.trim(F.coalesce(
         F.nullif(F.regexp_extract("tag", HREF, 1), F.lit("")),
         F.nullif(F.regexp_extract("tag", HREF, 2), F.lit("")),
         F.regexp_extract("tag", HREF, 3)))
+    href = F.replace(href, F.lit("&amp;"), F.lit("&"))
     cand = anchors.select("page_id", "url", href.alias("href")).where(
         F.lower(F.col("href")).contains(pattern.lower()))
     links = cand.select("page_id", "url", _resolve(F.col("url"), F.col("href")).alias("link"))

@@ -40,13 +40,41 @@ def _reader(spark: SparkSession):
             .option("encoding", "UTF-8").option("recursiveFileLookup", True))
 
 
-def raw_scan(spark: SparkSession, root: str, table: str) -> DataFrame:
-    """Every ``<table>.txt`` below ``root`` as strings, with the file's header as column names."""
-    df = _reader(spark).option("pathGlobFilter", f"{table}.txt").csv(root)
-    files = df.inputFiles()
-    if len(files) > 1:
-        raise ValueError(f"{table}: more than one file named {table}.txt under {root}: {sorted(files)[:3]}")
-    return df
+def find_table_files(spark: SparkSession, root: str) -> dict[str, list[str]]:
+    """Table name -> data files below ``root``: a single ``<table>.txt``, or the ``part-*`` files of a
+    folder named ``<table>`` (a table written by a distributed job). A listing, no data read."""
+    files = (spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root)
+             .select("path").collect())
+    singles: dict[str, list[str]] = {}
+    parts: dict[str, list[str]] = {}
+    for r in files:
+        path = r["path"]
+        name = path.rsplit("/", 1)[-1]
+        if name.startswith(("_", ".")):
+            continue
+        if name.startswith("part-"):
+            parts.setdefault(path.rsplit("/", 2)[-2], []).append(path)
+        elif name.endswith(".txt"):
+            singles.setdefault(name[:-4], []).append(path)
+    out: dict[str, list[str]] = {}
+    for table, paths in singles.items():
+        if len(paths) > 1:
+            raise ValueError(f"{table}: more than one file named {table}.txt under {root}: {sorted(paths)[:3]}")
+        out[table] = paths
+    for table, paths in parts.items():
+        if table in out:
+            raise ValueError(f"{table}: both {table}.txt and a folder of part files under {root}")
+        out[table] = sorted(paths)
+    return out
+
+
+def raw_scan(spark: SparkSession, root: str, table: str, paths: list[str] | None = None) -> DataFrame:
+    """The table's text file(s) as strings, with the header as column names."""
+    if paths is None:
+        paths = find_table_files(spark, root).get(table)
+        if not paths:
+            raise FileNotFoundError(f"no data file for table {table} under {root}")
+    return _reader(spark).csv(paths)
 
 
 def project_to_schema(df: DataFrame, columns) -> tuple[DataFrame, list[str]]:
@@ -60,12 +88,13 @@ def project_to_schema(df: DataFrame, columns) -> tuple[DataFrame, list[str]]:
     return df.select(*cols, *([F.col(ORDER_COL)] if ORDER_COL in df.columns else [])), unexpected
 
 
-def tsv_scan(spark: SparkSession, root: str, table: str, columns=None, clean: bool = True) -> DataFrame:
+def tsv_scan(spark: SparkSession, root: str, table: str, columns=None, clean: bool = True,
+             paths: list[str] | None = None) -> DataFrame:
     """Scan one table's text file(s): header-driven projection onto ``columns`` plus ``_row_order``.
 
     With ``columns=None`` the header's columns are kept as they are.
     """
-    df = raw_scan(spark, root, table)
+    df = raw_scan(spark, root, table, paths)
     order = F.struct(F.col("_metadata.file_path").alias("file"),
                      F.col("_metadata.file_block_start").alias("start"),
                      F.monotonically_increasing_id().alias("pos"))
@@ -77,7 +106,7 @@ def tsv_scan(spark: SparkSession, root: str, table: str, columns=None, clean: bo
     return df
 
 
-def missing_key_columns(spark: SparkSession, root: str, table: str, pk) -> list[str]:
+def missing_key_columns(spark: SparkSession, root: str, table: str, pk, paths: list[str] | None = None) -> list[str]:
     """Primary-key columns absent from the file's header (the whole table is quarantined then)."""
-    header = raw_scan(spark, root, table).columns
+    header = raw_scan(spark, root, table, paths).columns
     return [k for k in pk if k not in header]

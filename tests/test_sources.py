@@ -96,7 +96,8 @@ def test_page_links_resolution(spark):
     html = ('<html><a href="/data/Real_2025.zip">a</a><A HREF=\'sub/GIS.ZIP?x=1\'>b</A>'
             '<a href="https://cdn.example.org/x.zip#f">c</a><a href="ftp://h/y.zip">d</a>'
             '<a href="//other.example.com/z.zip">e</a><a href="/data/Real_2025.zip">dup</a>'
-            '<a href="../up/u.zip">f</a><a href="page.html">g</a></html>')
+            '<a href="../up/u.zip">f</a><a href="page.html">g</a><a href="/../../r.zip?a=1&amp;b=2">h</a>'
+            '<script>var s = "<a href=\'/hidden.zip\'>";</script><!-- <a href="/old.zip"> --></html>')
     pages = spark.createDataFrame([(1, "https://host.example.com/dir/index.html", html)],
                                   "page_id long, url string, html string")
     got = sorted((r["link"], r["file_name"]) for r in page_links(pages).collect())
@@ -106,4 +107,5 @@ def test_page_links_resolution(spark):
         ("https://cdn.example.org/x.zip#f", "x.zip"),
         ("https://other.example.com/z.zip", "z.zip"),
         ("https://host.example.com/up/u.zip", "u.zip"),
+        ("https://host.example.com/r.zip?a=1&b=2", "r.zip"),
     ])
