@@ -39,6 +39,7 @@ from parcelkit.session import ensure_checkpoint_dir  # noqa: E402
 from parcelkit.sources.codebook import ColumnDef  # noqa: E402
 from parcelkit.sources.pages import page_links  # noqa: E402
 from parcelkit.sources.tsv import clean_cells  # noqa: E402
+from parcelkit.streaming.drops import stream_drops  # noqa: E402
 
 P = PARAMS
 FLAGSHIP_DIR = "/root/testdata/sf0.001"
@@ -132,7 +133,23 @@ def _queries() -> dict[str, _Query]:
         codebook = {n: [ColumnDef(c, "varchar", None, True) for c in cs] for n, cs in cols.items()}
         return load_tables(spark, f"{base}/drop", codebook, f"{base}/clean")
 
+    def drops_round_trip(t):
+        """Two text drops of the account table (input construction); the second changes values of
+        keys already loaded. The incremental loader must keep the first drop's rows."""
+        import uuid
+        from pyspark.sql import functions as F
+        spark = t["real_acct"].sparkSession
+        base = f"{ensure_checkpoint_dir(spark).rstrip('/')}/drops-{uuid.uuid4().hex}"
+        cols = write_text_drop(t, ["real_acct"], f"{base}/landing")["real_acct"]
+        args = (spark, f"{base}/landing", "real_acct", cols, ["acct"], f"{base}/table", f"{base}/ckpt")
+        stream_drops(*args).awaitTermination()
+        changed = t["real_acct"].withColumn("tot_mkt_val", F.lit("changed"))
+        write_text_drop({"drop2": changed}, ["drop2"], f"{base}/landing/real_acct")
+        stream_drops(*args).awaitTermination()
+        return spark.read.parquet(f"{base}/table")
+
     return {
+        "stream_drops": _q(drops_round_trip, False),
         # sources / cleaning / integrity
         "dedupe_keep_first": _q(lambda t: I.dedupe_keep_first(t["building_res"].select(*br_cols),
                                                               ("acct", "bld_num"), order_cols=br_cols[2:]), False),
