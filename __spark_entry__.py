@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, SparkSession
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from parcelkit.catalog import primary_key  # noqa: E402
-from parcelkit.fixtures import AS_OF, PARAMS, Tables, write_text_drop  # noqa: E402
+from parcelkit.fixtures import AS_OF, PARAMS, Tables, write_text_drop, write_zip_drop  # noqa: E402
 from parcelkit.functions.exprs import safe_num  # noqa: E402
 from parcelkit.functions.portable import portable  # noqa: E402
 from parcelkit.operators import integrity as I  # noqa: E402
@@ -37,6 +37,7 @@ from parcelkit.plans.load import load_tables  # noqa: E402
 from parcelkit.plans.sql import register, sql_select  # noqa: E402
 from parcelkit.session import ensure_checkpoint_dir  # noqa: E402
 from parcelkit.sources.codebook import ColumnDef  # noqa: E402
+from parcelkit.sources.archives import archive_scan, archive_table  # noqa: E402
 from parcelkit.sources.pages import page_links  # noqa: E402
 from parcelkit.sources.tsv import clean_cells  # noqa: E402
 from parcelkit.streaming.drops import stream_drops  # noqa: E402
@@ -148,7 +149,16 @@ def _queries() -> dict[str, _Query]:
         stream_drops(*args).awaitTermination()
         return spark.read.parquet(f"{base}/table")
 
+    def zipped_owners(t):
+        """The owners table written as ZIP archives (input construction), read back through the archive scan."""
+        import uuid
+        spark = t["owners"].sparkSession
+        root = f"{ensure_checkpoint_dir(spark).rstrip('/')}/zips-{uuid.uuid4().hex}"
+        write_zip_drop(t, "owners", root)
+        return archive_table(archive_scan(spark, root), "owners", t["owners"].columns)
+
     return {
+        "archive_scan": _q(zipped_owners, False),
         "stream_drops": _q(drops_round_trip, False),
         # sources / cleaning / integrity
         "dedupe_keep_first": _q(lambda t: I.dedupe_keep_first(t["building_res"].select(*br_cols),

@@ -229,3 +229,36 @@ def write_text_drop(tables, names, root: str) -> dict:
          .option("escape", "").option("emptyValue", "").option("nullValue", "").csv(f"{root}/{name}"))
         cols_by_table[name] = cols
     return cols_by_table
+
+
+def write_zip_drop(tables, name: str, root: str) -> None:
+    """Write one derived table as ZIP archives (one per partition, member ``<name>.txt`` with a header).
+
+    Input construction only: each Spark task zips its own partition into the
+    shared folder ``root``; no rows pass through the driver.
+    """
+    import io
+    import uuid
+    import zipfile
+
+    import pandas as pd
+
+    df = tables[name]
+    cols = df.columns
+
+    def write(batches):
+        buf = io.StringIO()
+        buf.write("\t".join(cols) + "\n")
+        n = 0
+        for pdf in batches:
+            for row in pdf.itertuples(index=False):
+                buf.write("\t".join("" if v is None else str(v) for v in row) + "\n")
+                n += 1
+        if n:
+            os.makedirs(root, exist_ok=True)
+            path = os.path.join(root, f"{name}-{uuid.uuid4().hex}.zip")
+            with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as z:
+                z.writestr(f"{name}.txt", buf.getvalue())
+            yield pd.DataFrame({"path": [path], "rows": [n]})
+
+    df.mapInPandas(write, "path string, rows long").write.format("noop").mode("overwrite").save()

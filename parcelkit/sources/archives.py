@@ -121,3 +121,23 @@ def member_table(members: DataFrame, member_name: str) -> DataFrame:
     return (members.where(F.col("line").isNotNull()
                           & (F.element_at(F.split(F.col("member"), "/"), -1) == F.lit(member_name)))
             .select("archive", "member", "line_no", "line"))
+
+
+def archive_table(members: DataFrame, table: str, columns) -> DataFrame:
+    """Rows of ``<table>.txt`` members: each member's first line is its header, later lines are cells.
+
+    The header of every member is matched to its lines with a join on
+    (archive, member) — one header row per member, broadcast by size — so
+    members with different column orders load correctly; absent columns are
+    NULL, extra cells are dropped, as in the text scan.
+    """
+    lines = member_table(members, f"{table}.txt")
+    headers = lines.where(F.col("line_no") == 1).select(
+        "archive", "member", F.split(F.col("line"), "\t", -1).alias("_header"))
+    body = lines.where(F.col("line_no") > 1).where(F.col("line") != "")
+    cells = body.join(headers, ["archive", "member"], "inner").select(
+        "archive", "member", "line_no",
+        F.map_from_entries(F.filter(F.arrays_zip(F.col("_header").alias("k"),
+                                                 F.split(F.col("line"), "\t", -1).alias("v")),
+                                    lambda e: e["k"].isNotNull())).alias("_row"))
+    return cells.select(*[F.col("_row").getItem(c).alias(c) for c in columns])

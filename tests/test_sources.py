@@ -109,3 +109,13 @@ def test_page_links_resolution(spark):
         ("https://host.example.com/up/u.zip", "u.zip"),
         ("https://host.example.com/r.zip?a=1&b=2", "r.zip"),
     ])
+
+
+def test_archive_table_header_per_member(spark, tmpdir_path):
+    from parcelkit.sources.archives import archive_table
+    root = os.path.join(tmpdir_path, "z")
+    _write(os.path.join(root, "a.zip"), _zip([("owners.txt", "acct\tname\n1\tx\n2\ty\n")]))
+    _write(os.path.join(root, "b.zip"), _zip([("sub/owners.txt", "name\tacct\textra\nz\t3\tq\nshort\n")]))
+    rows = sorted(tuple(r) for r in archive_table(archive_scan(spark, root), "owners", ["acct", "name"]).collect()
+                  if r[0] is not None)
+    assert rows == [("1", "x"), ("2", "y"), ("3", "z")]
