@@ -39,7 +39,7 @@ from parcelkit.session import ensure_checkpoint_dir  # noqa: E402
 from parcelkit.sources.codebook import ColumnDef  # noqa: E402
 from parcelkit.sources.archives import archive_scan, archive_table  # noqa: E402
 from parcelkit.sources.pages import page_links  # noqa: E402
-from parcelkit.sources.tsv import clean_cells  # noqa: E402
+from parcelkit.sources.tsv import clean_cells, tsv_scan  # noqa: E402
 from parcelkit.streaming.drops import stream_drops  # noqa: E402
 
 P = PARAMS
@@ -157,7 +157,16 @@ def _queries() -> dict[str, _Query]:
         write_zip_drop(t, "owners", root)
         return archive_table(archive_scan(spark, root), "owners", t["owners"].columns)
 
+    def scanned_owners(t):
+        """The owners table written as a text drop (input construction), read back by the text scan."""
+        import uuid
+        spark = t["owners"].sparkSession
+        root = f"{ensure_checkpoint_dir(spark).rstrip('/')}/text-{uuid.uuid4().hex}"
+        cols = write_text_drop(t, ["owners"], root)["owners"]
+        return tsv_scan(spark, root, "owners", cols).drop(I.ORDER_COL)
+
     return {
+        "tsv_scan": _q(scanned_owners, False),
         "archive_scan": _q(zipped_owners, False),
         "stream_drops": _q(drops_round_trip, False),
         # sources / cleaning / integrity

@@ -29,7 +29,11 @@ def clean_cell(col) -> Column:
 
 
 def clean_cells(df: DataFrame, cols=None) -> DataFrame:
-    """Apply :func:`clean_cell` to every string column (or ``cols``); idempotent."""
+    """Apply :func:`clean_cell` to every string column (or ``cols``).
+
+    Idempotent except where a NUL sits next to edge whitespace (``'1 \\x00'`` -> ``'1 '``):
+    the source strips before it deletes NULs, and that order is kept.
+    """
     names = cols or [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
     return df.withColumns({c: clean_cell(c) for c in names})
 

@@ -31,7 +31,7 @@ def test_tsv_ragged_crlf_quotes_nul_utf8(spark, tmpdir_path):
     assert len(rows) == 4
 
 
-def test_clean_cells_idempotent(spark):
+def test_clean_cells_twice(spark):
     df = spark.createDataFrame([("  a ",), (" ",), ("x\u0000",), (None,)], "v string")
     once = clean_cells(df)
     assert [r[0] for r in once.collect()] == ["a", None, "x", None]
