@@ -14,8 +14,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.exprs import (NUM, parse_mdy, safe_num, string_agg_distinct, string_agg_ordered,
-                               years_before)
+from ..functions.exprs import NUM, parse_mdy, safe_num, string_agg_distinct, years_before
 
 PRIMARY = "1"  # bld_num / land line of the primary building / land segment
 
@@ -89,8 +88,12 @@ def building_summary(building_res: DataFrame, internal: bool = False) -> DataFra
     other = F.concat(F.lit("Bldg "), F.col("bld_num"), F.lit(": "),
                      F.coalesce(F.col("structure_dscr"), F.lit("Unknown")), F.lit(" ("),
                      F.coalesce(F.col("heat_ar"), F.lit("0")), F.lit(" sqft)"))
+    # one ordered list of (bld_num, text-or-NULL) per account serves both the building count and
+    # the text of the other buildings: the output needs every building of the account anyway,
+    # and one list keeps the aggregation single-phase (a distinct count would add two phases)
+    listed = F.collect_list(F.struct(F.col("bld_num").alias("o"), F.when(~one, other).alias("v")))
     aggs = [
-        F.count_distinct("bld_num").alias("building_count"),
+        listed.alias("_bld"),
         prim(F.col("date_erected")).alias("primary_year_built"),
         prim(F.col("yr_remodel")).alias("primary_year_remodel"),
         prim(F.col("structure_dscr")).alias("primary_structure_type"),
@@ -104,12 +107,18 @@ def building_summary(building_res: DataFrame, internal: bool = False) -> DataFra
         F.sum("_heat_ar").alias("total_heated_sqft"),
         F.sum("_gross_ar").alias("total_gross_sqft"),
         F.sum("_cama_replacement_cost").alias("total_replacement_cost"),
-        string_agg_ordered(F.when(~one, other), "bld_num", "; ")
-        .alias("additional_buildings"),
     ]
     if internal:
         aggs += [prim(F.col("_im_sq_ft")).alias("_primary_im_sq_ft")]
-    return b.groupBy("acct").agg(*aggs)
+    g = b.groupBy("acct").agg(*aggs)
+    nums = F.transform(F.filter("_bld", lambda x: x["o"].isNotNull()), lambda x: x["o"])
+    texts = F.transform(F.filter(F.array_sort("_bld"), lambda x: x["v"].isNotNull()), lambda x: x["v"])
+    out = ["acct", F.size(F.array_distinct(nums)).cast("bigint").alias("building_count")]
+    out += [c for c in g.columns if c not in ("acct", "_bld", "_primary_im_sq_ft")]
+    out += [F.when(F.size(texts) > 0, F.array_join(texts, "; ")).alias("additional_buildings")]
+    if internal:
+        out.append("_primary_im_sq_ft")
+    return g.select(*out)
 
 
 def protest_history(arb_protest_real: DataFrame) -> DataFrame:

@@ -32,6 +32,21 @@ class TableStore:
             w = w.bucketBy(self.buckets, KEY).sortBy(KEY)
         w.saveAsTable(f"{self.database}.{name}")
 
+    def attach(self, name: str, bucketed: bool = True) -> None:
+        """Register a table written earlier (e.g. by the load job) in this application's catalogue.
+
+        A session without a shared metastore does not know the bucket spec of
+        files written by another application; it is declared again here so the
+        scans stay bucketed.
+        """
+        path = f"{self.location}/{name}"
+        schema = self.spark.read.parquet(path).schema  # footer metadata only
+        cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
+        bucketed = bucketed and KEY in schema.fieldNames()
+        clustered = f" CLUSTERED BY ({KEY}) SORTED BY ({KEY}) INTO {self.buckets} BUCKETS" if bucketed else ""
+        self.spark.sql(f"DROP TABLE IF EXISTS {self.database}.{name}")
+        self.spark.sql(f"CREATE TABLE {self.database}.{name} ({cols}) USING parquet{clustered} LOCATION '{path}'")
+
     def __getitem__(self, name: str) -> DataFrame:
         if name in self._override:
             return self._override[name]
