@@ -1,6 +1,6 @@
 """A folder of cleaned tables, bucketed by account.
 
-Per-account tables are written with ``bucketBy(n, "acct").sortBy("acct")`` as
+Per-account tables are written with ``bucketBy(n, "acct")`` as
 catalogue tables over a path in a shared folder. Every rollup then groups a
 bucketed scan by ``acct`` and every view joins on ``acct`` with the same bucket
 count, so the flagship view plans without a shuffle of the large tables
@@ -29,7 +29,8 @@ class TableStore:
     def write(self, name: str, df: DataFrame) -> None:
         w = df.write.mode("overwrite").option("path", f"{self.location}/{name}")
         if KEY in df.columns:
-            w = w.bucketBy(self.buckets, KEY).sortBy(KEY)
+            # no sortBy: scans do not report in-bucket order by default, so sorting would only cost writes
+            w = w.bucketBy(self.buckets, KEY)
         w.saveAsTable(f"{self.database}.{name}")
 
     def attach(self, name: str, bucketed: bool = True) -> None:
@@ -43,7 +44,7 @@ class TableStore:
         schema = self.spark.read.parquet(path).schema  # footer metadata only
         cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
         bucketed = bucketed and KEY in schema.fieldNames()
-        clustered = f" CLUSTERED BY ({KEY}) SORTED BY ({KEY}) INTO {self.buckets} BUCKETS" if bucketed else ""
+        clustered = f" CLUSTERED BY ({KEY}) INTO {self.buckets} BUCKETS" if bucketed else ""
         self.spark.sql(f"DROP TABLE IF EXISTS {self.database}.{name}")
         self.spark.sql(f"CREATE TABLE {self.database}.{name} ({cols}) USING parquet{clustered} LOCATION '{path}'")
 
