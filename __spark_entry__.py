@@ -173,9 +173,7 @@ def _queries() -> dict[str, _Query]:
         "dedupe_keep_first": _q(lambda t: I.dedupe_keep_first(t["building_res"].select(*br_cols),
                                                               ("acct", "bld_num"), order_cols=br_cols[2:]), False),
         "drop_null_keys": _q(lambda t: I.drop_null_keys(
-            t["real_acct"].select("acct", "state_class", "tot_mkt_val",
-                                  safe_num("tot_mkt_val").isNull().alias("_x")).drop("_x")
-            .selectExpr("acct", "state_class", "tot_mkt_val", "nullif(tot_mkt_val, '') as k"), ["k"]).drop("k"), False),
+            clean_cells(t["real_acct"].select("acct", "state_class", "tot_mkt_val")), ["acct", "tot_mkt_val"]), False),
         "reject_orphans": _q(lambda t: I.reject_orphans(t["building_res"].select("acct", "bld_num", "heat_ar"),
                                                         t["real_acct_not_p"]), False),
         "orphan_rows": _q(lambda t: I.orphan_rows(t["building_res"].select("acct", "bld_num", "heat_ar"),

@@ -242,6 +242,7 @@ def write_zip_drop(tables, name: str, root: str) -> None:
     import zipfile
 
     import pandas as pd
+    from pyspark import TaskContext
 
     df = tables[name]
     cols = df.columns
@@ -256,9 +257,13 @@ def write_zip_drop(tables, name: str, root: str) -> None:
                 n += 1
         if n:
             os.makedirs(root, exist_ok=True)
-            path = os.path.join(root, f"{name}-{uuid.uuid4().hex}.zip")
-            with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as z:
+            # one archive per partition, named by partition id and published with an atomic rename,
+            # so a retried task replaces its archive instead of adding a second one
+            path = os.path.join(root, f"{name}-{TaskContext.get().partitionId():05d}.zip")
+            tmp = os.path.join(root, f".{uuid.uuid4().hex}.tmp")
+            with zipfile.ZipFile(tmp, "w", zipfile.ZIP_DEFLATED) as z:
                 z.writestr(f"{name}.txt", buf.getvalue())
+            os.replace(tmp, path)
             yield pd.DataFrame({"path": [path], "rows": [n]})
 
     df.mapInPandas(write, "path string, rows long").write.format("noop").mode("overwrite").save()
