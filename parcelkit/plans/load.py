@@ -45,7 +45,11 @@ def clean_table(spark: SparkSession, root: str, table: str, columns: list[str],
     for child_cols, parent, parent_cols in spec.single_column_fks:
         if parent in parents and parent != table:
             df = I.reject_orphans(df, parents[parent], child_cols, parent_cols)
-    df = df.drop(I.ORDER_COL).observe(obs["kept"], F.count(F.lit(1)).alias("n"))
+    df = df.drop(I.ORDER_COL)
+    if not pk:
+        # surrogate key for tables without one: unique (not dense), stable for a given input split
+        df = df.withColumn("row_id", F.monotonically_increasing_id())
+    df = df.observe(obs["kept"], F.count(F.lit(1)).alias("n"))
     return df, obs, unexpected, missing
 
 
