@@ -164,7 +164,7 @@ class Tables:
 
     def _driver(self, t: str) -> DataFrame:
         """The driver table ``t`` (read once per session and folder), registered as a temp view."""
-        key = (id(self.spark), self.sf_dir, t)
+        key = (self.spark.sparkContext.applicationId, self.sf_dir, t)
         df = _DRIVER_CACHE.get(key)
         if df is None:
             df = self.spark.read.parquet(os.path.join(self.sf_dir, f"{t}.parquet"))
