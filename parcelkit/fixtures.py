@@ -246,6 +246,8 @@ def write_zip_drop(tables, name: str, root: str) -> None:
 
     df = tables[name]
     cols = df.columns
+    from .session import ship_package
+    ship_package(df.sparkSession)
 
     def write(batches):
         buf = io.StringIO()

@@ -76,3 +76,38 @@ def checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
     spark.conf.set("spark.checkpoint.dir", fallback)
     spark.sparkContext.setCheckpointDir(fallback)
     return fallback
+
+
+_SHIPPED: set = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``parcelkit`` importable in Python workers (once per application).
+
+    Operators that run Python in tasks (``mapInPandas``) pickle functions by
+    reference to this package. On a cluster, install the package or pass it
+    with ``--py-files``; otherwise this zips the package's sources and adds
+    them with ``addPyFile`` (code distribution only, no data).
+    """
+    sc = spark.sparkContext
+    if sc.applicationId in _SHIPPED:
+        return
+    import tempfile
+    import zipfile
+    pkg = os.path.dirname(os.path.abspath(__file__))
+    target = os.path.join(tempfile.mkdtemp(prefix="parcelkit-py-"), "parcelkit.zip")
+    with zipfile.ZipFile(target, "w") as z:
+        for root, _dirs, files in os.walk(pkg):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(root, f)
+                    z.write(full, os.path.relpath(full, os.path.dirname(pkg)))
+    sc.addPyFile(target)
+    _SHIPPED.add(sc.applicationId)
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether ``path`` exists on its (possibly distributed) file system."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)

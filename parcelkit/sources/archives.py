@@ -100,6 +100,8 @@ def _archives(spark: SparkSession, root: str, pattern: str | None) -> DataFrame:
 
 def archive_scan(spark: SparkSession, root: str, pattern: str | None = None, lines: bool = True) -> DataFrame:
     """Member text lines (or only member rows with ``lines=False``) of every ZIP below ``root``."""
+    from ..session import ship_package
+    ship_package(spark)
     return _archives(spark, root, pattern).mapInPandas(_scan_batches(lines), MEMBER_SCHEMA)
 
 

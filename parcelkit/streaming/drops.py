@@ -21,10 +21,10 @@ from ..sources.tsv import clean_cells
 
 
 def _existing_keys(spark: SparkSession, target: str, pk) -> DataFrame | None:
-    try:
-        return spark.read.parquet(target).select(*pk)
-    except Exception:  # first batch: the table does not exist yet
+    from ..session import path_exists
+    if not path_exists(spark, target):  # first batch: the table does not exist yet
         return None
+    return spark.read.parquet(target).select(*pk)
 
 
 def stream_drops(spark: SparkSession, landing: str, table: str, columns, pk, target: str, checkpoint: str,
