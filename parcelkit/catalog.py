@@ -127,3 +127,26 @@ def parents_first(tables) -> list[str]:
         done.extend(ready)
         pending.difference_update(ready)
     return done
+
+
+def load_levels(tables) -> list[list[str]]:
+    """Group table names into levels: every single-column FK parent sits in an earlier level.
+
+    Tables of one level do not depend on each other and can be loaded concurrently.
+    """
+    names = set(tables)
+    level: dict[str, int] = {}
+
+    def depth(t, seen=()):
+        if t in level:
+            return level[t]
+        parents = [p for _, p, _ in KEYS.get(t, KeySpec()).single_column_fks if p in names and p != t and p not in seen]
+        level[t] = 0 if not parents else 1 + max(depth(p, seen + (t,)) for p in parents)
+        return level[t]
+
+    for t in names:
+        depth(t)
+    out: list[list[str]] = [[] for _ in range(max(level.values(), default=-1) + 1)]
+    for t in sorted(names):
+        out[level[t]].append(t)
+    return out

@@ -15,11 +15,12 @@ from recomputing the parent.
 from __future__ import annotations
 
 import os
+import uuid
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from ..catalog import KEYS, KeySpec, parents_first
+from ..catalog import KEYS, KeySpec, load_levels, parents_first
 from ..operators import integrity as I
 from ..sources.codebook import ColumnDef, read_codebook
 from ..sources.tsv import find_table_files, missing_key_columns, project_to_schema, raw_scan, tsv_scan
@@ -35,7 +36,8 @@ def clean_table(spark: SparkSession, root: str, table: str, columns: list[str],
     pk = list(spec.primary_key)
     missing = missing_key_columns(spark, root, table, pk, paths) if pk else []
     unexpected = project_to_schema(raw_scan(spark, root, table, paths), columns)[1]
-    obs = {k: Observation(f"{table}_{k}_{id(parents)}") for k in ("read", "keyed", "unique", "kept")}
+    run = uuid.uuid4().hex[:12]
+    obs = {k: Observation(f"{table}_{k}_{run}") for k in ("read", "keyed", "unique", "kept")}
     df = tsv_scan(spark, root, table, columns, paths=paths).observe(obs["read"], F.count(F.lit(1)).alias("n"))
     df = I.drop_null_keys(df, pk) if not missing else df.where(F.lit(False))
     df = df.observe(obs["keyed"], F.count(F.lit(1)).alias("n"))
@@ -54,43 +56,57 @@ def clean_table(spark: SparkSession, root: str, table: str, columns: list[str],
 
 
 def load_tables(spark: SparkSession, root: str, codebook: dict[str, list[ColumnDef]] | str, out_dir: str,
-                tables=None, mode: str = "overwrite") -> DataFrame:
+                tables=None, mode: str = "overwrite", parallel: int = 4) -> DataFrame:
     """Load every table found under ``root`` that the codebook describes; write Parquet to ``out_dir/<table>``.
 
     Returns a small report DataFrame (one row per table). A table whose file
     lacks a primary-key column loads no rows and is reported; a table that
-    fails is reported with its error and the others continue.
+    fails is reported with its error and the others continue. Tables are
+    loaded level by level (parents before children); the tables of one level
+    are independent and are written as concurrent jobs from ``parallel`` threads.
     """
+    from concurrent.futures import ThreadPoolExecutor
+
     if isinstance(codebook, str):
         codebook = read_codebook(spark, codebook)
     files = find_table_files(spark, root)
-    names = [t for t in parents_first(sorted(set(files) & set(codebook))) if tables is None or t in tables]
+    names = [t for t in sorted(set(files) & set(codebook)) if tables is None or t in tables]
     written: dict[str, DataFrame] = {}
-    rows = []
-    for table in names:
-        spec = KEYS.get(table, KeySpec())
-        cols = [c.name for c in codebook[table]]
-        try:
-            path = os.path.join(out_dir, table)
-            pk = list(spec.primary_key)
-            paths = files[table]
-            missing = missing_key_columns(spark, root, table, pk, paths) if pk else []
-            if missing:
-                # every row has a NULL key: write the empty table, report what was quarantined
-                scanned = tsv_scan(spark, root, table, cols, paths=paths).drop(I.ORDER_COL)
-                n_read = scanned.count()
-                scanned.limit(0).write.mode(mode).parquet(path)
-                written[table] = spark.read.parquet(path)
-                unexpected = project_to_schema(raw_scan(spark, root, table, paths), cols)[1]
-                rows.append((table, "missing key columns", n_read, n_read, 0, 0, 0, ",".join(unexpected),
-                             ",".join(missing)))
-                continue
-            df, obs, unexpected, missing = clean_table(spark, root, table, cols, spec, written, paths)
-            df.write.mode(mode).parquet(path)
-            written[table] = spark.read.parquet(path)
-            n = {k: o.get.get("n", 0) for k, o in obs.items()}
-            rows.append((table, "ok", n["read"], n["read"] - n["keyed"], n["keyed"] - n["unique"],
-                         n["unique"] - n["kept"], n["kept"], ",".join(unexpected), ",".join(missing)))
-        except Exception as e:  # keep loading the other tables, as the source does
-            rows.append((table, f"error: {type(e).__name__}: {str(e)[:200]}", None, None, None, None, None, "", ""))
-    return spark.createDataFrame(rows, REPORT_SCHEMA)
+    results: dict[str, tuple] = {}
+    with ThreadPoolExecutor(max_workers=max(1, parallel)) as pool:
+        for level in load_levels(names):
+            parents = dict(written)
+            futures = {t: pool.submit(_load_one, spark, root, t, codebook, files, out_dir, mode, parents)
+                       for t in level}
+            for t, f in futures.items():
+                results[t], df = f.result()
+                if df is not None:
+                    written[t] = df
+    order = [t for t in parents_first(names)]
+    return spark.createDataFrame([results[t] for t in order], REPORT_SCHEMA)
+
+
+def _load_one(spark, root, table, codebook, files, out_dir, mode, written):
+    """Load one table; returns (report row, the written table read back, or None on error)."""
+    spec = KEYS.get(table, KeySpec())
+    cols = [c.name for c in codebook[table]]
+    path = os.path.join(out_dir, table)
+    paths = files[table]
+    try:
+        pk = list(spec.primary_key)
+        missing = missing_key_columns(spark, root, table, pk, paths) if pk else []
+        if missing:
+            # every row has a NULL key: write the empty table, report what was quarantined
+            scanned = tsv_scan(spark, root, table, cols, paths=paths).drop(I.ORDER_COL)
+            n_read = scanned.count()
+            scanned.limit(0).write.mode(mode).parquet(path)
+            unexpected = project_to_schema(raw_scan(spark, root, table, paths), cols)[1]
+            return ((table, "missing key columns", n_read, n_read, 0, 0, 0, ",".join(unexpected),
+                     ",".join(missing)), spark.read.parquet(path))
+        df, obs, unexpected, missing = clean_table(spark, root, table, cols, spec, written, paths)
+        df.write.mode(mode).parquet(path)
+        n = {k: o.get.get("n", 0) for k, o in obs.items()}
+        return ((table, "ok", n["read"], n["read"] - n["keyed"], n["keyed"] - n["unique"], n["unique"] - n["kept"],
+                 n["kept"], ",".join(unexpected), ",".join(missing)), spark.read.parquet(path))
+    except Exception as e:  # keep loading the other tables, as the source does
+        return (table, f"error: {type(e).__name__}: {str(e)[:200]}", None, None, None, None, None, "", ""), None

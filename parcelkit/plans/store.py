@@ -33,6 +33,14 @@ class TableStore:
             w = w.bucketBy(self.buckets, KEY)
         w.saveAsTable(f"{self.database}.{name}")
 
+    def write_all(self, tables, names, parallel: int = 4) -> None:
+        """Write several tables; independent write jobs are submitted from ``parallel`` driver threads
+        so small tables do not wait for each other (Spark schedules concurrent jobs)."""
+        from concurrent.futures import ThreadPoolExecutor
+        with ThreadPoolExecutor(max_workers=max(1, parallel)) as pool:
+            for f in [pool.submit(self.write, n, tables[n]) for n in names]:
+                f.result()
+
     def attach(self, name: str, bucketed: bool = True) -> None:
         """Register a table written earlier (e.g. by the load job) in this application's catalogue.
 
