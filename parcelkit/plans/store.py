@@ -9,11 +9,20 @@ executor recomputes from these files, not from the raw text.
 
 Choose ``buckets`` so one bucket of the largest table is a few hundred MB
 (e.g. thousands at county-history scale); it must be the same for all tables.
+
+Skew: a bucketed scan reads one bucket in one task, so an account holding a
+large share of a table would put that share on one core. Before writing, the
+store counts rows per bucket id (``pmod(hash(acct), n)``, the bucketing hash;
+``n`` small rows reach the driver) and writes the table *unbucketed* when any
+bucket exceeds ``skew_factor`` times its fair share. Unbucketed scans split
+evenly and partial aggregation combines the hot account inside each task;
+AQE's skew handling covers the joins.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 KEY = "acct"
 
@@ -21,17 +30,38 @@ KEY = "acct"
 class TableStore:
     """``name -> DataFrame`` over tables written under ``location``."""
 
-    def __init__(self, spark: SparkSession, location: str, database: str = "parcelkit_store", buckets: int = 16):
+    def __init__(self, spark: SparkSession, location: str, database: str = "parcelkit_store", buckets: int = 16,
+                 skew_factor: float = 4.0):
         self.spark, self.location, self.database, self.buckets = spark, location.rstrip("/"), database, buckets
+        self.skew_factor = skew_factor
         spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
         self._override: dict[str, DataFrame] = {}
+        self.layout: dict[str, str] = {}
+
+    def balanced(self, df: DataFrame) -> bool:
+        """Whether bucketing ``df`` by account keeps every bucket under ``skew_factor`` x its fair share."""
+        per_bucket = (df.groupBy(F.pmod(F.hash(F.col(KEY)), F.lit(self.buckets)).alias("b"))
+                        .agg(F.count(F.lit(1)).alias("n")).collect())   # at most `buckets` rows
+        total = sum(r["n"] for r in per_bucket)
+        return total == 0 or max(r["n"] for r in per_bucket) <= self.skew_factor * total / self.buckets
 
     def write(self, name: str, df: DataFrame) -> None:
         w = df.write.mode("overwrite").option("path", f"{self.location}/{name}")
-        if KEY in df.columns:
+        layout = "plain"
+        if KEY in df.columns and self.balanced(df):
             # no sortBy: scans do not report in-bucket order by default, so sorting would only cost writes
             w = w.bucketBy(self.buckets, KEY)
+            layout = "bucketed"
         w.saveAsTable(f"{self.database}.{name}")
+        self.layout[name] = layout
+        self._mark(name, layout)
+
+    def _mark(self, name: str, layout: str) -> None:
+        """Record the layout next to the data (a hidden marker file, ignored by readers)."""
+        jvm = self.spark.sparkContext._jvm
+        conf = self.spark.sparkContext._jsc.hadoopConfiguration()
+        marker = jvm.org.apache.hadoop.fs.Path(f"{self.location}/{name}/_layout_{layout}")
+        marker.getFileSystem(conf).create(marker, True).close()
 
     def write_all(self, tables, names, parallel: int = 4) -> None:
         """Write several tables; independent write jobs are submitted from ``parallel`` driver threads
@@ -48,10 +78,11 @@ class TableStore:
         files written by another application; it is declared again here so the
         scans stay bucketed.
         """
+        from ..session import path_exists
         path = f"{self.location}/{name}"
         schema = self.spark.read.parquet(path).schema  # footer metadata only
         cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
-        bucketed = bucketed and KEY in schema.fieldNames()
+        bucketed = bucketed and KEY in schema.fieldNames() and path_exists(self.spark, f"{path}/_layout_bucketed")
         clustered = f" CLUSTERED BY ({KEY}) INTO {self.buckets} BUCKETS" if bucketed else ""
         self.spark.sql(f"DROP TABLE IF EXISTS {self.database}.{name}")
         self.spark.sql(f"CREATE TABLE {self.database}.{name} ({cols}) USING parquet{clustered} LOCATION '{path}'")

@@ -71,3 +71,19 @@ def test_keep_first_and_hearings_with_hot_key(spark):
     assert r["hearing_count"] == len(window) and r["last_hearing_year"] == "2002"
     assert r["last_initial_appraised"] == max(1000 + i for i in window if 1995 + i % 8 == 2002)
     assert r["successful_protests"] == len(window)
+
+
+def test_store_does_not_bucket_a_skewed_table(spark, tmpdir_path):
+    rows = [("HOT", str(i)) for i in range(3000)] + [(f"A{i:05d}", "1") for i in range(6000)]
+    skewed = spark.createDataFrame(rows, "acct string, bld_num string")
+    even = spark.createDataFrame([(f"A{i:05d}", "1") for i in range(9000)], "acct string, bld_num string")
+    store = TableStore(spark, os.path.join(tmpdir_path, "s"), "pk_skew", 32)
+    store.write("skewed", skewed)
+    store.write("even", even)
+    assert store.layout == {"skewed": "plain", "even": "bucketed"}
+    again = TableStore(spark, os.path.join(tmpdir_path, "s"), "pk_skew2", 32)
+    again.attach("skewed")
+    again.attach("even")
+    scan = lambda n: again[n].groupBy("acct").count()._jdf.queryExecution().executedPlan().toString()
+    assert "Bucketed: true" in scan("even") and "Bucketed: true" not in scan("skewed")
+    assert again["skewed"].count() == 9000
