@@ -26,19 +26,28 @@ from ..sources.codebook import ColumnDef, read_codebook
 from ..sources.tsv import find_table_files, missing_key_columns, project_to_schema, raw_scan, tsv_scan
 
 REPORT_SCHEMA = ("table_name string, status string, rows_read bigint, null_key_rows bigint, duplicate_rows bigint, "
-                 "orphan_rows bigint, rows_kept bigint, unexpected_columns string, missing_key_columns string")
+                 "orphan_rows bigint, rows_kept bigint, unexpected_columns string, missing_key_columns string, "
+                 "over_length_columns string")
 
 
 def clean_table(spark: SparkSession, root: str, table: str, columns: list[str], spec: KeySpec,
-                parents: dict[str, DataFrame], paths: list[str] | None = None
+                parents: dict[str, DataFrame], paths: list[str] | None = None, sizes: dict | None = None
                 ) -> tuple[DataFrame, dict, list[str], list[str]]:
-    """Lazy cleaned DataFrame of one table plus the observations attached to it."""
+    """Lazy cleaned DataFrame of one table plus the observations attached to it.
+
+    The "read" observation also counts, per column with a declared size, the
+    values longer than that size (what forced the source database to widen
+    the column): reported, never a failure, since Spark strings are unbounded.
+    """
     pk = list(spec.primary_key)
     missing = missing_key_columns(spark, root, table, pk, paths) if pk else []
     unexpected = project_to_schema(raw_scan(spark, root, table, paths), columns)[1]
     run = uuid.uuid4().hex[:12]
     obs = {k: Observation(f"{table}_{k}_{run}") for k in ("read", "keyed", "unique", "kept")}
-    df = tsv_scan(spark, root, table, columns, paths=paths).observe(obs["read"], F.count(F.lit(1)).alias("n"))
+    sized = [(i, c, n) for i, (c, n) in enumerate((sizes or {}).items()) if n and c in columns]
+    over = [F.count_if(F.length(F.col(c)) > F.lit(n)).alias(f"over_{i}") for i, c, n in sized]
+    df = tsv_scan(spark, root, table, columns, paths=paths).observe(obs["read"], F.count(F.lit(1)).alias("n"), *over)
+    obs["_sized"] = sized
     df = I.drop_null_keys(df, pk) if not missing else df.where(F.lit(False))
     df = df.observe(obs["keyed"], F.count(F.lit(1)).alias("n"))
     if pk:
@@ -102,11 +111,15 @@ def _load_one(spark, root, table, codebook, files, out_dir, mode, written):
             scanned.limit(0).write.mode(mode).parquet(path)
             unexpected = project_to_schema(raw_scan(spark, root, table, paths), cols)[1]
             return ((table, "missing key columns", n_read, n_read, 0, 0, 0, ",".join(unexpected),
-                     ",".join(missing)), spark.read.parquet(path))
-        df, obs, unexpected, missing = clean_table(spark, root, table, cols, spec, written, paths)
+                     ",".join(missing), ""), spark.read.parquet(path))
+        sizes = {c.name: c.size for c in codebook[table]}
+        df, obs, unexpected, missing = clean_table(spark, root, table, cols, spec, written, paths, sizes)
+        sized = obs.pop("_sized")
         df.write.mode(mode).parquet(path)
-        n = {k: o.get.get("n", 0) for k, o in obs.items()}
+        got = {k: o.get for k, o in obs.items()}
+        n = {k: v.get("n", 0) for k, v in got.items()}
+        over = ",".join(f"{c}:{got['read'][f'over_{i}']}" for i, c, _ in sized if got["read"].get(f"over_{i}"))
         return ((table, "ok", n["read"], n["read"] - n["keyed"], n["keyed"] - n["unique"], n["unique"] - n["kept"],
-                 n["kept"], ",".join(unexpected), ",".join(missing)), spark.read.parquet(path))
+                 n["kept"], ",".join(unexpected), ",".join(missing), over), spark.read.parquet(path))
     except Exception as e:  # keep loading the other tables, as the source does
-        return (table, f"error: {type(e).__name__}: {str(e)[:200]}", None, None, None, None, None, "", ""), None
+        return (table, f"error: {type(e).__name__}: {str(e)[:200]}", None, None, None, None, None, "", "", ""), None

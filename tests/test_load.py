@@ -29,7 +29,7 @@ def test_load_tables_round_trip(spark, tmpdir_path):
                ["acct", "bld_num", "heat_ar"])
     _write_tsv(br.select("acct", "heat_ar"), os.path.join(root, "c", "building_other.txt"), ["acct", "heat_ar"])
     codebook = {
-        "real_acct": [ColumnDef("acct", "varchar", 13, False), ColumnDef("state_class", "varchar", 16, True),
+        "real_acct": [ColumnDef("acct", "varchar", 13, False), ColumnDef("state_class", "varchar", 1, True),
                       ColumnDef("tot_mkt_val", "varchar", 20, True), ColumnDef("not_in_file", "varchar", 5, True)],
         "building_res": [ColumnDef("acct", "varchar", 13, False), ColumnDef("bld_num", "varchar", 10, False),
                          ColumnDef("heat_ar", "varchar", 10, True)],
@@ -40,6 +40,9 @@ def test_load_tables_round_trip(spark, tmpdir_path):
 
     n_ra = ra.count()
     assert rep["real_acct"]["rows_kept"] == n_ra and rep["real_acct"]["duplicate_rows"] == 0
+    # every state class ("A1", "B2", ...) is longer than the declared size 1: reported, loaded whole
+    assert rep["real_acct"]["over_length_columns"] == f"state_class:{n_ra}"
+    assert rep["building_res"]["over_length_columns"] == ""
     loaded = spark.read.parquet(os.path.join(out, "real_acct"))
     assert loaded.columns == ["acct", "state_class", "tot_mkt_val", "not_in_file"]
     assert loaded.where(F.col("not_in_file").isNotNull()).count() == 0
