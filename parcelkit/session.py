@@ -33,6 +33,7 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         .config("spark.driver.memory", os.environ.get("PARCELKIT_DRIVER_MEMORY", "8g"))
     )
     spark = builder.getOrCreate()

@@ -1,7 +1,6 @@
 """Key enforcement and profiling operators."""
 import os
 
-from pyspark.sql import functions as F
 
 from parcelkit.operators import integrity as I
 from parcelkit.sources.tsv import tsv_scan
