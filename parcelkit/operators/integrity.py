@@ -105,18 +105,24 @@ def orphan_rows(child: DataFrame, parent: DataFrame, child_cols=("acct",), paren
     return _flag_orphans(child, parent, child_cols, parent_cols).where(F.col("_orphan")).drop("_orphan")
 
 
-def key_profile(df: DataFrame, pk, table_name: str = "") -> DataFrame:
+def key_profile(df: DataFrame, pk, table_name: str = "", approx: bool = False, rsd: float = 0.01) -> DataFrame:
     """Measure a candidate key: rows, NULL-key rows, distinct keys, duplicate rows, uniqueness.
 
-    One aggregation pass; the distinct count is planned by Spark as a shuffle
-    on the key (no group is gathered into one task).
+    One aggregation pass; the exact distinct count is planned by Spark as a
+    shuffle on the key (no group is gathered into one task). ``approx=True``
+    uses a HyperLogLog sketch (relative error ``rsd``) instead: no shuffle of
+    the keys, for very wide scans; duplicate counts are then estimates.
     """
     pk = list(pk)
     any_null = reduce(lambda a, b: a | b, [F.col(c).isNull() for c in pk])
+    if approx:
+        distinct = F.approx_count_distinct(F.when(~any_null, F.struct(*[F.col(c) for c in pk])), rsd)
+    else:
+        distinct = F.count_distinct(*[F.col(c) for c in pk])
     prof = df.agg(
         F.count(F.lit(1)).alias("row_count"),
         F.count_if(any_null).alias("null_key_rows"),
-        F.count_distinct(*[F.col(c) for c in pk]).alias("distinct_keys"),
+        distinct.alias("distinct_keys"),
     )
     return prof.select(
         F.lit(table_name).alias("table_name"),

@@ -63,3 +63,10 @@ def test_table_counts_and_length_report(spark):
     assert {r[0]: r[1] for r in I.table_counts({"a": a, "b": b}).collect()} == {"a": 2, "b": 1}
     rep = I.length_overflow_report(a.unionByName(b), {"x": 2}, "ab").first()
     assert (rep["column_name"], rep["declared_size"], rep["max_length"], rep["over_length_rows"]) == ("x", 2, 3, 1)
+
+
+def test_key_profile_approx(spark):
+    df = spark.range(20000).selectExpr("cast(id % 5000 as string) as acct", "cast(id % 3 as string) as n")
+    exact = I.key_profile(df, ["acct", "n"]).first()["distinct_keys"]
+    approx = I.key_profile(df, ["acct", "n"], approx=True).first()["distinct_keys"]
+    assert exact == 15000 and abs(approx - exact) / exact < 0.05
