@@ -121,26 +121,35 @@ def building_summary(building_res: DataFrame, internal: bool = False) -> DataFra
     return g.select(*out)
 
 
-def protest_history(arb_protest_real: DataFrame) -> DataFrame:
-    """Distinct protest dates, latest date (text order, as the source), agents list."""
+def _latest(text_col: str, chronological: bool, when=None):
+    """Latest date text: by text order (the source compares ``MM/DD/YYYY`` strings), or by parsed date."""
+    c = F.col(text_col) if when is None else F.when(when, F.col(text_col))
+    if not chronological:
+        return F.max(c)
+    return F.max_by(c, F.struct(parse_mdy(text_col).alias("d"), F.col(text_col).alias("t")))
+
+
+def protest_history(arb_protest_real: DataFrame, chronological: bool = False) -> DataFrame:
+    """Distinct protest dates, latest date (text order as the source, or ``chronological``), agents list."""
     dt = F.col("protested_dt")
     # distinct protest dates per account are bounded by the calendar, so the distinct count
     # is taken from the partially aggregated set in the same pass (no extra distinct phase)
     return (arb_protest_real.where(dt.isNotNull() & (dt != ""))
             .groupBy("acct").agg(
                 F.size(F.collect_set(dt)).cast("bigint").alias("total_protests"),
-                F.max(dt).alias("last_protest_date"),
+                _latest("protested_dt", chronological).alias("last_protest_date"),
                 string_agg_distinct("protested_by", ", ").alias("protest_agents")))
 
 
-def hearing_history(arb_hearings_real: DataFrame, as_of, years: int = 5) -> DataFrame:
+def hearing_history(arb_hearings_real: DataFrame, as_of, years: int = 5, chronological: bool = False) -> DataFrame:
     """Hearings of the last ``years`` tax years per account.
 
     The latest year is the maximum over *all* of the account's hearings;
     initial and final values are independent maxima over that year's rows in
     the window. Done in one aggregation: ``max(struct(year, value))`` over the
     window rows equals the latest-year maximum whenever its year is the
-    overall maximum, otherwise the value is NULL.
+    overall maximum, otherwise the value is NULL. ``last_hearing_date`` is the
+    text maximum like the source unless ``chronological`` is set.
     """
     year_txt = F.col("Tax_Year")
     h = arb_hearings_real.select(
@@ -157,7 +166,7 @@ def hearing_history(arb_hearings_real: DataFrame, as_of, years: int = 5) -> Data
         F.count_if(in_win).alias("hearing_count"),
         F.max(year_txt).alias("_max_year_all"),
         F.max(w(year_txt)).alias("last_hearing_year"),
-        F.max(w(F.col("Actual_Hearing_Date"))).alias("last_hearing_date"),
+        _latest("Actual_Hearing_Date", chronological, in_win).alias("last_hearing_date"),
         F.max(w(F.struct(year_txt.alias("y"), init.alias("v")))).alias("_top_init"),
         F.max(w(F.struct(year_txt.alias("y"), final.alias("v")))).alias("_top_final"),
         F.avg(w(init - final)).alias("_avg_red"),

@@ -44,3 +44,11 @@ def test_string_aggs(spark):
 
 def test_concat_is_null_propagating(spark):
     assert spark.range(1).select(F.concat(F.lit("a"), F.lit(None).cast("string"))).first()[0] is None
+
+
+def test_latest_date_text_or_chronological(spark):
+    from parcelkit.operators.rollups import protest_history
+    df = spark.createDataFrame([("1", "12/01/2020", "a"), ("1", "01/15/2024", "b"), ("1", "", "c")],
+                               "acct string, protested_dt string, protested_by string")
+    assert protest_history(df).first()["last_protest_date"] == "12/01/2020"          # text order (source)
+    assert protest_history(df, chronological=True).first()["last_protest_date"] == "01/15/2024"
