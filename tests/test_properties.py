@@ -69,3 +69,32 @@ def test_clean_cells_matches_rule(spark, values):
 def test_parse_mdy_matches_rule(spark, values):
     df = spark.createDataFrame([(v,) for v in values], "v string")
     assert [r[0] for r in df.select(parse_mdy("v")).collect()] == [ref_mdy(v) for v in values]
+
+
+keys = st.sampled_from(["a", "b", "c", "d", None])
+rows_strategy = st.lists(st.tuples(keys, st.sampled_from(["x", "y", None]), st.integers(0, 50)), min_size=1,
+                         max_size=200)
+
+
+@settings(max_examples=6, deadline=None)
+@given(rows_strategy)
+def test_keep_first_matches_brute_force(spark, rows):
+    from parcelkit.operators.integrity import dedupe_keep_first
+    df = spark.createDataFrame(rows, "k string, v string, o int").repartition(7)
+    got = {r["k"]: (r["v"], r["o"]) for r in dedupe_keep_first(df, ["k"], order_cols=["o", "v"]).collect()}
+    want = {}
+    for k, v, o in sorted(rows, key=lambda r: (r[2], r[1] is not None, r[1] or "")):
+        want.setdefault(k, (v, o))
+    assert got == want
+
+
+@settings(max_examples=6, deadline=None)
+@given(rows_strategy, st.sets(st.sampled_from(["a", "b", "c"]), max_size=3))
+def test_orphans_partition_the_child(spark, rows, parents):
+    from parcelkit.operators.integrity import orphan_rows, reject_orphans
+    child = spark.createDataFrame(rows, "k string, v string, o int")
+    parent = spark.createDataFrame([(p,) for p in sorted(parents)] or [("zz",)], "k string")
+    kept = sorted(map(tuple, reject_orphans(child, parent, ["k"]).collect()), key=repr)
+    orphans = sorted(map(tuple, orphan_rows(child, parent, ["k"]).collect()), key=repr)
+    assert kept == sorted([r for r in rows if r[0] is None or r[0] in parents], key=repr)
+    assert orphans == sorted([r for r in rows if r[0] is not None and r[0] not in parents], key=repr)
