@@ -87,3 +87,22 @@ def test_parents_first():
     order = parents_first(["fixtures", "building_res", "t_business_detail", "real_acct", "t_business_acct"])
     assert order.index("real_acct") < order.index("building_res")
     assert order.index("t_business_acct") < order.index("t_business_detail")
+
+
+def test_load_tables_from_codebook_folder(spark, tmpdir_path):
+    cb = os.path.join(tmpdir_path, "codebook")
+    os.makedirs(cb)
+    with open(os.path.join(cb, "owners_columns.csv"), "w") as f:
+        f.write("Column Name,Data Type,Size,Allow Null,Description,Source Page\n"
+                "acct,varchar,13,NO,Account,1\nln_num,varchar,10,NO,Line,1\nname,varchar,5,,Name,1\n"
+                "All records are sorted,,,,,1\n")
+    root = os.path.join(tmpdir_path, "drop", "Real_acct_owner")
+    os.makedirs(root)
+    with open(os.path.join(root, "owners.txt"), "w") as f:
+        f.write("acct\tln_num\tname\textra\n1\t1\tALICE SMITH\tq\n1\t1\tdup\tq\n2\t1\tBOB\tq\n\t1\tnokey\tq\n")
+    rep = load_tables(spark, os.path.join(tmpdir_path, "drop"), cb, os.path.join(tmpdir_path, "out")).first()
+    assert (rep["table_name"], rep["rows_read"], rep["null_key_rows"], rep["duplicate_rows"], rep["rows_kept"]) == \
+           ("owners", 4, 1, 1, 2)
+    assert rep["unexpected_columns"] == "extra" and rep["over_length_columns"] == "name:1"
+    got = {r["acct"]: r["name"] for r in spark.read.parquet(os.path.join(tmpdir_path, "out", "owners")).collect()}
+    assert got == {"1": "ALICE SMITH", "2": "BOB"}
