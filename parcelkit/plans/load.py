@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from ..catalog import KEYS, KeySpec, load_levels, parents_first
 from ..operators import integrity as I
 from ..sources.codebook import ColumnDef, read_codebook
-from ..sources.tsv import find_table_files, missing_key_columns, project_to_schema, raw_scan, tsv_scan
+from ..sources.tsv import find_table_files, project_to_schema, raw_scan, tsv_scan
 
 REPORT_SCHEMA = ("table_name string, status string, rows_read bigint, null_key_rows bigint, duplicate_rows bigint, "
                  "orphan_rows bigint, rows_kept bigint, unexpected_columns string, missing_key_columns string, "
@@ -31,8 +31,8 @@ REPORT_SCHEMA = ("table_name string, status string, rows_read bigint, null_key_r
 
 
 def clean_table(spark: SparkSession, root: str, table: str, columns: list[str], spec: KeySpec,
-                parents: dict[str, DataFrame], paths: list[str] | None = None, sizes: dict | None = None
-                ) -> tuple[DataFrame, dict, list[str], list[str]]:
+                parents: dict[str, DataFrame], paths: list[str] | None = None, sizes: dict | None = None,
+                raw: DataFrame | None = None) -> tuple[DataFrame, dict, list[str], list[str]]:
     """Lazy cleaned DataFrame of one table plus the observations attached to it.
 
     The "read" observation also counts, per column with a declared size, the
@@ -40,13 +40,14 @@ def clean_table(spark: SparkSession, root: str, table: str, columns: list[str],
     the column): reported, never a failure, since Spark strings are unbounded.
     """
     pk = list(spec.primary_key)
-    missing = missing_key_columns(spark, root, table, pk, paths) if pk else []
-    unexpected = project_to_schema(raw_scan(spark, root, table, paths), columns)[1]
+    raw = raw if raw is not None else raw_scan(spark, root, table, paths)  # the header is read once
+    missing = [k for k in pk if k not in raw.columns]
+    unexpected = project_to_schema(raw, columns)[1]
     run = uuid.uuid4().hex[:12]
     obs = {k: Observation(f"{table}_{k}_{run}") for k in ("read", "keyed", "unique", "kept")}
     sized = [(i, c, n) for i, (c, n) in enumerate((sizes or {}).items()) if n and c in columns]
     over = [F.count_if(F.length(F.col(c)) > F.lit(n)).alias(f"over_{i}") for i, c, n in sized]
-    df = tsv_scan(spark, root, table, columns, paths=paths).observe(obs["read"], F.count(F.lit(1)).alias("n"), *over)
+    df = tsv_scan(spark, root, table, columns, raw=raw).observe(obs["read"], F.count(F.lit(1)).alias("n"), *over)
     obs["_sized"] = sized
     df = I.drop_null_keys(df, pk) if not missing else df.where(F.lit(False))
     df = df.observe(obs["keyed"], F.count(F.lit(1)).alias("n"))
@@ -103,17 +104,18 @@ def _load_one(spark, root, table, codebook, files, out_dir, mode, written):
     paths = files[table]
     try:
         pk = list(spec.primary_key)
-        missing = missing_key_columns(spark, root, table, pk, paths) if pk else []
+        raw = raw_scan(spark, root, table, paths)
+        missing = [k for k in pk if k not in raw.columns]
         if missing:
             # every row has a NULL key: write the empty table, report what was quarantined
-            scanned = tsv_scan(spark, root, table, cols, paths=paths).drop(I.ORDER_COL)
+            scanned = tsv_scan(spark, root, table, cols, raw=raw).drop(I.ORDER_COL)
             n_read = scanned.count()
             scanned.limit(0).write.mode(mode).parquet(path)
-            unexpected = project_to_schema(raw_scan(spark, root, table, paths), cols)[1]
+            unexpected = project_to_schema(raw, cols)[1]
             return ((table, "missing key columns", n_read, n_read, 0, 0, 0, ",".join(unexpected),
                      ",".join(missing), ""), spark.read.parquet(path))
         sizes = {c.name: c.size for c in codebook[table]}
-        df, obs, unexpected, missing = clean_table(spark, root, table, cols, spec, written, paths, sizes)
+        df, obs, unexpected, missing = clean_table(spark, root, table, cols, spec, written, paths, sizes, raw)
         sized = obs.pop("_sized")
         df.write.mode(mode).parquet(path)
         got = {k: o.get for k, o in obs.items()}

@@ -93,12 +93,13 @@ def project_to_schema(df: DataFrame, columns) -> tuple[DataFrame, list[str]]:
 
 
 def tsv_scan(spark: SparkSession, root: str, table: str, columns=None, clean: bool = True,
-             paths: list[str] | None = None) -> DataFrame:
+             paths: list[str] | None = None, raw: DataFrame | None = None) -> DataFrame:
     """Scan one table's text file(s): header-driven projection onto ``columns`` plus ``_row_order``.
 
-    With ``columns=None`` the header's columns are kept as they are.
+    With ``columns=None`` the header's columns are kept as they are. ``raw`` reuses a
+    :func:`raw_scan` of the same files (its header was already read).
     """
-    df = raw_scan(spark, root, table, paths)
+    df = raw if raw is not None else raw_scan(spark, root, table, paths)
     order = F.struct(F.col("_metadata.file_path").alias("file"),
                      F.col("_metadata.file_block_start").alias("start"),
                      F.monotonically_increasing_id().alias("pos"))
