@@ -34,7 +34,8 @@ class TableStore:
                  skew_factor: float = 4.0):
         self.spark, self.location, self.database, self.buckets = spark, location.rstrip("/"), database, buckets
         self.skew_factor = skew_factor
-        spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
+        # the catalogue database lives in the store's (shared) folder, not in a local warehouse dir
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS {database} LOCATION '{self.location}/_catalog'")
         self._override: dict[str, DataFrame] = {}
         self.layout: dict[str, str] = {}
 
