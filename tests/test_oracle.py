@@ -52,6 +52,7 @@ def test_matches_oracle(spark, con, key):
     assert _digest(rows, cols) == _digest(orows, ocols)
 
 
-def test_entry_runs(spark):
+def test_entry_runs_with_a_stable_schema(spark):
     df = E.entry(spark)
     assert df.count() > 0 and "acct" in df.columns
+    assert df.schema == E.queries()["residential_protest_analysis"](spark, "/root/testdata/sf0.01").schema
