@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 
 # --- fixed values ----------------------------------------------------------------
 GIS_BUNDLE = "gis_public.zip"  # compared case-insensitively with the archive's file name
+CATEGORY_ROOT = {"gis": "gis_data", "pdata": "pdata"}  # logical extraction folder per category
 BATCH_LINES = 10000
 
 MEMBER_SCHEMA = ("archive string, category string, member string, unsafe boolean, member_bytes long, "
@@ -106,16 +107,20 @@ def archive_scan(spark: SparkSession, root: str, pattern: str | None = None, lin
 
 
 def archive_manifest(members: DataFrame) -> DataFrame:
-    """Per archive: category, extracted files, bytes, skipped unsafe members, error."""
+    """Per archive: category, logical destination (category root / archive stem), extracted files, bytes,
+    skipped unsafe members, error."""
     per_member = (members.groupBy("archive", "category", "member")
                   .agg(F.max("unsafe").alias("unsafe"), F.max("member_bytes").alias("member_bytes"),
                        F.max("error").alias("error")))
     ok = F.col("member").isNotNull() & ~F.coalesce(F.col("unsafe"), F.lit(False))
+    roots = F.create_map(*[F.lit(x) for kv in CATEGORY_ROOT.items() for x in kv])
+    stem = F.regexp_replace(F.element_at(F.split(F.col("archive"), "[/!]"), -1), r"(?i)\.zip$", "")
     return (per_member.groupBy("archive", "category").agg(
         F.count_if(ok).alias("extracted_files"),
         F.coalesce(F.sum(F.when(ok, F.col("member_bytes"))), F.lit(0)).alias("total_bytes"),
         F.count_if(F.coalesce(F.col("unsafe"), F.lit(False))).alias("skipped_members"),
-        F.max("error").alias("error")))
+        F.max("error").alias("error"))
+        .withColumn("destination", F.concat_ws("/", roots[F.col("category")], stem)))
 
 
 def member_table(members: DataFrame, member_name: str) -> DataFrame:

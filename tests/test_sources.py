@@ -83,6 +83,8 @@ def test_archives(spark, tmpdir_path):
     man = {r["archive"].split("/dl/")[-1]: r for r in archive_manifest(members).collect()}
     assert man["Real_acct_owner.zip"]["extracted_files"] == 1 and man["Real_acct_owner.zip"]["skipped_members"] == 1
     assert man["Real_acct_owner.zip"]["category"] == "pdata"
+    assert man["Real_acct_owner.zip"]["destination"] == "pdata/Real_acct_owner"
+    assert man["GIS_Public.zip"]["destination"] == "gis_data/GIS_Public"
     assert man["broken.zip"]["error"] == "BadZipFile"
     nested = [k for k in man if k == "GIS_Public.zip!GIS_Public/Parcels.zip"]
     assert nested and man[nested[0]]["category"] == "gis"
