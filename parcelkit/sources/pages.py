@@ -48,7 +48,7 @@ def _resolve(base, href):
 
 
 def page_links(pages: DataFrame, pattern: str = ".zip") -> DataFrame:
-    """``page_id, url, link, file_name`` for each distinct matching link of each page."""
+    """``page_id, url, link, file_name`` for each distinct matching link of each page, sorted by link."""
     html = F.regexp_replace(F.col("html"), NOT_MARKUP, "")
     anchors = pages.select("page_id", "url", F.explode(F.regexp_extract_all(html, F.lit(HREF), F.lit(0))).alias("tag"))
     href = F.trim(F.coalesce(
@@ -64,4 +64,5 @@ def page_links(pages: DataFrame, pattern: str = ".zip") -> DataFrame:
     host = F.regexp_extract("link", r"^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)", 1)
     base = F.element_at(F.split(path, "/"), -1)
     return (links.distinct()
-            .select("page_id", "url", "link", F.when(base != "", base).otherwise(host).alias("file_name")))
+            .select("page_id", "url", "link", F.when(base != "", base).otherwise(host).alias("file_name"))
+            .orderBy("page_id", "link"))
