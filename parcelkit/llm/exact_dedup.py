@@ -89,8 +89,8 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     columns of ``docs`` are ignored, whatever their names.
     """
     rows = written(block_names(docs, id_col, text_col, block_chars, salts), "identities")
-    best = rows.groupBy("n_blocks", "name").agg(F.max(F.struct("id", "row")).alias("top"),
-                                                F.count(F.lit(1)).alias("group_size"))
+    best = written(rows.groupBy("n_blocks", "name").agg(F.max(F.struct("id", "row")).alias("top"),
+                                                        F.count(F.lit(1)).alias("group_size")), "groups")
     out = rows.join(best, ["n_blocks", "name"])
     return out.select(F.col("id").alias("doc_id"), F.col("top.id").alias("keep_id"), "group_size",
                       (F.col("row") == F.col("top.row")).alias("kept"), "text_sha256")

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
+from parcelkit.llm import byte_bpe, packing
 from parcelkit.llm import exact_dedup as exact
 
 
@@ -26,8 +27,20 @@ SELECT doc_id, max(doc_id) OVER (PARTITION BY t) AS keep_id, count(*) OVER (PART
 FROM d
 """
 
+def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return byte_bpe.round_trip_digests(table(spark, sf_dir, "documents"),
+                                       public_tokenizers.path("byte_bpe_50k.tiktoken"))
+
+
+def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = packing.token_pieces(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+    return packing.pack(pieces)
+
+
 QUERIES = {
     "op4_exact_dedup": op4_exact_dedup,
+    "op5_byte_bpe": op5_byte_bpe,
+    "op6_best_fit_packing": op6_best_fit_packing,
 }
 
 ORACLES = {
