@@ -6,8 +6,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parcelkit.llm import byte_bpe, packing, simhash
+from parcelkit.llm import byte_bpe, lm_score, packing, simhash, warc
 from parcelkit.llm import exact_dedup as exact
+from parcelkit.llm.common import work_path
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -43,11 +44,23 @@ def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(pieces)
 
 
+def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    index = warc.write_archives(table(spark, sf_dir, "pages"), work_path(spark, "archives"))
+    return warc.read_archives(spark, index).select("page_id", "payload_bytes", "payload_digest", "record_type",
+                                                   "refers_to")
+
+
+def op8_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_score.score_documents(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_simhash": op1_simhash,
     "op4_exact_dedup": op4_exact_dedup,
     "op5_byte_bpe": op5_byte_bpe,
     "op6_best_fit_packing": op6_best_fit_packing,
+    "op7_warc": op7_warc,
+    "op8_lm_scoring": op8_lm_scoring,
 }
 
 ORACLES = {
