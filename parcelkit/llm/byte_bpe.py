@@ -264,43 +264,51 @@ def _local(path: str) -> str:
     return path if os.path.exists(path) else SparkFiles.get(os.path.basename(path))
 
 
+def _encoded(batches, ranks_path: str):
+    """Batches of (doc_id, text) -> (doc_id, ids, offsets)."""
+    ranks = _ranks(_local(ranks_path))
+    for batch in batches:
+        for lo in range(0, batch.num_rows, 512):
+            part = batch.slice(lo, 512)
+            done = ranks.encode([x or "" for x in part.column(1).to_pylist()])
+            edges = np.concatenate([[0], np.cumsum([len(ids) for ids, _ in done])]).astype(np.int32)
+            ids = np.concatenate([x for x, _ in done]).astype(np.int32)
+            offsets = np.concatenate([x for _, x in done]).astype(np.int64)
+            yield pa.RecordBatch.from_arrays(
+                [part.column(0), pa.ListArray.from_arrays(edges, pa.array(ids)),
+                 pa.ListArray.from_arrays(edges, pa.array(offsets))], ["doc_id", "ids", "offsets"])
+
+
+def _decoded(batches, ranks_path: str):
+    """Batches of (doc_id, ids, ...) -> (doc_id, ids, decoded)."""
+    ranks = _ranks(_local(ranks_path))
+    for batch in batches:
+        ids = batch.column(1)
+        texts = [ranks.decode(x.values.to_numpy(zero_copy_only=False)) if x.is_valid else b"" for x in ids]
+        yield pa.RecordBatch.from_arrays([batch.column(0), ids, pa.array(texts, pa.binary())],
+                                         ["doc_id", "ids", "decoded"])
+
+
 def encode_documents(docs: DataFrame, ranks_path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id``, ``ids`` (array of int), ``offsets`` (byte offset of each id in the text).
 
     ``ranks_path`` is a file of merge ranks that every executor can open. A null text is empty and has no
     ids; null and repeated doc_ids, and rows that repeat, give one row each. Other columns are ignored.
     """
-    def run(batches):
-        ranks = _ranks(_local(ranks_path))
-        for batch in batches:
-            for lo in range(0, batch.num_rows, 512):
-                part = batch.slice(lo, 512)
-                done = ranks.encode([x or "" for x in part.column(1).to_pylist()])
-                edges = np.concatenate([[0], np.cumsum([len(ids) for ids, _ in done])]).astype(np.int32)
-                ids = np.concatenate([x for x, _ in done]).astype(np.int32)
-                offsets = np.concatenate([x for _, x in done]).astype(np.int64)
-                yield pa.RecordBatch.from_arrays(
-                    [part.column(0), pa.ListArray.from_arrays(edges, pa.array(ids)),
-                     pa.ListArray.from_arrays(edges, pa.array(offsets))], ["doc_id", "ids", "offsets"])
-
-    narrow = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
+    narrow = _narrow(docs, id_col, text_col)
     kind = narrow.schema["doc_id"].dataType.simpleString()
-    return on_workers(narrow).mapInArrow(run, f"doc_id {kind}, ids array<int>, offsets array<bigint>")
+    return narrow.mapInArrow(lambda b: _encoded(b, ranks_path), f"doc_id {kind}, ids array<int>, offsets array<bigint>")
 
 
 def decode_documents(encoded: DataFrame, ranks_path: str) -> DataFrame:
     """``doc_id``, ``ids``, ``decoded`` (binary) of rows with ``doc_id`` and ``ids``; null ids give no bytes."""
-    def run(batches):
-        ranks = _ranks(_local(ranks_path))
-        for batch in batches:
-            ids = batch.column(1)
-            texts = [ranks.decode(x.values.to_numpy(zero_copy_only=False)) if x.is_valid else b"" for x in ids]
-            yield pa.RecordBatch.from_arrays([batch.column(0), ids, pa.array(texts, pa.binary())],
-                                             ["doc_id", "ids", "decoded"])
-
-    narrow = encoded.select("doc_id", "ids")
+    narrow = on_workers(encoded.select("doc_id", "ids"))
     kind = narrow.schema["doc_id"].dataType.simpleString()
-    return on_workers(narrow).mapInArrow(run, f"doc_id {kind}, ids array<int>, decoded binary")
+    return narrow.mapInArrow(lambda b: _decoded(b, ranks_path), f"doc_id {kind}, ids array<int>, decoded binary")
+
+
+def _narrow(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    return on_workers(docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")))
 
 
 def ids_digest(ids) -> str:
@@ -308,10 +316,11 @@ def ids_digest(ids) -> str:
     return hashlib.sha256(np.asarray(ids, "<u4").tobytes()).hexdigest()
 
 
-def round_trip_digests(docs: DataFrame, ranks_path: str) -> DataFrame:
-    """Encode, decode, and digest both: ``doc_id``, ``n_tokens``, ``ids_sha256``, ``decoded_sha256``."""
+def round_trip_digests(docs: DataFrame, ranks_path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Encode, decode, and digest both in one pass (one Python worker per task): ``doc_id``, ``n_tokens``,
+    ``ids_sha256``, ``decoded_sha256``. Nulls and repeats as in :func:`encode_documents`."""
     def run(batches):
-        for batch in batches:
+        for batch in _decoded(_encoded(batches, ranks_path), ranks_path):
             ids = batch.column(1)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array([len(x) for x in ids], pa.int64()),
@@ -319,6 +328,6 @@ def round_trip_digests(docs: DataFrame, ranks_path: str) -> DataFrame:
                  pa.array([hashlib.sha256(x.as_py()).hexdigest() for x in batch.column(2)])],
                 ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
 
-    both = decode_documents(encode_documents(docs, ranks_path), ranks_path)
-    kind = both.schema["doc_id"].dataType.simpleString()
-    return both.mapInArrow(run, f"doc_id {kind}, n_tokens bigint, ids_sha256 string, decoded_sha256 string")
+    narrow = _narrow(docs, id_col, text_col)
+    kind = narrow.schema["doc_id"].dataType.simpleString()
+    return narrow.mapInArrow(run, f"doc_id {kind}, n_tokens bigint, ids_sha256 string, decoded_sha256 string")
