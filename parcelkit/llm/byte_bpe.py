@@ -204,7 +204,7 @@ class Ranks:
         if len(self.index) > self.cached:
             self.clear()
         index = self.index
-        for piece in set(pieces) - index.keys():
+        for piece in [x for x in set(pieces) if x not in index]:
             ids = self.merge(piece)
             index[piece] = len(self.first)
             self.first.append(len(self.ids))

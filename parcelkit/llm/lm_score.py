@@ -54,7 +54,7 @@ class _Chunk:
 
     def add(self, doc_id, held: bool, words: list[bytes]) -> None:
         index = self.index
-        for w in set(words) - index.keys():
+        for w in [w for w in set(words) if w not in index]:
             index[w] = len(index)
         self.ids.append(doc_id)
         self.held.append(held)

@@ -62,7 +62,7 @@ class WordIds:
             self.clear()
         chunks = [(x.lower() if x.isascii() else x).replace("\n", " ").split(" ") for x in texts]
         index = self.index
-        for chunk in set().union(*chunks) - index.keys():
+        for chunk in [x for x in set().union(*chunks) if x not in index]:
             word = chunk.rstrip(".,")
             if word.isascii() and word.isalpha():       # one piece of letters, then one of marks
                 ids = [t.id for t in self.model.tokenize(word.lower())] + self.marks(chunk[len(word):])
