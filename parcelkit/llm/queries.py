@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parcelkit.llm import byte_bpe, lm_score, packing, quality, simhash, toxicity, warc
+from parcelkit.llm import ann, byte_bpe, lm_score, packing, quality, simhash, toxicity, url_filter, warc
 from parcelkit.llm import exact_dedup as exact
 from parcelkit.llm.common import work_path
 
@@ -24,6 +24,10 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op3_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judge_urls(table(spark, sf_dir, "pages"))
+
+
 def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact.exact_dedup(table(spark, sf_dir, "documents"))
 
@@ -62,15 +66,22 @@ def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op10_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    return ann.search(ann.build_index(vectors), vectors.where("vec_id % 20 = 0"))
+
+
 QUERIES = {
     "op1_simhash": op1_simhash,
     "op2_toxicity": op2_toxicity,
+    "op3_url_filters": op3_url_filters,
     "op4_exact_dedup": op4_exact_dedup,
     "op5_byte_bpe": op5_byte_bpe,
     "op6_best_fit_packing": op6_best_fit_packing,
     "op7_warc": op7_warc,
     "op8_lm_scoring": op8_lm_scoring,
     "op9_quality_classifier": op9_quality_classifier,
+    "op10_ann": op10_ann,
 }
 
 ORACLES = {
