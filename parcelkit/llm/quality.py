@@ -15,6 +15,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from parcelkit.llm.common import id_crc_mod, on_workers
 from parcelkit.llm.token_table import TokenTable
@@ -90,8 +91,10 @@ def features(docs: DataFrame, keep: list[str]) -> DataFrame:
 
     narrow = docs.select(*keep, F.col("text").cast("string").alias("__text"), F.col("lang").cast("string").alias("__lang"),
                          F.col("source").cast("string").alias("__source"), F.col("n_chars").cast("bigint").alias("__size"))
-    schema = ", ".join(f"`{c}` {narrow.schema[c].dataType.simpleString()}" for c in keep)
-    return on_workers(narrow).mapInArrow(run, f"{schema}, content array<double>, meta array<double>")
+    numbers = T.ArrayType(T.DoubleType())
+    schema = T.StructType([*(narrow.schema[c] for c in keep), T.StructField("content", numbers),
+                           T.StructField("meta", numbers)])
+    return on_workers(narrow).mapInArrow(run, schema)
 
 
 def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1.0, steps: int = 25) -> np.ndarray:
@@ -134,50 +137,75 @@ def co_train(views: list[np.ndarray], y: np.ndarray, pools: list[np.ndarray], ro
     return weights
 
 
-def quality_scores(docs: DataFrame, labels: DataFrame, max_train: int = 20_000, max_pool: int = 10_000, rounds: int = 3,
-                   sure: float = 0.9, id_col: str = "doc_id") -> DataFrame:
-    """``doc_id``, ``held_out``, ``content_score``, ``meta_score``, ``score`` (chance of quality 1), ``predicted``.
+class QualityModel:
+    """Weights, calibration and shares of both views; a constant share where nothing could be learned."""
 
-    Labels of ids with crc32(id) modulo 5 equal to 0 are never used; of the others, and of unlabelled rows, at most
-    ``max_train`` and ``max_pool`` (chosen by a hash of the id). Null text, lang and source count as empty, a
-    null n_chars as unknown; null ids and repeated rows are scored like any other. Without labels of both kinds
-    every score is the smoothed share of label 1. An empty table gives no rows; other columns are ignored.
-    """
+    def __init__(self, share: float, weights=(), scale=(), mix=()):
+        self.share, self.weights, self.scale, self.mix = share, weights, scale, mix
+
+    def apply(self, docs: DataFrame, keep: list[str]) -> DataFrame:
+        """Columns ``keep`` with ``content_score``, ``meta_score`` and ``score`` of every row."""
+        if not len(self.weights):
+            return docs.select(*keep, *[F.lit(self.share).alias(c) for c in ("content_score", "meta_score", "score")])
+
+        def logit(column: str, w: np.ndarray, a: np.ndarray):
+            products = F.zip_with(column, F.array(*[F.lit(float(x)) for x in w]), lambda p, q: p * q)
+            dot = F.aggregate(products, F.lit(0.0), lambda s, x: s + x)
+            return F.lit(float(a[0])) + F.lit(float(a[1])) * F.greatest(F.lit(-30.0), F.least(F.lit(30.0), dot))
+
+        def chance(z):
+            return 1 / (1 + F.exp(-z))
+
+        rows = features(docs, keep).select(*keep, logit("content", self.weights[0], self.scale[0]).alias("__c"),
+                                           logit("meta", self.weights[1], self.scale[1]).alias("__m"))
+        a, b, c = (F.lit(float(x)) for x in self.mix)
+        return rows.select(*keep, chance(F.col("__c")).alias("content_score"), chance(F.col("__m")).alias("meta_score"),
+                           chance(a + b * F.col("__c") + c * F.col("__m")).alias("score"))
+
+
+def fit_quality(docs: DataFrame, labels: DataFrame, max_train: int = 20_000, max_pool: int = 10_000, rounds: int = 3,
+                sure: float = 0.9, id_col: str = "doc_id") -> QualityModel:
+    """Co-train on at most ``max_train`` labelled rows (crc32(id) modulo 5 not 0) and ``max_pool`` unlabelled ones."""
     docs = docs.select(F.col(id_col).alias("doc_id"), "text", "lang", "source", "n_chars")
     labels = labels.withColumnRenamed(id_col, "doc_id")
     sample = labelled_sample(docs, labels, "quality", max_train)
     known = features(sample, ["label", "part"]).toPandas()          # at most max_train rows of numbers
-    held = (id_crc_mod("doc_id", 5) == 0).alias("held_out")
     y = known["label"].to_numpy(float) if len(known) else np.zeros(0)
     if min((y == 0).sum(), (y == 1).sum()) < 10:
-        share = float((y.sum() + 1) / (len(y) + 2))
-        return docs.select("doc_id", held, *[F.lit(share).alias(c) for c in ("content_score", "meta_score", "score")],
-                           F.lit(int(share >= 0.5)).alias("predicted"))
+        return QualityModel(float((y.sum() + 1) / (len(y) + 2)))
     n = docs.count()
     pick = F.pmod(F.xxhash64("doc_id", F.lit(29)), F.lit(1 << 20)) < int((1 << 20) * min(1.0, 0.9 * max_pool / n))
-    blank = labels.select(F.col("doc_id").alias("__id")).distinct()
+    blank = labels.where(F.col("quality").isNotNull()).select(F.col("doc_id").alias("__id")).distinct()
     pool = docs.where(pick).join(blank, F.col("doc_id") == F.col("__id"), "left_anti").limit(max_pool)
     pool = features(pool, ["doc_id"]).drop("doc_id").toPandas()     # at most max_pool rows of numbers
     fit, test = (known["part"] < 80).to_numpy(), (known["part"] >= 80).to_numpy()
-    views = [np.array(known[c].tolist(), float).reshape(len(known), w) for c, w in (("content", CONTENT), ("meta", META))]
-    pools = [np.array(pool[c].tolist(), float).reshape(len(pool), w) for c, w in (("content", CONTENT), ("meta", META))]
+    widths = (("content", CONTENT), ("meta", META))
+    views = [np.array(known[c].tolist(), float).reshape(len(known), w) for c, w in widths]
+    pools = [np.array(pool[c].tolist(), float).reshape(len(pool), w) for c, w in widths]
     weights = co_train([v[fit] for v in views], y[fit], pools, rounds, 0.1, sure)
     logits = [np.clip(v[test] @ w, -30, 30) for v, w in zip(views, weights)]
     # Platt scaling of each view, then one more fit for the shares of both
     scale = [logistic(np.column_stack([np.ones(len(z)), z]), y[test], 1e-2) for z in logits]
     calibrated = [a[0] + a[1] * z for a, z in zip(scale, logits)]
     mix = logistic(np.column_stack([np.ones(len(y[test])), *calibrated]), y[test], 1e-2)
+    return QualityModel(float(y.mean()), weights, scale, mix)
+
 
-    def logit(column: str, w: np.ndarray, a: np.ndarray):
-        dot = F.aggregate(F.zip_with(column, F.array(*[F.lit(float(x)) for x in w]), lambda p, q: p * q), F.lit(0.0),
-                          lambda s, x: s + x)
-        return F.lit(float(a[0])) + F.lit(float(a[1])) * F.greatest(F.lit(-30.0), F.least(F.lit(30.0), dot))
+def quality_scores(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", **fit) -> DataFrame:
+    """``doc_id``, ``held_out``, ``content_score``, ``meta_score``, ``score`` (chance of quality 1), ``predicted``.
+
+    Labels of ids with crc32(id) modulo 5 equal to 0 (``held_out``) are never used. Null text, lang and source
+    count as empty, a null n_chars as unknown; null ids and repeated rows are scored like any other. With fewer
+    than ten labels of a kind every score is the smoothed share of label 1. An empty table gives no rows; other
+    columns are ignored.
+    """
+    model = fit_quality(docs, labels, id_col=id_col, **fit)
+    rows = model.apply(docs.select(F.col(id_col).alias("doc_id"), "text", "lang", "source", "n_chars"), ["doc_id"])
+    return rows.select("doc_id", (id_crc_mod("doc_id", 5) == 0).alias("held_out"), "content_score", "meta_score", "score",
+                       (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
-    def chance(z):
-        return 1 / (1 + F.exp(-z))
 
-    rows = features(docs, ["doc_id"]).select("doc_id", logit("content", weights[0], scale[0]).alias("c"),
-                                             logit("meta", weights[1], scale[1]).alias("m"))
-    both = F.lit(float(mix[0])) + F.lit(float(mix[1])) * F.col("c") + F.lit(float(mix[2])) * F.col("m")
-    return rows.select("doc_id", held, chance(F.col("c")).alias("content_score"), chance(F.col("m")).alias("meta_score"),
-                       chance(both).alias("score")).withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
+def quality_filter(docs: DataFrame, labels: DataFrame, least: float = 0.5, **fit) -> DataFrame:
+    """Rows of ``docs``, all columns as they were, with a quality score of at least ``least``."""
+    model = fit_quality(docs, labels, **fit)
+    return model.apply(docs.withColumn("__row", F.struct("*")), ["__row"]).where(F.col("score") >= least).select("__row.*")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import public_tokenizers
+from corpus_pipeline import run as pipeline
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -82,6 +83,7 @@ QUERIES = {
     "op8_lm_scoring": op8_lm_scoring,
     "op9_quality_classifier": op9_quality_classifier,
     "op10_ann": op10_ann,
+    "pipeline": pipeline,
 }
 
 ORACLES = {

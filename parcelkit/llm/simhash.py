@@ -258,3 +258,18 @@ def simhash_groups(docs: DataFrame, width: int = 4, max_bits: int = 4, seed: int
     names = written(linked.groupBy("root").agg(F.min("least").alias("component_id")), "names")
     classes = written(linked.join(names, "root").select("fp", "component_id"), "components")
     return marks.join(classes, "fp").select("doc_id", "fp", "component_id")
+
+
+def one_per_group(docs: DataFrame, width: int = 4, max_bits: int = 4, seed: int = 42, id_col: str = "doc_id",
+                  text_col: str = "text") -> DataFrame:
+    """``docs`` with one row of each near-duplicate component (the one of the smallest id), all columns as they were.
+
+    Rows without an id cannot be told apart and stay. If the smallest id is repeated, one of its rows stays.
+    """
+    groups = simhash_groups(docs, width, max_bits, seed, id_col, text_col)
+    kept = groups.where(F.col("doc_id") == F.col("component_id")).groupBy(F.col("doc_id").alias("__kept_id")).agg(
+        F.count(F.lit(1)).alias("__copies"))
+    found = docs.join(written(kept, "kept"), F.col(id_col) == F.col("__kept_id"))
+    alone = found.where("__copies = 1").select(docs.columns)
+    several = found.where("__copies > 1").dropDuplicates([id_col]).select(docs.columns)
+    return alone.unionByName(several).unionByName(docs.where(F.col(id_col).isNull()))

@@ -17,6 +17,7 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.regression import IsotonicRegression
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from parcelkit.llm.common import id_crc_mod, on_workers, written
 from parcelkit.llm.token_table import TokenTable
@@ -107,8 +108,8 @@ def dense_features(docs: DataFrame, lexicon: dict[str, float], keep: list[str],
                     [*keep, "features"])
 
     narrow = docs.select(*keep, F.col(text_col).alias("__text"))
-    schema = ", ".join(f"`{c}` {narrow.schema[c].dataType.simpleString()}" for c in keep)
-    return on_workers(narrow).mapInArrow(run, f"{schema}, features array<double>")
+    schema = T.StructType([*(narrow.schema[c] for c in keep), T.StructField("features", T.ArrayType(T.DoubleType()))])
+    return on_workers(narrow).mapInArrow(run, schema)
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, max_train: int, id_col: str = "doc_id") -> DataFrame:
@@ -161,33 +162,59 @@ def learn_lexicon(sample: DataFrame, text_col: str = "text", min_docs: int = 5,
     return {entry: odds for _, entry, odds in sorted(out, reverse=True)[:max_words]}
 
 
-def toxicity_scores(docs: DataFrame, labels: DataFrame, max_train: int = 24_000, trees: int = 20, depth: int = 4,
-                    id_col: str = "doc_id", text_col: str = "text", seed: int = 7) -> DataFrame:
-    """``doc_id``, ``held_out``, ``score`` (0 to 1), ``predicted`` for every row of ``docs``.
+class ToxicityModel:
+    """Lexicon, trees and calibration; a constant share where nothing could be learned."""
 
-    Only labels of ids with crc32(id) modulo 5 other than 0 are used, at most ``max_train`` of them. A null
-    text counts as empty and is scored; a null id is scored, too (its crc is that of the empty text). Repeated
-    rows are scored alike. Without labels of both kinds every score is the smoothed share of label 1. Other
-    columns of ``docs`` are never inputs; an empty table gives no rows.
-    """
+    def __init__(self, share: float, lexicon=None, trees=None, calibration=None):
+        self.share, self.lexicon, self.trees, self.calibration = share, lexicon, trees, calibration
+
+    def apply(self, docs: DataFrame, keep: list[str], text_col: str = "text") -> DataFrame:
+        """Columns ``keep`` and ``score`` of every row."""
+        if self.trees is None:
+            return docs.select(*keep, F.lit(self.share).alias("score"))
+        rows = dense_features(docs, self.lexicon, keep, text_col).withColumn("features", array_to_vector("features"))
+        rows = self.trees.transform(rows).withColumn("raw", vector_to_array("probability")[1])
+        # the trees' own order is kept inside a step of the calibration
+        score = 0.99 * F.col("fitted") + 0.01 * F.col("raw")
+        return self.calibration.transform(rows).select(
+            *keep, F.least(F.lit(1.0), F.greatest(F.lit(0.0), score)).alias("score"))
+
+
+def fit_toxicity(docs: DataFrame, labels: DataFrame, max_train: int = 24_000, trees: int = 20, depth: int = 4,
+                 id_col: str = "doc_id", text_col: str = "text", seed: int = 7) -> ToxicityModel:
+    """Learn from at most ``max_train`` labelled rows whose crc32(id) modulo 5 is not 0."""
     docs = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     sample = labelled_sample(docs, labels.withColumnRenamed(id_col, "doc_id"), "toxic", max_train)
     sample = written(sample.select("text", "label", "part"), "toxic-sample")
     by = {r["label"]: r["count"] for r in sample.groupBy("label").count().collect()}
-    held = (id_crc_mod("doc_id", 5) == 0).alias("held_out")
     if min(by.get(0.0, 0), by.get(1.0, 0)) < 10:
-        share = (by.get(1.0, 0) + 1) / (sum(by.values()) + 2)
-        return docs.select("doc_id", held, F.lit(share).alias("score"), F.lit(int(share >= 0.5)).alias("predicted"))
+        return ToxicityModel((by.get(1.0, 0) + 1) / (sum(by.values()) + 2))
     lexicon = learn_lexicon(sample.where("part < 45"))
-    known = written(dense_features(sample.where("part >= 45"), lexicon, ["label", "part"]).withColumn(
-        "features", array_to_vector("features")), "toxic-features")
+    known = written(dense_features(sample.where("part >= 45"), lexicon, ["label", "part"]), "toxic-features").withColumn(
+        "features", array_to_vector("features"))
     boosted = GBTClassifier(labelCol="label", featuresCol="features", maxIter=trees, maxDepth=depth, maxBins=64,
                             stepSize=0.2, seed=seed).fit(known.where("part < 85"))
-    chance = vector_to_array("probability")[1]
-    rest = boosted.transform(known.where("part >= 85")).select("label", chance.alias("raw"))
-    calibrated = IsotonicRegression(labelCol="label", featuresCol="raw", predictionCol="fitted").fit(rest)
-    rows = dense_features(docs, lexicon, ["doc_id"]).withColumn("features", array_to_vector("features"))
-    rows = calibrated.transform(boosted.transform(rows).withColumn("raw", chance))
-    # the trees' own order is kept inside a step of the calibration
-    score = F.least(F.lit(1.0), F.greatest(F.lit(0.0), 0.99 * F.col("fitted") + 0.01 * F.col("raw")))
-    return rows.select("doc_id", held, score.alias("score")).withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
+    rest = boosted.transform(known.where("part >= 85")).select("label", vector_to_array("probability")[1].alias("raw"))
+    calibration = IsotonicRegression(labelCol="label", featuresCol="raw", predictionCol="fitted").fit(rest)
+    return ToxicityModel(0.0, lexicon, boosted, calibration)
+
+
+def toxicity_scores(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                    **fit) -> DataFrame:
+    """``doc_id``, ``held_out``, ``score`` (0 to 1), ``predicted`` for every row of ``docs``.
+
+    Only labels of ids with crc32(id) modulo 5 other than 0 are used. A null text counts as empty and is scored;
+    a null id is scored, too (its crc is that of the empty text). Repeated rows are scored alike. With fewer than
+    ten labels of a kind every score is the smoothed share of label 1. Other columns of ``docs`` are never inputs;
+    an empty table gives no rows.
+    """
+    model = fit_toxicity(docs, labels, id_col=id_col, text_col=text_col, **fit)
+    rows = model.apply(docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")), ["doc_id"])
+    return rows.select("doc_id", (id_crc_mod("doc_id", 5) == 0).alias("held_out"), "score",
+                       (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+def toxicity_filter(docs: DataFrame, labels: DataFrame, most: float = 0.5, **fit) -> DataFrame:
+    """Rows of ``docs``, all columns as they were, with a toxicity score under ``most``."""
+    model = fit_toxicity(docs, labels, **fit)
+    return model.apply(docs.withColumn("__row", F.struct("*")), ["__row"]).where(F.col("score") < most).select("__row.*")
