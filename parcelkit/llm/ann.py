@@ -120,7 +120,28 @@ def build_graph(x: np.ndarray, degree: int = 32, width: int = 64, alpha: float =
             if full.any():
                 graph[some[full]] = robust_prune(x, some[full], wider[full], degree, alpha)
         lo = hi
-    return graph, entry
+    return _connected(x, graph, entry, width), entry
+
+
+def _connected(x: np.ndarray, graph: np.ndarray, entry: int, width: int) -> np.ndarray:
+    """``graph`` with added columns of edges, so that every node is reached from the entry: a node that pruning has
+    cut off gets an edge from the nearest node that a search finds."""
+    while True:
+        reached = np.zeros(len(x), bool)
+        reached[entry], edge = True, np.array([entry])
+        while len(edge):
+            near = np.unique(graph[edge])
+            edge = near[(near >= 0) & ~reached[near]]
+            reached[edge] = True
+        lost = np.flatnonzero(~reached)
+        if not len(lost):
+            return graph
+        found = np.concatenate([beam_search(x, graph, entry, x[lost[a:a + 512]], width)[0][:, 0]
+                                for a in range(0, len(lost), 512)])
+        by, first = np.unique(found, return_index=True)        # one new edge per node and round
+        column = np.full((len(x), 1), -1, graph.dtype)
+        column[by, 0] = lost[first]
+        graph = np.concatenate([graph, column], 1)
 
 
 def _lifted(x: np.ndarray) -> np.ndarray:

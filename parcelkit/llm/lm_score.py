@@ -36,7 +36,7 @@ _MIX = np.uint64(0xFF51AFD7ED558CCD)
 
 def _pack(a: np.ndarray) -> bytes:
     """Integers as compressed byte planes."""
-    return zstandard.compress(np.ascontiguousarray(a.view(np.uint8).reshape(len(a), -1).T).tobytes(), 1)
+    return zstandard.compress(np.ascontiguousarray(a.view(np.uint8).reshape(len(a), a.itemsize).T).tobytes(), 1)
 
 
 def _unpack(b: bytes, kind) -> np.ndarray:
