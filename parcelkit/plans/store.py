@@ -9,14 +9,13 @@ executor recomputes from these files, not from the raw text.
 
 Choose ``buckets`` so one bucket of the largest table is a few hundred MB
 (e.g. thousands at county-history scale); it must be the same for all tables.
+The count is recorded beside each table, and ``attach`` declares that count.
 
 Skew: a bucketed scan reads one bucket in one task, so an account holding a
-large share of a table would put that share on one core. Before writing, the
-store counts rows per bucket id (``pmod(hash(acct), n)``, the bucketing hash;
-``n`` small rows reach the driver) and writes the table *unbucketed* when any
-bucket exceeds ``skew_factor`` times its fair share. Unbucketed scans split
-evenly and partial aggregation combines the hot account inside each task;
-AQE's skew handling covers the joins.
+large share of a table would put that share on one core. Write such a table
+with ``bucketed=False``: its scans split evenly, partial aggregation combines
+the hot account inside each task, and AQE's skew handling covers the joins.
+``bucket_share`` measures the largest bucket of a table beforehand.
 """
 
 from __future__ import annotations
@@ -30,39 +29,41 @@ KEY = "acct"
 class TableStore:
     """``name -> DataFrame`` over tables written under ``location``."""
 
-    def __init__(self, spark: SparkSession, location: str, database: str = "parcelkit_store", buckets: int = 16,
-                 skew_factor: float = 4.0):
+    def __init__(self, spark: SparkSession, location: str, database: str = "parcelkit_store", buckets: int = 16):
         self.spark, self.location, self.database, self.buckets = spark, location.rstrip("/"), database, buckets
-        self.skew_factor = skew_factor
         # the catalogue database lives in the store's (shared) folder, not in a local warehouse dir
         spark.sql(f"CREATE DATABASE IF NOT EXISTS {database} LOCATION '{self.location}/_catalog'")
         self._override: dict[str, DataFrame] = {}
-        self.layout: dict[str, str] = {}
 
-    def balanced(self, df: DataFrame) -> bool:
-        """Whether bucketing ``df`` by account keeps every bucket under ``skew_factor`` x its fair share."""
+    def bucket_share(self, df: DataFrame) -> float:
+        """Rows of the largest bucket of ``df``, as a multiple of an even share (one pass, ``buckets`` rows)."""
         per_bucket = (df.groupBy(F.pmod(F.hash(F.col(KEY)), F.lit(self.buckets)).alias("b"))
-                        .agg(F.count(F.lit(1)).alias("n")).collect())   # at most `buckets` rows
-        total = sum(r["n"] for r in per_bucket)
-        return total == 0 or max(r["n"] for r in per_bucket) <= self.skew_factor * total / self.buckets
+                        .agg(F.count(F.lit(1)).alias("n")).agg(F.max("n"), F.sum("n")).first())
+        return per_bucket[0] * self.buckets / per_bucket[1] if per_bucket[1] else 0.0
 
-    def write(self, name: str, df: DataFrame) -> None:
+    def write(self, name: str, df: DataFrame, bucketed: bool = True) -> None:
+        """Write a table; one without ``acct`` is never bucketed."""
+        bucketed = bucketed and KEY in df.columns
         w = df.write.mode("overwrite").option("path", f"{self.location}/{name}")
-        layout = "plain"
-        if KEY in df.columns and self.balanced(df):
+        if bucketed:
             # no sortBy: scans do not report in-bucket order by default, so sorting would only cost writes
             w = w.bucketBy(self.buckets, KEY)
-            layout = "bucketed"
         w.saveAsTable(f"{self.database}.{name}")
-        self.layout[name] = layout
-        self._mark(name, layout)
+        path, fs = self._fs(f"{self.location}/{name}/_buckets-{self.buckets if bucketed else 0}")
+        fs.create(path, True).close()      # a hidden marker file, ignored by readers
 
-    def _mark(self, name: str, layout: str) -> None:
-        """Record the layout next to the data (a hidden marker file, ignored by readers)."""
+    def _fs(self, path: str):
         jvm = self.spark.sparkContext._jvm
-        conf = self.spark.sparkContext._jsc.hadoopConfiguration()
-        marker = jvm.org.apache.hadoop.fs.Path(f"{self.location}/{name}/_layout_{layout}")
-        marker.getFileSystem(conf).create(marker, True).close()
+        p = jvm.org.apache.hadoop.fs.Path(path)
+        return p, p.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+
+    def _written_buckets(self, name: str) -> int:
+        """The bucket count recorded when the table was written (0: not bucketed)."""
+        path, fs = self._fs(f"{self.location}/{name}/_buckets-*")
+        found = [f.getPath().getName() for f in fs.globStatus(path)]
+        if len(found) != 1:
+            raise ValueError(f"{self.location}/{name}: expected one bucket marker, found {found}")
+        return int(found[0].rpartition("-")[2])
 
     def write_all(self, tables, names, parallel: int = 4) -> None:
         """Write several tables; independent write jobs are submitted from ``parallel`` driver threads
@@ -76,15 +77,15 @@ class TableStore:
         """Register a table written earlier (e.g. by the load job) in this application's catalogue.
 
         A session without a shared metastore does not know the bucket spec of
-        files written by another application; it is declared again here so the
-        scans stay bucketed.
+        files written by another application. It is declared again here, with
+        the count found beside the data, whatever this store's own ``buckets``:
+        a wrong count would make bucketed scans miss rows.
         """
-        from ..session import path_exists
         path = f"{self.location}/{name}"
         schema = self.spark.read.parquet(path).schema  # footer metadata only
         cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
-        bucketed = bucketed and KEY in schema.fieldNames() and path_exists(self.spark, f"{path}/_layout_bucketed")
-        clustered = f" CLUSTERED BY ({KEY}) INTO {self.buckets} BUCKETS" if bucketed else ""
+        count = self._written_buckets(name) if bucketed else 0
+        clustered = f" CLUSTERED BY ({KEY}) INTO {count} BUCKETS" if count else ""
         self.spark.sql(f"DROP TABLE IF EXISTS {self.database}.{name}")
         self.spark.sql(f"CREATE TABLE {self.database}.{name} ({cols}) USING parquet{clustered} LOCATION '{path}'")
 

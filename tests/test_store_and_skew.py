@@ -73,17 +73,21 @@ def test_keep_first_and_hearings_with_hot_key(spark):
     assert r["successful_protests"] == len(window)
 
 
-def test_store_does_not_bucket_a_skewed_table(spark, tmpdir_path):
+def test_layout_is_explicit_and_attach_uses_the_written_count(spark, tmpdir_path):
     rows = [("HOT", str(i)) for i in range(3000)] + [(f"A{i:05d}", "1") for i in range(6000)]
     skewed = spark.createDataFrame(rows, "acct string, bld_num string")
     even = spark.createDataFrame([(f"A{i:05d}", "1") for i in range(9000)], "acct string, bld_num string")
-    store = TableStore(spark, os.path.join(tmpdir_path, "s"), "pk_skew", 32)
-    store.write("skewed", skewed)
+    store = TableStore(spark, os.path.join(tmpdir_path, "s"), "pk_skew", 16)
+    assert store.bucket_share(skewed) > 4 > store.bucket_share(even)
+    store.write("skewed", skewed, bucketed=False)
     store.write("even", even)
-    assert store.layout == {"skewed": "plain", "even": "bucketed"}
-    again = TableStore(spark, os.path.join(tmpdir_path, "s"), "pk_skew2", 32)
-    again.attach("skewed")
-    again.attach("even")
-    scan = lambda n: again[n].groupBy("acct").count()._jdf.queryExecution().executedPlan().toString()
-    assert "Bucketed: true" in scan("even") and "Bucketed: true" not in scan("skewed")
+    store.write("few", even.limit(5))
+    again = TableStore(spark, os.path.join(tmpdir_path, "s"), "pk_skew2", 8)     # another count than the written one
+    for n in ("skewed", "even", "few"):
+        again.attach(n)
+    grouped = lambda n: again[n].groupBy("acct").count()
+    scan = lambda n: grouped(n)._jdf.queryExecution().executedPlan().toString()
+    assert "Bucketed: true" in scan("even") and "Bucketed: true" in scan("few") and "Bucketed: true" not in scan("skewed")
     assert again["skewed"].count() == 9000
+    assert grouped("even").count() == 9000 and again["even"].alias("a").join(again["even"].alias("b"), "acct").count() == 9000
+    assert grouped("few").count() == 5
