@@ -168,11 +168,6 @@ class Tables:
         df = _DRIVER_CACHE.get(key)
         if df is None:
             df = self.spark.read.parquet(os.path.join(self.sf_dir, f"{t}.parquet"))
-            # the test files hold one row group each, i.e. one read task; spread such an input
-            # over the available cores (a real multi-file input already has many splits)
-            cores = self.spark.sparkContext.defaultParallelism
-            if df.rdd.getNumPartitions() < cores and t in ("lineitem", "orders", "events", "customer", "part"):
-                df = df.repartition(cores)
             _DRIVER_CACHE[key] = df
         df.createOrReplaceTempView(t)
         return df

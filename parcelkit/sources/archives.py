@@ -4,14 +4,15 @@
 task per archive); ``mapInPandas`` walks each archive's members and yields
 their text lines in bounded batches. Members whose normalised path would
 escape the archive root (zip-slip) are reported and not read; ZIPs nested in
-the GIS bundle are opened one level deep; a corrupt archive yields one error
-row instead of failing the job.
+the GIS bundle are opened one level deep; an archive or member that cannot be
+read yields an error row instead of failing the job.
 """
 
 from __future__ import annotations
 
 import fnmatch
 import io
+import itertools
 import posixpath
 import zipfile
 
@@ -30,59 +31,59 @@ MEMBER_SCHEMA = ("archive string, category string, member string, unsafe boolean
 
 def _unsafe(name: str) -> bool:
     norm = posixpath.normpath(name.replace("\\", "/"))
-    return name.startswith("/") or norm == ".." or norm.startswith("../") or ":" in name.split("/")[0]
+    drive = len(norm) > 1 and norm[1] == ":" and norm[0].isalpha() and norm[2:3] == "/"     # "c:/..." leaves the root
+    return norm.startswith("/") or norm == ".." or norm.startswith("../") or drive
+
+
+def _member_rows(zf: zipfile.ZipFile, info: zipfile.ZipInfo):
+    """(line number, line) of a member; an empty member has one row without a line."""
+    with zf.open(info) as fh:
+        n = 0
+        for n, line in enumerate(io.TextIOWrapper(fh, encoding="utf-8", errors="replace", newline=None), start=1):
+            yield n, line.rstrip("\n")
+        if n == 0:
+            yield None, None
 
 
 def _rows_of(archive: str, category: str, data: bytes, nested: bool, with_lines: bool):
-    """Yield dict rows for one archive (and, for the GIS bundle, the ZIPs inside it)."""
+    """Tuples of ``MEMBER_SCHEMA`` for one archive (and, for the GIS bundle, the ZIPs inside it).
+
+    Whatever fails ends as an error row: of the archive if it cannot be listed, else of the member, and the other
+    members are still read.
+    """
     try:
         zf = zipfile.ZipFile(io.BytesIO(data))
-        infos = zf.infolist()
-    except Exception as e:  # corrupt archive: one error row
-        yield dict(archive=archive, category=category, member=None, unsafe=False, member_bytes=None,
-                   line_no=None, line=None, error=type(e).__name__)
+        infos = [i for i in zf.infolist() if not i.is_dir()]
+    except Exception as e:
+        yield archive, category, None, False, None, None, None, type(e).__name__
         return
     for info in infos:
-        if info.is_dir():
-            continue
-        name = info.filename
+        name, size = info.filename, info.file_size
         if _unsafe(name):
-            yield dict(archive=archive, category=category, member=name, unsafe=True, member_bytes=info.file_size,
-                       line_no=None, line=None, error=None)
-            continue
-        if nested and name.lower().endswith(".zip"):
-            inner = zf.read(info)
-            yield from _rows_of(f"{archive}!{name}", category, inner, False, with_lines)
+            yield archive, category, name, True, size, None, None, None
             continue
-        if not with_lines:
-            yield dict(archive=archive, category=category, member=name, unsafe=False, member_bytes=info.file_size,
-                       line_no=None, line=None, error=None)
-            continue
-        with zf.open(info) as fh:
-            text = io.TextIOWrapper(fh, encoding="utf-8", errors="replace", newline=None)
-            n = 0
-            for n, line in enumerate(text, start=1):
-                yield dict(archive=archive, category=category, member=name, unsafe=False,
-                           member_bytes=info.file_size, line_no=n, line=line.rstrip("\n"), error=None)
-            if n == 0:
-                yield dict(archive=archive, category=category, member=name, unsafe=False,
-                           member_bytes=info.file_size, line_no=None, line=None, error=None)
+        try:
+            if nested and name.lower().endswith(".zip"):
+                yield from _rows_of(f"{archive}!{name}", category, zf.read(info), False, with_lines)
+            elif with_lines:
+                for n, line in _member_rows(zf, info):
+                    yield archive, category, name, False, size, n, line, None
+            else:
+                yield archive, category, name, False, size, None, None, None
+        except Exception as e:
+            yield archive, category, name, False, size, None, None, type(e).__name__
 
 
 def _scan_batches(with_lines: bool):
+    names = [c.split()[0] for c in MEMBER_SCHEMA.split(", ")]
+
     def run(batches):
         for pdf in batches:
             for path, content in zip(pdf["path"], pdf["content"]):
-                base = posixpath.basename(path)
-                gis = base.lower() == GIS_BUNDLE
-                buf = []
-                for row in _rows_of(path, "gis" if gis else "pdata", bytes(content), gis, with_lines):
-                    buf.append(row)
-                    if len(buf) >= BATCH_LINES:
-                        yield pd.DataFrame(buf)
-                        buf = []
-                if buf:
-                    yield pd.DataFrame(buf)
+                gis = posixpath.basename(path).lower() == GIS_BUNDLE
+                rows = _rows_of(path, "gis" if gis else "pdata", bytes(content), gis, with_lines)
+                while some := list(itertools.islice(rows, BATCH_LINES)):
+                    yield pd.DataFrame(some, columns=names)
     return run
 
 
@@ -112,7 +113,7 @@ def archive_manifest(members: DataFrame) -> DataFrame:
     per_member = (members.groupBy("archive", "category", "member")
                   .agg(F.max("unsafe").alias("unsafe"), F.max("member_bytes").alias("member_bytes"),
                        F.max("error").alias("error")))
-    ok = F.col("member").isNotNull() & ~F.coalesce(F.col("unsafe"), F.lit(False))
+    ok = F.col("member").isNotNull() & ~F.coalesce(F.col("unsafe"), F.lit(False)) & F.col("error").isNull()
     roots = F.create_map(*[F.lit(x) for kv in CATEGORY_ROOT.items() for x in kv])
     stem = F.regexp_replace(F.element_at(F.split(F.col("archive"), "[/!]"), -1), r"(?i)\.zip$", "")
     return (per_member.groupBy("archive", "category").agg(

@@ -3,8 +3,8 @@
 For every ``<a href=...>`` whose href contains ``pattern`` (case-insensitive,
 anywhere — the source looks for ``.zip``), resolve it against the page URL,
 keep http/https only, and derive the file name from the URL path's last
-segment (the host when the path has none). Distinct per page, sorted.
-Pure DataFrame expressions: ``regexp_extract_all`` + ``explode`` + regex rewrites.
+segment (the host when the path has none). Distinct per page.
+Pure DataFrame expressions: ``regexp_extract_all`` + ``explode`` + an array fold over path segments.
 """
 
 from __future__ import annotations
@@ -17,8 +17,6 @@ from pyspark.sql import functions as F
 HREF = r"""(?i)<a\s[^>]*?href\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>"']+))"""
 # script bodies and comments hold no anchors an HTML parser would see
 NOT_MARKUP = r"(?is)<script.*?</script>|<!--.*?-->"
-# a path segment other than "." and ".." followed by "/../"
-DOT_DOT = r"/(?:[^/?#.][^/?#]*|\.[^/?#.][^/?#]*|\.\.[^/?#]+)/\.\./"
 
 
 def _resolve(base, href):
@@ -36,19 +34,28 @@ def _resolve(base, href):
               .when(href.startswith("#"), F.concat(no_frag, href))
               .when(href == "", no_frag)
               .otherwise(F.concat(dir_, href)))
-    # dot segments are removed from the path only (never from scheme://authority)
+    # dot segments are removed from the path only (never from scheme://authority, query or fragment)
     authority = r"^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*"
     pre = F.regexp_extract(joined, f"({authority})", 1)
     rest = F.regexp_replace(joined, authority, "")
-    rest = F.regexp_replace(rest, r"/\./", "/")
-    for _ in range(4):  # bounded passes keep it one expression
-        rest = F.regexp_replace(rest, DOT_DOT, "/")
-    rest = F.regexp_replace(rest, r"^(?:/\.\.)+/", "/")  # ".." above the root stays at the root
-    return F.concat(pre, rest)
+    return F.concat(pre, _without_dots(F.regexp_extract(rest, r"^[^?#]*", 0)), F.regexp_extract(rest, r"[?#].*$", 0))
+
+
+def _without_dots(path):
+    """``path`` with its ``.`` and ``..`` segments worked off, at any depth; ``..`` above the root stays at the root."""
+    parts = F.slice(F.split(path, "/"), 2, F.length(path) + 1)
+    kept = F.aggregate(parts, F.array().cast("array<string>"), lambda done, s: (
+        F.when(s == ".", done)
+        .when(s == "..", F.slice(done, 1, F.greatest(F.size(done) - 1, F.lit(0))))
+        .otherwise(F.array_append(done, s))))
+    ends_in_dots = F.element_at(parts, -1).isin(".", "..")
+    whole = F.concat(F.lit("/"), F.array_join(kept, "/"), F.when(ends_in_dots & (F.size(kept) > 0), F.lit("/")).otherwise(
+        F.lit("")))
+    return F.when(path.startswith("/") & F.exists(parts, lambda s: s.isin(".", "..")), whole).otherwise(path)
 
 
 def page_links(pages: DataFrame, pattern: str = ".zip") -> DataFrame:
-    """``page_id, url, link, file_name`` for each distinct matching link of each page, sorted by link."""
+    """``page_id, url, link, file_name`` for each distinct matching link of each page (sort where it is shown)."""
     html = F.regexp_replace(F.col("html"), NOT_MARKUP, "")
     anchors = pages.select("page_id", "url", F.explode(F.regexp_extract_all(html, F.lit(HREF), F.lit(0))).alias("tag"))
     href = F.trim(F.coalesce(
@@ -63,6 +70,4 @@ def page_links(pages: DataFrame, pattern: str = ".zip") -> DataFrame:
     path = F.regexp_extract("link", r"^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*([^?#]*)", 1)
     host = F.regexp_extract("link", r"^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)", 1)
     base = F.element_at(F.split(path, "/"), -1)
-    return (links.distinct()
-            .select("page_id", "url", "link", F.when(base != "", base).otherwise(host).alias("file_name"))
-            .orderBy("page_id", "link"))
+    return links.distinct().select("page_id", "url", "link", F.when(base != "", base).otherwise(host).alias("file_name"))

@@ -4,7 +4,7 @@ import os
 import zipfile
 
 from parcelkit.sources.archives import archive_manifest, archive_scan, member_table
-from parcelkit.sources.codebook import read_codebook, struct_for
+from parcelkit.sources.codebook import read_codebook, with_key
 from parcelkit.sources.pages import page_links
 from parcelkit.sources.tsv import clean_cells, missing_key_columns, project_to_schema, raw_scan, tsv_scan
 
@@ -58,10 +58,10 @@ def test_dirty_codebook(spark, tmpdir_path):
     cb = read_codebook(spark, os.path.join(tmpdir_path, "cb"))
     cols = cb["t"]
     assert [c.name for c in cols] == ["acct", "name", "val"]
-    assert cols[0].size is None and cols[1].data_type == "varchar" and cols[1].size == 40
-    assert cols[2].allow_null is False
-    st = struct_for(cols, pk=("acct",))
-    assert st["acct"].nullable is False and st["name"].metadata["size"] == 40
+    assert cols[0].metadata["size"] is None and cols[1].metadata == {"data_type": "varchar", "size": 40, "comment": "Name"}
+    assert cols[2].nullable is False
+    st = with_key(cols, pk=("acct",))
+    assert st["acct"].nullable is False and st["val"].nullable and st["name"].metadata["size"] == 40
 
 
 def _zip(members):
@@ -94,6 +94,20 @@ def test_archives(spark, tmpdir_path):
     assert {os.path.basename(r["archive"]) for r in only.collect()} == {"Real_acct_owner.zip"}
 
 
+def test_damaged_member_and_odd_names(spark, tmpdir_path):
+    root = os.path.join(tmpdir_path, "dl")
+    data = bytearray(_zip([("good.txt", "a\n"), ("bad.txt", "b" * 50), ("a:b.txt", "c\n"), ("c:/x.txt", "d\n")]))
+    at = data.find(b"b" * 50)
+    data[at] ^= 255                                       # its checksum no longer fits
+    _write(os.path.join(root, "x.zip"), bytes(data))
+    rows = archive_scan(spark, root).collect()
+    assert {r["member"]: (r["unsafe"], r["error"]) for r in rows if r["line"] is None} == {
+        "bad.txt": (False, "BadZipFile"), "c:/x.txt": (True, None)}
+    assert {r["line"] for r in rows if r["member"] in ("good.txt", "a:b.txt")} == {"a", "c"}
+    one = archive_manifest(archive_scan(spark, root)).first()
+    assert (one["extracted_files"], one["skipped_members"], one["error"]) == (2, 1, "BadZipFile")
+
+
 def test_page_links_resolution(spark):
     html = ('<html><a href="/data/Real_2025.zip">a</a><A HREF=\'sub/GIS.ZIP?x=1\'>b</A>'
             '<a href="https://cdn.example.org/x.zip#f">c</a><a href="ftp://h/y.zip">d</a>'
@@ -113,6 +127,16 @@ def test_page_links_resolution(spark):
     ])
 
 
+def test_page_links_equal_urljoin_at_any_depth(spark):
+    from urllib.parse import urljoin
+    base = "http://h.org/a/b/c/d/e/f/g/x.html"
+    hrefs = ["../" * n + "z.zip" for n in range(12)] + ["./z.zip", "q/../z.zip", "../../q/./r/../../z.zip", "/a/../../z.zip",
+             "z.zip?p=/../x", "z.zip#/../x", "..zip/../z.zip", "...zip", "m/..", "zip/.", "/zip/a/.."]
+    html = "".join(f'<a href="{h}">x</a>' for h in hrefs)
+    df = spark.createDataFrame([(1, base, html)], "page_id long, url string, html string")
+    assert {r["link"] for r in page_links(df, "").collect()} == {urljoin(base, h) for h in hrefs}
+
+
 def test_archive_table_header_per_member(spark, tmpdir_path):
     from parcelkit.sources.archives import archive_table
     root = os.path.join(tmpdir_path, "z")
