@@ -36,7 +36,8 @@ from parcelkit.plans import views as V  # noqa: E402
 from parcelkit.plans.load import load_tables  # noqa: E402
 from parcelkit.plans.sql import register, sql_select  # noqa: E402
 from parcelkit.session import ensure_checkpoint_dir  # noqa: E402
-from parcelkit.sources.codebook import ColumnDef  # noqa: E402
+from parcelkit.sources.codebook import column  # noqa: E402
+from pyspark.sql import types as T  # noqa: E402
 from parcelkit.sources.archives import archive_scan, archive_table  # noqa: E402
 from parcelkit.sources.pages import page_links  # noqa: E402
 from parcelkit.sources.tsv import clean_cells, tsv_scan  # noqa: E402
@@ -131,7 +132,7 @@ def _queries() -> dict[str, _Query]:
         base = f"{ensure_checkpoint_dir(spark).rstrip('/')}/load-{uuid.uuid4().hex}"
         drop = t.with_table("real_acct", t["real_acct"].join(t["real_acct_not_p"], "acct", "left_semi"))
         cols = write_text_drop(drop, LOADED, f"{base}/drop")
-        codebook = {n: [ColumnDef(c, "varchar", None, True) for c in cs] for n, cs in cols.items()}
+        codebook = {n: T.StructType([column(c) for c in cs]) for n, cs in cols.items()}
         return load_tables(spark, f"{base}/drop", codebook, f"{base}/clean")
 
     def drops_round_trip(t):

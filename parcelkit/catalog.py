@@ -109,26 +109,6 @@ def primary_key(table: str) -> tuple[str, ...]:
     return KEYS.get(table, KeySpec()).primary_key
 
 
-def parents_first(tables) -> list[str]:
-    """Order table names so every single-column FK parent precedes its children.
-
-    This is metadata ordering over at most a few dozen names (not data work);
-    the DataFrame DAG itself already forces parent-first evaluation.
-    """
-    names = list(tables)
-    done: list[str] = []
-    pending = set(names)
-    while pending:
-        ready = sorted(t for t in pending
-                       if all(p not in pending or p == t
-                              for _, p, _ in KEYS.get(t, KeySpec()).single_column_fks))
-        if not ready:  # a cycle cannot occur in the catalogue; keep input order if it did
-            ready = sorted(pending)
-        done.extend(ready)
-        pending.difference_update(ready)
-    return done
-
-
 def load_levels(tables) -> list[list[str]]:
     """Group table names into levels: every single-column FK parent sits in an earlier level.
 
@@ -150,3 +130,8 @@ def load_levels(tables) -> list[list[str]]:
     for t in sorted(names):
         out[level[t]].append(t)
     return out
+
+
+def parents_first(tables) -> list[str]:
+    """Table names with every single-column FK parent before its children."""
+    return [t for level in load_levels(tables) for t in level]

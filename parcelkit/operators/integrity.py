@@ -7,7 +7,7 @@ failure). Here each rule is one aggregate or one join over the whole table:
 * ``drop_null_keys``   – filter (no shuffle)
 * ``dedupe_keep_first`` – one ``groupBy(pk)`` with ``min_by`` (partial aggregation
   map-side, so a hot key costs one buffer per task, not one giant group)
-* ``reject_orphans``   – one join against the parent's distinct key set; AQE
+* ``reject_orphans``   – one semi (or anti) join against the parent's keys; AQE
   picks broadcast when the key set is small and splits skewed partitions otherwise
 """
 
@@ -77,17 +77,23 @@ def dedupe_keep_first(df: DataFrame, pk, order_cols=None) -> DataFrame:
     return kept.select(*[F.col(c) if c in pk else F.col(f"_first.{c}").alias(c) for c in cols])
 
 
-def _flag_orphans(child: DataFrame, parent: DataFrame, child_cols, parent_cols) -> DataFrame:
-    child_cols, parent_cols = list(child_cols), list(parent_cols)
-    keys = (parent.select(*[F.col(p).alias(f"_pk{i}") for i, p in enumerate(parent_cols)])
-                  .dropna().distinct().withColumn("_has_parent", F.lit(True)))
-    cond = reduce(lambda a, b: a & b,
-                  [child[c] == keys[f"_pk{i}"] for i, c in enumerate(child_cols)])
-    any_null = reduce(lambda a, b: a | b, [F.col(c).isNull() for c in child_cols])
-    joined = child.join(keys, cond, "left")
-    # a NULL foreign key never violates the constraint
-    return joined.withColumn("_orphan", ~any_null & F.col("_has_parent").isNull()) \
-                 .drop(*[f"_pk{i}" for i in range(len(parent_cols))], "_has_parent")
+def _with_parent_key(child: DataFrame, parent: DataFrame, child_cols, parent_cols):
+    """(child with its foreign key as one nullable value, parent keys, join condition).
+
+    A NULL in a foreign key never violates the constraint: such a key is NULL as a whole and meets a NULL row
+    added to the parent keys, by null-safe equality. No distinct: semi and anti joins need none.
+    """
+    child_cols, parent_cols = list(child_cols), list(parent_cols or child_cols)
+
+    def key(cols):
+        complete = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in cols])
+        parts = [F.col(c).cast("string").alias(f"k{i}") for i, c in enumerate(cols)]
+        return F.when(complete, parts[0] if len(cols) == 1 else F.struct(*parts))
+
+    keys = parent.select(key(parent_cols).alias("__parent_key"))
+    keys = keys.union(child.sparkSession.range(1).select(F.lit(None).cast(keys.schema[0].dataType)))
+    child = child.withColumn("__child_key", key(child_cols))
+    return child, keys, child["__child_key"].eqNullSafe(keys["__parent_key"])
 
 
 def reject_orphans(child: DataFrame, parent: DataFrame, child_cols=("acct",), parent_cols=None) -> DataFrame:
@@ -95,14 +101,14 @@ def reject_orphans(child: DataFrame, parent: DataFrame, child_cols=("acct",), pa
 
     ``parent`` must be the already cleaned parent so rejection cascades.
     """
-    parent_cols = parent_cols or child_cols
-    return _flag_orphans(child, parent, child_cols, parent_cols).where(~F.col("_orphan")).drop("_orphan")
+    child, keys, same = _with_parent_key(child, parent, child_cols, parent_cols)
+    return child.join(keys, same, "left_semi").drop("__child_key")
 
 
 def orphan_rows(child: DataFrame, parent: DataFrame, child_cols=("acct",), parent_cols=None) -> DataFrame:
     """Quarantine side of :func:`reject_orphans`."""
-    parent_cols = parent_cols or child_cols
-    return _flag_orphans(child, parent, child_cols, parent_cols).where(F.col("_orphan")).drop("_orphan")
+    child, keys, same = _with_parent_key(child, parent, child_cols, parent_cols)
+    return child.join(keys, same, "left_anti").drop("__child_key")
 
 
 def key_profile(df: DataFrame, pk, table_name: str = "", approx: bool = False, rsd: float = 0.01) -> DataFrame:
@@ -137,19 +143,15 @@ def fk_coverage(child: DataFrame, parent: DataFrame, child_cols=("acct",), paren
                 child_name: str = "", parent_name: str = "") -> DataFrame:
     """Child rows, rows with a NULL key, orphan rows and distinct orphan keys for one foreign key."""
     child_cols = list(child_cols)
-    parent_cols = list(parent_cols or child_cols)
-    flagged = _flag_orphans(child.select(*child_cols), parent, child_cols, parent_cols)
+    child = child.select(*child_cols)
     any_null = reduce(lambda a, b: a | b, [F.col(c).isNull() for c in child_cols])
-    orphan_key = F.when(F.col("_orphan"), F.struct(*[F.col(c) for c in child_cols]))
-    return flagged.agg(
-        F.lit(child_name).alias("child_table"),
-        F.lit(",".join(child_cols)).alias("child_columns"),
-        F.lit(parent_name).alias("parent_table"),
-        F.count(F.lit(1)).alias("child_rows"),
-        F.count_if(any_null).alias("null_key_rows"),
-        F.count_if(F.col("_orphan")).alias("orphan_rows"),
-        F.count_distinct(orphan_key).alias("distinct_orphan_keys"),
-    )
+    total = child.agg(F.count(F.lit(1)).alias("child_rows"), F.count_if(any_null).alias("null_key_rows"))
+    orphans = orphan_rows(child, parent, child_cols, parent_cols).agg(
+        F.count(F.lit(1)).alias("orphan_rows"),
+        F.count_distinct(F.struct(*[F.col(c) for c in child_cols])).alias("distinct_orphan_keys"))
+    return total.join(orphans, how="cross").select(        # two single rows
+        F.lit(child_name).alias("child_table"), F.lit(",".join(child_cols)).alias("child_columns"),
+        F.lit(parent_name).alias("parent_table"), "child_rows", "null_key_rows", "orphan_rows", "distinct_orphan_keys")
 
 
 def table_counts(tables: dict[str, DataFrame]) -> DataFrame:

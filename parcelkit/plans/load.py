@@ -19,10 +19,12 @@ import uuid
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..catalog import KEYS, KeySpec, load_levels, parents_first
 from ..operators import integrity as I
-from ..sources.codebook import ColumnDef, read_codebook
+from ..session import path_exists
+from ..sources.codebook import read_codebook
 from ..sources.tsv import find_table_files, project_to_schema, raw_scan, tsv_scan
 
 REPORT_SCHEMA = ("table_name string, status string, rows_read bigint, null_key_rows bigint, duplicate_rows bigint, "
@@ -40,7 +42,7 @@ def clean_table(spark: SparkSession, root: str, table: str, columns: list[str],
     the column): reported, never a failure, since Spark strings are unbounded.
     """
     pk = list(spec.primary_key)
-    raw = raw if raw is not None else raw_scan(spark, root, table, paths)  # the header is read once
+    raw = raw if raw is not None else raw_scan(spark, root, table, paths, ordered=True)  # the header is read once
     missing = [k for k in pk if k not in raw.columns]
     unexpected = project_to_schema(raw, columns)[1]
     run = uuid.uuid4().hex[:12]
@@ -65,13 +67,16 @@ def clean_table(spark: SparkSession, root: str, table: str, columns: list[str],
     return df, obs, unexpected, missing
 
 
-def load_tables(spark: SparkSession, root: str, codebook: dict[str, list[ColumnDef]] | str, out_dir: str,
+def load_tables(spark: SparkSession, root: str, codebook: dict[str, T.StructType] | str, out_dir: str,
                 tables=None, mode: str = "overwrite", parallel: int = 4) -> DataFrame:
     """Load every table found under ``root`` that the codebook describes; write Parquet to ``out_dir/<table>``.
 
     Returns a small report DataFrame (one row per table). A table whose file
     lacks a primary-key column loads no rows and is reported; a table that
-    fails is reported with its error and the others continue. Tables are
+    fails, or has several files of its name, is reported with its error and
+    the others continue. A parent that the codebook describes but that is
+    neither in this drop nor in ``out_dir`` counts as empty: its children's
+    rows are orphans, and the status says so. Tables are
     loaded level by level (parents before children); the tables of one level
     are independent and are written as concurrent jobs from ``parallel`` threads.
     """
@@ -79,7 +84,8 @@ def load_tables(spark: SparkSession, root: str, codebook: dict[str, list[ColumnD
 
     if isinstance(codebook, str):
         codebook = read_codebook(spark, codebook)
-    files = find_table_files(spark, root)
+    files, clashes = find_table_files(spark, root)
+    clashes = {t: why for t, why in clashes.items() if t in codebook and (tables is None or t in tables)}
     names = [t for t in sorted(set(files) & set(codebook)) if tables is None or t in tables]
     written: dict[str, DataFrame] = {}
     results: dict[str, tuple] = {}
@@ -92,19 +98,21 @@ def load_tables(spark: SparkSession, root: str, codebook: dict[str, list[ColumnD
                 results[t], df = f.result()
                 if df is not None:
                     written[t] = df
-    order = [t for t in parents_first(names)]
+    for t, why in clashes.items():
+        results[t] = _failed(t, why)
+    order = parents_first([*names, *clashes])
     return spark.createDataFrame([results[t] for t in order], REPORT_SCHEMA)
 
 
 def _load_one(spark, root, table, codebook, files, out_dir, mode, written):
     """Load one table; returns (report row, the written table read back, or None on error)."""
     spec = KEYS.get(table, KeySpec())
-    cols = [c.name for c in codebook[table]]
+    cols = codebook[table].fieldNames()
     path = os.path.join(out_dir, table)
     paths = files[table]
     try:
         pk = list(spec.primary_key)
-        raw = raw_scan(spark, root, table, paths)
+        raw = raw_scan(spark, root, table, paths, ordered=True)
         missing = [k for k in pk if k not in raw.columns]
         if missing:
             # every row has a NULL key: write the empty table, report what was quarantined
@@ -114,14 +122,38 @@ def _load_one(spark, root, table, codebook, files, out_dir, mode, written):
             unexpected = project_to_schema(raw, cols)[1]
             return ((table, "missing key columns", n_read, n_read, 0, 0, 0, ",".join(unexpected),
                      ",".join(missing), ""), spark.read.parquet(path))
-        sizes = {c.name: c.size for c in codebook[table]}
-        df, obs, unexpected, missing = clean_table(spark, root, table, cols, spec, written, paths, sizes, raw)
+        sizes = {c.name: c.metadata.get("size") for c in codebook[table]}
+        parents, absent = _parents(spark, table, spec, codebook, out_dir, written)
+        df, obs, unexpected, missing = clean_table(spark, root, table, cols, spec, parents, paths, sizes, raw)
         sized = obs.pop("_sized")
         df.write.mode(mode).parquet(path)
         got = {k: o.get for k, o in obs.items()}
         n = {k: v.get("n", 0) for k, v in got.items()}
         over = ",".join(f"{c}:{got['read'][f'over_{i}']}" for i, c, _ in sized if got["read"].get(f"over_{i}"))
-        return ((table, "ok", n["read"], n["read"] - n["keyed"], n["keyed"] - n["unique"], n["unique"] - n["kept"],
+        status = f"ok; parent not loaded: {','.join(absent)}" if absent else "ok"
+        return ((table, status, n["read"], n["read"] - n["keyed"], n["keyed"] - n["unique"], n["unique"] - n["kept"],
                  n["kept"], ",".join(unexpected), ",".join(missing), over), spark.read.parquet(path))
     except Exception as e:  # keep loading the other tables, as the source does
-        return (table, f"error: {type(e).__name__}: {str(e)[:200]}", None, None, None, None, None, "", "", ""), None
+        return _failed(table, f"{type(e).__name__}: {str(e)[:200]}"), None
+
+
+def _failed(table: str, why: str) -> tuple:
+    return table, f"error: {why}", None, None, None, None, None, "", "", ""
+
+
+def _parents(spark, table, spec, codebook, out_dir, written) -> tuple[dict[str, DataFrame], list[str]]:
+    """The table's parents as loaded now or before; those that should exist and do not are empty frames."""
+    found, absent = {}, []
+    for _, parent, _ in spec.single_column_fks:
+        if parent == table or parent not in codebook:
+            continue
+        path = os.path.join(out_dir, parent)
+        if parent in written:
+            found[parent] = written[parent]
+        elif path_exists(spark, path):
+            found[parent] = spark.read.parquet(path)
+        else:
+            found[parent] = spark.createDataFrame([], T.StructType([T.StructField(c, T.StringType()) for c in
+                                                                    codebook[parent].fieldNames()]))
+            absent.append(parent)
+    return found, sorted(set(absent))

@@ -10,6 +10,8 @@ keep the *first* row in file order even when a file is split across tasks.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -44,41 +46,62 @@ def _reader(spark: SparkSession):
             .option("encoding", "UTF-8").option("recursiveFileLookup", True))
 
 
-def find_table_files(spark: SparkSession, root: str) -> dict[str, list[str]]:
-    """Table name -> data files below ``root``: a single ``<table>.txt``, or the ``part-*`` files of a
-    folder named ``<table>`` (a table written by a distributed job). A listing, no data read."""
-    files = (spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root)
-             .select("path").collect())
+def find_table_files(spark: SparkSession, root: str) -> tuple[dict[str, list[str]], dict[str, str]]:
+    """Data files of every table below ``root``, and the tables that cannot be read, with the reason.
+
+    A table is a single ``<table>.txt``, or the ``part-*`` files of a folder named ``<table>`` (written by a
+    distributed job). A listing, no data read; names of other files do not reach the driver.
+    """
+    name = F.element_at(F.split("path", "/"), -1)
+    files = (spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root).select("path")
+             .where(name.rlike(r"^part-|^[^_.].*[.]txt$")))
     singles: dict[str, list[str]] = {}
     parts: dict[str, list[str]] = {}
-    for r in files:
-        path = r["path"]
-        name = path.rsplit("/", 1)[-1]
-        if name.startswith(("_", ".")):
-            continue
-        if name.startswith("part-"):
-            parts.setdefault(path.rsplit("/", 2)[-2], []).append(path)
-        elif name.endswith(".txt"):
-            singles.setdefault(name[:-4], []).append(path)
+    for path in sorted(r["path"] for r in files.collect()):
+        folder, base = path.rsplit("/", 2)[-2:]
+        if base.startswith("part-"):
+            parts.setdefault(folder, []).append(path)
+        else:
+            singles.setdefault(base[:-4], []).append(path)
+    clashes = {t: f"more than one file named {t}.txt: {', '.join(p[:3])}" for t, p in singles.items() if len(p) > 1}
+    clashes |= {t: f"both {t}.txt and a folder of part files" for t in singles.keys() & parts.keys()}
+    return {t: p for t, p in {**singles, **parts}.items() if t not in clashes}, clashes
+
+
+def _headers(spark: SparkSession, paths: list[str]) -> dict[str, list[str]]:
+    """Files by their header line (only that line of each file is read)."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
     out: dict[str, list[str]] = {}
-    for table, paths in singles.items():
-        if len(paths) > 1:
-            raise ValueError(f"{table}: more than one file named {table}.txt under {root}: {sorted(paths)[:3]}")
-        out[table] = paths
-    for table, paths in parts.items():
-        if table in out:
-            raise ValueError(f"{table}: both {table}.txt and a folder of part files under {root}")
-        out[table] = sorted(paths)
+    for path in paths:
+        p = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(path)) if "://" in path or path.startswith("file:") else (
+            jvm.org.apache.hadoop.fs.Path(path))
+        reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(p.getFileSystem(conf).open(p), "UTF-8"))
+        header = reader.readLine()
+        reader.close()
+        if header:
+            out.setdefault(header, []).append(path)
     return out
 
 
-def raw_scan(spark: SparkSession, root: str, table: str, paths: list[str] | None = None) -> DataFrame:
-    """The table's text file(s) as strings, with the header as column names."""
+def raw_scan(spark: SparkSession, root: str, table: str, paths: list[str] | None = None,
+             ordered: bool = False) -> DataFrame:
+    """The table's text file(s) as strings with the header as column names (``ordered``: and ``_row_order``).
+
+    Part files with different headers are scanned apart and united by column name.
+    """
     if paths is None:
-        paths = find_table_files(spark, root).get(table)
+        files, clashes = find_table_files(spark, root)
+        if table in clashes:
+            raise ValueError(clashes[table])
+        paths = files.get(table)
         if not paths:
             raise FileNotFoundError(f"no data file for table {table} under {root}")
-    return _reader(spark).csv(paths)
+    groups = list(_headers(spark, paths).values()) if len(paths) > 1 else [paths]
+    order = F.struct(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"),
+                     F.monotonically_increasing_id().alias("pos"))
+    scans = [_reader(spark).csv(g) for g in groups or [paths[:1]]]
+    scans = [s.withColumn(ORDER_COL, order) for s in scans] if ordered else scans
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), scans)
 
 
 def project_to_schema(df: DataFrame, columns) -> tuple[DataFrame, list[str]]:
@@ -97,13 +120,9 @@ def tsv_scan(spark: SparkSession, root: str, table: str, columns=None, clean: bo
     """Scan one table's text file(s): header-driven projection onto ``columns`` plus ``_row_order``.
 
     With ``columns=None`` the header's columns are kept as they are. ``raw`` reuses a
-    :func:`raw_scan` of the same files (its header was already read).
+    :func:`raw_scan` of the same files with ``ordered=True`` (its header was already read).
     """
-    df = raw if raw is not None else raw_scan(spark, root, table, paths)
-    order = F.struct(F.col("_metadata.file_path").alias("file"),
-                     F.col("_metadata.file_block_start").alias("start"),
-                     F.monotonically_increasing_id().alias("pos"))
-    df = df.withColumn(ORDER_COL, order)
+    df = raw if raw is not None else raw_scan(spark, root, table, paths, ordered=True)
     if columns is not None:
         df, _ = project_to_schema(df, list(columns))
     if clean:

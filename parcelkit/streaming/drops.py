@@ -1,57 +1,60 @@
 """Incremental loading of new yearly drops with Structured Streaming.
 
-New text files arriving under ``<landing>/<table>/`` are read by the streaming
-file source; every micro-batch runs the loader's rules (clean cells, drop rows
-with a NULL key, keep the first row per key in file order) and appends only the
-keys the target table does not hold yet — the source database's
-``INSERT … ON CONFLICT DO NOTHING``: a key loaded by an earlier drop keeps its
-row. Because the append is an anti-join against the table's current keys, a
-micro-batch that is retried after a failure adds nothing twice. Progress is
+New text files arriving under ``<landing>/<table>/`` are found by the streaming
+file source; every micro-batch scans its files with the loader's text reader
+(header by name, whatever the column order) and runs the loader's rules: clean
+cells, drop rows with a NULL key, keep the first row per key in file order,
+reject orphans, and append only the keys the target table does not hold yet —
+the source database's ``INSERT … ON CONFLICT DO NOTHING``: a key loaded by an
+earlier drop keeps its row. Because the append is an anti-join against the
+table's current keys, a micro-batch that is retried after a failure adds
+nothing twice. A table without a key has no such test: its batches are written
+as partitions ``drop=<batch>``, and a retry overwrites its own. Progress is
 tracked in a checkpoint folder on shared storage.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..operators.integrity import ORDER_COL, dedupe_keep_first, drop_null_keys
-from ..sources.tsv import clean_cells
+from ..operators.integrity import ORDER_COL, dedupe_keep_first, drop_null_keys, reject_orphans
+from ..session import path_exists
+from ..sources.tsv import tsv_scan
 
-
-def _existing_keys(spark: SparkSession, target: str, pk) -> DataFrame | None:
-    from ..session import path_exists
-    if not path_exists(spark, target):  # first batch: the table does not exist yet
-        return None
-    return spark.read.parquet(target).select(*pk)
+# --- fixed values: the columns of Spark's binary file source ---------------------
+FILES = T.StructType([T.StructField("path", T.StringType()), T.StructField("modificationTime", T.TimestampType()),
+                      T.StructField("length", T.LongType()), T.StructField("content", T.BinaryType())])
 
 
 def stream_drops(spark: SparkSession, landing: str, table: str, columns, pk, target: str, checkpoint: str,
-                 available_now: bool = True):
+                 available_now: bool = True, parents=()):
     """Start the incremental load of ``table``; returns the ``StreamingQuery``.
 
     ``available_now=True`` processes every file present and stops (a scheduled
-    run per drop); ``False`` keeps watching the folder.
+    run per drop); ``False`` keeps watching the folder. ``parents`` lists
+    foreign keys as (child columns, path of the parent's table, parent columns).
     """
-    pk = list(pk)
-    schema = T.StructType([T.StructField(c, T.StringType(), True) for c in columns])
-    src = (spark.readStream.schema(schema).option("sep", "\t").option("header", True).option("quote", "")
-           .option("escape", "").option("mode", "PERMISSIVE").option("recursiveFileLookup", True)
-           .csv(f"{landing.rstrip('/')}/{table}"))
-    src = clean_cells(src, list(columns)).select(
-        *columns, F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_start"))
+    pk, columns = list(pk), list(columns)
+    files = (spark.readStream.format("binaryFile").schema(FILES).option("recursiveFileLookup", True)
+             .load(f"{landing.rstrip('/')}/{table}").select("path"))     # contents are not read here
 
     def load_batch(batch: DataFrame, epoch_id: int) -> None:
-        # file order inside the micro-batch: (file, split start, position in the split)
-        batch = batch.select(*columns, F.struct(F.col("_file").alias("file"), F.col("_start").alias("start"),
-                                                F.monotonically_increasing_id().alias("pos")).alias(ORDER_COL))
-        fresh = dedupe_keep_first(drop_null_keys(batch, pk), pk)
-        have = _existing_keys(batch.sparkSession, target, pk)
-        if have is not None:
-            fresh = fresh.join(have, pk, "left_anti")
-        fresh.drop(ORDER_COL).write.mode("append").parquet(target)
-
-    writer = src.writeStream.foreachBatch(load_batch).option("checkpointLocation", checkpoint)
+        session = batch.sparkSession
+        paths = sorted(r["path"] for r in batch.collect())               # the names of a drop's files
+        if not paths:
+            return
+        fresh = drop_null_keys(tsv_scan(session, landing, table, columns, paths=paths), pk)
+        fresh = dedupe_keep_first(fresh, pk).drop(ORDER_COL)
+        for child_cols, parent, parent_cols in parents:
+            fresh = reject_orphans(fresh, session.read.parquet(parent), child_cols, parent_cols)
+        if not pk:
+            fresh.write.mode("overwrite").parquet(f"{target}/drop={epoch_id}")
+            return
+        if path_exists(session, target):  # else this is the first batch
+            fresh = fresh.join(session.read.parquet(target).select(*pk), pk, "left_anti")
+        fresh.write.mode("append").parquet(target)
+
+    writer = files.writeStream.foreachBatch(load_batch).option("checkpointLocation", checkpoint)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
     return writer.start()

@@ -5,7 +5,9 @@ from pyspark.sql import functions as F
 
 from parcelkit.fixtures import Tables
 from parcelkit.plans.load import load_tables
-from parcelkit.sources.codebook import ColumnDef
+from pyspark.sql import types as T
+
+from parcelkit.sources.codebook import column
 
 SF = "/root/testdata/sf0.001"
 
@@ -29,12 +31,12 @@ def test_load_tables_round_trip(spark, tmpdir_path):
                ["acct", "bld_num", "heat_ar"])
     _write_tsv(br.select("acct", "heat_ar"), os.path.join(root, "c", "building_other.txt"), ["acct", "heat_ar"])
     codebook = {
-        "real_acct": [ColumnDef("acct", "varchar", 13, False), ColumnDef("state_class", "varchar", 1, True),
-                      ColumnDef("tot_mkt_val", "varchar", 20, True), ColumnDef("not_in_file", "varchar", 5, True)],
-        "building_res": [ColumnDef("acct", "varchar", 13, False), ColumnDef("bld_num", "varchar", 10, False),
-                         ColumnDef("heat_ar", "varchar", 10, True)],
-        "building_other": [ColumnDef("acct", "varchar", 13, False), ColumnDef("bld_num", "varchar", 10, False),
-                           ColumnDef("heat_ar", "varchar", 10, True)],
+        "real_acct": T.StructType([column("acct", 13, False), column("state_class", 1, True),
+                      column("tot_mkt_val", 20, True), column("not_in_file", 5, True)]),
+        "building_res": T.StructType([column("acct", 13, False), column("bld_num", 10, False),
+                         column("heat_ar", 10, True)]),
+        "building_other": T.StructType([column("acct", 13, False), column("bld_num", 10, False),
+                           column("heat_ar", 10, True)]),
     }
     rep = {r["table_name"]: r for r in load_tables(spark, root, codebook, out).collect()}
 
@@ -74,7 +76,7 @@ def test_table_without_key_gets_row_id(spark, tmpdir_path):
     os.makedirs(root)
     with open(os.path.join(root, "t_pp_e.txt"), "w") as f:
         f.write("a\tb\nx\t1\nx\t1\n\t\n")
-    cb = {"t_pp_e": [ColumnDef("a", "varchar", None, True), ColumnDef("b", "varchar", None, True)]}
+    cb = {"t_pp_e": T.StructType([column("a", None, True), column("b", None, True)])}
     rep = load_tables(spark, root, cb, os.path.join(tmpdir_path, "out")).first()
     # no key: duplicates stay; the whitespace-only line is skipped by the CSV reader (documented difference)
     assert rep["rows_kept"] == 2 and rep["duplicate_rows"] == 0
@@ -106,3 +108,59 @@ def test_load_tables_from_codebook_folder(spark, tmpdir_path):
     assert rep["unexpected_columns"] == "extra" and rep["over_length_columns"] == "name:1"
     got = {r["acct"]: r["name"] for r in spark.read.parquet(os.path.join(tmpdir_path, "out", "owners")).collect()}
     assert got == {"1": "ALICE SMITH", "2": "BOB"}
+
+
+def _drop(tmpdir_path, **files):
+    root = os.path.join(tmpdir_path, "drop")
+    for name, text in files.items():
+        path = os.path.join(root, name.replace("__", "/") + ".txt")
+        os.makedirs(os.path.dirname(path), exist_ok=True)
+        with open(path, "w") as f:
+            f.write(text)
+    return root
+
+
+BOOK = {"real_acct": T.StructType([column("acct"), column("v")]),
+        "owners": T.StructType([column("acct"), column("ln_num"), column("name")])}
+
+
+def test_children_of_an_absent_parent_are_rejected(spark, tmpdir_path):
+    root = _drop(tmpdir_path, owners="acct\tln_num\tname\n1\t1\tA\n2\t1\tB\n")
+    rep = load_tables(spark, root, BOOK, os.path.join(tmpdir_path, "out")).first()
+    assert (rep["rows_read"], rep["orphan_rows"], rep["rows_kept"]) == (2, 2, 0)
+    assert rep["status"] == "ok; parent not loaded: real_acct"
+    # a parent that an earlier run loaded counts
+    out = os.path.join(tmpdir_path, "out2")
+    spark.createDataFrame([("1", "x")], "acct string, v string").write.parquet(os.path.join(out, "real_acct"))
+    rep = load_tables(spark, root, BOOK, out).first()
+    assert (rep["status"], rep["orphan_rows"], rep["rows_kept"]) == ("ok", 1, 1)
+
+
+def test_a_duplicate_file_fails_only_its_table(spark, tmpdir_path):
+    root = _drop(tmpdir_path, a__real_acct="acct\tv\n1\tx\n", b__owners="acct\tln_num\tname\n1\t1\tA\n",
+                 c__owners="acct\tln_num\tname\n1\t2\tB\n", d__other="q\n1\n", e__other="q\n2\n")
+    rep = {r["table_name"]: r for r in load_tables(spark, root, BOOK, os.path.join(tmpdir_path, "out")).collect()}
+    assert set(rep) == {"real_acct", "owners"} and rep["real_acct"]["rows_kept"] == 1
+    assert rep["owners"]["status"].startswith("error: more than one file")
+
+
+def test_part_files_with_other_column_orders(spark, tmpdir_path):
+    root = os.path.join(tmpdir_path, "drop", "real_acct")
+    os.makedirs(root)
+    for k, text in enumerate(("acct\tv\nA\tk1\n", "v\tacct\nk2\tB\n", "acct\tw\nC\tz\n", "")):
+        with open(os.path.join(root, f"part-{k}.csv"), "w") as f:
+            f.write(text)
+    rep = load_tables(spark, os.path.dirname(root), BOOK, os.path.join(tmpdir_path, "out")).first()
+    got = {r["acct"]: r["v"] for r in spark.read.parquet(os.path.join(tmpdir_path, "out", "real_acct")).collect()}
+    assert got == {"A": "k1", "B": "k2", "C": None} and rep["unexpected_columns"] == "w"
+
+
+def test_kept_rows_of_a_dirty_drop(spark, tmpdir_path):
+    """Duplicates whose first row differs, missing keys, orphans, a NULL foreign key."""
+    root = _drop(tmpdir_path, real_acct="acct\tv\n1\tfirst\n 1 \tsecond\n2\tx\n\tno key\n",
+                 owners="name\tln_num\tacct\nA\t1\t1\nB\t1\t1\nC\t1\t9\nD\t\t1\nE\t2\t2\n")
+    out = os.path.join(tmpdir_path, "out")
+    load_tables(spark, root, BOOK, out)
+    read = lambda t: sorted(map(tuple, spark.read.parquet(os.path.join(out, t)).collect()))
+    assert read("real_acct") == [("1", "first"), ("2", "x")]
+    assert read("owners") == [("1", "1", "A"), ("2", "2", "E")]

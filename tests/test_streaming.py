@@ -23,3 +23,20 @@ def test_second_drop_keeps_existing_keys(spark, tmpdir_path):
     q.awaitTermination(120)
     got = {r["acct"]: r["val"] for r in spark.read.parquet(target).collect()}
     assert got == {"1": "a", "2": "b", "3": "c"}
+
+
+def test_header_by_name_parents_and_tables_without_key(spark, tmpdir_path):
+    landing, target, ckpt = (os.path.join(tmpdir_path, x) for x in ("landing", "table", "ckpt"))
+    parent = os.path.join(tmpdir_path, "parent")
+    spark.createDataFrame([("1",), ("2",)], "acct string").write.parquet(parent)
+    _write(f"{landing}/owners/a.txt", "val\tacct\nx\t1\ny\t9\n")
+    _write(f"{landing}/owners/b.txt", "acct\textra\tval\n2\tq\tz\n")
+    stream_drops(spark, landing, "owners", ["acct", "val"], ["acct"], target, ckpt,
+                 parents=[(["acct"], parent, ["acct"])]).awaitTermination(120)
+    assert {r["acct"]: r["val"] for r in spark.read.parquet(target).collect()} == {"1": "x", "2": "z"}
+
+    for k in (1, 2):
+        _write(f"{landing}/t_pp_e/drop{k}.txt", f"a\tb\nx\t{k}\nx\t{k}\n")
+        stream_drops(spark, landing, "t_pp_e", ["a", "b"], [], target + "2", ckpt + "2").awaitTermination(120)
+    assert sorted(tuple(r) for r in spark.read.parquet(target + "2").select("a", "b").collect()) == [
+        ("x", "1"), ("x", "1"), ("x", "2"), ("x", "2")]
