@@ -23,8 +23,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-from parcelkit.catalog import primary_key  # noqa: E402
-from parcelkit.fixtures import AS_OF, PARAMS, Tables, write_text_drop, write_zip_drop  # noqa: E402
+from parcelkit.catalog import foreign_keys, primary_key  # noqa: E402
+from parcelkit.fixtures import AS_OF, DERIVED, PARAMS, Tables, write_text_drop, write_zip_drop  # noqa: E402
 from parcelkit.functions.exprs import safe_num  # noqa: E402
 from parcelkit.functions.portable import portable  # noqa: E402
 from parcelkit.operators import integrity as I  # noqa: E402
@@ -38,7 +38,7 @@ from parcelkit.plans.sql import register, sql_select  # noqa: E402
 from parcelkit.session import ensure_checkpoint_dir  # noqa: E402
 from parcelkit.sources.codebook import column  # noqa: E402
 from pyspark.sql import types as T  # noqa: E402
-from parcelkit.sources.archives import archive_scan, archive_table  # noqa: E402
+from parcelkit.sources.archives import archive_manifest, archive_scan, archive_table  # noqa: E402
 from parcelkit.sources.pages import page_links  # noqa: E402
 from parcelkit.sources.tsv import clean_cells, tsv_scan  # noqa: E402
 from parcelkit.streaming.drops import stream_drops  # noqa: E402
@@ -108,8 +108,7 @@ def _queries() -> dict[str, _Query]:
                 ("fixtures", ("acct", "bld_num", "type")), ("jur_value", ("acct", "tax_district")),
                 ("deeds", ("acct", "deed_id")), ("arb_protest_real", ("acct", "protested_dt")),
                 ("jur_exempt", ("acct", "tax_district", "exempt_cat"))]
-    counted = ["real_acct", "building_res", "fixtures", "extra_features", "owners", "deeds", "permits", "jur_value",
-               "jur_exempt", "arb_protest_real", "arb_hearings_real", "land"]
+    counted = DERIVED
 
     def key_profiles(t):
         from functools import reduce
@@ -158,6 +157,23 @@ def _queries() -> dict[str, _Query]:
         write_zip_drop(t, "owners", root)
         return archive_table(archive_scan(spark, root), "owners", t["owners"].columns)
 
+    def zipped_manifest(t):
+        """The manifest of the owners table written as ZIP archives (input construction)."""
+        import uuid
+        from pyspark.sql import functions as F
+        spark = t["owners"].sparkSession
+        root = f"{ensure_checkpoint_dir(spark).rstrip('/')}/zips-{uuid.uuid4().hex}"
+        write_zip_drop(t, "owners", root)
+        return archive_manifest(archive_scan(spark, root, lines=False)).withColumn(
+            "archive", F.element_at(F.split("archive", "/"), -1))
+
+    def coverage(t):
+        """Every foreign key of the catalogue between derived tables; accounts are held against a reduced parent."""
+        from functools import reduce
+        rows = [I.fk_coverage(t[child], t["real_acct_not_p" if parent == "real_acct" else parent], cols, parent_cols, child, parent)
+                for child, cols, parent, parent_cols in foreign_keys(DERIVED)]
+        return reduce(DataFrame.unionByName, rows)
+
     def scanned_owners(t):
         """The owners table written as a text drop (input construction), read back by the text scan."""
         import uuid
@@ -169,6 +185,7 @@ def _queries() -> dict[str, _Query]:
     return {
         "tsv_scan": _q(scanned_owners, False),
         "archive_scan": _q(zipped_owners, False),
+        "archive_manifest": _q(zipped_manifest, False),
         "stream_drops": _q(drops_round_trip, False),
         # sources / cleaning / integrity
         "dedupe_keep_first": _q(lambda t: I.dedupe_keep_first(t["building_res"].select(*br_cols),
@@ -180,8 +197,7 @@ def _queries() -> dict[str, _Query]:
         "orphan_rows": _q(lambda t: I.orphan_rows(t["building_res"].select("acct", "bld_num", "heat_ar"),
                                                   t["real_acct_not_p"]), False),
         "key_profile": _q(key_profiles, False),
-        "fk_coverage": _q(lambda t: I.fk_coverage(t["building_res"], t["real_acct_not_p"], ("acct",), ("acct",),
-                                                  "building_res", "real_acct"), False),
+        "fk_coverage": _q(coverage, False),
         "table_counts": _q(lambda t: I.table_counts({n: t[n] for n in counted}), False),
         "length_overflow_report": _q(lambda t: I.length_overflow_report(t["building_res"], sizes, "building_res"),
                                      False),

@@ -109,6 +109,13 @@ def primary_key(table: str) -> tuple[str, ...]:
     return KEYS.get(table, KeySpec()).primary_key
 
 
+def foreign_keys(tables) -> list[tuple[str, tuple[str, ...], str, tuple[str, ...]]]:
+    """(child, its columns, parent, its columns) of every foreign key, composite ones too, within ``tables``."""
+    names = set(tables)
+    return [(t, tuple(cols), parent, tuple(parent_cols)) for t in sorted(names) if t in KEYS
+            for cols, parent, parent_cols in KEYS[t].foreign_keys if parent in names]
+
+
 def load_levels(tables) -> list[list[str]]:
     """Group table names into levels: every single-column FK parent sits in an earlier level.
 

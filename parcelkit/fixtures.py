@@ -40,7 +40,7 @@ select ACCT(o_orderkey) as acct, cast(year(o_orderdate) as string) as yr, c_name
 select ACCT(l_orderkey) as acct, cast(l_linenumber as string) as bld_num, cast(1000 + l_suppkey % 4 as string) as impr_tp, cast(1960 + l_partkey % 60 as string) as date_erected,
  case when l_suppkey % 3 = 0 then '0' else cast(1990 + l_suppkey % 30 as string) end as yr_remodel, concat('Class ', l_returnflag) as structure_dscr,
  substr(l_linestatus,1,1) as qa_cd, case when l_linestatus = 'O' then 'Average' else 'Good' end as dscr,
- case when l_quantity < 3 then '' else MONEY(l_quantity * 120) end as heat_ar, MONEY(l_quantity * 140) as gross_ar, MONEY(l_quantity * 130) as eff_ar,
+ case when l_quantity < 2 then '0' when l_quantity < 3 then '' else MONEY(l_quantity * 120) end as heat_ar, MONEY(l_quantity * 140) as gross_ar, MONEY(l_quantity * 130) as eff_ar,
  MONEY(l_quantity * 110) as im_sq_ft, MONEY(l_extendedprice) as cama_replacement_cost, MONEY(l_discount) as accrued_depr_pct
  from lineitem""",
     "fixtures": """
@@ -69,7 +69,8 @@ select ACCT(l_orderkey) as acct, lpad(cast(l_suppkey as string),3,'0') as tax_di
  case l_linenumber % 4 when 0 then 'HS1' when 1 then 'OA2' when 2 then 'DV3' else 'XV' end as exempt_cat,
  case when l_quantity > 45 then '' else MONEY(l_quantity * 100) end as exempt_val from lineitem""",
     "arb_protest_real": """
-select ACCT(cast(floor(event_id / 3) as bigint)) as acct, substr(event_type,1,6) as protested_by, MDY(ts) as protested_dt from events""",
+select ACCT(cast(floor(event_id / 3) as bigint)) as acct, substr(event_type,1,6) as protested_by,
+ concat(substr(MDY(ts),1,6), cast(year(ts) - cast(event_id % 3 as int) as string)) as protested_dt from events""",
     "arb_hearings_real": """
 select ACCT(cast(floor(event_id / 4) as bigint)) as acct, cast(1992 + event_id % 11 as string) as Tax_Year, 'R' as Real_Personal_Property,
  case when event_id % 2 = 0 then 'I' else 'F' end as Hearing_Type, MDY(ts) as Actual_Hearing_Date, cast(user_id % 5 as string) as Letter_Type,
@@ -137,8 +138,8 @@ PARAMS = {
     "as_of": AS_OF,
     "zip_code": "77007",
     "street": "URGENT",
-    "neighborhood_prefix": "12",
-    "neighborhood": "1207.50",
+    "neighborhood_prefix": "120",
+    "neighborhood": "1211.50",
     "protest_year": 2024,
     "hearing_year": "2000",
     "acct": "0000000000042",
@@ -227,40 +228,39 @@ def write_text_drop(tables, names, root: str) -> dict:
 
 
 def write_zip_drop(tables, name: str, root: str) -> None:
-    """Write one derived table as ZIP archives (one per partition, member ``<name>.txt`` with a header).
+    """Write one derived table as ZIP archives (one per last digit of ``acct``, member ``<name>.txt`` with a header).
 
-    Input construction only: each Spark task zips its own partition into the
-    shared folder ``root``; no rows pass through the driver.
+    Input construction only: each Spark task zips its own groups into the
+    shared folder ``root`` (any file system Arrow can open); no rows pass
+    through the driver.
     """
     import io
     import uuid
     import zipfile
 
     import pandas as pd
-    from pyspark import TaskContext
+    from pyarrow import fs as pafs
+    from pyspark.sql import functions as F
 
     df = tables[name]
     cols = df.columns
     from .session import ship_package
     ship_package(df.sparkSession)
 
-    def write(batches):
-        buf = io.StringIO()
-        buf.write("\t".join(cols) + "\n")
-        n = 0
-        for pdf in batches:
-            for row in pdf.itertuples(index=False):
-                buf.write("\t".join("" if v is None else str(v) for v in row) + "\n")
-                n += 1
-        if n:
-            os.makedirs(root, exist_ok=True)
-            # one archive per partition, named by partition id and published with an atomic rename,
-            # so a retried task replaces its archive instead of adding a second one
-            path = os.path.join(root, f"{name}-{TaskContext.get().partitionId():05d}.zip")
-            tmp = os.path.join(root, f".{uuid.uuid4().hex}.tmp")
-            with zipfile.ZipFile(tmp, "w", zipfile.ZIP_DEFLATED) as z:
-                z.writestr(f"{name}.txt", buf.getvalue())
-            os.replace(tmp, path)
-            yield pd.DataFrame({"path": [path], "rows": [n]})
-
-    df.mapInPandas(write, "path string, rows long").write.format("noop").mode("overwrite").save()
+    def write(key, pdf):
+        lines = ["\t".join(cols)] + ["\t".join("" if v is None else str(v) for v in row)
+                                     for row in pdf[cols].itertuples(index=False)]
+        buf = io.BytesIO()
+        with zipfile.ZipFile(buf, "w", zipfile.ZIP_DEFLATED) as z:
+            z.writestr(f"{name}.txt", "\n".join(lines) + "\n")
+        fs, folder = pafs.FileSystem.from_uri(root)
+        fs.create_dir(folder, recursive=True)
+        # published with a rename, so a retried task replaces its archive instead of adding a second one
+        tmp, path = f"{folder}/.{uuid.uuid4().hex}.tmp", f"{folder}/{name}-{key[0]}.zip"
+        with fs.open_output_stream(tmp, compression=None) as out:
+            out.write(buf.getvalue())
+        fs.move(tmp, path)
+        return pd.DataFrame({"path": [path], "rows": [len(pdf)]})
+
+    (df.withColumn("_digit", F.substring("acct", -1, 1)).groupBy("_digit").applyInPandas(write, "path string, rows long")
+     .write.format("noop").mode("overwrite").save())

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from ..functions.exprs import asc, avg_round, desc, pg_int, street_match, years_before
 from ..operators import rollups as R
 from ..operators.percentile import grouped_percentile_cont
+from ..session import ensure_checkpoint_dir
 from . import views as V
 
 
@@ -33,7 +34,9 @@ def q_features_sample(tables, as_of, zip_code: str, street: str, limit: int = 50
 
 def q_value_by_bedrooms(tables, as_of, zip_code: str, street: str) -> DataFrame:
     """Per bedroom count on one street: properties, average and exact median market value."""
-    pf = V.property_features(tables, as_of, where=_street_pred(zip_code, street))
+    pf = V.property_features(tables, as_of, where=_street_pred(zip_code, street)).select("bedrooms", "tot_mkt_val_num")
+    ensure_checkpoint_dir(pf.sparkSession)
+    pf = pf.checkpoint()        # the view is evaluated once, for the averages and the medians
     agg = pf.groupBy("bedrooms").agg(F.count(F.lit(1)).alias("properties"),
                                       avg_round("tot_mkt_val_num", 0).alias("avg_market_value"))
     med = grouped_percentile_cont(pf, ["bedrooms"], "tot_mkt_val_num", 0.5, "median_market_value")
@@ -83,7 +86,8 @@ def q_comps(tables, as_of, neighborhood: str, sqft_lo=1800, sqft_hi=2200, year_l
 
 def q_success_in_neighborhood(tables, as_of, prefix: str) -> DataFrame:
     """Properties with at least one successful protest in neighbourhoods starting with ``prefix``."""
-    rpa = V.residential_protest_analysis(tables, as_of, where=F.col("Neighborhood_Code").like(f"{prefix}%"))
+    # a prefix selects many accounts: the base table is filtered, the details are not semi-joined
+    rpa = V.residential_protest_analysis(tables, as_of).where(F.col("neighborhood_code").like(f"{prefix}%"))
     return (rpa.where(F.col("successful_protests") > 0)
             .select("acct", "address", "current_market_value", "total_protests", "successful_protests",
                     "protest_success_rate", "avg_hearing_reduction", "last_hearing_reduction_pct")
@@ -108,7 +112,7 @@ def q_over_assessment(tables, as_of, years: int = 2, pct: float = 20, price_col:
 
 def q_neighborhood_comparison(tables, as_of, prefix: str) -> DataFrame:
     """Per neighbourhood: size, averages, protests and protest success."""
-    rpa = V.residential_protest_analysis(tables, as_of, where=F.col("Neighborhood_Code").like(f"{prefix}%"))
+    rpa = V.residential_protest_analysis(tables, as_of).where(F.col("neighborhood_code").like(f"{prefix}%"))
     return (rpa.groupBy("neighborhood_code", "neighborhood_name").agg(
         F.count(F.lit(1)).alias("property_count"),
         avg_round("current_market_value", 0).alias("avg_market_value"),
