@@ -12,8 +12,9 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# Exact type for sanitised money / area values: 16 integer digits, 4 decimals.
-NUM = T.DecimalType(20, 4)
+# Exact type for sanitised money / area values: 20 integer digits, 6 decimals. The widest that leaves quotients of two
+# such values enough decimals to be rounded once; `safe_num_loss` marks what does not fit.
+NUM = T.DecimalType(26, 6)
 
 # --- fixed values ------------------------------------------------------------
 # safe_num keeps only these characters before the numeric cast
@@ -32,12 +33,21 @@ def safe_num(col) -> Column:
     Mirrors the source ``safe_num``: the minus sign is dropped (``-5`` -> 5),
     exponents collapse (``1e5`` -> 15). Inputs that are still not a number
     (``1.2.3``, ``.``) become NULL instead of failing the whole query, and so
-    do values with more than 16 integer digits.
+    do values with more than 20 integer digits; decimals past the sixth are
+    rounded. :func:`safe_num_loss` marks both.
     """
     digits = F.regexp_replace(_c(col), SAFE_NUM_KEEP, "")
     return F.nullif(digits, F.lit("")).try_cast(NUM)
 
 
+def safe_num_loss(col) -> Column:
+    """Whether a cell is a number that ``safe_num`` cannot hold exactly (too many integer digits or decimals)."""
+    digits = F.regexp_replace(_c(col), SAFE_NUM_KEEP, "")
+    number = digits.rlike(r"^[0-9]*[.]?[0-9]*$") & digits.rlike("[0-9]")
+    whole = F.length(F.regexp_extract(digits, r"^0*([0-9]*)", 1)) > NUM.precision - NUM.scale
+    return F.coalesce(number & (whole | digits.rlike(f"[.][0-9]{{{NUM.scale}}}[0-9]*[1-9]")), F.lit(False))
+
+
 def parse_mdy(col) -> Column:
     """Parse ``MM/DD/YYYY`` (leading zeros optional) text to DATE; bad or blank -> NULL."""
     return F.try_to_date(F.nullif(_c(col), F.lit("")), MDY_PATTERN)
@@ -80,7 +90,7 @@ def string_agg_ordered(value, order, sep: str) -> Column:
 
 def avg_round(col, digits: int) -> Column:
     """``ROUND(AVG(x), n)`` computed exactly on decimals, returned as DOUBLE."""
-    return F.round(F.avg(_c(col).cast(T.DecimalType(28, 4))), digits).cast("double")
+    return F.round(F.avg(_c(col).cast(T.DecimalType(32, 6))), digits).cast("double")
 
 
 def asc(col) -> Column:

@@ -4,20 +4,28 @@ from decimal import Decimal
 
 from pyspark.sql import functions as F
 
-from parcelkit.functions.exprs import (parse_mdy, pg_int, safe_num, string_agg_distinct, string_agg_ordered,
+from parcelkit.functions.exprs import (parse_mdy, pg_int, safe_num, safe_num_loss, string_agg_distinct, string_agg_ordered,
                                        years_before)
 
 
 def test_safe_num_dirty_numbers(spark):
     cases = [("$1,234.50", Decimal("1234.5")), ("-5", Decimal("5")), ("1e5", Decimal("15")), ("1.2.3", None),
              (".", None), ("abc", None), ("", None), (None, None), ("  42 ", Decimal("42")),
-             ("12345678901234567", None), ("0.00005", Decimal("0.0001"))]
+             ("12345678901234567", Decimal("12345678901234567")), ("0.00005", Decimal("0.00005")),
+             ("123456789012345678901", None), ("0.0000005", Decimal("0.000001"))]
     df = spark.createDataFrame([(c,) for c, _ in cases], "v string")
     got = [r[0] for r in df.select(safe_num("v")).collect()]
     assert [None if g is None else g.normalize() for g in got] == \
            [None if e is None else e.normalize() for _, e in cases]
 
 
+def test_values_that_do_not_fit_are_marked(spark):
+    cases = [("12345678901234567890", False), ("123456789012345678901", True), ("000000000000000000000000001", False),
+             ("$0.1234560", False), ("0.1234561", True), ("1.2.3", False), ("abc", False), (".", False), (None, False)]
+    df = spark.createDataFrame([(c,) for c, _ in cases], "v string")
+    assert [r[0] for r in df.select(safe_num_loss("v")).collect()] == [e for _, e in cases]
+
+
 def test_parse_mdy(spark):
     df = spark.createDataFrame([("01/02/2023",), ("1/2/2024",), ("13/45/2020",), ("",), (None,)], "v string")
     assert [r[0] for r in df.select(parse_mdy("v")).collect()] == \
