@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 from parcelkit.llm.common import on_workers, written
 
 SKIPPABLE, SEEKABLE = 0x184D2A5E, 0x8F92EAB1        # fixed values of the seekable format
+FRAMES_PER_TASK = 64
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 
 
@@ -210,4 +211,6 @@ def read_archives(spark: SparkSession, index: DataFrame) -> DataFrame:
     names = ["page_id", "url", "record_type", "refers_to", "payload_digest", "payload_bytes", "payload"]
     schema = ("page_id bigint, url string, record_type string, refers_to bigint, payload_digest string, "
               "payload_bytes bigint, payload binary")
-    return on_workers(index.select("path", "frame").distinct()).mapInArrow(run, schema)
+    frames = index.select("path", "frame").distinct()
+    tasks = max(1, -(-frames.count() // FRAMES_PER_TASK))       # a task has few rows, but much to read
+    return on_workers(frames).repartition(tasks, "path", "frame").mapInArrow(run, schema)
