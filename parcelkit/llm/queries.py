@@ -33,6 +33,61 @@ def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact.exact_dedup(table(spark, sf_dir, "documents"))
 
 
+def _op3_sql(depth: int = 4) -> str:
+    """The template tree level by level, as SQL."""
+    fits = {text: f"((host = '{name}' OR ends_with(host, '.{name}')) AND starts_with(path, '/{tail}'))"
+            for _, text in url_filter.RULES for name, _, tail in [text.partition("/")]}
+    ordered = sorted(url_filter.RULES, key=lambda r: -len(r[1]))
+    rule = " ".join(f"WHEN {fits[text]} THEN '{text}'" for _, text in ordered)
+    ruled = " ".join(f"WHEN {fits[text]} THEN '{kind}'" for kind, text in ordered)
+    levels = ""
+    for k in range(depth):
+        levels += f"""
+own{k} AS (SELECT host, template, parts[{k + 1}] AS seg, sum(n) AS own FROM t{k} WHERE len(parts) > {k} GROUP BY ALL),
+kept{k} AS (SELECT * FROM (SELECT *, sum(own) OVER (PARTITION BY host, template) AS whole FROM own{k})
+  WHERE own >= 2 AND own >= 0.02::double * whole),
+t{k + 1} AS (SELECT t.* REPLACE (t.template || CASE WHEN len(parts) <= {k} THEN '' WHEN k.seg IS NOT NULL THEN '/' || k.seg
+    WHEN regexp_full_match(parts[{k + 1}], '[0-9]+([.][a-z]+)?') THEN '/#' ELSE '/*' END AS template)
+  FROM t{k} t LEFT JOIN kept{k} k ON k.host = t.host AND k.template = t.template AND k.seg = t.parts[{k + 1}]),"""
+    return f"""
+WITH cut AS (SELECT page_id, CASE WHEN contains(url, '://') THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages),
+split AS (SELECT page_id, regexp_extract(rest, '^[^/?#]*') AS h, rest FROM cut),
+parsed AS (SELECT page_id, translate(h, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+  regexp_extract(substr(rest, length(h) + 1), '^[^?#]*') AS path FROM split),
+t0 AS (SELECT host, path, count(*) AS n, CASE {rule} END AS rule, CASE {ruled} END AS ruled,
+  list_filter(string_split(path, '/'), lambda x: x <> '') AS parts, '' AS template FROM parsed GROUP BY host, path),{levels}
+tree AS (SELECT * REPLACE (CASE WHEN len(parts) > {depth} THEN template || '/**' ELSE template END AS template) FROM t{depth}),
+stats AS (SELECT host, template, regexp_replace(template, '^/[^/]*', '') AS shape,
+  sum(CASE WHEN ruled IS NOT NULL THEN n ELSE 0 END) AS labelled, sum(CASE WHEN ruled = 'block' THEN n ELSE 0 END) AS blocked
+  FROM tree GROUP BY ALL),
+pairs AS (SELECT *, lag(blocked) OVER w AS b, lag(labelled) OVER w AS m FROM stats WHERE labelled > 0
+  WINDOW w AS (PARTITION BY host, shape ORDER BY blocked / labelled, template)),
+tested AS (SELECT *, (blocked + b) / (labelled + m) AS pooled FROM pairs),
+runs AS (SELECT host, template, labelled, blocked, shape, sum(CASE WHEN m IS NULL OR abs(blocked / labelled - b / m)
+    > 1.96::double * sqrt(pooled * (1 - pooled) * (1 / labelled + 1 / m)) THEN 1 ELSE 0 END)
+    OVER (PARTITION BY host, shape ORDER BY blocked / labelled, template) AS run FROM tested),
+branches AS (SELECT host, template, labelled, blocked, '~' || run || shape AS branch FROM runs
+  UNION ALL SELECT host, template, labelled, blocked, template FROM stats WHERE labelled = 0),
+judged AS (SELECT host, template, ((sum(blocked) OVER w + 1) / (sum(labelled) OVER w + 2))::double AS rejected_share FROM branches
+  WINDOW w AS (PARTITION BY host, branch))
+SELECT page_id, host, path, rule, coalesce(ruled, CASE WHEN rejected_share > 0.8 THEN 'block' ELSE 'allow' END) AS verdict,
+  template, rejected_share
+FROM parsed JOIN tree USING (host, path) JOIN judged USING (host, template)
+"""
+
+
+OP7_SQL = """
+WITH p AS (SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha1(coalesce(html, '')) AS h FROM pages),
+base32 AS (
+  SELECT *, array_to_string(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+    (('0x' || substr(h, (i // 4)::int * 5 + 1, 5))::int >> (15 - 5 * (i % 4))::int & 31) + 1, 1)), '') AS payload_digest,
+    min(page_id) OVER (PARTITION BY h) AS first
+  FROM p)
+SELECT page_id, payload_bytes, payload_digest, CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN page_id <> first THEN first END AS refers_to
+FROM base32
+"""
+
 OP4_SQL = """
 WITH d AS (
   SELECT doc_id, sha256(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')) AS h,
@@ -87,5 +142,7 @@ QUERIES = {
 }
 
 ORACLES = {
+    "op3_url_filters": _op3_sql(),
     "op4_exact_dedup": OP4_SQL,
+    "op7_warc": OP7_SQL,
 }
