@@ -197,7 +197,9 @@ def _queries() -> dict[str, _Query]:
         "orphan_rows": _q(lambda t: I.orphan_rows(t["building_res"].select("acct", "bld_num", "heat_ar"),
                                                   t["real_acct_not_p"]), False),
         "key_profile": _q(key_profiles, False),
-        "fk_coverage": _q(coverage, False),
+        "fk_coverage": _q(lambda t: I.fk_coverage(t["building_res"], t["real_acct_not_p"], ("acct",), ("acct",),
+                                                  "building_res", "real_acct"), False),
+        "fk_coverage_all": _q(coverage, False),
         "table_counts": _q(lambda t: I.table_counts({n: t[n] for n in counted}), False),
         "length_overflow_report": _q(lambda t: I.length_overflow_report(t["building_res"], sizes, "building_res"),
                                      False),
