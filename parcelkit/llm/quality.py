@@ -176,8 +176,8 @@ def fit_quality(docs: DataFrame, labels: DataFrame, max_train: int = 20_000, max
     n = docs.count()
     pick = F.pmod(F.xxhash64("doc_id", F.lit(29)), F.lit(1 << 20)) < int((1 << 20) * min(1.0, 0.9 * max_pool / n))
     blank = labels.where(F.col("quality").isNotNull()).select(F.col("doc_id").alias("__id")).distinct()
-    pool = docs.where(pick).join(blank, F.col("doc_id") == F.col("__id"), "left_anti").limit(max_pool)
-    pool = features(pool, ["doc_id"]).drop("doc_id").toPandas()     # at most max_pool rows of numbers
+    pool = docs.where(pick).join(blank, F.col("doc_id") == F.col("__id"), "left_anti")
+    pool = features(pool, ["doc_id"]).drop("doc_id").limit(max_pool).toPandas()     # at most max_pool rows of numbers
     fit, test = (known["part"] < 80).to_numpy(), (known["part"] >= 80).to_numpy()
     widths = (("content", CONTENT), ("meta", META))
     views = [np.array(known[c].tolist(), float).reshape(len(known), w) for c, w in widths]
