@@ -177,7 +177,7 @@ def hearing_history(arb_hearings_real: DataFrame, as_of, years: int = 5, chronol
         "acct", "hearing_count", "last_hearing_year", "last_hearing_date",
         F.when(F.col("_top_init.y") == top, F.col("_top_init.v")).alias("last_initial_appraised"),
         F.when(F.col("_top_final.y") == top, F.col("_top_final.v")).alias("last_final_appraised"),
-        F.round(F.col("_avg_red"), 4).alias("avg_value_reduction"),
+        F.col("_avg_red").alias("avg_value_reduction"),
         F.col("successful_protests").cast("bigint").alias("successful_protests"),
     )
 

@@ -309,7 +309,7 @@ def q_street_summary(tables, zip_code: str, street: str, suffix: str = "ST") ->
     v = safe_num("tot_mkt_val")
     return ra.agg(F.count_distinct("acct").alias("property_count"),
                   F.sum(v).alias("total_market_value"),
-                  F.round(F.avg(v), 4).alias("avg_market_value"))
+                  F.avg(v).alias("avg_market_value"))
 
 
 def q_street_deeds(tables, zip_code: str, street: str, suffix: str = "ST", limit: int = 100) -> DataFrame:
