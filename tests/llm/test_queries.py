@@ -32,5 +32,28 @@ def test_pipeline_stages_keep_columns_and_only_shrink(spark):
     assert {r.doc_id for r in out.collect()} == ids
 
 
+def test_pipeline_stages_against_brute_force(spark):
+    import numpy as np
+    from tokenizers import Tokenizer
+
+    from tests.llm.test_exact_dedup import lower
+    from tests.llm.test_simhash import brute_fingerprint, brute_labels
+    stages = dict(corpus_pipeline.STAGES)
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    rows = {r.doc_id: r.text for r in docs.collect()}
+    best = {}
+    for i, t in rows.items():
+        best[lower(t)] = max(best.get(lower(t), -1), i)
+    kept = corpus_pipeline.written(stages["exact_dedup"](spark, docs, SF), "t")
+    ids = sorted(r.doc_id for r in kept.collect())
+    assert ids == sorted(best.values())
+    label = brute_labels(np.array([brute_fingerprint(rows[i]) for i in ids], np.uint64), 4)
+    assert sorted(r.doc_id for r in stages["simhash"](spark, kept, SF).collect()) == sorted({ids[c] for c in label})
+    t = Tokenizer.from_file(corpus_pipeline.public_tokenizers.path("word_bpe_49k.json"))
+    size = {i: len(t.encode(x, add_special_tokens=False).ids) + 1 for i, x in rows.items()}
+    out = stages["packing"](spark, docs, SF).toPandas()
+    assert out.groupby("doc_id")["length"].sum().to_dict() == size and out.groupby("sequence_id")["length"].sum().max() <= 4096
+
+
 def test_every_operator_has_a_query():
     assert sorted(k.split("_")[0] for k in QUERIES) == sorted([*(f"op{n}" for n in range(1, 11)), "pipeline"])
