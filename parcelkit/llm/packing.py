@@ -32,7 +32,7 @@ class WordIds:
     piece for the merges, and marks behind it are another.
     """
 
-    def __init__(self, path: str, cached: int = 800_000):
+    def __init__(self, path: str, cached: int = 400_000):
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True     # their strings in a text are ordinary text

@@ -11,7 +11,7 @@ import numpy as np
 class TokenTable:
     """``describe(token)`` gives ``width`` floats; at most about ``cached`` tokens are kept."""
 
-    def __init__(self, describe: Callable[[str], list[float]], width: int, cached: int = 400_000):
+    def __init__(self, describe: Callable[[str], list[float]], width: int, cached: int = 150_000):
         self.describe, self.width, self.cached = describe, width, cached
         self.clear()
 
