@@ -165,9 +165,12 @@ def build_index(vectors: DataFrame, k: int = 20, shard_size: int = 8192, degree:
     same = Window.partitionBy("v").orderBy("vec_id")            # pre-limited before the shuffle: no hot vector
     rows = written(rows.distinct().withColumn("_r", F.row_number().over(same)).where(F.col("_r") <= k + 1).drop("_r"),
                    "vectors")
-    sizes = rows.groupBy(F.size("v").alias("dim")).count().withColumn("shards", F.ceil(F.col("count") / shard_size))
+    sizes = written(rows.groupBy(F.size("v").alias("dim")).count().withColumn(
+        "shards", F.ceil(F.col("count") / shard_size)), "sizes")
+    total = sizes.agg(F.sum("shards")).first()[0] or 1
     dealt = rows.withColumn("dim", F.size("v")).join(sizes.select("dim", "shards"), "dim").withColumn(
         "shard", F.pmod(F.xxhash64("v"), F.col("shards")))
+    dealt = dealt.repartition(2 * total, "dim", "shard")        # few bytes, much work: tasks by number, not by size
 
     def build(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("vec_id")
@@ -245,8 +248,8 @@ def search(index: DataFrame, queries: DataFrame, k: int = 20, width: int = 128,
                 got = _answers(row, np.frombuffer(row["q_ids"], np.int64), q, k, width)
                 yield pa.RecordBatch.from_arrays([pa.array(c) for c in got], ["query_id", "vec_id", "score"])
 
-    # one (shard, block) pair is a few MB and seconds of work: deal the pairs evenly
-    met = met.repartition(F.col("shard"), F.col("block"), F.col("dim"))
+    # one (shard, block) pair is a few MB and seconds of work: tasks by number of pairs
+    met = met.repartition(max(1, index.count() * blocks), "shard", "block", "dim")
     found = met.mapInArrow(run, "query_id bigint, vec_id bigint, score double").groupBy("query_id", "vec_id").agg(
         F.max("score").alias("score"))
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
