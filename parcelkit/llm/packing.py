@@ -170,6 +170,7 @@ def _pack_round(items: DataFrame, capacity: int, name: str) -> DataFrame:
     """``item``, ``length`` -> ``item``, ``length``, ``bin``, ``offset``; bins of the shards get apart numbers."""
     shards = max(1, -(-items.count() // SHARD))
     dealt = items.withColumn("shard", F.pmod(F.xxhash64("item"), F.lit(shards)))
+    dealt = dealt.repartition(shards, "shard")                  # few bytes, much work: tasks by number, not by size
     packed = dealt.groupBy("shard").applyInPandas(
         lambda pdf: _packed_shard(pdf, capacity), "item bigint, length bigint, shard bigint, bin bigint, offset bigint")
     return written(packed.select("item", "length", (F.col("shard") * F.lit(1 << 32) + F.col("bin")).alias("bin"),
