@@ -8,7 +8,8 @@ The corpus is gathered in four steps, each a Spark job over a written table:
 
 1. every input task turns its documents into chunks: token numbers of a chunk-local vocabulary;
 2. a chunk asks the owners of its distinct n-grams (ranges of a 64-bit key) for their counts, sending its own
-   training counts along. An n-gram is sent once per chunk, however frequent;
+   training counts along. An n-gram is sent once per chunk, however frequent. Orders follow one another, so the
+   disk holds the requests of one order at a time;
 3. an owner adds up the counts and answers each chunk in the order it asked: counts only;
 4. a chunk meets its answers and scores its documents. The weights come from the same step over the chunks of
    held-out documents, reduced to sums per bucket in every round.
@@ -18,6 +19,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -34,6 +36,17 @@ _BOS, _END = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)      #
 _MIX = np.uint64(0xFF51AFD7ED558CCD)
 
 
+def _settled(df: DataFrame, name: str) -> DataFrame:
+    """``written``, and the shuffle files of the writing are dropped at its end: they are as large as the table."""
+    conf, key = df.sparkSession.conf, "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = conf.get(key)
+    conf.set(key, "true")
+    try:
+        return written(df, name)
+    finally:
+        conf.set(key, before)
+
+
 def _pack(a: np.ndarray) -> bytes:
     """Integers as compressed byte planes."""
     return zstandard.compress(np.ascontiguousarray(a.view(np.uint8).reshape(len(a), a.itemsize).T).tobytes(), 1)
@@ -135,21 +148,21 @@ def _distinct(row, order: int):
     return [np.unique(k, return_inverse=True) for k in keys], real, doc, place
 
 
-def _requests(chunks: DataFrame, order: int, owners: int) -> DataFrame:
+def _requests(chunks: DataFrame, gram: int, order: int, owners: int) -> DataFrame:
     def run(batches):
         edges = np.array([(i << 64) // owners for i in range(1, owners)], np.uint64)
         for batch in batches:
             for row in batch.to_pylist():
-                grams, real, doc, place = _distinct(row, order)
+                grams, _, doc, place = _gram_keys(row, order)
+                keys, at = np.unique(grams[gram - 1], return_inverse=True)
                 train = ~np.asarray(row["held"], bool)[doc]
+                counts = np.bincount(at[train & (place >= gram - 1)], minlength=len(keys)).astype(np.uint32)
+                cuts = [0, *np.searchsorted(keys, edges).tolist(), len(keys)]
                 out = []
-                for n, (keys, at) in enumerate(grams, 1):
-                    counts = np.bincount(at[train & (place >= n - 1)], minlength=len(keys)).astype(np.uint32)
-                    cuts = [0, *np.searchsorted(keys, edges).tolist(), len(keys)]
-                    for k, (a, b) in enumerate(zip(cuts, cuts[1:])):
-                        if b > a:
-                            out.append((n, k, row["chunk"], row["dev"], _pack(np.diff(keys[a:b], prepend=np.uint64(0))),
-                                        _pack(counts[a:b])))
+                for k, (a, b) in enumerate(zip(cuts, cuts[1:])):
+                    if b > a:
+                        out.append((gram, k, row["chunk"], row["dev"],
+                                    _pack(np.diff(keys[a:b], prepend=np.uint64(0))), _pack(counts[a:b])))
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(c, t) for c, t in zip(zip(*out), [pa.int32(), pa.int32(), pa.int64(), pa.bool_(),
                                                                 pa.binary(), pa.binary()])],
@@ -234,7 +247,7 @@ def _learned(dev: DataFrame, order: int, rounds: int) -> np.ndarray:
     return 0.999 * weights + 0.001 / (order + 1)                # no estimate is ruled out for unseen cases
 
 
-def score_documents(docs: DataFrame, order: int = 2, train_mod: int = 5, held_residue: int = 1, rounds: int = 12,
+def score_documents(docs: DataFrame, order: int = 3, train_mod: int = 5, held_residue: int = 1, rounds: int = 12,
                     chunk_tokens: int = 1_500_000, owner_keys: int = 1_500_000, id_col: str = "doc_id",
                     text_col: str = "text") -> DataFrame:
     """Score every document with a model of the training documents (crc32 of the id, modulo ``train_mod``, is
@@ -256,7 +269,8 @@ def score_documents(docs: DataFrame, order: int = 2, train_mod: int = 5, held_re
     if not tokens:
         return docs.sparkSession.createDataFrame([], schema)
     owners = max(1, -(-tokens // owner_keys))
-    answers = written(_answers(_requests(chunks, order, owners)), "answers")
+    answers = reduce(DataFrame.unionByName, [
+        _settled(_answers(_requests(chunks, gram, order, owners)), "answers") for gram in range(1, order + 1)])
     n, v, n_fit, v_fit = answers.where("gram = 0").agg(*[F.sum(c) for c in ("n", "v", "n_fit", "v_fit")]).first()
     per_chunk = answers.where("gram > 0").select("gram", "owner", "chunk", "total", "fit")
 
@@ -265,7 +279,7 @@ def score_documents(docs: DataFrame, order: int = 2, train_mod: int = 5, held_re
         return pd.DataFrame({"bucket": [bucket.astype(np.uint8).tobytes()], "f": [f.astype(np.float32).tobytes()]})
 
     held_back = chunks.where("dev")
-    dev = written(held_back.groupBy("chunk").cogroup(per_chunk.where("fit is not null").groupBy("chunk")).applyInPandas(
+    dev = _settled(held_back.groupBy("chunk").cogroup(per_chunk.where("fit is not null").groupBy("chunk")).applyInPandas(
         dev_estimates, "bucket binary, f binary"), "estimates")
     weights = _learned(on_workers(dev), order, rounds)
 

@@ -8,6 +8,7 @@ import pytest
 
 from parcelkit.llm import lm_score
 from parcelkit.llm.lm_score import CONTEXT_BUCKETS, score_documents
+from parcelkit.llm.queries import op8_lm_scoring
 from tests.llm.conftest import prose
 
 
@@ -97,3 +98,13 @@ def test_without_training_documents(spark):
 def test_planes_round_trip():
     for a in (np.arange(5, dtype=np.uint64) * 12345678901, np.zeros(0, np.uint32), np.array([3], np.int64)):
         assert lm_score._unpack(lm_score._pack(a), a.dtype).tolist() == a.tolist()
+
+
+def test_registered_query_uses_trigrams(spark, tmpdir_path):
+    rng = random.Random(8)
+    rows = [(i, prose(rng, rng.randint(1, 60))) for i in range(200)]
+    spark.createDataFrame(rows, "doc_id bigint, text string").write.parquet(f"{tmpdir_path}/documents.parquet")
+    want = model(rows, 3, 12)
+    got = op8_lm_scoring(spark, tmpdir_path).collect()
+    assert len(got) == len(rows)
+    assert all(abs(r.score - want[r.doc_id][5]) < 1e-3 * max(1, abs(r.score)) for r in got)
