@@ -6,7 +6,9 @@ proposes neighbours, and pruning walks them from near to far and drops those tha
 added both ways and pruned again when a node has too many. A query runs a beam search in every shard; the
 shards' answers are ranked by exact inner products in double precision.
 
-Inner products become distances by one extra component, sqrt(max norm^2 - norm^2), which is zero in queries.
+Inner products become distances by one extra component, sqrt(max norm^2 - norm^2), which is zero in queries. A shard
+holds vectors of one band of norms only (a factor of 16 from end to end), scaled by a power of two: in single
+precision, a much longer vector would swamp the others' distances.
 Equal vectors are one node with their ids (only the k + 1 smallest ids can ever be an answer; ties go to the
 smaller id). Graphs are rows of a written table; a row meets the queries in blocks, so no task holds all of
 either.
@@ -144,8 +146,14 @@ def _connected(x: np.ndarray, graph: np.ndarray, entry: int, width: int) -> np.n
         graph = np.concatenate([graph, column], 1)
 
 
+def _scaled(x: np.ndarray, axis: int | None = None) -> np.ndarray:
+    """``x`` times a power of two, so that the largest component is about one; ranks by inner product stay."""
+    return np.ldexp(x, -np.frexp(np.abs(x).max(axis=axis, keepdims=True))[1])
+
+
 def _lifted(x: np.ndarray) -> np.ndarray:
     """Vectors whose distances to (query, 0) rank as inner products do."""
+    x = _scaled(x)
     norm = np.einsum("ij,ij->i", x, x)
     return np.concatenate([x, np.sqrt(np.maximum(norm.max() - norm, 0))[:, None]], 1).astype(np.float32)
 
@@ -157,20 +165,28 @@ def _valid(vectors: DataFrame, id_col: str, vector_col: str) -> DataFrame:
         F.col(id_col).cast("bigint").alias("vec_id"), F.transform(x, lambda v: v.cast("double")).alias("v"))
 
 
+def _band(v):
+    """Number of the band of norms: 2^-2 to 2^2 is band 0. No square overflows."""
+    most = F.array_max(F.transform(v, F.abs))
+    square = F.aggregate(F.transform(v, lambda c: (c / most) * (c / most)), F.lit(0.0), lambda a, c: a + c)
+    return F.floor((F.log2(most) + F.log2(square) / 2) / 4 + F.lit(0.5)).cast("int")
+
+
 def build_index(vectors: DataFrame, k: int = 20, shard_size: int = 8192, degree: int = 32, width: int = 64,
                 id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
-    """The index as a written table with one row per shard: ``shard``, ``dim``, ``entry``, ``nodes``, ``vectors``,
+    """The index as a written table with one row per shard: ``shard``, ``dim``, ``band``, ``entry``, ``nodes``, ``vectors``,
     ``graph`` (binary), ``ids`` and ``edges`` (ids of node i: ids[edges[i] : edges[i + 1]])."""
     rows = _valid(vectors, id_col, vector_col)
     same = Window.partitionBy("v").orderBy("vec_id")            # pre-limited before the shuffle: no hot vector
     rows = written(rows.distinct().withColumn("_r", F.row_number().over(same)).where(F.col("_r") <= k + 1).drop("_r"),
                    "vectors")
-    sizes = written(rows.groupBy(F.size("v").alias("dim")).count().withColumn(
+    rows = rows.withColumn("dim", F.size("v")).withColumn("band", _band(F.col("v")))
+    sizes = written(rows.groupBy("dim", "band").count().withColumn(
         "shards", F.ceil(F.col("count") / shard_size)), "sizes")
     total = sizes.agg(F.sum("shards")).first()[0] or 1
-    dealt = rows.withColumn("dim", F.size("v")).join(sizes.select("dim", "shards"), "dim").withColumn(
+    dealt = rows.join(sizes.select("dim", "band", "shards"), ["dim", "band"]).withColumn(
         "shard", F.pmod(F.xxhash64("v"), F.col("shards")))
-    dealt = dealt.repartition(2 * total, "dim", "shard")        # few bytes, much work: tasks by number, not by size
+    dealt = dealt.repartition(2 * total, "dim", "band", "shard")        # few bytes, much work: tasks by number, not by size
 
     def build(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("vec_id")
@@ -180,13 +196,13 @@ def build_index(vectors: DataFrame, k: int = 20, shard_size: int = 8192, degree:
         edges = np.concatenate([[0], np.cumsum(np.bincount(at, minlength=len(x)))])
         graph, entry = build_graph(_lifted(x), degree, width) if len(x) > 1 else (np.full((1, degree), -1), 0)
         return pd.DataFrame({
-            "shard": [int(pdf["shard"].iloc[0])], "dim": [x.shape[1]], "entry": [entry], "nodes": [len(x)],
+            "shard": [int(pdf["shard"].iloc[0])], "dim": [x.shape[1]], "band": [int(pdf["band"].iloc[0])], "entry": [entry], "nodes": [len(x)],
             "vectors": [x.tobytes()], "graph": [graph.astype(np.int32).tobytes()],
             "ids": [pdf["vec_id"].to_numpy(np.int64)[order].tobytes()], "edges": [edges.astype(np.int64).tobytes()]})
 
-    return written(on_workers(dealt).groupBy("dim", "shard").applyInPandas(
-        build, "shard bigint, dim int, entry int, nodes int, vectors binary, graph binary, ids binary, edges binary"),
-        "index")
+    return written(on_workers(dealt).groupBy("dim", "band", "shard").applyInPandas(
+        build, "shard bigint, dim int, band int, entry int, nodes int, vectors binary, graph binary, ids binary, "
+        "edges binary"), "index")
 
 
 def _answers(shard: dict, ids: np.ndarray, queries: np.ndarray, k: int, width: int):
@@ -203,7 +219,7 @@ def _answers(shard: dict, ids: np.ndarray, queries: np.ndarray, k: int, width: i
             found = np.tile(np.arange(n), (len(q), 1))
         else:
             found, _ = beam_search(lifted, graph, shard["entry"],
-                                   np.concatenate([q, np.zeros((len(q), 1))], 1).astype(np.float32), width)
+                                   np.concatenate([_scaled(q, 1), np.zeros((len(q), 1))], 1).astype(np.float32), width)
         score = np.where(found >= 0, np.einsum("bkd,bd->bk", x[np.maximum(found, 0)], q, optimize=False), -np.inf)
         for i in range(len(q)):
             nodes, value = found[i], score[i]
@@ -249,7 +265,7 @@ def search(index: DataFrame, queries: DataFrame, k: int = 20, width: int = 128,
                 yield pa.RecordBatch.from_arrays([pa.array(c) for c in got], ["query_id", "vec_id", "score"])
 
     # one (shard, block) pair is a few MB and seconds of work: tasks by number of pairs
-    met = met.repartition(max(1, index.count() * blocks), "shard", "block", "dim")
+    met = met.repartition(max(1, index.count() * blocks), "shard", "block", "dim", "band")
     found = met.mapInArrow(run, "query_id bigint, vec_id bigint, score double").groupBy("query_id", "vec_id").agg(
         F.max("score").alias("score"))
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")

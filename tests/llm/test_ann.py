@@ -58,3 +58,15 @@ def test_pruning_keeps_the_nearest_and_covers_the_rest():
                 seen.add(int(j))
                 todo.append(int(j))
     assert len(seen) == 500
+
+
+def test_recall_beside_a_very_long_vector(spark):
+    rng = np.random.default_rng(4)
+    x = rng.normal(size=(2000, 24))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    for length in (1e4, 1e20):
+        x[7] *= length / np.linalg.norm(x[7])
+        rows = [(i, v.astype(np.float32).tolist()) for i, v in enumerate(x)]
+        got, want = run(spark, rows), brute(rows)
+        hits = sum(len({v for _, v, _ in got[q]} & {v for _, v, _ in want[q]}) for q in want)
+        assert hits >= 0.95 * 20 * len(want)
