@@ -212,6 +212,18 @@ def hamming_links(fps: DataFrame, k: int = 4, bucket_size: int = 4096, bucket_li
     n = fps.count()
     if k <= 0 or n < 2:
         return fps.select(F.col("fp").alias("src"), F.col("fp").alias("dst")).where("false")
+    dealt = _dealt(fps, n, k, bucket_size, bucket_limit)
+    schema = "src bigint, dst bigint"
+
+    def run(key, pdf):
+        return _bucket_links(pdf, k, int(key[0]))
+
+    return on_workers(dealt).groupBy("r", "p", "a", "b").applyInPandas(run, schema)
+
+
+def _dealt(fps: DataFrame, n: int, k: int, bucket_size: int, bucket_limit: int) -> DataFrame:
+    """``fp`` in each group (``r``, ``p``, ``a``, ``b``) that it is compared in: a pair of parts of a bucket. The parts
+    follow from all that a bucket receives, its neighbours' members too, so that no pair exceeds ``bucket_limit``."""
     edges = _edges(k)
     first = min(16, BITS // k)
     prefix = min(first, max(0, (n // bucket_size).bit_length()))
@@ -219,23 +231,22 @@ def hamming_links(fps: DataFrame, k: int = 4, bucket_size: int = 4096, bucket_li
     rows = fps.select("fp", F.explode(turned).alias("t")).select("fp", "t.r", "t.x")
     own = F.shiftrightunsigned("x", BITS - prefix) if prefix else F.lit(0).cast("long")
     rows = rows.withColumn("p", own)
-    # at most k * 2**prefix buckets, 2**16 each: a bounded table
-    parts = rows.groupBy("r", "p").count().select(
-        "r", "p", F.ceil(F.col("count") / F.lit(bucket_limit)).cast("int").alias("parts"))
     near = F.array(F.col("p"), *[F.col("p").bitwiseXOR(F.lit(1 << b)) for b in range(prefix)])
+    # at most k * 2**prefix buckets, 2**16 each: a bounded table
+    sizes = rows.groupBy("r", "p").count()
+    sizes = sizes.select("r", F.col("p").alias("home"), F.explode(near).alias("p"), "count").where("p >= home")
+    received = sizes.groupBy("r", "p").agg(F.sum("count").alias("count"), F.max(F.col("p") == F.col("home")).alias("own"))
+    # a pair holds two parts; a sixteenth is left for parts that differ in size
+    several = F.ceil(F.col("count") * F.lit(2.125) / F.lit(bucket_limit)).cast("int")
+    parts = received.where("own").select(
+        "r", "p", F.when(F.col("count") <= bucket_limit, 1).otherwise(several).alias("parts"))
     sent = rows.select("r", "fp", F.col("p").alias("home"), F.explode(near).alias("p")).where("p >= home")
     sent = sent.join(F.broadcast(parts), ["r", "p"])            # a neighbour without members is no bucket
     part = F.pmod(F.xxhash64("fp"), F.col("parts")).cast("int")
     others = F.when(F.col("parts") == 1, F.array(F.lit(0))).otherwise(
         F.filter(F.sequence(F.lit(0), F.col("parts") - 1), lambda q: q != part))
-    dealt = sent.select("r", "p", "fp", part.alias("a"), F.explode(others).alias("b")).select(
+    return sent.select("r", "p", "fp", part.alias("a"), F.explode(others).alias("b")).select(
         "r", "p", F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), "fp")
-    schema = "src bigint, dst bigint"
-
-    def run(key, pdf):
-        return _bucket_links(pdf, k, int(key[0]))
-
-    return on_workers(dealt).groupBy("r", "p", "a", "b").applyInPandas(run, schema)
 
 
 def _turned(c, by: int):

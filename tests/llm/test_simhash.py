@@ -1,3 +1,4 @@
+import random
 import re
 
 import numpy as np
@@ -7,7 +8,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from parcelkit.llm.components import components
-from parcelkit.llm.simhash import (_budgets, _edges, _rotate, _Linked, fingerprint, hamming_links, one_per_group,
+from parcelkit.llm.simhash import (_budgets, _dealt, _edges, _rotate, _Linked, fingerprint, hamming_links, one_per_group,
                                    simhash_groups, trie_links)
 
 
@@ -95,3 +96,12 @@ def test_groups_on_odd_rows(spark, odd_docs, no_docs):
     ids = [r.doc_id for r in kept.collect()]
     assert sorted(i for i in ids if i is not None) == sorted(set(least.values())) and ids.count(None) == 2
     assert simhash_groups(no_docs).count() == 0
+
+
+def test_a_small_bucket_beside_a_hot_one_is_dealt_out(spark):
+    rng = random.Random(6)
+    values = sorted({rng.getrandbits(48) for _ in range(3000)} | {(1 << b) | 5 for b in range(48, 63)})
+    df = spark.createDataFrame([(v,) for v in values], "fp bigint")
+    sizes = _dealt(df, len(values), 4, 64, 1000).groupBy("r", "p", "a", "b").count().collect()
+    assert len({r.p for r in sizes if r.r == 0}) > 5
+    assert max(r["count"] for r in sizes) <= 1000
