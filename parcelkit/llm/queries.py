@@ -7,7 +7,7 @@ from corpus_pipeline import run as pipeline
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parcelkit.llm import ann, byte_bpe, lm_score, packing, quality, simhash, toxicity, url_filter, warc
+from parcelkit.llm import ann, byte_bpe, conversation_repair, lm_score, packing, quality, simhash, toxicity, url_filter, warc
 from parcelkit.llm import exact_dedup as exact
 from parcelkit.llm.common import work_path
 
@@ -127,6 +127,64 @@ def op10_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann.search(ann.build_index(vectors), vectors.where("vec_id % 20 = 0"))
 
 
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_repair.repair_report(table(spark, sf_dir, "conversations"))
+
+
+def _op11_sql() -> str:
+    """The cheapest edits row by row: the least cost and audit, as one text, of each state of the role pattern."""
+    def add(label: str, cost, letter: str) -> str:
+        return f"(lpad((substr({label}, 1, 9)::int + {cost})::varchar, 9, '0') || substr({label}, 10) || '{letter}')"
+
+    def least(*labels: str) -> str:
+        return f"least({', '.join(labels)})"
+    keep = "CASE WHEN gone THEN NULL ELSE {} END"
+    cut = "CASE WHEN fault = 'truncated' THEN 3 ELSE 0 END"
+    to_u = keep.format(least(*[f"CASE WHEN initial = 'u' THEN {add(x, cut, 'K')} END" for x in ("l0", "l1", "l3")],
+                             *[add(x, f"3 + {cut}", "R") for x in ("l0", "l1", "l3")]))
+    to_a = keep.format(least(f"CASE WHEN initial = 'a' THEN {add('l2', cut, 'K')} END", add("l2", f"3 + {cut}", "R")))
+    to_s = keep.format(f"CASE WHEN initial = 's' THEN {add('l0', cut, 'K')} END")
+    return rf"""
+WITH RECURSIVE t AS (SELECT list_transform(range(256), lambda i: list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0], lambda c, z:
+    CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS t),
+keyed AS (SELECT *, coalesce(conv_id::varchar, ' ') || ':' || coalesce(turn::varchar, ' ') AS k FROM conversations),
+hit AS (SELECT *, xor(list_reduce([4294967295::bigint] || list_transform(string_split(k, ''), lambda x: ascii(x)::bigint),
+    lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])), 4294967295) % 20 AS hit FROM keyed, t),
+dmg AS (SELECT conv_id, turn, CASE WHEN hit = 4 THEN 'user' ELSE coalesce(role, ' ') END AS role, CASE hit WHEN 1 THEN ''
+    WHEN 2 THEN regexp_replace(coalesce(text, ' '), '[.!?]', '', 'g') ELSE coalesce(text, ' ') END AS text,
+    unnest(range(CASE WHEN hit = 3 THEN 2 ELSE 1 END)) AS copy FROM hit WHERE hit <> 0),
+numbered AS (SELECT *, coalesce(conv_id::varchar, '') AS c, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST,
+    role, sha256(text), copy) AS i FROM dmg),
+rows AS (SELECT *, substr(role, 1, 1) AS initial, CASE WHEN NOT regexp_matches(text, '[^\x20\x09-\x0D]') THEN 'blank'
+    WHEN row_number() OVER (PARTITION BY c, role, text ORDER BY i) > 1 THEN 'duplicate'
+    WHEN NOT regexp_matches(text, '[.!?][\x20\x09-\x0D]*\z') THEN 'truncated' ELSE '' END AS fault,
+    fault IN ('blank', 'duplicate') AS gone, lag(initial) OVER (PARTITION BY c ORDER BY i) || initial AS pair FROM numbered),
+fold AS (
+  SELECT DISTINCT c, 0 AS i, '000000000' AS l0, NULL::varchar AS l1, '000000003I' AS l2, '000000006II' AS l3 FROM rows
+  UNION ALL
+  SELECT c, i, d0, d1, {least('d2', add('d0', 3, 'I'), add('d1', 3, 'I'), add('d3', 3, 'I'))} AS u,
+    {least('d3', add('u', 3, 'I'))} FROM (
+    SELECT f.c, r.i, {add('l0', 4, 'D')} AS d0, {least(add('l1', 4, 'D'), to_s)} AS d1,
+      {least(add('l2', 4, 'D'), to_u)} AS d2, {least(add('l3', 4, 'D'), to_a)} AS d3
+    FROM fold f JOIN rows r ON r.c = f.c AND r.i = f.i + 1)),
+best AS (SELECT c, least(arg_max(l0, i), arg_max(l3, i)) AS label FROM fold GROUP BY c),
+plan AS (SELECT c, label[:9]::bigint AS cost, substr(label, 10) AS audit, unnest(range(1, length(label) - 8)) AS p FROM best),
+steps AS (SELECT *, audit[p] AS e, length(replace(audit[:p], 'I', '')) AS i, length(replace(audit[:p], 'D', '')) AS seq,
+    length(replace(audit, 'D', '')) % 2 AS sys FROM plan),
+done AS (SELECT s.c, sha256(string_agg(CASE WHEN e = 'K' THEN role WHEN (seq - sys) % 2 = 1 THEN 'user' ELSE 'assistant' END
+    || ':' || CASE WHEN e = 'I' THEN '' ELSE text END, chr(10) ORDER BY p)) AS h
+  FROM steps s LEFT JOIN rows r ON r.c = s.c AND r.i = s.i AND e <> 'I' WHERE e <> 'D' GROUP BY s.c),
+stats AS (SELECT c, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (fault = 'blank') AS blank,
+    count(*) FILTER (fault = 'duplicate') AS duplicate, count(*) FILTER (fault = 'truncated') AS truncated,
+    count(*) FILTER (pair NOT IN ('su', 'ua', 'au')) AS illegal FROM rows GROUP BY c)
+SELECT o.conv_id, coalesce(gaps, 0)::bigint AS gaps, coalesce(blank, 0)::bigint AS blank, coalesce(duplicate, 0)::bigint AS duplicate,
+  coalesce(truncated, 0)::bigint AS truncated, coalesce(illegal, 0)::bigint AS illegal, coalesce(label[:9], '0')::bigint AS cost,
+  coalesce(substr(label, 10), '') AS audit, coalesce(h, sha256('')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id, coalesce(conv_id::varchar, '') AS c FROM conversations) o
+LEFT JOIN stats USING (c) LEFT JOIN best USING (c) LEFT JOIN done USING (c)
+"""
+
+
 QUERIES = {
     "op1_simhash": op1_simhash,
     "op2_toxicity": op2_toxicity,
@@ -138,6 +196,7 @@ QUERIES = {
     "op8_lm_scoring": op8_lm_scoring,
     "op9_quality_classifier": op9_quality_classifier,
     "op10_ann": op10_ann,
+    "op11_conversation_repair": op11_conversation_repair,
     "pipeline": pipeline,
 }
 
@@ -145,4 +204,5 @@ ORACLES = {
     "op3_url_filters": _op3_sql(),
     "op4_exact_dedup": OP4_SQL,
     "op7_warc": OP7_SQL,
+    "op11_conversation_repair": _op11_sql(),
 }

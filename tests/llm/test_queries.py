@@ -10,7 +10,7 @@ SF = "/root/testdata/sf0.001"
 @pytest.mark.parametrize("name", sorted(ORACLES))
 def test_matches_sql(spark, name):
     con = duckdb.connect()
-    for t in ("documents", "pages", "labels", "embeddings"):
+    for t in ("documents", "pages", "labels", "embeddings", "conversations"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF}/{t}.parquet')")
     df = QUERIES[name](spark, SF)
     cur = con.execute(ORACLES[name])
@@ -56,4 +56,4 @@ def test_pipeline_stages_against_brute_force(spark):
 
 
 def test_every_operator_has_a_query():
-    assert sorted(k.split("_")[0] for k in QUERIES) == sorted([*(f"op{n}" for n in range(1, 11)), "pipeline"])
+    assert sorted(k.split("_")[0] for k in QUERIES) == sorted([*(f"op{n}" for n in range(1, 14)), "pipeline"])
