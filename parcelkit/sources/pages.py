@@ -1,73 +1,141 @@
 """Download-page link scan over a table of crawled pages (``page_id, url, html``).
 
-For every ``<a href=...>`` whose href contains ``pattern`` (case-insensitive,
-anywhere — the source looks for ``.zip``), resolve it against the page URL,
-keep http/https only, and derive the file name from the URL path's last
-segment (the host when the path has none). Distinct per page.
-Pure DataFrame expressions: ``regexp_extract_all`` + ``explode`` + an array fold over path segments.
+Pages are read by a tokeniser with the states of an HTML parser: text, comment, declaration, tag, attribute name,
+attribute value (double-, single- or unquoted) and raw text (``script``, ``style``). Only what a parser would see as an
+anchor's ``href`` counts: not a ``>`` inside a quoted title, not ``data-href``, not markup in comments or scripts.
+References such as ``&amp;`` and ``&#38;`` in the value are decoded.
+
+For every href that contains ``pattern`` (case-insensitive, anywhere — the source looks for ``.zip``), it is resolved
+against the page's URL, http/https links are kept, and the file name is the last segment of the link's path (the host
+when there is none). Distinct per page. Pages are tokenised in Arrow batches, one page at a time, wherever their rows lie.
 """
 
 from __future__ import annotations
 
+import html as _html
+import re
+from collections.abc import Iterator
+from html.entities import html5
+from urllib.parse import urljoin, urlsplit
+
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 # --- fixed values ------------------------------------------------------------------
-# href attribute of an anchor tag (double-, single- or un-quoted)
-HREF = r"""(?i)<a\s[^>]*?href\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>"']+))"""
-# script bodies and comments hold no anchors an HTML parser would see
-NOT_MARKUP = r"(?is)<script.*?</script>|<!--.*?-->"
-
-
-def _resolve(base, href):
-    """RFC 3986 reference resolution for the forms found in pages: absolute, //host, /path, ?q, #f, relative."""
-    scheme = F.regexp_extract(base, r"^([A-Za-z][A-Za-z0-9+.-]*):", 1)
-    origin = F.regexp_extract(base, r"^([A-Za-z][A-Za-z0-9+.-]*://[^/?#]*)", 1)
-    no_frag = F.regexp_replace(base, r"#.*$", "")
-    no_query = F.regexp_replace(no_frag, r"\?.*$", "")
-    path_dir = F.regexp_extract(no_query, r"^([A-Za-z][A-Za-z0-9+.-]*://[^/?#]*(?:/[^?#]*/)?)", 1)
-    dir_ = F.when(path_dir.endswith("/"), path_dir).otherwise(F.concat(path_dir, F.lit("/")))
-    joined = (F.when(href.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*:"), href)
-              .when(href.startswith("//"), F.concat(scheme, F.lit(":"), href))
-              .when(href.startswith("/"), F.concat(origin, href))
-              .when(href.startswith("?"), F.concat(no_query, href))
-              .when(href.startswith("#"), F.concat(no_frag, href))
-              .when(href == "", no_frag)
-              .otherwise(F.concat(dir_, href)))
-    # dot segments are removed from the path only (never from scheme://authority, query or fragment)
-    authority = r"^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*"
-    pre = F.regexp_extract(joined, f"({authority})", 1)
-    rest = F.regexp_replace(joined, authority, "")
-    return F.concat(pre, _without_dots(F.regexp_extract(rest, r"^[^?#]*", 0)), F.regexp_extract(rest, r"[?#].*$", 0))
-
-
-def _without_dots(path):
-    """``path`` with its ``.`` and ``..`` segments worked off, at any depth; ``..`` above the root stays at the root."""
-    parts = F.slice(F.split(path, "/"), 2, F.length(path) + 1)
-    kept = F.aggregate(parts, F.array().cast("array<string>"), lambda done, s: (
-        F.when(s == ".", done)
-        .when(s == "..", F.slice(done, 1, F.greatest(F.size(done) - 1, F.lit(0))))
-        .otherwise(F.array_append(done, s))))
-    ends_in_dots = F.element_at(parts, -1).isin(".", "..")
-    whole = F.concat(F.lit("/"), F.array_join(kept, "/"), F.when(ends_in_dots & (F.size(kept) > 0), F.lit("/")).otherwise(
-        F.lit("")))
-    return F.when(path.startswith("/") & F.exists(parts, lambda s: s.isin(".", "..")), whole).otherwise(path)
+SPACE = " \t\n\f\r"
+RAW_TEXT = ("script", "style")       # what follows such a tag is text up to its end tag
+SCHEMES = ("http", "https")
+
+# what may end the text state: a comment, another declaration, an end tag, a start tag
+_MARK = re.compile(rf"<(?:(?P<comment>!--)|(?P<other>[!?])|(?P<slash>/?)(?P<tag>[A-Za-z][^{SPACE}/>]*))")
+_COMMENT_END = re.compile(r"--!?>")
+# the next state inside a tag: its end, or an attribute with its value, if it has one
+_ATTRIBUTE = re.compile(
+    rf"[{SPACE}/]*(?:(?P<end>>)|(?P<name>[^{SPACE}/>][^{SPACE}/>=]*)"
+    rf"(?P<equals>[{SPACE}]*=[{SPACE}]*(?:\"(?P<double>[^\"]*)\"|'(?P<single>[^']*)'|(?P<bare>(?![\"'])[^{SPACE}>]*)|(?P<open>[\"'])))?)")
+_REFERENCE = re.compile(r"&(?:#[0-9]+;?|#[xX][0-9A-Fa-f]+;?|([A-Za-z][A-Za-z0-9]*)(;|=)?)")
+
+
+def _decoded(value: str) -> str:
+    """An attribute's value with its character references decoded: named ones without a semicolon only as a whole word
+    that no ``=`` follows, as in a query string."""
+    def one(m: re.Match) -> str:
+        name, end = m.group(1), m.group(2)
+        if name is None or end == ";" or (end is None and name in html5):
+            return _html.unescape(m.group())
+        return m.group()
+    return _REFERENCE.sub(one, value) if "&" in value else value
+
+
+def _tag_end(text: str, at: int, wanted: str | None) -> tuple[int, str | None, bool]:
+    """From behind a tag's name: where the tag ends (-1: it does not), the value of its attribute ``wanted`` (the last
+    one, '' if it has no value) and whether the tag closes itself."""
+    value = None
+    while True:
+        m = _ATTRIBUTE.match(text, at)
+        if m is None or m["open"] is not None:
+            return -1, None, False
+        if m["end"]:
+            return m.end(), value, text[m.end() - 2] == "/"
+        if wanted is not None and m["name"].lower() == wanted:
+            value = next((v for v in (m["double"], m["single"], m["bare"]) if v is not None), "")
+        at = m.end()
+
+
+def anchor_hrefs(text: str) -> Iterator[str]:
+    """The ``href`` of every anchor of a page, in order, decoded and stripped. An unfinished tag ends the page."""
+    at = 0
+    while m := _MARK.search(text, at):
+        if m["comment"]:
+            rest = text[m.end():m.end() + 2]
+            if rest[:1] == ">" or rest == "->":             # an empty comment
+                at = text.index(">", m.end()) + 1
+                continue
+            end = _COMMENT_END.search(text, m.end())
+            if not end:
+                return
+            at = end.end()
+            continue
+        if m["other"]:
+            at = text.find(">", m.end()) + 1
+            if not at:
+                return
+            continue
+        name = m["tag"].lower()
+        opens = not m["slash"]
+        at, href, closed = _tag_end(text, m.end(), "href" if opens and name == "a" else None)
+        if at < 0:
+            return
+        if href is not None:
+            yield _decoded(href).strip()
+        if opens and not closed and name in RAW_TEXT:
+            end = re.compile(rf"</{name}(?=[{SPACE}/>])", re.IGNORECASE).search(text, at)
+            if not end:
+                return
+            at = end.start()
+
+
+def _links(base: str, text: str, pattern: str) -> dict[str, str]:
+    """Link -> file name of one page."""
+    out = {}
+    for href in anchor_hrefs(text):
+        if pattern in href.lower():
+            try:
+                link = urljoin(base, href)
+                parts = urlsplit(link)
+            except ValueError:                              # no address (a broken IPv6 host)
+                continue
+            if parts.scheme in SCHEMES:
+                out[link] = parts.path.rsplit("/", 1)[-1] or parts.netloc
+    return out
 
 
 def page_links(pages: DataFrame, pattern: str = ".zip") -> DataFrame:
-    """``page_id, url, link, file_name`` for each distinct matching link of each page (sort where it is shown)."""
-    html = F.regexp_replace(F.col("html"), NOT_MARKUP, "")
-    anchors = pages.select("page_id", "url", F.explode(F.regexp_extract_all(html, F.lit(HREF), F.lit(0))).alias("tag"))
-    href = F.trim(F.coalesce(
-        F.nullif(F.regexp_extract("tag", HREF, 1), F.lit("")),
-        F.nullif(F.regexp_extract("tag", HREF, 2), F.lit("")),
-        F.regexp_extract("tag", HREF, 3)))
-    href = F.replace(href, F.lit("&amp;"), F.lit("&"))
-    cand = anchors.select("page_id", "url", href.alias("href")).where(
-        F.lower(F.col("href")).contains(pattern.lower()))
-    links = cand.select("page_id", "url", _resolve(F.col("url"), F.col("href")).alias("link"))
-    links = links.where(F.lower(F.regexp_extract("link", r"^([A-Za-z][A-Za-z0-9+.-]*):", 1)).isin("http", "https"))
-    path = F.regexp_extract("link", r"^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*([^?#]*)", 1)
-    host = F.regexp_extract("link", r"^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)", 1)
-    base = F.element_at(F.split(path, "/"), -1)
-    return links.distinct().select("page_id", "url", "link", F.when(base != "", base).otherwise(host).alias("file_name"))
+    """``page_id, url, link, file_name`` for each distinct matching link of each page (sort where it is shown).
+
+    A page without html has no links; without a url only absolute links resolve.
+    """
+    wanted = pattern.lower()
+
+    def run(batches):
+        for batch in batches:
+            for lo in range(0, batch.num_rows, 256):
+                part = batch.slice(lo, 256)
+                at, links, names = [], [], []
+                for i, (url, text) in enumerate(zip(part.column("url").to_pylist(), part.column("html").to_pylist())):
+                    for link, name in _links(url or "", text or "", wanted).items():
+                        at.append(i)
+                        links.append(link)
+                        names.append(name)
+                index = pa.array(at, pa.int64())
+                yield pa.RecordBatch.from_arrays([part.column("page_id").take(index), part.column("url").take(index),
+                                                  pa.array(links, pa.string()), pa.array(names, pa.string())],
+                                                 ["page_id", "url", "link", "file_name"])
+
+    from ..session import ship_package
+    ship_package(pages.sparkSession)
+    kind = pages.schema["page_id"].dataType.simpleString()
+    narrow = pages.select("page_id", "url", F.col("html"))
+    found = narrow.mapInArrow(run, f"page_id {kind}, url string, link string, file_name string")
+    return found.distinct()         # pages that are listed twice
