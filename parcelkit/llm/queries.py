@@ -7,7 +7,8 @@ from corpus_pipeline import run as pipeline
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parcelkit.llm import ann, byte_bpe, conversation_repair, lm_score, packing, quality, simhash, toxicity, url_filter, warc
+from parcelkit.llm import (ann, byte_bpe, collision_dedup, conversation_repair, lm_score, packing, quality, simhash, toxicity,
+                           url_filter, warc, whitening)
 from parcelkit.llm import exact_dedup as exact
 from parcelkit.llm.common import work_path
 
@@ -185,6 +186,27 @@ LEFT JOIN stats USING (c) LEFT JOIN best USING (c) LEFT JOIN done USING (c)
 """
 
 
+def op12_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"), count=4)
+
+
+def op13_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collision_dedup.near_duplicates(table(spark, sf_dir, "embeddings"), threshold=0.93)
+
+
+OP13_SQL = """
+WITH RECURSIVE v AS (SELECT row_number() OVER () AS r, vec_id, label, embedding::double[] AS e FROM embeddings),
+fit AS (SELECT * FROM v WHERE label IS NOT NULL AND len(e) > 0 AND len(list_filter(e, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+  AND len(list_filter(e, lambda x: x <> 0)) > 0),
+links AS (SELECT a.r AS a, b.r AS b FROM fit a JOIN fit b ON a.label = b.label AND a.r <> b.r AND len(a.e) = len(b.e)
+  AND list_cosine_similarity(a.e, b.e) >= 0.93::double),
+reach AS (SELECT r AS a, r AS b FROM v UNION SELECT reach.a, links.b FROM reach JOIN links ON links.a = reach.b),
+least AS (SELECT reach.a AS r, min(vec_id) AS component_id FROM reach JOIN v ON v.r = reach.b GROUP BY 1)
+SELECT vec_id, (SELECT count(*) FROM links WHERE a = v.r) AS n_links, component_id, vec_id IS NOT DISTINCT FROM component_id AS kept
+FROM v JOIN least USING (r)
+"""
+
+
 QUERIES = {
     "op1_simhash": op1_simhash,
     "op2_toxicity": op2_toxicity,
@@ -197,6 +219,8 @@ QUERIES = {
     "op9_quality_classifier": op9_quality_classifier,
     "op10_ann": op10_ann,
     "op11_conversation_repair": op11_conversation_repair,
+    "op12_embedding_whitening": op12_embedding_whitening,
+    "op13_embedding_dedup": op13_embedding_dedup,
     "pipeline": pipeline,
 }
 
@@ -205,4 +229,5 @@ ORACLES = {
     "op4_exact_dedup": OP4_SQL,
     "op7_warc": OP7_SQL,
     "op11_conversation_repair": _op11_sql(),
+    "op13_embedding_dedup": OP13_SQL,
 }
