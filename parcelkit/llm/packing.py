@@ -12,10 +12,13 @@ from __future__ import annotations
 
 import zlib
 from functools import lru_cache
+from itertools import chain
+from unicodedata import is_normalized
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -27,58 +30,89 @@ SHARD = 50_000          # items of one task, on average
 class WordIds:
     """Ids of texts by a tokenizer file whose merges never cross a space or line break.
 
-    Chunks between spaces and line breaks are encoded once and kept (at most ``cached`` of them). The file's
-    own normaliser lower-cases, so ASCII texts may be lower-cased before; a chunk of ASCII letters is one
-    piece for the merges, and marks behind it are another.
+    A batch of texts is cut into chunks by Arrow, which also numbers the distinct ones; only those are looked up, and
+    only new ones encoded (at most about ``cached`` are kept). The file's own normaliser lower-cases, so A-Z may be
+    lower-cased before. A full stop or comma behind a letter (one that lower-casing leaves as it is) begins a piece of its
+    own, so a space may stand between them. A text that holds one of the file's special strings is encoded whole by the library.
     """
 
     def __init__(self, path: str, cached: int = 800_000):
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True     # their strings in a text are ordinary text
-        self.model = self.tokenizer.model
-        self.marks = lru_cache(1000)(lambda x: self.tokenizer.encode(x, add_special_tokens=False).ids if x else [])
+        self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.plain = Tokenizer.from_file(path)
+        self.plain.encode_special_tokens = True         # a chunk of a text without special strings holds none
+        self.model = self.plain.model
+        self.byte_chars = _byte_chars()
         self.cached = cached
         self.clear()
 
     def clear(self) -> None:
-        from array import array
-        self.index: dict[str, int] = {}
-        self.ids, self.first, self.count = array("I"), array("q"), array("q")
-
-    def encode(self, texts: list[str]) -> list[np.ndarray]:
-        out: list[np.ndarray] = []
-        group, size = [], 0
-        for text in texts:
-            group.append(text)
-            size += len(text)
-            if size >= 1 << 20:
-                out += self._encode(group)
-                group, size = [], 0
-        return out + (self._encode(group) if group else [])
-
-    def _encode(self, texts: list[str]) -> list[np.ndarray]:
-        if len(self.index) > self.cached:
+        self.known = pa.array([], pa.string())          # the chunks, by their numbers
+        self.ids, self.first, self.count = np.zeros(0, np.uint32), np.zeros(0, np.int64), np.zeros(0, np.int64)
+
+    def _chunk_ids(self, chunk: str) -> list[int]:
+        # letters alone are one piece for the merges; within these alphabets lower-casing goes letter by letter
+        if chunk.isalpha() and (chunk.isascii() or (max(chunk) < "\u0250" and is_normalized("NFC", chunk))):
+            low = chunk.lower()
+            if low.isascii():
+                return [t.id for t in self.model.tokenize(low)]
+            if low.isalpha():
+                return [t.id for t in self.model.tokenize(low.encode().decode("latin-1").translate(self.byte_chars))]
+        return self.plain.encode(chunk, add_special_tokens=False).ids
+
+    def _numbers(self, chunks: pa.Array) -> np.ndarray:
+        """The number of each of some distinct chunks; new ones are encoded."""
+        if len(self.known) > self.cached:
             self.clear()
-        chunks = [(x.lower() if x.isascii() else x).replace("\n", " ").split(" ") for x in texts]
-        index = self.index
-        for chunk in [x for x in set().union(*chunks) if x not in index]:
-            word = chunk.rstrip(".,")
-            if word.isascii() and word.isalpha():       # one piece of letters, then one of marks
-                ids = [t.id for t in self.model.tokenize(word.lower())] + self.marks(chunk[len(word):])
-            else:
-                ids = self.tokenizer.encode(chunk, add_special_tokens=False).ids
-            index[chunk] = len(self.first)
-            self.first.append(len(self.ids))
-            self.count.append(len(ids))
-            self.ids.extend(ids)
-        flat = np.frombuffer(self.ids, np.uint32) if self.ids else np.zeros(0, np.uint32)
-        first, count = np.frombuffer(self.first, np.int64), np.frombuffer(self.count, np.int64)
-        out = []
-        for words in chunks:
-            at = np.fromiter(map(index.__getitem__, words), np.int64, len(words))
-            out.append(ragged(flat, first[at], count[at]))
-        return out
+        found = pc.index_in(chunks, value_set=self.known)
+        new = chunks.filter(pc.is_null(found))
+        if len(new):
+            ids = [self._chunk_ids(c) for c in new.to_pylist()]
+            count = np.fromiter(map(len, ids), np.int64, len(ids))
+            self.first = np.concatenate([self.first, len(self.ids) + np.cumsum(count) - count])
+            self.count = np.concatenate([self.count, count])
+            self.ids = np.concatenate([self.ids, np.fromiter(chain.from_iterable(ids), np.uint32, int(count.sum()))])
+            self.known = pa.concat_arrays([self.known, new])
+        numbers = pc.fill_null(found, -1).to_numpy(zero_copy_only=False).astype(np.int64)
+        numbers[numbers < 0] = np.arange(len(self.known) - len(new), len(self.known))
+        return numbers
+
+    def encode(self, texts: pa.Array, end: list[int] = []) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of some texts (null: empty), one after the other, each followed by ``end``; and their numbers."""
+        texts = pc.fill_null(texts, "")
+        apart = pc.match_substring(texts, self.special[0]) if self.special else pa.array(np.zeros(len(texts), bool))
+        for s in self.special[1:]:
+            apart = pc.or_(apart, pc.match_substring(texts, s))
+        whole = np.flatnonzero(apart.to_numpy(zero_copy_only=False))
+        own = [self.tokenizer.encode(texts[int(i)].as_py(), add_special_tokens=False).ids for i in whole]
+        if len(whole):
+            texts = pc.if_else(apart, "", texts)
+        spaced = pc.replace_substring(pc.ascii_lower(texts), "\n", " ")
+        spaced = pc.replace_substring_regex(spaced, r"([\p{Ll}\p{Lo}\p{Lm}])([.,])", r"\1 \2")
+        lists = pc.split_pattern(spaced, " ")
+        names = lists.flatten().dictionary_encode()
+        at = self._numbers(names.dictionary)[names.indices.to_numpy(zero_copy_only=False)]
+        count = self.count[at]
+        upto = np.concatenate([[0], np.cumsum(count)])
+        edges = upto[np.cumsum(np.concatenate([[0], pc.list_value_length(lists).to_numpy(zero_copy_only=False)]))]
+        ids, sizes = ragged(self.ids, self.first[at], count), np.diff(edges)
+        places = edges[1:]
+        if len(whole):
+            ids = np.insert(ids, np.repeat(places[whole], [len(x) for x in own]), [t for x in own for t in x]).astype(np.uint32)
+            sizes[whole] += [len(x) for x in own]
+            places = np.cumsum(sizes)
+        if end:
+            ids = np.insert(ids, np.repeat(places, len(end)), np.tile(np.array(end, np.uint32), len(places)))
+            sizes = sizes + len(end)
+        return ids, sizes
+
+
+def _byte_chars() -> dict[int, str]:
+    """The characters that stand for bytes in a byte-level vocabulary: printable ones for themselves, others from 256 on."""
+    shown = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or 174 <= b]
+    hidden = [b for b in range(256) if b not in shown]
+    return {b: chr(b) for b in shown} | {b: chr(256 + k) for k, b in enumerate(hidden)}
 
 
 @lru_cache(2)
@@ -88,6 +122,17 @@ def _word_ids(path: str) -> WordIds:
     return WordIds(path)
 
 
+def _slices(batch: pa.RecordBatch, limit: int = 16 << 20):
+    """Parts of a batch of about ``limit`` bytes of text (a longer text is a part of its own)."""
+    sizes = pc.fill_null(pc.binary_length(batch.column(1)), 0).to_numpy(zero_copy_only=False)
+    part = np.cumsum(sizes) // limit
+    lo = 0
+    for hi in [*(np.flatnonzero(np.diff(part)) + 1).tolist(), batch.num_rows]:
+        if hi > lo:
+            yield batch.slice(lo, hi - lo)
+        lo = hi
+
+
 def token_pieces(docs: DataFrame, tokenizer_path: str, capacity: int = 4096, end_id: int = 1,
                  with_ids: bool = False, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id``, ``piece``, ``start``, ``length``, ``ids_crc32`` (and ``ids``): a document's ids and the end
@@ -96,21 +141,22 @@ def token_pieces(docs: DataFrame, tokenizer_path: str, capacity: int = 4096, end
     def run(batches):
         words = _word_ids(tokenizer_path)
         for batch in batches:
-            for lo in range(0, batch.num_rows, 512):
-                part = batch.slice(lo, 512)
-                rows = []
-                texts = [x or "" for x in part.column(1).to_pylist()]
-                for i, ids in enumerate(words.encode(texts)):
-                    ids = np.append(ids, np.uint32(end_id)).astype("<u4")
-                    for k, start in enumerate(range(0, len(ids), capacity)):
-                        own = ids[start:start + capacity]
-                        rows.append((i, k, start, len(own), zlib.crc32(own.tobytes()), own))
-                at, piece, start, length, crc, own = zip(*rows) if rows else [()] * 6
-                arrays = [part.column(0).take(pa.array(at, pa.int64())), pa.array(piece, pa.int32()),
-                          pa.array(start, pa.int64()), pa.array(length, pa.int64()), pa.array(crc, pa.int64())]
+            for part in _slices(batch):
+                ids, sizes = words.encode(part.column(1), [end_id])
+                pieces = -(-sizes // capacity)
+                at = np.repeat(np.arange(len(sizes)), pieces)
+                piece = np.arange(len(at)) - np.repeat(np.cumsum(pieces) - pieces, pieces)
+                start = piece * capacity
+                length = np.minimum(sizes[at] - start, capacity)
+                begin = (np.cumsum(sizes) - sizes)[at] + start
+                data = memoryview(ids.astype("<u4", copy=False)).cast("B")
+                crc = [zlib.crc32(data[a:b]) for a, b in zip((4 * begin).tolist(), (4 * (begin + length)).tolist())]
+                arrays = [part.column(0).take(pa.array(at)), pa.array(piece.astype(np.int32)), pa.array(start),
+                          pa.array(length), pa.array(crc, pa.int64())]
                 names = ["doc_id", "piece", "start", "length", "ids_crc32"]
                 if with_ids:
-                    arrays.append(pa.array([x.astype(np.int32) for x in own], pa.list_(pa.int32())))
+                    edges = np.concatenate([begin, [len(ids)]]).astype(np.int32)
+                    arrays.append(pa.ListArray.from_arrays(pa.array(edges), pa.array(ids.astype(np.int32))))
                     names.append("ids")
                 yield pa.RecordBatch.from_arrays(arrays, names)
 
@@ -171,7 +217,7 @@ def _pack_round(items: DataFrame, capacity: int, name: str) -> DataFrame:
     shards = max(1, -(-items.count() // SHARD))
     dealt = items.withColumn("shard", F.pmod(F.xxhash64("item"), F.lit(shards)))
     dealt = dealt.repartition(shards, "shard")                  # few bytes, much work: tasks by number, not by size
-    packed = dealt.groupBy("shard").applyInPandas(
+    packed = on_workers(dealt).groupBy("shard").applyInPandas(
         lambda pdf: _packed_shard(pdf, capacity), "item bigint, length bigint, shard bigint, bin bigint, offset bigint")
     return written(packed.select("item", "length", (F.col("shard") * F.lit(1 << 32) + F.col("bin")).alias("bin"),
                                  "offset"), name)

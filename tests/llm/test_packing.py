@@ -1,7 +1,9 @@
+import random
 import zlib
 from collections import defaultdict
 
 import numpy as np
+import pyarrow as pa
 import public_tokenizers as P
 from tokenizers import Tokenizer
 
@@ -11,14 +13,34 @@ PATH = P.path("word_bpe_49k.json")
 
 
 def library():
-    t = Tokenizer.from_file(PATH)
-    t.encode_special_tokens = True
-    return t
+    return Tokenizer.from_file(PATH)
+
+
+def ids_of(texts):
+    ids, sizes = WordIds(PATH).encode(pa.array(texts, pa.string()), [7, 8])
+    out = [x.tolist() for x in np.split(ids, np.cumsum(sizes)[:-1])]
+    assert all(x[-2:] == [7, 8] for x in out)
+    return [x[:-2] for x in out]
+
+
+TEXTS = ["Hello, World. it's don't  x", "ÄÖ İ ΣΑΣ fin.", "a\tb\x0bc d\u00a0e", "", "  ", "1.5, (x)... ..", "No\nline\r\nend. A.B.,",
+         "a.b,c .d é.É,ß. e\u0301. x\u0301,y ŉ ǰ Ǆ K Å ﬁ", "'s.'T x's.y", "汉字. かな, ½.", "\u0300a \u0301", "A\u030a Å E\u0323\u0307"]
+SPECIAL = ["a <|endoftext|> b", "<|startoftext|>", "x<|endoftext|><|endoftext|>Y. Z", "<|ENDOFTEXT|> a", "<|endof text|>", "<|endoftext|"]
 
 
 def test_ids_equal_the_library():
-    texts = ["Hello, World. it's don't  x", "ÄÖ İ ΣΑΣ fin.", "a\tb\x0bc d\u00a0e", "<|endoftext|> x", "", "  ", "1.5, (x)... ..", "No\nline\r\nend. A.B.,"]
-    assert [x.tolist() for x in WordIds(PATH).encode(texts)] == [library().encode(t, add_special_tokens=False).ids for t in texts]
+    texts = TEXTS + SPECIAL
+    assert ids_of(texts + [None]) == [library().encode(t, add_special_tokens=False).ids for t in texts] + [[]]
+    assert ids_of(["a <|endoftext|> b"]) == [[320, 49407, 321]]
+    assert ids_of(TEXTS[:1]) == [library().encode(TEXTS[0], add_special_tokens=False).ids]
+
+
+def test_random_texts_equal_the_library():
+    rng = random.Random(4)
+    parts = ["word", "Über", "straße", "É", "e\u0301", ".", ",", " ", "  ", "\n", "\t", "'s", "'LL", "9", "İ", "Σ", "σς", "-", "<|endoftext|>", "<|", "|>",
+             "漢", "\u00a0", "🎉", "(", "ñ", "Ø", "ǆ", "ſ", "K", "\u200d", "\u0345"]
+    texts = ["".join(rng.choice(parts) for _ in range(rng.randint(0, 14))) for _ in range(6000)]
+    assert ids_of(texts) == [e.ids for e in library().encode_batch(texts, add_special_tokens=False)]
 
 
 def brute(lengths, capacity):
