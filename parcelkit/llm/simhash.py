@@ -53,16 +53,25 @@ def fingerprint(text: str | None, width: int = 4, seed: int = 42) -> int:
 
 
 def fingerprints(docs: DataFrame, width: int = 4, seed: int = 42, id_col: str = "doc_id",
-                 text_col: str = "text") -> DataFrame:
-    """``doc_id``, ``fp`` (the 64 bits as a signed long) of every row."""
+                 text_col: str = "text", marks: bool = False) -> DataFrame:
+    """``doc_id``, ``fp`` (the 64 bits as a signed long) of every row; with ``marks`` also ``h1``, ``h2``, two hashes
+    that stand for the text."""
+    own = ["doc_id", "h1", "h2"] if marks else ["doc_id"]
+
     def run(batches):
         for batch in batches:
-            fps = np.array([fingerprint(x.as_py(), width, seed) for x in batch.column(1)], np.uint64)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fps.view(np.int64))], ["doc_id", "fp"])
+            fps = np.array([fingerprint(x.as_py(), width, seed) for x in batch.column("text")], np.uint64)
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in own), pa.array(fps.view(np.int64))], [*own, "fp"])
 
     narrow = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
+    narrow = narrow.withColumns(_text_marks("text")) if marks else narrow
     kind = narrow.schema["doc_id"].dataType.simpleString()
-    return on_workers(narrow).mapInArrow(run, f"doc_id {kind}, fp bigint")
+    return on_workers(narrow).mapInArrow(run, f"doc_id {kind}, {'h1 bigint, h2 bigint, ' if marks else ''}fp bigint")
+
+
+def _text_marks(text_col: str) -> dict:
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    return {"h1": F.xxhash64(text), "h2": F.xxhash64(F.lit(1), text)}
 
 
 def _rotate(x: np.ndarray, by: int) -> np.ndarray:
@@ -273,14 +282,24 @@ def simhash_groups(docs: DataFrame, width: int = 4, max_bits: int = 4, seed: int
 
 def one_per_group(docs: DataFrame, width: int = 4, max_bits: int = 4, seed: int = 42, id_col: str = "doc_id",
                   text_col: str = "text") -> DataFrame:
-    """``docs`` with one row of each near-duplicate component (the one of the smallest id), all columns as they were.
+    """``docs`` with exactly one row of each near-duplicate component, all columns as they were.
 
-    Rows without an id cannot be told apart and stay. If the smallest id is repeated, one of its rows stays.
+    It is a row of the smallest id (a null id loses against any other), whose row is found again by id and text: other
+    components' rows of the same id are rows of their own. Of rows that repeat both, one stays. A null text equals the
+    empty one.
     """
-    groups = simhash_groups(docs, width, max_bits, seed, id_col, text_col)
-    kept = groups.where(F.col("doc_id") == F.col("component_id")).groupBy(F.col("doc_id").alias("__kept_id")).agg(
-        F.count(F.lit(1)).alias("__copies"))
-    found = docs.join(written(kept, "kept"), F.col(id_col) == F.col("__kept_id"))
-    alone = found.where("__copies = 1").select(docs.columns)
-    several = found.where("__copies > 1").dropDuplicates([id_col]).select(docs.columns)
-    return alone.unionByName(several).unionByName(docs.where(F.col(id_col).isNull()))
+    rows = written(fingerprints(docs, width, seed, id_col, text_col, marks=True), "fingerprints")
+    roots = components(written(hamming_links(rows, max_bits), "links"))
+    row = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "h1", "h2")
+    least = rows.groupBy("fp").agg(F.min(row).alias("row"))
+    kept = least.join(roots, least.fp == roots.node, "left").groupBy(F.coalesce("root", "fp").alias("root")).agg(
+        F.min("row").alias("row")).select("row.doc_id", "row.h1", "row.h2")
+    copies = rows.groupBy("doc_id", "h1", "h2").agg(F.count(F.lit(1)).alias("copies")).where("copies > 1")
+    same = (kept.h1 == copies.h1) & (kept.h2 == copies.h2) & kept.doc_id.eqNullSafe(copies.doc_id)
+    kept = written(kept.join(copies, same, "left").select(
+        kept.doc_id.alias("__id"), kept.h1.alias("__k1"), kept.h2.alias("__k2"), "copies"), "kept")
+    marked = docs.withColumns({f"__{k}": c for k, c in _text_marks(text_col).items()})
+    found = marked.join(kept.withColumnRenamed("copies", "__copies"), (F.col("__h1") == F.col("__k1")) & (
+        F.col("__h2") == F.col("__k2")) & F.col(id_col).eqNullSafe(F.col("__id")))
+    once = found.where("__copies is null").select(docs.columns)
+    return once.unionByName(found.where("__copies > 1").dropDuplicates(["__id", "__k1", "__k2"]).select(docs.columns))
