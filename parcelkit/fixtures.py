@@ -207,9 +207,11 @@ def oracle_with(*names: str) -> str:
     return "WITH " + ",\n".join(f"{n} AS ({DERIVED_SQL[n]})" for n in names) + "\n"
 
 
-def write_text_drop(tables, names, root: str) -> dict:
+def write_text_drop(tables, names, root: str, sort: bool = False) -> dict:
     """Write derived tables as a yearly text drop: one folder of tab-separated part files per table.
 
+    With ``sort`` the rows are in the order of their cells, over all part files.
+
     Input construction only: every value is padded with a space on both sides
     (blank and NULL values are written as empty cells); the loader must undo it.
     Written by Spark, one part file per partition. Returns ``table -> column names``.
@@ -219,6 +221,7 @@ def write_text_drop(tables, names, root: str) -> dict:
     for name in names:
         df = tables[name]
         cols = df.columns
+        df = df.orderBy(*[F.coalesce(F.col(c), F.lit("")) for c in cols]) if sort else df
         padded = df.select(*[F.when(F.col(c).isNull() | (F.col(c) == ""), F.lit(""))
                              .otherwise(F.concat(F.lit(" "), F.col(c), F.lit(" "))).alias(c) for c in cols])
         (padded.write.mode("overwrite").option("sep", "\t").option("header", True).option("quote", "")
@@ -227,12 +230,14 @@ def write_text_drop(tables, names, root: str) -> dict:
     return cols_by_table
 
 
+ARCHIVE_ROWS = 5000     # rows of an archive that write_zip_drop aims at
+
+
 def write_zip_drop(tables, name: str, root: str) -> None:
-    """Write one derived table as ZIP archives (one per last digit of ``acct``, member ``<name>.txt`` with a header).
+    """Write one derived table as ZIP archives of about ``ARCHIVE_ROWS`` rows (member ``<name>.txt`` with a header).
 
-    Input construction only: each Spark task zips its own groups into the
-    shared folder ``root`` (any file system Arrow can open); no rows pass
-    through the driver.
+    Input construction only: rows are dealt by account number to as many archives as the table fills; each Spark task
+    zips its own into the shared folder ``root`` (any file system Arrow can open). No rows pass through the driver.
     """
     import io
     import uuid
@@ -242,10 +247,12 @@ def write_zip_drop(tables, name: str, root: str) -> None:
     from pyarrow import fs as pafs
     from pyspark.sql import functions as F
 
+    from .session import qualified, ship_package
     df = tables[name]
     cols = df.columns
-    from .session import ship_package
     ship_package(df.sparkSession)
+    root = qualified(df.sparkSession, root)
+    archives = max(1, -(-df.count() // ARCHIVE_ROWS))
 
     def write(key, pdf):
         lines = ["\t".join(cols)] + ["\t".join("" if v is None else str(v) for v in row)
@@ -262,5 +269,6 @@ def write_zip_drop(tables, name: str, root: str) -> None:
         fs.move(tmp, path)
         return pd.DataFrame({"path": [path], "rows": [len(pdf)]})
 
-    (df.withColumn("_digit", F.substring("acct", -1, 1)).groupBy("_digit").applyInPandas(write, "path string, rows long")
+    dealt = df.withColumn("_archive", F.col("acct").cast("long") % archives)
+    (dealt.groupBy("_archive").applyInPandas(write, "path string, rows long")
      .write.format("noop").mode("overwrite").save())

@@ -51,7 +51,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     current = spark.conf.get("spark.checkpoint.dir", None)
     if current:
         return checkpoint_dir(spark)
-    existing = spark.sparkContext.getCheckpointDir()
+    existing = _FALLBACK.get(spark.sparkContext.applicationId) or spark.sparkContext.getCheckpointDir()
     if existing:
         return existing
     if not spark.sparkContext.master.startswith("local"):
@@ -60,6 +60,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return checkpoint_dir(spark, tempfile.mkdtemp(prefix="parcelkit-ckpt-"))
 
 
+#: Folders installed where ``spark.checkpoint.dir`` was unset, by application.
+_FALLBACK: dict[str, str] = {}
+
+
 def checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
@@ -74,8 +78,9 @@ def checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
         return current
     if not fallback:
         raise RuntimeError("spark.checkpoint.dir is not set; pass a shared folder as fallback")
-    spark.conf.set("spark.checkpoint.dir", fallback)
+    # the setting itself cannot be changed while a session runs; the context keeps the folder
     spark.sparkContext.setCheckpointDir(fallback)
+    _FALLBACK[spark.sparkContext.applicationId] = fallback
     return fallback
 
 
@@ -108,7 +113,15 @@ def ship_package(spark: SparkSession) -> None:
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
-    """Whether ``path`` exists on its (possibly distributed) file system."""
+    """Whether ``path`` (its last name may be a pattern) exists on its (possibly distributed) file system."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    found = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(p)
+    return found is not None and len(found) > 0
+
+
+def qualified(spark: SparkSession, path: str) -> str:
+    """``path`` with the scheme of its file system, so that Python tasks open the same folder as Spark does."""
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).makeQualified(p).toString()

@@ -3,29 +3,40 @@
 ``spark.read.csv`` with ``sep='\\t'``, a header row and quoting switched off
 reads the files splittably: short rows are NULL-padded, extra cells dropped,
 blank lines skipped, CRLF endings and stray quotes kept literally, invalid
-UTF-8 replaced. Files are found recursively by base name; each row carries a
-hidden ``_row_order`` (file path, split start, position) so key clean-up can
-keep the *first* row in file order even when a file is split across tasks.
+UTF-8 replaced. Files are found recursively by base name, their headers by one
+distributed job. Each row can carry a hidden ``_row_order`` (file, split start
+and position as one number) so key clean-up can keep the *first* row in file
+order even when a file is split across tasks.
 """
 
 from __future__ import annotations
 
+import re
+from decimal import Decimal
 from functools import reduce
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators.integrity import ORDER_COL
+from ..session import ship_package
+from .files import filesystem, openable
 
-# --- fixed values: whitespace stripped around each cell (Unicode-aware) --------
-_EDGE_WS = r"(?U)^\s+|\s+$"
+# --- fixed values: whitespace stripped around each cell (Unicode's White_Space) -----------
+WHITE_SPACE = "".join(map(chr, [*range(0x09, 0x0E), 0x20, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F,
+                                0x205F, 0x3000]))
+JAVA_BLANK = "".join(map(chr, range(0x21)))     # a line of these alone is blank to the text reader
+LINE_END = re.compile(rb"\r\n|\r|\n")
+HEADER_BYTES = 1 << 16
+ROW_BITS_MASK = (1 << 33) - 1                   # the row number in monotonically_increasing_id
 
 
 def clean_cell(col) -> Column:
     """strip surrounding whitespace -> delete NUL characters -> ``''`` becomes NULL (this order)."""
     c = F.col(col) if isinstance(col, str) else col
-    stripped = F.regexp_replace(c, _EDGE_WS, "")
+    stripped = F.btrim(c, F.lit(WHITE_SPACE))
     no_nul = F.replace(stripped, F.char(F.lit(0)), F.lit(""))
     return F.nullif(no_nul, F.lit(""))
 
@@ -68,40 +79,137 @@ def find_table_files(spark: SparkSession, root: str) -> tuple[dict[str, list[str
     return {t: p for t, p in {**singles, **parts}.items() if t not in clashes}, clashes
 
 
-def _headers(spark: SparkSession, paths: list[str]) -> dict[str, list[str]]:
-    """Files by their header line (only that line of each file is read)."""
+def _first_line(path: str) -> str | None:
+    """The first line of a file that is not blank (its header); None if there is none."""
+    fs, name = filesystem(path)
+    with fs.open_input_stream(name, compression=None) as f:
+        rest = b""
+        while True:
+            data = f.read(HEADER_BYTES)
+            lines = LINE_END.split(rest + data)
+            rest = lines.pop() if data else b""
+            for line in lines:
+                text = line.decode("utf-8", "replace")
+                if text.strip(JAVA_BLANK):
+                    return text
+            if not data:
+                return None
+
+
+def _first_lines_by_driver(spark: SparkSession, paths: list[str]) -> dict[str, str | None]:
+    """The headers where only Spark's file systems open the files: one after the other, on the driver."""
     jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
-    out: dict[str, list[str]] = {}
+    out = {}
     for path in paths:
-        p = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(path)) if "://" in path or path.startswith("file:") else (
-            jvm.org.apache.hadoop.fs.Path(path))
+        p = jvm.org.apache.hadoop.fs.Path(path)
         reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(p.getFileSystem(conf).open(p), "UTF-8"))
-        header = reader.readLine()
+        line = reader.readLine()
+        while line is not None and not line.strip(JAVA_BLANK):
+            line = reader.readLine()
         reader.close()
-        if header:
-            out.setdefault(header, []).append(path)
+        out[path] = line
     return out
 
 
+class TableFiles:
+    """A table's files: groups of equal headers, files without a header, and each file's place in the file order."""
+
+    def __init__(self, groups: dict[str, list[str]], blank: list[str], places: list[tuple[str, int]]):
+        self.groups, self.blank, self.places = groups, blank, places
+
+
+def table_files(spark: SparkSession, tables: dict[str, list[str]]) -> dict[str, TableFiles]:
+    """Headers of all files of some tables, found by one job; the driver gets each header once, with its files.
+
+    Blank lines before a header are skipped. Places follow the sorted paths.
+    """
+    paths = sorted({p for own in tables.values() for p in own})
+    if not paths:
+        return {}
+    by_header: dict[str | None, list] = {}
+    if all(openable(p) for p in paths):
+        def run(batches):
+            for batch in batches:
+                lines = [_first_line(p) for p in batch.column("path").to_pylist()]
+                yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(lines, pa.string())], ["path", "name", "header"])
+
+        ship_package(spark)
+        listed = spark.read.format("binaryFile").load([_glob_quoted(p) for p in paths]).select(
+            "path", F.col("_metadata.file_path").alias("name"))
+        tasks = max(1, min(len(paths), spark.sparkContext.defaultParallelism * 4))
+        found = listed.repartition(tasks).mapInArrow(run, "path string, name string, header string")
+        for r in found.groupBy("header").agg(F.collect_list(F.struct("path", "name")).alias("files")).collect():
+            by_header[r["header"]] = [(f["path"], f["name"]) for f in r["files"]]
+    else:
+        names = {r["path"]: r["name"] for r in spark.read.format("binaryFile").load([_glob_quoted(p) for p in paths]).select(
+            "path", F.col("_metadata.file_path").alias("name")).collect()}
+        for path, line in _first_lines_by_driver(spark, paths).items():
+            by_header.setdefault(line, []).append((path, names[path]))
+    header = {path: line for line, files in by_header.items() for path, _ in files}
+    name = {path: n for files in by_header.values() for path, n in files}
+    out = {}
+    for table, own in tables.items():
+        own = sorted(own)
+        groups: dict[str, list[str]] = {}
+        for p in own:
+            if header[p] is not None:
+                groups.setdefault(header[p], []).append(p)
+        out[table] = TableFiles(groups, [p for p in own if header[p] is None], [(name[p], k) for k, p in enumerate(own)])
+    return out
+
+
+def _glob_quoted(path: str) -> str:
+    return re.sub(r"([\[\]{}*?\\])", r"\\\1", path)
+
+
+def header_names(line: str) -> list[str]:
+    """Column names of a header: an empty one is called by its place, repeated ones (whatever their case) too."""
+    cells = line.split("\t")
+    low = [c.lower() for c in cells]
+    return [f"_c{i}" if not c else f"{c}{i}" if low.count(c.lower()) > 1 else c for i, c in enumerate(cells)]
+
+
+def _row_order(spark: SparkSession, scan: DataFrame, places: list[tuple[str, int]]) -> DataFrame:
+    """``scan`` with ``_row_order``: the row's place in file order as one number of fixed width, so that the first of
+    some rows is a hash aggregate. From the left: file, start of its split, row of the task (which reads a split's
+    rows in order)."""
+    scan = scan.withColumns({"__start": F.col("_metadata.file_block_start"), "__row": F.monotonically_increasing_id().bitwiseAND(
+        F.lit(ROW_BITS_MASK))})
+    if len(places) > 1:
+        scan = scan.withColumn("__name", F.col("_metadata.file_path")).join(
+            spark.createDataFrame(places, "__name string, __file long"), "__name").drop("__name")
+        place = F.col("__file").cast("decimal(10,0)") * F.lit(Decimal(1 << 76))
+    else:
+        place = F.lit(Decimal(0))
+    number = place + F.col("__start").cast("decimal(15,0)") * F.lit(Decimal(1 << 33)) + F.col("__row").cast("decimal(11,0)")
+    return scan.withColumn(ORDER_COL, number.cast("decimal(38,0)")).drop("__start", "__row", "__file")
+
+
 def raw_scan(spark: SparkSession, root: str, table: str, paths: list[str] | None = None,
-             ordered: bool = False) -> DataFrame:
+             ordered: bool = False, files: TableFiles | None = None) -> DataFrame:
     """The table's text file(s) as strings with the header as column names (``ordered``: and ``_row_order``).
 
-    Part files with different headers are scanned apart and united by column name.
+    Part files with different headers are scanned apart and united by column name; files without a header have no rows.
     """
-    if paths is None:
-        files, clashes = find_table_files(spark, root)
-        if table in clashes:
-            raise ValueError(clashes[table])
-        paths = files.get(table)
-        if not paths:
-            raise FileNotFoundError(f"no data file for table {table} under {root}")
-    groups = list(_headers(spark, paths).values()) if len(paths) > 1 else [paths]
-    order = F.struct(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"),
-                     F.monotonically_increasing_id().alias("pos"))
-    scans = [_reader(spark).csv(g) for g in groups or [paths[:1]]]
-    scans = [s.withColumn(ORDER_COL, order) for s in scans] if ordered else scans
-    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), scans)
+    if files is None:
+        if paths is None:
+            found, clashes = find_table_files(spark, root)
+            if table in clashes:
+                raise ValueError(clashes[table])
+            paths = found.get(table)
+            if not paths:
+                raise FileNotFoundError(f"no data file for table {table} under {root}")
+        files = table_files(spark, {table: paths})[table]
+
+    def scan(header: str, own: list[str]) -> DataFrame:
+        schema = T.StructType([T.StructField(c, T.StringType()) for c in header_names(header)])
+        df = _reader(spark).schema(schema).csv([_glob_quoted(p) for p in own])
+        return _row_order(spark, df, files.places) if ordered else df
+
+    if not files.groups:
+        empty = spark.createDataFrame([], T.StructType([]))
+        return empty.withColumn(ORDER_COL, F.lit(None).cast("decimal(38,0)")) if ordered else empty
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), [scan(h, own) for h, own in files.groups.items()])
 
 
 def project_to_schema(df: DataFrame, columns) -> tuple[DataFrame, list[str]]:
