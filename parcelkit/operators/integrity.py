@@ -5,10 +5,11 @@ NULL key, ``ON CONFLICT DO NOTHING`` for duplicates, per-row retry on FK
 failure). Here each rule is one aggregate or one join over the whole table:
 
 * ``drop_null_keys``   – filter (no shuffle)
-* ``dedupe_keep_first`` – one ``groupBy(pk)`` with ``min_by`` (partial aggregation
-  map-side, so a hot key costs one buffer per task, not one giant group)
-* ``reject_orphans``   – one semi (or anti) join against the parent's keys; AQE
-  picks broadcast when the key set is small and splits skewed partitions otherwise
+* ``dedupe_keep_first`` – a hash aggregate of key and row number (combined
+  map-side, so a hot key costs one buffer per task), then a join with the keys
+  that repeat: whole rows are shuffled only if those are too many to broadcast
+* ``reject_orphans``   – one semi (or anti) join on the plain key columns; Spark
+  broadcasts a small key set, AQE splits skewed partitions otherwise; NULL keys bypass it
 """
 
 from __future__ import annotations
@@ -50,65 +51,82 @@ def null_key_rows(df: DataFrame, pk) -> DataFrame:
     return df.where(reduce(lambda a, b: a | b, [F.col(c).isNull() for c in pk]))
 
 
+def _on_keys(left: DataFrame, right: DataFrame, keys, how: str, nulls: bool = False) -> DataFrame:
+    """Join on columns of equal names, keeping the left's; ``nulls``: a null equals a null."""
+    other = right.select(*[F.col(k).alias(f"__{k}") for k in keys], *[F.col(c) for c in right.columns if c not in keys])
+    same = [left[k].eqNullSafe(other[f"__{k}"]) if nulls else left[k] == other[f"__{k}"] for k in keys]
+    return left.join(other, reduce(lambda a, b: a & b, same), how).drop(*[f"__{k}" for k in keys])
+
+
+def repeated_keys(df: DataFrame, pk) -> DataFrame:
+    """``pk``, ``_first`` (least ``_row_order``) of the keys that several rows have: a hash aggregate of narrow rows."""
+    return (df.groupBy(*pk).agg(F.min(ORDER_COL).alias("_first"), F.count(F.lit(1)).alias("_n"))
+            .where("_n > 1").drop("_n"))
+
+
+def without_repeats(df: DataFrame, repeats: DataFrame, pk) -> DataFrame:
+    """``df`` without the later rows of the keys in ``repeats`` (:func:`repeated_keys` of the same scan)."""
+    marked = _on_keys(df, repeats, list(pk), "left", nulls=True)
+    return marked.where(F.col("_first").isNull() | (F.col(ORDER_COL) == F.col("_first"))).drop("_first")
+
+
 def dedupe_keep_first(df: DataFrame, pk, order_cols=None) -> DataFrame:
     """One row per primary key: the first in ``order`` wins (``ON CONFLICT DO NOTHING``).
 
-    ``order`` is the hidden ``_row_order`` column written by the text scan
-    (file path, split start, row position — file order even when a file is
-    split across tasks). For inputs that are not files, pass ``order_cols``:
-    rows are then ranked by those columns ascending, NULLs first.
+    ``order`` is the hidden ``_row_order`` number written by the text scan
+    (file order even when a file is split across tasks). The keys that repeat
+    are found from the key columns and that number alone, by a hash aggregate
+    that combines map-side; whole rows only meet those keys. For inputs that are not files, pass ``order_cols``: rows are then
+    ranked by those columns ascending, NULLs first, and only the rows of repeated keys are compared.
     Unlike ``dropDuplicates`` the surviving row is deterministic.
     """
     pk = list(pk)
     if not pk:
         return df
     cols = df.columns
-    if order_cols is not None:
-        order: Column = F.struct(*[F.col(c) for c in order_cols])
-    elif ORDER_COL in cols:
-        order = F.col(ORDER_COL)
-    else:
-        raise ValueError("dedupe_keep_first needs order_cols or a _row_order column")
     rest = [c for c in cols if c not in pk]
+    if order_cols is None and ORDER_COL not in cols:
+        raise ValueError("dedupe_keep_first needs order_cols or a _row_order column")
     if not rest:
         return df.select(*pk).distinct()
-    kept = (df.groupBy(*pk)
-              .agg(F.min_by(F.struct(*[F.col(c) for c in rest]), order).alias("_first")))
-    return kept.select(*[F.col(c) if c in pk else F.col(f"_first.{c}").alias(c) for c in cols])
-
+    if order_cols is None:
+        return without_repeats(df, repeated_keys(df.select(*pk, ORDER_COL), pk), pk)
+    several = df.groupBy(*pk).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").drop("_n")
+    alone = _on_keys(df, several, pk, "left_anti", nulls=True)
+    order = F.struct(*[F.col(c) for c in order_cols])
+    kept = _on_keys(df, several, pk, "left_semi", nulls=True).groupBy(*pk).agg(
+        F.min_by(F.struct(*[F.col(c) for c in rest]), order).alias("_first"))
+    kept = kept.select(*[F.col(c) if c in pk else F.col(f"_first.{c}").alias(c) for c in cols])
+    return alone.unionByName(kept)
 
-def _with_parent_key(child: DataFrame, parent: DataFrame, child_cols, parent_cols):
-    """(child with its foreign key as one nullable value, parent keys, join condition).
 
-    A NULL in a foreign key never violates the constraint: such a key is NULL as a whole and meets a NULL row
-    added to the parent keys, by null-safe equality. No distinct: semi and anti joins need none.
-    """
-    child_cols, parent_cols = list(child_cols), list(parent_cols or child_cols)
+def _complete(cols) -> Column:
+    return reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in cols])
 
-    def key(cols):
-        complete = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in cols])
-        parts = [F.col(c).cast("string").alias(f"k{i}") for i, c in enumerate(cols)]
-        return F.when(complete, parts[0] if len(cols) == 1 else F.struct(*parts))
 
-    keys = parent.select(key(parent_cols).alias("__parent_key"))
-    keys = keys.union(child.sparkSession.range(1).select(F.lit(None).cast(keys.schema[0].dataType)))
-    child = child.withColumn("__child_key", key(child_cols))
-    return child, keys, child["__child_key"].eqNullSafe(keys["__parent_key"])
+def _parent_keys(child_cols, parent: DataFrame, parent_cols) -> DataFrame:
+    """The parent's key columns under the child's names. No distinct: semi and anti joins need none."""
+    parent_cols = list(parent_cols or child_cols)
+    return parent.select(*[F.col(p).alias(c) for c, p in zip(child_cols, parent_cols)])
 
 
-def reject_orphans(child: DataFrame, parent: DataFrame, child_cols=("acct",), parent_cols=None) -> DataFrame:
-    """Child rows whose foreign key exists in ``parent`` (or is NULL).
+def reject_orphans(child: DataFrame, parent: DataFrame, child_cols=("acct",), parent_cols=None,
+                   null_keys: bool = True) -> DataFrame:
+    """Child rows whose foreign key exists in ``parent`` (or holds a NULL, which violates nothing).
 
-    ``parent`` must be the already cleaned parent so rejection cascades.
+    ``parent`` must be the already cleaned parent so rejection cascades. The join is on the plain columns, so a
+    partitioning or bucketing by them serves it; rows with a NULL pass beside it (``null_keys=False``: there are none,
+    as where the key is part of the primary key).
     """
-    child, keys, same = _with_parent_key(child, parent, child_cols, parent_cols)
-    return child.join(keys, same, "left_semi").drop("__child_key")
+    child_cols = list(child_cols)
+    kept = _on_keys(child, _parent_keys(child_cols, parent, parent_cols), child_cols, "left_semi")
+    return kept.unionByName(child.where(~_complete(child_cols))) if null_keys else kept
 
 
 def orphan_rows(child: DataFrame, parent: DataFrame, child_cols=("acct",), parent_cols=None) -> DataFrame:
     """Quarantine side of :func:`reject_orphans`."""
-    child, keys, same = _with_parent_key(child, parent, child_cols, parent_cols)
-    return child.join(keys, same, "left_anti").drop("__child_key")
+    child_cols = list(child_cols)
+    return _on_keys(child.where(_complete(child_cols)), _parent_keys(child_cols, parent, parent_cols), child_cols, "left_anti")
 
 
 def key_profile(df: DataFrame, pk, table_name: str = "", approx: bool = False, rsd: float = 0.01) -> DataFrame:

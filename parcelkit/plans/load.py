@@ -3,9 +3,13 @@
 Per table (parents before children so orphan rejection cascades):
 
     tsv_scan -> header projection onto the codebook -> clean_cells
-      -> drop_null_keys -> dedupe_keep_first -> reject_orphans(parent written before)
+      -> drop_null_keys -> keep the first row of a key -> reject_orphans(parent written before)
       -> write Parquet
 
+The headers of all files are read by one job. The keys that repeat come from a
+scan of the key columns alone; the scan of whole rows is shuffled only where
+they, or the parent's keys, are too many to broadcast.
+
 Counts of every stage are collected with ``DataFrame.observe`` during the
 single write job (no extra passes). Children read their parent's key set back
 from the written Parquet, which cuts the lineage and keeps a failed executor
@@ -23,9 +27,9 @@ from pyspark.sql import types as T
 
 from ..catalog import KEYS, KeySpec, load_levels, parents_first
 from ..operators import integrity as I
-from ..session import path_exists
+from ..session import ensure_checkpoint_dir, path_exists
 from ..sources.codebook import read_codebook
-from ..sources.tsv import find_table_files, project_to_schema, raw_scan, tsv_scan
+from ..sources.tsv import TableFiles, find_table_files, project_to_schema, raw_scan, table_files, tsv_scan
 
 REPORT_SCHEMA = ("table_name string, status string, rows_read bigint, null_key_rows bigint, duplicate_rows bigint, "
                  "orphan_rows bigint, rows_kept bigint, unexpected_columns string, missing_key_columns string, "
@@ -33,16 +37,19 @@ REPORT_SCHEMA = ("table_name string, status string, rows_read bigint, null_key_r
 
 
 def clean_table(spark: SparkSession, root: str, table: str, columns: list[str], spec: KeySpec,
-                parents: dict[str, DataFrame], paths: list[str] | None = None, sizes: dict | None = None,
+                parents: dict[str, DataFrame], files: TableFiles, scratch: str, sizes: dict | None = None,
                 raw: DataFrame | None = None) -> tuple[DataFrame, dict, list[str], list[str]]:
     """Lazy cleaned DataFrame of one table plus the observations attached to it.
 
+    The keys that repeat are found first, from a scan of the key columns alone, and written to ``scratch``: Spark then
+    knows how many they are, and the scan of whole rows meets them without a shuffle unless they are too many.
+
     The "read" observation also counts, per column with a declared size, the
     values longer than that size (what forced the source database to widen
     the column): reported, never a failure, since Spark strings are unbounded.
     """
     pk = list(spec.primary_key)
-    raw = raw if raw is not None else raw_scan(spark, root, table, paths, ordered=True)  # the header is read once
+    raw = raw if raw is not None else raw_scan(spark, root, table, ordered=bool(pk), files=files)
     missing = [k for k in pk if k not in raw.columns]
     unexpected = project_to_schema(raw, columns)[1]
     run = uuid.uuid4().hex[:12]
@@ -51,19 +58,23 @@ def clean_table(spark: SparkSession, root: str, table: str, columns: list[str],
     over = [F.count_if(F.length(F.col(c)) > F.lit(n)).alias(f"over_{i}") for i, c, n in sized]
     df = tsv_scan(spark, root, table, columns, raw=raw).observe(obs["read"], F.count(F.lit(1)).alias("n"), *over)
     obs["_sized"] = sized
+    stages = obs["_stages"] = {"read": df}
     df = I.drop_null_keys(df, pk) if not missing else df.where(F.lit(False))
-    df = df.observe(obs["keyed"], F.count(F.lit(1)).alias("n"))
-    if pk:
-        df = I.dedupe_keep_first(df, pk)
-    df = df.observe(obs["unique"], F.count(F.lit(1)).alias("n"))
+    df = stages["keyed"] = df.observe(obs["keyed"], F.count(F.lit(1)).alias("n"))
+    if pk and not missing:
+        keys = I.drop_null_keys(tsv_scan(spark, root, table, pk, raw=raw), pk)
+        repeats = I.repeated_keys(keys, pk)
+        repeats.write.mode("overwrite").parquet(f"{scratch}/{table}")
+        df = I.without_repeats(df, spark.read.schema(repeats.schema).parquet(f"{scratch}/{table}"), pk)
+    df = stages["unique"] = df.observe(obs["unique"], F.count(F.lit(1)).alias("n"))
     for child_cols, parent, parent_cols in spec.single_column_fks:
         if parent in parents and parent != table:
-            df = I.reject_orphans(df, parents[parent], child_cols, parent_cols)
+            df = I.reject_orphans(df, parents[parent], child_cols, parent_cols, null_keys=not set(child_cols) <= set(pk))
     df = df.drop(I.ORDER_COL)
     if not pk:
         # surrogate key for tables without one: unique (not dense), stable for a given input split
         df = df.withColumn("row_id", F.monotonically_increasing_id())
-    df = df.observe(obs["kept"], F.count(F.lit(1)).alias("n"))
+    df = stages["kept"] = df.observe(obs["kept"], F.count(F.lit(1)).alias("n"))
     return df, obs, unexpected, missing
 
 
@@ -87,32 +98,37 @@ def load_tables(spark: SparkSession, root: str, codebook: dict[str, T.StructType
     files, clashes = find_table_files(spark, root)
     clashes = {t: why for t, why in clashes.items() if t in codebook and (tables is None or t in tables)}
     names = [t for t in sorted(set(files) & set(codebook)) if tables is None or t in tables]
+    failed = set(clashes)
+    headers = table_files(spark, {t: files[t] for t in names})
+    scratch = f"{ensure_checkpoint_dir(spark).rstrip('/')}/load-keys-{uuid.uuid4().hex}"
     written: dict[str, DataFrame] = {}
     results: dict[str, tuple] = {}
     with ThreadPoolExecutor(max_workers=max(1, parallel)) as pool:
         for level in load_levels(names):
             parents = dict(written)
-            futures = {t: pool.submit(_load_one, spark, root, t, codebook, files, out_dir, mode, parents)
+            futures = {t: pool.submit(_load_one, spark, root, t, codebook, headers[t], out_dir, mode, parents, set(failed), scratch)
                        for t in level}
             for t, f in futures.items():
                 results[t], df = f.result()
                 if df is not None:
                     written[t] = df
+                else:
+                    failed.add(t)
     for t, why in clashes.items():
         results[t] = _failed(t, why)
     order = parents_first([*names, *clashes])
     return spark.createDataFrame([results[t] for t in order], REPORT_SCHEMA)
 
 
-def _load_one(spark, root, table, codebook, files, out_dir, mode, written):
+def _load_one(spark, root, table, codebook, files, out_dir, mode, written, failed, scratch):
     """Load one table; returns (report row, the written table read back, or None on error)."""
     spec = KEYS.get(table, KeySpec())
     cols = codebook[table].fieldNames()
     path = os.path.join(out_dir, table)
-    paths = files[table]
+    blank = f"; files without a header: {len(files.blank)}" if files.blank else ""
     try:
         pk = list(spec.primary_key)
-        raw = raw_scan(spark, root, table, paths, ordered=True)
+        raw = raw_scan(spark, root, table, ordered=bool(pk), files=files)
         missing = [k for k in pk if k not in raw.columns]
         if missing:
             # every row has a NULL key: write the empty table, report what was quarantined
@@ -120,29 +136,38 @@ def _load_one(spark, root, table, codebook, files, out_dir, mode, written):
             n_read = scanned.count()
             scanned.limit(0).write.mode(mode).parquet(path)
             unexpected = project_to_schema(raw, cols)[1]
-            return ((table, "missing key columns", n_read, n_read, 0, 0, 0, ",".join(unexpected),
+            return ((table, "missing key columns" + blank, n_read, n_read, 0, 0, 0, ",".join(unexpected),
                      ",".join(missing), ""), spark.read.parquet(path))
         sizes = {c.name: c.metadata.get("size") for c in codebook[table]}
-        parents, absent = _parents(spark, table, spec, codebook, out_dir, written)
-        df, obs, unexpected, missing = clean_table(spark, root, table, cols, spec, parents, paths, sizes, raw)
-        sized = obs.pop("_sized")
+        parents, absent = _parents(spark, table, spec, codebook, out_dir, written, failed)
+        df, obs, unexpected, missing = clean_table(spark, root, table, cols, spec, parents, files, scratch, sizes, raw)
+        sized, stages = obs.pop("_sized"), obs.pop("_stages")
         df.write.mode(mode).parquet(path)
-        got = {k: o.get for k, o in obs.items()}
-        n = {k: v.get("n", 0) for k, v in got.items()}
+        got = {k: _observed(o, stages[k]) for k, o in obs.items()}
+        n = {k: v["n"] for k, v in got.items()}
         over = ",".join(f"{c}:{got['read'][f'over_{i}']}" for i, c, _ in sized if got["read"].get(f"over_{i}"))
-        status = f"ok; parent not loaded: {','.join(absent)}" if absent else "ok"
+        status = (f"ok; parent not loaded: {','.join(absent)}" if absent else "ok") + blank
         return ((table, status, n["read"], n["read"] - n["keyed"], n["keyed"] - n["unique"], n["unique"] - n["kept"],
                  n["kept"], ",".join(unexpected), ",".join(missing), over), spark.read.parquet(path))
     except Exception as e:  # keep loading the other tables, as the source does
         return _failed(table, f"{type(e).__name__}: {str(e)[:200]}"), None
 
 
+def _observed(o: Observation, df: DataFrame) -> dict:
+    """What was observed; counted if the optimiser has left the stage out (as before a join with an empty parent)."""
+    try:
+        return o.get
+    except Exception:
+        return {"n": df.count()}
+
+
 def _failed(table: str, why: str) -> tuple:
     return table, f"error: {why}", None, None, None, None, None, "", "", ""
 
 
-def _parents(spark, table, spec, codebook, out_dir, written) -> tuple[dict[str, DataFrame], list[str]]:
-    """The table's parents as loaded now or before; those that should exist and do not are empty frames."""
+def _parents(spark, table, spec, codebook, out_dir, written, failed) -> tuple[dict[str, DataFrame], list[str]]:
+    """The table's parents as loaded now or before; those that should exist and do not, or that failed in this run
+    (what an earlier run left of them is not this drop's), are empty frames."""
     found, absent = {}, []
     for _, parent, _ in spec.single_column_fks:
         if parent == table or parent not in codebook:
@@ -150,7 +175,7 @@ def _parents(spark, table, spec, codebook, out_dir, written) -> tuple[dict[str,
         path = os.path.join(out_dir, parent)
         if parent in written:
             found[parent] = written[parent]
-        elif path_exists(spark, path):
+        elif parent not in failed and path_exists(spark, path):
             found[parent] = spark.read.parquet(path)
         else:
             found[parent] = spark.createDataFrame([], T.StructType([T.StructField(c, T.StringType()) for c in

@@ -51,7 +51,7 @@ def stream_drops(spark: SparkSession, landing: str, table: str, columns, pk, tar
         if not pk:
             fresh.write.mode("overwrite").parquet(f"{target}/drop={epoch_id}")
             return
-        if path_exists(session, target):  # else this is the first batch
+        if path_exists(session, f"{target}/part-*"):  # else no batch has left rows: this is the first one, or its retry
             fresh = fresh.join(session.read.parquet(target).select(*pk), pk, "left_anti")
         fresh.write.mode("append").parquet(target)
 
