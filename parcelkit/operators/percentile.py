@@ -1,28 +1,58 @@
-"""Exact grouped ``PERCENTILE_CONT`` without gathering a group into one task.
+"""Exact grouped ``PERCENTILE_CONT`` by refining histograms, without sorting or gathering a group.
 
 Spark's exact ``percentile`` aggregate keeps every distinct value of a group
 in one buffer, and a window ``row_number`` puts a whole group in one task; a
 neighbourhood holding a third of the county would then run on one core. This
-operator instead:
-
-1. sorts the (group, value) projection globally — a range-partitioned shuffle,
-   so one large group is spread over many tasks — and checkpoints it with its
-   partition id and row position (reliable checkpoint in ``spark.checkpoint.dir``;
-   both later passes read the same materialised rows);
-2. aggregates rows per (partition, group): count and first position — at most
-   #groups + #partitions rows;
-3. turns those into running offsets per group (a window over that small table)
-   and finds the positions of the two order statistics around ``p * (n - 1)``;
-4. picks those rows by position (a join with two rows per group) and
-   interpolates linearly, exactly like ``PERCENTILE_CONT``.
+operator counts instead:
+
+1. each distinct (group, value) once, with its number of rows (combined map-side);
+2. a histogram per group on a logarithmic scale: every bin is a monotone function of the value, so the bins are in the
+   values' order, and the bin that holds an order statistic follows from running counts over the bins;
+3. a histogram of that bin alone, linear between its least and greatest value;
+4. running counts over the distinct values of the one bin that is left, where the order statistic is picked.
+
+A histogram has at most some thousand bins a group, whatever the group's size. The two order statistics around
+``p * (n - 1)`` are found together and interpolated linearly, exactly like ``PERCENTILE_CONT``. Nothing runs while the
+plan is built, and nothing is sampled.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import ensure_checkpoint_dir
+LOG_BINS = 64           # bins of the first histogram per factor e
+LINEAR_BINS = 4096      # bins of the second
+
+
+def _log_bin(v: Column) -> Column:
+    """A whole number that never falls when ``v`` grows: NaN counts as greatest, infinities stand apart."""
+    size = F.floor(F.least(F.log1p(F.abs(v)), F.lit(800.0)) * LOG_BINS)
+    return F.when(F.isnan(v), F.lit(1 << 20)).when(v < 0, -size - 1).otherwise(size).cast("int")
+
+
+def _linear_bin(v: Column, low: Column, high: Column) -> Column:
+    """The bin of ``v`` between two values of its logarithmic bin; 0 where they have no finite distance."""
+    share = F.try_divide(v - low, high - low)
+    inside = share.isNotNull() & ~F.isnan(share) & (F.abs(share) <= 1)
+    return F.when(inside, F.floor(share * LINEAR_BINS)).otherwise(F.when(v == low, 0).otherwise(LINEAR_BINS)).cast("int")
+
+
+def _picked(counts: DataFrame, group, order: str) -> DataFrame:
+    """Of ``counts`` (``_c`` rows each) those that hold rank ``_r`` of their group, with the rank inside them."""
+    running = Window.partitionBy(*group).orderBy(order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    counts = counts.withColumn("_upto", F.sum("_c").over(running))
+    before = F.col("_upto") - F.col("_c")
+    return counts.where((F.col("_r") >= before) & (F.col("_r") < F.col("_upto"))).withColumn("_r", F.col("_r") - before).drop("_upto", "_c")
+
+
+def _meet(values: DataFrame, targets: DataFrame, keys) -> DataFrame:
+    """Values of the bins that hold an order statistic: at most two bins a group."""
+    other = targets.select(*[F.col(k).alias(f"_t{i}") for i, k in enumerate(keys)], *[c for c in targets.columns if c not in keys])
+    same = [values[k].eqNullSafe(other[f"_t{i}"]) for i, k in enumerate(keys)]
+    return values.join(other, reduce(lambda a, b: a & b, same)).drop(*[f"_t{i}" for i in range(len(keys))])
 
 
 def grouped_percentile_cont(df: DataFrame, keys, value, p: float = 0.5,
@@ -30,41 +60,31 @@ def grouped_percentile_cont(df: DataFrame, keys, value, p: float = 0.5,
     """``keys..., out`` with ``out = PERCENTILE_CONT(p) WITHIN GROUP (ORDER BY value)`` per group.
 
     NULL values are ignored; groups without values are absent. ``value`` is
-    compared as DOUBLE (as the SQL function does).
+    compared as DOUBLE (as the SQL function does), -0.0 like 0.0.
     """
     keys = list(keys)
-    spark = df.sparkSession
-    ensure_checkpoint_dir(spark)
-    kcols = [F.col(k) for k in keys]
-    v = (df.select(*kcols, F.col(value).cast("double").alias("_v") if isinstance(value, str)
-                   else value.cast("double").alias("_v"))
-         .where(F.col("_v").isNotNull()))
-    ordered = (v.orderBy(*[c.asc_nulls_first() for c in kcols], F.col("_v").asc())
-               .select("*", F.spark_partition_id().alias("_pid"), F.monotonically_increasing_id().alias("_pos")))
-    s = ordered.checkpoint(eager=True)
-
-    # (partition, group) blocks: the rows of one group inside one partition are contiguous
-    blocks = s.groupBy("_pid", *keys).agg(F.count(F.lit(1)).alias("_cnt"), F.min("_pos").alias("_first"))
-    by_group = Window.partitionBy(*keys).orderBy("_pid")
-    whole = Window.partitionBy(*keys)
-    blocks = blocks.select(
-        "*",
-        (F.sum("_cnt").over(by_group.rowsBetween(Window.unboundedPreceding, -1))).alias("_before"),
-        F.sum("_cnt").over(whole).alias("_n"),
-    ).withColumn("_before", F.coalesce(F.col("_before"), F.lit(0)))
+    v = (F.col(value) if isinstance(value, str) else value).cast("double")
+    values = df.select(*[F.col(k) for k in keys], (v + F.lit(0.0)).alias("_v")).where("_v is not null")
+    values = values.groupBy(*keys, "_v").agg(F.count(F.lit(1)).alias("_c")).withColumn("_b", _log_bin(F.col("_v")))
+
+    bins = values.groupBy(*keys, "_b").agg(F.sum("_c").alias("_c"), F.min("_v").alias("_low"), F.max("_v").alias("_high"))
+    bins = bins.withColumn("_n", F.sum("_c").over(Window.partitionBy(*keys)))
+    rank = (F.col("_n") - 1) * F.lit(float(p))
+    ranks = F.array(F.struct(F.lit(0).alias("_w"), F.floor(rank).cast("long").alias("_r")),
+                    F.struct(F.lit(1).alias("_w"), F.ceil(rank).cast("long").alias("_r")))
+    bins = bins.select(*keys, "_b", "_c", "_low", "_high", "_n", F.explode(ranks).alias("_t")).select("*", "_t._w", "_t._r").drop("_t")
+    first = _picked(bins, [*keys, "_w"], "_b")
+
+    near = _meet(values, first, [*keys, "_b"]).withColumn("_l", _linear_bin(F.col("_v"), F.col("_low"), F.col("_high")))
+    held = [*keys, "_b", "_w", "_r", "_n", "_low", "_high"]
+    second = _picked(near.groupBy(*held, "_l").agg(F.sum("_c").alias("_c")), [*keys, "_w"], "_l")
+
+    left = _meet(values, second, [*keys, "_b"])
+    left = left.where(F.col("_l") == _linear_bin(F.col("_v"), F.col("_low"), F.col("_high")))
+    third = _picked(left.select(*keys, "_w", "_r", "_n", "_v", "_c"), [*keys, "_w"], "_v")
+
+    ends = third.groupBy(*keys).agg(F.max("_n").alias("_n"), F.max(F.when(F.col("_w") == 0, F.col("_v"))).alias("_lo"),
+                                    F.max(F.when(F.col("_w") == 1, F.col("_v"))).alias("_hi"))
     rank = (F.col("_n") - 1) * F.lit(float(p))
-    lo, hi = F.floor(rank).cast("long"), F.ceil(rank).cast("long")
-    targets = (blocks.select(*keys, "_n", "_before", "_cnt", "_first",
-                             F.explode(F.array(F.struct(F.lit(0).alias("which"), lo.alias("r")),
-                                               F.struct(F.lit(1).alias("which"), hi.alias("r")))).alias("_t"))
-               .where((F.col("_t.r") >= F.col("_before")) & (F.col("_t.r") < F.col("_before") + F.col("_cnt")))
-               .select(*keys, "_n", F.col("_t.which").alias("_which"),
-                       (F.col("_first") + F.col("_t.r") - F.col("_before")).alias("_pos")))
-    picked = targets.join(s.select("_pos", "_v"), "_pos", "inner")
-    agg = picked.groupBy(*keys).agg(
-        F.max("_n").alias("_n"),
-        F.max(F.when(F.col("_which") == 0, F.col("_v"))).alias("_lo"),
-        F.max(F.when(F.col("_which") == 1, F.col("_v"))).alias("_hi"),
-    )
-    frac = (F.col("_n") - 1) * F.lit(float(p)) - F.floor((F.col("_n") - 1) * F.lit(float(p)))
-    return agg.select(*keys, (F.col("_lo") + (F.col("_hi") - F.col("_lo")) * frac).alias(out))
+    between = F.col("_lo") + (F.col("_hi") - F.col("_lo")) * (rank - F.floor(rank))
+    return ends.select(*keys, F.when(F.col("_lo") == F.col("_hi"), F.col("_lo")).otherwise(between).alias(out))
