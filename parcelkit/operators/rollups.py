@@ -11,11 +11,14 @@ share of the rows is combined inside each task before the shuffle.
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.exprs import NUM, parse_mdy, safe_num, string_agg_distinct, years_before
 
+_ABOVE_PRICE = Decimal(10) ** (NUM.precision - NUM.scale + 1)   # more than any price and one
 PRIMARY = "1"  # bld_num / land line of the primary building / land segment
 
 
@@ -69,29 +72,30 @@ def jur_value_sum(jur_value: DataFrame) -> DataFrame:
 def building_summary(building_res: DataFrame, internal: bool = False) -> DataFrame:
     """Building count, primary-building pivots, totals and a text list of the other buildings.
 
-    One aggregation: ``max(when(bld_num = '1', x))`` pivots the primary
-    building. With ``internal=True`` the primary building's raw heated and
-    improvement area is kept (``_primary_im_sq_ft``) so the
-    protest view needs no second scan of the building table.
+    ``max(when(bld_num = '1', x))`` pivots the primary building in one
+    aggregation. Buildings are counted by two narrow hash aggregations (distinct
+    numbers, then their count), and only the text of the other buildings is
+    gathered: an account with primary rows alone gathers nothing. Rows without
+    an account form a group of their own, with a building count of 0.
+    With ``internal=True`` the primary building's raw heated and improvement
+    area is kept (``_primary_im_sq_ft``) so the protest view needs no second
+    scan of the building table.
     """
     # parse every numeric text once, in a narrow projection below the aggregate
     b = building_res.select(
         "acct", "bld_num", "date_erected", "yr_remodel", "structure_dscr", "qa_cd", "dscr", "heat_ar",
         *[safe_num(c).alias(f"_{c}") for c in ("heat_ar", "gross_ar", "eff_ar", "cama_replacement_cost",
                                                  "accrued_depr_pct", "im_sq_ft")],
-        (F.col("bld_num") == F.lit(PRIMARY)).alias("_one"))
+        (F.col("bld_num") == F.lit(PRIMARY)).alias("_one"),
+        F.concat(F.lit("Bldg "), F.col("bld_num"), F.lit(": "), F.coalesce(F.col("structure_dscr"), F.lit("Unknown")), F.lit(" ("),
+                 F.coalesce(F.col("heat_ar"), F.lit("0")), F.lit(" sqft)")).alias("_text"))
     one = F.col("_one")
 
     def prim(c):
         return F.max(F.when(one, c))
 
-    other = F.concat(F.lit("Bldg "), F.col("bld_num"), F.lit(": "),
-                     F.coalesce(F.col("structure_dscr"), F.lit("Unknown")), F.lit(" ("),
-                     F.coalesce(F.col("heat_ar"), F.lit("0")), F.lit(" sqft)"))
-    # one ordered list of (bld_num, text-or-NULL) per account serves both the building count and
-    # the text of the other buildings: the output needs every building of the account anyway,
-    # and one list keeps the aggregation single-phase (a distinct count would add two phases)
-    listed = F.collect_list(F.struct(F.col("bld_num").alias("o"), F.when(~one, other).alias("v")))
+    # the output lists every other building of the account; their texts are all that is gathered
+    listed = F.collect_list(F.when(~one & F.col("_text").isNotNull(), F.struct(F.col("bld_num").alias("o"), F.col("_text").alias("v"))))
     aggs = [
         listed.alias("_bld"),
         prim(F.col("date_erected")).alias("primary_year_built"),
@@ -111,10 +115,12 @@ def building_summary(building_res: DataFrame, internal: bool = False) -> DataFra
     if internal:
         aggs += [prim(F.col("_im_sq_ft")).alias("_primary_im_sq_ft")]
     g = b.groupBy("acct").agg(*aggs)
-    nums = F.transform(F.filter("_bld", lambda x: x["o"].isNotNull()), lambda x: x["o"])
-    texts = F.transform(F.filter(F.array_sort("_bld"), lambda x: x["v"].isNotNull()), lambda x: x["v"])
-    out = ["acct", F.size(F.array_distinct(nums)).cast("bigint").alias("building_count")]
-    out += [c for c in g.columns if c not in ("acct", "_bld", "_primary_im_sq_ft")]
+    counted = (building_res.select("acct", "bld_num").where("bld_num is not null").distinct()
+               .groupBy(F.col("acct").alias("_acct")).agg(F.count(F.lit(1)).alias("building_count")))
+    g = g.join(counted, F.col("acct") == F.col("_acct"), "left").drop("_acct")
+    texts = F.transform(F.array_sort("_bld"), lambda x: x["v"])
+    out = ["acct", F.coalesce("building_count", F.lit(0)).cast("bigint").alias("building_count")]
+    out += [c for c in g.columns if c not in ("acct", "_bld", "_primary_im_sq_ft", "building_count")]
     out += [F.when(F.size(texts) > 0, F.array_join(texts, "; ")).alias("additional_buildings")]
     if internal:
         out.append("_primary_im_sq_ft")
@@ -203,16 +209,26 @@ def recent_sales_priced(deeds: DataFrame, as_of, years: int = 5, price_col: str
     """Like :func:`recent_sales`, plus the (maximum) price recorded on the latest sale date.
 
     The latest date over all of an account's deeds always lies inside the
-    window when the account has a recent deed, so ``max(struct(date, price))``
-    over the window rows gives it in the same pass.
+    window when the account has a recent deed, so the greatest (date, price)
+    over the window rows gives it in the same pass. Both are packed into one
+    number of fixed width, days above and the price below, so that the
+    maximum stays a hash aggregate.
     """
     d = parse_mdy("dos")
+    days = F.col("_days").cast("decimal(7,0)") * F.lit(_ABOVE_PRICE)
+    # no price is 0, a price is one more than it is
+    packed = (days + F.coalesce(F.col("_price") + F.lit(1), F.lit(0)).cast("decimal(27,6)")).cast("decimal(38,6)")
     return (deeds.where(d >= years_before(as_of, years))
+            .select("acct", d.alias("_date"), F.datediff(d, F.lit("0001-01-01").cast("date")).alias("_days"),
+                    safe_num(price_col).alias("_price"))
             .groupBy("acct").agg(
                 F.count(F.lit(1)).alias("sale_count"),
-                F.max(d).alias("last_sale_date"),
-                F.max(F.struct(d.alias("d"), safe_num(price_col).alias("p"))).alias("_last"))
-            .select("acct", "sale_count", "last_sale_date", F.col("_last.p").alias("last_sale_price")))
+                F.max("_date").alias("last_sale_date"),
+                F.max("_days").alias("_days"),
+                F.max(packed).alias("_last"))
+            .select("acct", "sale_count", "last_sale_date",
+                    F.nullif((F.col("_last") - days).cast("decimal(27,6)"), F.lit(0).cast("decimal(27,6)")).alias("_p"))
+            .select("acct", "sale_count", "last_sale_date", (F.col("_p") - F.lit(1)).cast(NUM).alias("last_sale_price")))
 
 
 def exemption_summary(jur_exempt: DataFrame) -> DataFrame:
