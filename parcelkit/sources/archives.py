@@ -305,7 +305,10 @@ def archive_index(spark: SparkSession, root: str, pattern: str | None = None) ->
 
 
 def archive_scan(spark: SparkSession, root: str, pattern: str | None = None, lines: bool = True) -> DataFrame:
-    """Member text lines (or only member rows with ``lines=False``) of every ZIP below ``root``."""
+    """Member text lines (or only member rows with ``lines=False``) of every ZIP below ``root``.
+
+    A file without a byte is not listed by Spark and gives no row.
+    """
     first = _archives(spark, root, pattern).select("path").first()
     if first and not openable(first["path"]):
         return _whole_archives(spark, root, pattern, lines)

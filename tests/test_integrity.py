@@ -70,3 +70,30 @@ def test_key_profile_approx(spark):
     exact = I.key_profile(df, ["acct", "n"]).first()["distinct_keys"]
     approx = I.key_profile(df, ["acct", "n"], approx=True).first()["distinct_keys"]
     assert exact == 15000 and abs(approx - exact) / exact < 0.05
+
+
+def test_plans_of_the_loader_operators(spark, tmpdir_path):
+    path = os.path.join(tmpdir_path, "t.txt")
+    with open(path, "w") as f:
+        f.write("acct\tseq\tv\n" + "".join(f"{i % 7}\t{i}\tx\n" for i in range(50)))
+    plan = lambda df: df._jdf.queryExecution().executedPlan().toString()
+    kept = plan(I.dedupe_keep_first(tsv_scan(spark, tmpdir_path, "t"), ["acct"]))
+    assert "SortAggregate" not in kept and "HashAggregate" in kept
+    parent = spark.createDataFrame([("1",)], "acct string")
+    child = tsv_scan(spark, tmpdir_path, "t")
+    assert "coalesce(acct" not in plan(I.orphan_rows(child, parent)) and "isnull(acct" not in plan(I.orphan_rows(child, parent))
+
+
+def test_orphans_of_keys_of_several_columns(spark):
+    parent = spark.createDataFrame([("1", "a"), ("2", None)], "p string, q string")
+    child = spark.createDataFrame([("1", "a", 1), ("1", "b", 2), ("2", None, 3), (None, None, 4), ("2", "a", 5)], "x string, y string, n int")
+    assert sorted(r.n for r in I.reject_orphans(child, parent, ("x", "y"), ("p", "q")).collect()) == [1, 3, 4]
+    assert sorted(r.n for r in I.orphan_rows(child, parent, ("x", "y"), ("p", "q")).collect()) == [2, 5]
+
+
+def test_keep_first_with_null_keys_and_a_hot_key(spark):
+    rows = [(None, None, "a", 2), (None, None, "b", 1), ("k", None, "c", 5), ("k", None, "d", 4), ("x", "y", "e", 1)]
+    rows += [("hot", "hot", f"{i:05d}", i) for i in range(3000)]
+    df = spark.createDataFrame(rows, "p string, q string, v string, n int").repartition(7)
+    got = {(r.p, r.q): r.v for r in I.dedupe_keep_first(df, ["p", "q"], order_cols=["n"]).collect()}
+    assert got == {(None, None): "b", ("k", None): "d", ("x", "y"): "e", ("hot", "hot"): "00000"}

@@ -164,3 +164,50 @@ def test_kept_rows_of_a_dirty_drop(spark, tmpdir_path):
     read = lambda t: sorted(map(tuple, spark.read.parquet(os.path.join(out, t)).collect()))
     assert read("real_acct") == [("1", "first"), ("2", "x")]
     assert read("owners") == [("1", "1", "A"), ("2", "2", "E")]
+
+
+def test_children_of_a_parent_that_failed_are_orphans(spark, tmpdir_path):
+    """An older copy of the parent in the output folder does not stand in for one that fails in this run."""
+    root = _drop(tmpdir_path, a__real_acct="acct\tv\n1\tx\n", b__real_acct="acct\tv\n2\ty\n", owners="acct\tln_num\tname\n1\t1\tA\n")
+    out = os.path.join(tmpdir_path, "out")
+    spark.createDataFrame([("1", "x")], "acct string, v string").write.parquet(os.path.join(out, "real_acct"))
+    rep = {r["table_name"]: r for r in load_tables(spark, root, BOOK, out).collect()}
+    assert rep["real_acct"]["status"].startswith("error") and rep["owners"]["status"] == "ok; parent not loaded: real_acct"
+    assert (rep["owners"]["rows_read"], rep["owners"]["orphan_rows"], rep["owners"]["rows_kept"]) == (1, 1, 0)
+
+
+def test_files_without_a_header_are_reported(spark, tmpdir_path):
+    root = os.path.join(tmpdir_path, "drop", "real_acct")
+    os.makedirs(root)
+    for k, text in enumerate(("\n\nacct\tv\nA\t1\n", " \n\n", "acct\tv\nB\t2\n")):
+        with open(os.path.join(root, f"part-{k}.csv"), "w") as f:
+            f.write(text)
+    rep = load_tables(spark, os.path.dirname(root), BOOK, os.path.join(tmpdir_path, "out")).first()
+    assert (rep["status"], rep["rows_kept"]) == ("ok; files without a header: 1", 2)
+
+
+def test_the_checkpoint_folder_is_kept_without_changing_the_setting():
+    from parcelkit import session
+
+    class Context:
+        applicationId, master, folder = "app-x", "local[2]", None
+
+        def getCheckpointDir(self):
+            return self.folder and "file:" + self.folder + "/uuid"
+
+        def setCheckpointDir(self, folder):
+            self.folder = folder
+
+    class Session:
+        sparkContext = Context()
+
+        class conf:
+            @staticmethod
+            def get(key, default=None):
+                return default
+
+            @staticmethod
+            def set(key, value):
+                raise AssertionError("spark.checkpoint.dir cannot be changed")
+    first = session.ensure_checkpoint_dir(Session())
+    assert first and session.ensure_checkpoint_dir(Session()) == first == Context.folder or Session.sparkContext.folder == first

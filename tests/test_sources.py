@@ -6,7 +6,8 @@ import zipfile
 from parcelkit.sources.archives import archive_manifest, archive_scan, member_table
 from parcelkit.sources.codebook import read_codebook, with_key
 from parcelkit.sources.pages import page_links
-from parcelkit.sources.tsv import clean_cells, missing_key_columns, project_to_schema, raw_scan, tsv_scan
+from parcelkit.sources.tsv import (clean_cells, find_table_files, missing_key_columns, project_to_schema, raw_scan, table_files,
+                                   tsv_scan)
 
 
 def _write(path, data: bytes):
@@ -145,3 +146,87 @@ def test_archive_table_header_per_member(spark, tmpdir_path):
     rows = sorted(tuple(r) for r in archive_table(archive_scan(spark, root), "owners", ["acct", "name"]).collect()
                   if r[0] is not None)
     assert rows == [("1", "x"), ("2", "y"), ("3", "z")]
+
+
+def test_part_files_that_begin_with_blank_lines_lose_nothing(spark, tmpdir_path):
+    _write(os.path.join(tmpdir_path, "t", "part-0.txt"), b"\r\n \r\nacct\tv\r\n1\ta\r\n")
+    _write(os.path.join(tmpdir_path, "t", "part-1.txt"), b"acct\tv\n2\tb\n")
+    _write(os.path.join(tmpdir_path, "t", "part-2.txt"), b"\n\nv\tacct\n\nc\t3\n")
+    _write(os.path.join(tmpdir_path, "t", "part-3.txt"), b"\n \n")
+    _write(os.path.join(tmpdir_path, "t", "part-4 [x].txt"), b"acct\tacct\t\n4\td\te\n")
+    df = tsv_scan(spark, tmpdir_path, "t", ["acct", "v", "acct0"])
+    assert sorted((r["acct"] or r["acct0"], r["v"]) for r in df.collect()) == [("1", "a"), ("2", "b"), ("3", "c"), ("4", None)]
+    files = table_files(spark, {"t": find_table_files(spark, tmpdir_path)[0]["t"]})["t"]
+    assert [p.rsplit("/", 1)[1] for p in files.blank] == ["part-3.txt"] and len(files.groups) == 3
+    # places follow the file order
+    order = [r["acct"] or r["acct0"] for r in df.orderBy("_row_order").collect()]
+    assert order == ["1", "2", "3", "4"]
+
+
+def test_headers_of_many_files_cost_one_job(spark, tmpdir_path):
+    for k in range(300):
+        _write(os.path.join(tmpdir_path, "many", f"part-{k:05d}.txt"), b"acct\tv\n%d\tx\n" % k if k % 2 else b"v\tacct\ny\t%d\n" % k)
+    paths = find_table_files(spark, tmpdir_path)[0]["many"]
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("headers", "headers")
+    files = table_files(spark, {"many": paths})["many"]
+    jobs = len(tracker.getJobIdsForGroup("headers"))
+    spark.sparkContext.setJobGroup("rest", "rest")
+    assert sorted(map(len, files.groups.values())) == [150, 150] and jobs <= 5      # a listing and the stages of one query, not one a file
+    got = raw_scan(spark, tmpdir_path, "many", files=files).collect()
+    assert {r["acct"]: r["v"] for r in got} == {str(k): "x" if k % 2 else "y" for k in range(300)}
+
+
+def _odd_archives(root):
+    import struct
+    rng = __import__("random").Random(3)
+    text = "".join(f"{i}\t{rng.random()}\n" for i in range(40_000))
+    buf = io.BytesIO()
+    with zipfile.ZipFile(buf, "w") as z:
+        z.writestr("stored.txt", "a\r\nb\rc\n\nd", zipfile.ZIP_STORED)
+        z.writestr("deflated.txt", text, zipfile.ZIP_DEFLATED)
+        z.writestr("same.txt", "x" * 9_000_000 + "\n", zipfile.ZIP_DEFLATED)     # inflates a thousandfold
+        z.writestr("bzip.txt", text, zipfile.ZIP_BZIP2)
+        z.writestr("lzma.txt", "no\n", zipfile.ZIP_LZMA)
+        z.writestr("empty.txt", "")
+        z.writestr("bad utf8.txt", b"ok\n\xff\xfe\n")
+        z.writestr("dir/", "")
+    _write(os.path.join(root, "a b%20.zip"), buf.getvalue())
+    data = bytearray(buf.getvalue())
+    data[data.find(b"a\r\nb")] ^= 1                                                 # a checksum that no longer fits
+    struct.pack_into("<H", data, data.find(b"deflated.txt") - 30 + 6, 1)            # an encrypted member
+    _write(os.path.join(root, "sub", "damaged.zip"), bytes(data))
+    _write(os.path.join(root, "cut.zip"), buf.getvalue()[:-30])
+    _write(os.path.join(root, "empty.zip"), b"")                                    # Spark lists no file without bytes
+    nested = _zip([("in.txt", "1\n2\n"), ("../up.txt", "x"), ("deeper.zip", _zip([("q.txt", "q")]))])
+    _write(os.path.join(root, "gis", "Gis_Public.ZIP".lower()), _zip([("n.zip", nested), ("broken.zip", b"no zip"), ("r.txt", "r\n")]))
+
+
+def test_ranged_reads_equal_whole_archives(spark, tmpdir_path):
+    from parcelkit.sources.archives import _whole_archives, archive_index
+    _odd_archives(tmpdir_path)
+    for lines in (True, False):
+        ranged, whole = ([tuple(r) for r in f(spark, tmpdir_path, None, lines).collect()] for f in (archive_scan, _whole_archives))
+        assert sorted(ranged, key=str) == sorted(whole, key=str)
+    rows = archive_scan(spark, tmpdir_path).collect()
+    by = lambda a, m: [r for r in rows if r["archive"].endswith(a) and r["member"] == m]
+    assert [r["line"] for r in sorted(by("a b%20.zip", "stored.txt"), key=lambda r: r["line_no"])] == ["a", "b", "c", "", "d"]
+    assert len(by("a b%20.zip", "deflated.txt")) == len(by("a b%20.zip", "bzip.txt")) == 40_000
+    assert len(by("a b%20.zip", "same.txt")[0]["line"]) == 9_000_000
+    assert [r["error"] for r in by("a b%20.zip", "lzma.txt")] == ["NotImplementedError"]
+    assert [(r["line"], r["error"]) for r in by("a b%20.zip", "empty.txt")] == [(None, None)]
+    assert [r["line"] for r in by("a b%20.zip", "bad utf8.txt")] == ["ok", "��"]
+    assert {r["error"] for r in by("damaged.zip", "stored.txt")} == {None, "BadZipFile"}
+    assert [r["error"] for r in by("damaged.zip", "deflated.txt")] == ["RuntimeError"] and len(by("damaged.zip", "bzip.txt")) == 40_000
+    assert {r["archive"].rsplit("/", 1)[1]: r["error"] for r in rows if r["member"] is None} == {
+        "cut.zip": "BadZipFile", "gis_public.zip!broken.zip": "BadZipFile"}
+    assert [r["line"] for r in by("gis_public.zip!n.zip", "in.txt")] == ["1", "2"] and by("gis_public.zip!n.zip", "../up.txt")[0]["unsafe"]
+    index = archive_index(spark, tmpdir_path)
+    assert "line" not in index.columns and index.where("member = 'deflated.txt'").count() == 2
+
+
+def test_an_archive_is_read_by_as_many_tasks_as_it_has_members(spark, tmpdir_path):
+    _write(os.path.join(tmpdir_path, "one.zip"), _zip([(f"m{i}.txt", f"{i}\n" * 50) for i in range(12)]))
+    scan = archive_scan(spark, tmpdir_path)
+    per_task = scan.selectExpr("spark_partition_id() as p", "member").distinct().groupBy("p").count().collect()
+    assert len(per_task) >= 10 and max(r["count"] for r in per_task) <= 2

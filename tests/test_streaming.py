@@ -40,3 +40,13 @@ def test_header_by_name_parents_and_tables_without_key(spark, tmpdir_path):
         stream_drops(spark, landing, "t_pp_e", ["a", "b"], [], target + "2", ckpt + "2").awaitTermination(120)
     assert sorted(tuple(r) for r in spark.read.parquet(target + "2").select("a", "b").collect()) == [
         ("x", "1"), ("x", "1"), ("x", "2"), ("x", "2")]
+
+
+def test_a_first_batch_that_died_is_repeated(spark, tmpdir_path):
+    landing, target, ckpt = (os.path.join(tmpdir_path, x) for x in ("landing", "table", "ckpt"))
+    _write(f"{landing}/real_acct/drop1.txt", "acct\tval\n1\ta\n")
+    os.makedirs(f"{target}/_temporary/0")                     # what a write that dies leaves behind
+    stream_drops(spark, landing, "real_acct", ["acct", "val"], ["acct"], target, ckpt).awaitTermination(120)
+    _write(f"{landing}/real_acct/drop2.txt", "acct\tval\n1\tb\n2\tc\n")
+    stream_drops(spark, landing, "real_acct", ["acct", "val"], ["acct"], target, ckpt).awaitTermination(120)
+    assert {r["acct"]: r["val"] for r in spark.read.parquet(target).collect()} == {"1": "a", "2": "c"}
