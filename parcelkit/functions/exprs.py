@@ -7,6 +7,7 @@ so it is inlined into whole-stage code generation; no Python runs per row.
 from __future__ import annotations
 
 import datetime as _dt
+from decimal import Decimal
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -16,6 +17,9 @@ from pyspark.sql import types as T
 # such values enough decimals to be rounded once; `safe_num_loss` marks what does not fit.
 NUM = T.DecimalType(26, 6)
 
+TEXT_BYTES = 14                         # of a text_number: two limbs of 7 bytes
+_LIMB = Decimal(1 << 56)
+
 # --- fixed values ------------------------------------------------------------
 # safe_num keeps only these characters before the numeric cast
 SAFE_NUM_KEEP = r"[^0-9.]"
@@ -71,6 +75,25 @@ def as_date_lit(as_of) -> Column:
     return F.lit(as_of).cast("date")
 
 
+def text_number(col) -> Column:
+    """A number of fixed width that orders texts as their UTF-8 bytes do, by their first ``TEXT_BYTES`` bytes.
+
+    A maximum of such numbers is a hash aggregate, a maximum of texts is not. :func:`number_text` gives the text back;
+    a longer one counts, and comes back, as its first bytes. Texts hold no NUL (the loader deletes them).
+    """
+    digits = F.rpad(F.substring(F.hex(_c(col)), 1, 2 * TEXT_BYTES), 2 * TEXT_BYTES, "0")
+    high, low = (F.conv(F.substring(digits, at, TEXT_BYTES), 16, 10).cast("decimal(17,0)") for at in (1, 1 + TEXT_BYTES))
+    return (high * F.lit(_LIMB) + low).cast("decimal(38,0)")
+
+
+def number_text(col) -> Column:
+    """The text of a :func:`text_number`."""
+    high = F.floor(_c(col) / F.lit(_LIMB)).cast("decimal(17,0)")
+    low = (_c(col) - high * F.lit(_LIMB)).cast("decimal(17,0)")
+    digits = F.concat(*[F.lpad(F.hex(x.cast("long")), TEXT_BYTES, "0") for x in (high, low)])
+    return F.rtrim(F.decode(F.unhex(digits), "UTF-8"), F.lit("\0"))
+
+
 def string_agg_distinct(col, sep: str) -> Column:
     """``STRING_AGG(DISTINCT x, sep)`` with a deterministic (sorted) order; empty group -> NULL.
 

@@ -16,7 +16,7 @@ from decimal import Decimal
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.exprs import NUM, parse_mdy, safe_num, string_agg_distinct, years_before
+from ..functions.exprs import NUM, number_text, parse_mdy, safe_num, string_agg_distinct, text_number, years_before
 
 _ABOVE_PRICE = Decimal(10) ** (NUM.precision - NUM.scale + 1)   # more than any price and one
 PRIMARY = "1"  # bld_num / land line of the primary building / land segment
@@ -152,37 +152,54 @@ def hearing_history(arb_hearings_real: DataFrame, as_of, years: int = 5, chronol
 
     The latest year is the maximum over *all* of the account's hearings;
     initial and final values are independent maxima over that year's rows in
-    the window. Done in one aggregation: ``max(struct(year, value))`` over the
-    window rows equals the latest-year maximum whenever its year is the
-    overall maximum, otherwise the value is NULL. ``last_hearing_date`` is the
-    text maximum like the source unless ``chronological`` is set.
+    the window. Done in one hash aggregation: every maximum is of a number of
+    fixed width. Texts count as :func:`text_number` (by their first 14 bytes; a
+    year has 4, a date 10), and a year of the window and a value are packed
+    into one decimal, whose maximum is the latest year's greatest value; it
+    holds if that year is the overall maximum, otherwise the value is NULL.
+    ``last_hearing_date`` is the text maximum like the source unless
+    ``chronological`` is set.
     """
-    year_txt = F.col("Tax_Year")
+    year = F.col("Tax_Year").try_cast("int")
     h = arb_hearings_real.select(
-        "acct", "Tax_Year", "Actual_Hearing_Date",
+        "acct", text_number("Tax_Year").alias("_year"), year.alias("_number"), "Actual_Hearing_Date",
         safe_num("Initial_Appraised_Value").alias("_init"), safe_num("Final_Appraised_Value").alias("_final"),
-        (year_txt.isNotNull() & (year_txt.try_cast("int") >= F.year(_as_of_col(as_of)) - F.lit(years)))
-        .alias("_in_win"))
+        (year >= F.year(_as_of_col(as_of)) - F.lit(years)).alias("_in_win"))
     in_win = F.col("_in_win")
     init, final = F.col("_init"), F.col("_final")
 
     def w(x):
         return F.when(in_win, x)
+
+    def top(value):
+        above = F.col("_number").cast("decimal(10,0)") * F.lit(_ABOVE_PRICE)
+        return F.max(w((above + F.coalesce(value + F.lit(1), F.lit(0)).cast("decimal(27,6)")).cast("decimal(38,6)")))
+
+    def value_of(packed):
+        """The packed value, if its year is the overall latest."""
+        above = number_text("_max_year_all").try_cast("int").cast("decimal(10,0)") * F.lit(_ABOVE_PRICE)
+        rest = F.col(packed) - above
+        own = F.nullif(rest.cast("decimal(38,6)"), F.lit(0).cast("decimal(38,6)")) - F.lit(1)
+        return F.when((rest >= 0) & (rest < F.lit(_ABOVE_PRICE)), own).cast(NUM)
+    if chronological:
+        last = _latest("Actual_Hearing_Date", True, in_win)
+    else:
+        last = F.max(w(text_number("Actual_Hearing_Date")))
     g = h.groupBy("acct").agg(
         F.count_if(in_win).alias("hearing_count"),
-        F.max(year_txt).alias("_max_year_all"),
-        F.max(w(year_txt)).alias("last_hearing_year"),
-        _latest("Actual_Hearing_Date", chronological, in_win).alias("last_hearing_date"),
-        F.max(w(F.struct(year_txt.alias("y"), init.alias("v")))).alias("_top_init"),
-        F.max(w(F.struct(year_txt.alias("y"), final.alias("v")))).alias("_top_final"),
+        F.max("_year").alias("_max_year_all"),
+        F.max(w(F.col("_year"))).alias("_last_year"),
+        last.alias("_last_date"),
+        top(init).alias("_top_init"),
+        top(final).alias("_top_final"),
         F.avg(w(init - final)).alias("_avg_red"),
         F.sum(w(F.when(final < init, 1).otherwise(0))).alias("successful_protests"),
     )
-    top = F.col("_max_year_all")
     return g.where(F.col("hearing_count") > 0).select(
-        "acct", "hearing_count", "last_hearing_year", "last_hearing_date",
-        F.when(F.col("_top_init.y") == top, F.col("_top_init.v")).alias("last_initial_appraised"),
-        F.when(F.col("_top_final.y") == top, F.col("_top_final.v")).alias("last_final_appraised"),
+        "acct", "hearing_count", number_text("_last_year").alias("last_hearing_year"),
+        (F.col("_last_date") if chronological else number_text("_last_date")).alias("last_hearing_date"),
+        value_of("_top_init").alias("last_initial_appraised"),
+        value_of("_top_final").alias("last_final_appraised"),
         F.col("_avg_red").alias("avg_value_reduction"),
         F.col("successful_protests").cast("bigint").alias("successful_protests"),
     )

@@ -60,3 +60,37 @@ def test_latest_date_text_or_chronological(spark):
                                "acct string, protested_dt string, protested_by string")
     assert protest_history(df).first()["last_protest_date"] == "12/01/2020"          # text order (source)
     assert protest_history(df, chronological=True).first()["last_protest_date"] == "01/15/2024"
+
+
+def test_text_numbers_order_like_texts(spark):
+    from parcelkit.functions.exprs import number_text, text_number
+    texts = ["", "0", "1999", "2000", "02/03/2001", "12/31/1999", "N/A", "Ünï", "ÿ", "~", "zzzzzzzzzzzzzz", "a", "a ", "ab", "\U0001F600", None]
+    df = spark.createDataFrame([(t,) for t in texts], "t string").select("t", text_number("t").alias("n"))
+    rows = [(r.t, r.n, r.back) for r in df.select("*", number_text("n").alias("back")).collect()]
+    assert all(t == back for t, _, back in rows)
+    ranked = sorted((r for r in rows if r[0] is not None), key=lambda r: r[1])
+    assert [r[0] for r in ranked] == sorted((t for t in texts if t is not None), key=lambda t: t.encode())
+    assert [r[1] for r in rows if r[0] is None] == [None]
+
+
+def test_hearings_and_priced_sales_are_hash_aggregates(spark):
+    from parcelkit.operators.rollups import hearing_history, recent_sales_priced
+    schema = "acct string, Tax_Year string, Actual_Hearing_Date string, Initial_Appraised_Value string, Final_Appraised_Value string"
+    rows = [("1", "2000", "02/03/2000", "100.5", "90"), ("1", "2000", "12/01/1999", None, "95.25"), ("1", "1998", "x", "900", "800"),
+            ("2", "1990", "01/01/1990", "5", "4"), ("3", "2001", None, "7", None), ("3", "N/A", "03/04/2001", "8", "9"), ("4", "1999", "", "0", "0"),
+            ("5", "2001", "05/06/2001", "99999999999999999999", "1"), ("5", None, None, None, None)]
+    df = spark.createDataFrame(rows, schema)
+    got = {r.acct: r for r in hearing_history(df, "2001-12-31").collect()}
+    assert set(got) == {"1", "3", "4", "5"}
+    one = got["1"]
+    assert (one.hearing_count, one.last_hearing_year, one.last_hearing_date) == (3, "2000", "x")
+    assert (float(one.last_initial_appraised), float(one.last_final_appraised), one.successful_protests) == (100.5, 95.25, 2)
+    # an account whose overall latest year is no year of the window has no latest values
+    assert (got["3"].last_initial_appraised, got["3"].last_hearing_year, got["3"].hearing_count) == (None, "2001", 1)
+    assert float(got["4"].last_initial_appraised) == 0 and got["5"].last_initial_appraised == 99999999999999999999
+    deeds = spark.createDataFrame([("1", "01/02/2000", "5"), ("1", "03/04/2001", None), ("2", "03/04/2001", "7.5"), ("2", "03/04/2001", "0"),
+                                   ("3", "3/4/2001", "0")], "acct string, dos string, sale_price string")
+    sold = {r.acct: r.last_sale_price for r in recent_sales_priced(deeds, "2001-12-31").collect()}
+    assert sold["1"] is None and float(sold["2"]) == 7.5 and float(sold["3"]) == 0
+    for df in (hearing_history(df, "2001-12-31"), recent_sales_priced(deeds, "2001-12-31")):
+        assert "SortAggregate" not in df._jdf.queryExecution().executedPlan().toString()
