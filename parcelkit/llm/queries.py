@@ -34,46 +34,41 @@ def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact.exact_dedup(table(spark, sf_dir, "documents"))
 
 
-def _op3_sql(depth: int = 4) -> str:
-    """The template tree level by level, as SQL."""
-    fits = {text: f"((host = '{name}' OR ends_with(host, '.{name}')) AND starts_with(path, '/{tail}'))"
-            for _, text in url_filter.RULES for name, _, tail in [text.partition("/")]}
-    ordered = sorted(url_filter.RULES, key=lambda r: -len(r[1]))
-    rule = " ".join(f"WHEN {fits[text]} THEN '{text}'" for _, text in ordered)
-    ruled = " ".join(f"WHEN {fits[text]} THEN '{kind}'" for kind, text in ordered)
-    levels = ""
-    for k in range(depth):
-        levels += f"""
-own{k} AS (SELECT host, template, parts[{k + 1}] AS seg, sum(n) AS own FROM t{k} WHERE len(parts) > {k} GROUP BY ALL),
-kept{k} AS (SELECT * FROM (SELECT *, sum(own) OVER (PARTITION BY host, template) AS whole FROM own{k})
-  WHERE own >= 2 AND own >= 0.02::double * whole),
-t{k + 1} AS (SELECT t.* REPLACE (t.template || CASE WHEN len(parts) <= {k} THEN '' WHEN k.seg IS NOT NULL THEN '/' || k.seg
-    WHEN regexp_full_match(parts[{k + 1}], '[0-9]+([.][a-z]+)?') THEN '/#' ELSE '/*' END AS template)
-  FROM t{k} t LEFT JOIN kept{k} k ON k.host = t.host AND k.template = t.template AND k.seg = t.parts[{k + 1}]),"""
-    return f"""
-WITH cut AS (SELECT page_id, CASE WHEN contains(url, '://') THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages),
+OP3_SQL = r"""
+WITH RECURSIVE cut AS (SELECT page_id, CASE WHEN contains(url, '://') THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages),
 split AS (SELECT page_id, regexp_extract(rest, '^[^/?#]*') AS h, rest FROM cut),
 parsed AS (SELECT page_id, translate(h, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
   regexp_extract(substr(rest, length(h) + 1), '^[^?#]*') AS path FROM split),
-t0 AS (SELECT host, path, count(*) AS n, CASE {rule} END AS rule, CASE {ruled} END AS ruled,
-  list_filter(string_split(path, '/'), lambda x: x <> '') AS parts, '' AS template FROM parsed GROUP BY host, path),{levels}
-tree AS (SELECT * REPLACE (CASE WHEN len(parts) > {depth} THEN template || '/**' ELSE template END AS template) FROM t{depth}),
-stats AS (SELECT host, template, regexp_replace(template, '^/[^/]*', '') AS shape,
-  sum(CASE WHEN ruled IS NOT NULL THEN n ELSE 0 END) AS labelled, sum(CASE WHEN ruled = 'block' THEN n ELSE 0 END) AS blocked
-  FROM tree GROUP BY ALL),
-pairs AS (SELECT *, lag(blocked) OVER w AS b, lag(labelled) OVER w AS m FROM stats WHERE labelled > 0
-  WINDOW w AS (PARTITION BY host, shape ORDER BY blocked / labelled, template)),
-tested AS (SELECT *, (blocked + b) / (labelled + m) AS pooled FROM pairs),
-runs AS (SELECT host, template, labelled, blocked, shape, sum(CASE WHEN m IS NULL OR abs(blocked / labelled - b / m)
-    > 1.96::double * sqrt(pooled * (1 - pooled) * (1 / labelled + 1 / m)) THEN 1 ELSE 0 END)
-    OVER (PARTITION BY host, shape ORDER BY blocked / labelled, template) AS run FROM tested),
-branches AS (SELECT host, template, labelled, blocked, '~' || run || shape AS branch FROM runs
-  UNION ALL SELECT host, template, labelled, blocked, template FROM stats WHERE labelled = 0),
-judged AS (SELECT host, template, ((sum(blocked) OVER w + 1) / (sum(labelled) OVER w + 2))::double AS rejected_share FROM branches
-  WINDOW w AS (PARTITION BY host, branch))
-SELECT page_id, host, path, rule, coalesce(ruled, CASE WHEN rejected_share > 0.8 THEN 'block' ELSE 'allow' END) AS verdict,
-  template, rejected_share
-FROM parsed JOIN tree USING (host, path) JOIN judged USING (host, template)
+rules(host, path, verdict) AS (VALUES ('com', '/', 'allow'), ('example.com', '/en/', 'block'), ('www.example.com', '/en/', 'allow'),
+  ('net', '/es/', 'block'), ('net', '/fr/', 'block')),
+fits AS (SELECT p.host, p.path, arg_max(r.host || r.path, length(r.host || r.path)) AS rule, arg_max(r.verdict, length(r.host || r.path)) AS ruled
+  FROM (SELECT DISTINCT host, path FROM parsed) p JOIN rules r ON ('.' || p.host LIKE '%.' || r.host) AND starts_with(p.path, r.path) GROUP BY ALL),
+urls AS (SELECT p.*, rule, ruled FROM (SELECT host, path, count(*)::double AS n, list_filter(string_split(path, '/'), lambda x: x <> '') AS segs
+  FROM parsed GROUP BY host, path) p LEFT JOIN fits USING (host, path)),
+walk AS (
+  SELECT host, path, n, segs, '' AS node, NULL::varchar AS parent, 0 AS k FROM urls
+  UNION ALL
+  SELECT host, path, n, CASE WHEN alone THEN segs[:k + 1] ELSE segs END, node || '/' || CASE WHEN alone THEN '**'
+      WHEN own >= 2 AND own >= 0.02::double * every THEN seg WHEN regexp_full_match(seg, '[0-9]+([.][a-z]+)?') THEN '#' ELSE '*' END, node, k + 1
+  FROM (SELECT *, segs[k + 1] AS seg, sum(n) OVER (PARTITION BY host, node, segs[k + 1]) AS own, sum(n) OVER (PARTITION BY host, node) AS every,
+      count(*) OVER (PARTITION BY host, node) = 1 AS alone FROM walk WHERE len(segs) > k)),
+counts AS (SELECT host, node, parent, k, sum(CASE WHEN ruled IS NULL THEN 0 ELSE n END) AS l, sum(CASE WHEN ruled = 'block' THEN n ELSE 0 END) AS b
+  FROM walk JOIN (SELECT host, path, ruled FROM urls) USING (host, path) GROUP BY ALL),
+tested AS (SELECT *, lag(l) OVER w AS l0, lag(b) OVER w AS b0 FROM counts WHERE l > 0 WINDOW w AS (PARTITION BY host, parent ORDER BY b / l, node)),
+runs AS (SELECT host, node, parent, l, b, sum(CASE WHEN l0 IS NULL OR abs(b / l - b0 / l0) > 1.96::double * sqrt((b + b0) / (l + l0) *
+  (1 - (b + b0) / (l + l0)) * (1 / l + 1 / l0)) THEN 1 ELSE 0 END) OVER (PARTITION BY host, parent ORDER BY b / l, node) AS run FROM tested),
+pooled AS (SELECT host, node, sum(l) OVER w AS l, sum(b) OVER w AS b FROM runs WINDOW w AS (PARTITION BY host, parent, run)),
+world AS (SELECT node, sum(l) AS l, sum(b) AS b FROM counts GROUP BY node),
+down AS (
+  SELECT c.host, c.node, c.k, (w.b + 0.5::double) / (w.l + 1) AS g, (coalesce(p.b, 0) + (w.b + 0.5::double) / (w.l + 1)) / (coalesce(p.l, 0) + 1) AS s
+  FROM counts c JOIN world w USING (node) LEFT JOIN pooled p ON p.host = c.host AND p.node = c.node WHERE c.k = 0
+  UNION ALL
+  SELECT c.host, c.node, c.k, (w.b + d.g) / (w.l + 1), (coalesce(p.b, 0) + (d.s + (w.b + d.g) / (w.l + 1)) / 2) / (coalesce(p.l, 0) + 1)
+  FROM down d JOIN counts c ON c.host = d.host AND c.parent = d.node AND c.k = d.k + 1 JOIN world w ON w.node = c.node
+  LEFT JOIN pooled p ON p.host = c.host AND p.node = c.node),
+own AS (SELECT host, path, arg_max(node, k) AS node FROM walk GROUP BY host, path)
+SELECT page_id, host, path, rule, coalesce(ruled, CASE WHEN s > 0.8 THEN 'block' ELSE 'allow' END) AS verdict, node AS template, s AS rejected_share
+FROM parsed JOIN urls USING (host, path) JOIN own USING (host, path) JOIN down USING (host, node)
 """
 
 
@@ -225,7 +220,7 @@ QUERIES = {
 }
 
 ORACLES = {
-    "op3_url_filters": _op3_sql(),
+    "op3_url_filters": OP3_SQL,
     "op4_exact_dedup": OP4_SQL,
     "op7_warc": OP7_SQL,
     "op11_conversation_repair": _op11_sql(),

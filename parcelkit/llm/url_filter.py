@@ -5,17 +5,24 @@ wins. The urls they decide are the labelled ones. All other urls are judged by a
 
 1. per host, paths are read segment by segment. A segment that does not recur, or holds few of its parent's urls, is
    variable and becomes a wildcard (``#`` if it is made of digits, else ``*``); the others stay as they are. So a
-   parent has a bounded number of branches (at most 1 / ``min_share`` literals and two wildcards);
-2. sibling branches of the same shape whose labelled shares a two-proportion test cannot tell apart are merged;
-3. a (merged) template is rejected when its smoothed share of blocked labels exceeds ``reject_over``. Without labels
-   the smoothed share is one half, so an unknown template is allowed.
+   parent has a bounded number of branches (at most 1 / ``min_share`` literals and two wildcards). A node of a single
+   path is not split further (``/**``), however many segments are left;
+2. at every depth, siblings whose labelled shares a two-proportion test cannot tell apart are merged: they pool their
+   labels;
+3. a node's share of blocked labels is smoothed towards what is known around it: the mean of its parent's share and
+   of the share that the same template has over all hosts, itself smoothed towards that of its own parent. So a
+   template without labels takes the evidence of its parent and of its like elsewhere;
+4. a template is rejected when the smoothed share of its own node exceeds ``reject_over``.
 
 Urls are first grouped to distinct (host, path), and every count is combined map-side, so a hot host is no hot
-task; the joins are plain equi-joins that adaptive execution can split.
+task; the joins are plain equi-joins that adaptive execution can split. A level of the tree is a pass over the paths
+that still share a node with another path.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -47,64 +54,89 @@ def _rule(rules, host: Column, path: Column) -> tuple[Column, Column]:
     return fitting, verdict
 
 
-def path_templates(paths: DataFrame, depth: int = 4, min_share: float = 0.02, min_urls: int = 2) -> DataFrame:
-    """``paths`` (host, path, n) with ``template`` and its ``parent``.
+def path_templates(paths: DataFrame, min_share: float = 0.02, min_urls: int = 2) -> DataFrame:
+    """``paths`` (host, path, n) with ``chain``: the templates of the path's nodes, from the host's root ("") to its own.
 
     A segment stays literal when it holds at least ``min_share`` of its parent's urls and ``min_urls`` of them;
-    else it is generalised. Segments past ``depth`` become one wildcard, so the tree is bounded in depth, not the
-    paths that it covers.
+    else it is generalised. The tree is as deep as the paths that go on together.
     """
     parts = F.filter(F.split("path", "/"), lambda s: s != "")
-    tree = paths.withColumn("_parts", parts).withColumn("template", F.lit("")).withColumn("parent", F.lit(""))
-    for k in range(depth):
-        tree = tree.withColumn("_seg", F.get("_parts", F.lit(k)))
-        own = tree.where("_seg is not null").groupBy("host", "template", "_seg").agg(F.sum("n").alias("_own"))
-        whole = own.groupBy("host", "template").agg(F.sum("_own").alias("_all"))
-        kept = own.join(whole, ["host", "template"]).where(
-            (F.col("_own") >= min_urls) & (F.col("_own") >= min_share * F.col("_all")))
-        kept = written(kept.select("host", "template", "_seg", F.lit(True).alias("_kept")), "branches")
+    tree = paths.withColumn("_parts", parts).withColumn("chain", F.array(F.lit("")))
+    done = []
+    while True:
+        over = F.size("_parts") < F.size("chain")                       # every segment has its place
+        done.append(tree.where(over).drop("_parts"))
+        tree = tree.where(~over)
+        if tree.isEmpty():
+            break
+        tree = tree.withColumn("_node", F.element_at("chain", -1)).withColumn("_seg", F.get("_parts", F.size("chain") - 1))
+        own = tree.groupBy("host", "_node", "_seg").agg(F.sum("n").alias("_own"), F.count(F.lit(1)).alias("_paths"))
+        whole = own.groupBy("host", "_node").agg(F.sum("_own").alias("_all"), F.sum("_paths").alias("_every"))
+        share = (F.col("_own") >= min_urls) & (F.col("_own") >= min_share * F.col("_all"))
+        known = written(own.join(whole, ["host", "_node"]).select(
+            "host", "_node", "_seg", share.alias("_kept"), (F.col("_every") == 1).alias("_lone")), "branches")
         wild = F.when(F.col("_seg").rlike(r"^[0-9]+([.][a-z]+)?$"), "#").otherwise("*")
-        step = F.when(F.col("_kept"), F.col("_seg")).otherwise(wild)
-        tree = tree.join(kept, ["host", "template", "_seg"], "left").withColumn(
-            "parent", F.when(F.col("_seg").isNull(), F.col("parent")).otherwise(F.col("template"))).withColumn(
-            "template", F.when(F.col("_seg").isNull(), F.col("template")).otherwise(
-                F.concat("template", F.lit("/"), step))).drop("_seg", "_kept")
-        tree = written(tree, "tree")
-    deeper = F.size("_parts") > depth
-    return tree.withColumn("parent", F.when(deeper, F.col("template")).otherwise(F.col("parent"))).withColumn(
-        "template", F.when(deeper, F.concat("template", F.lit("/**"))).otherwise(F.col("template"))).drop("_parts")
-
-
-def merged_branches(templates: DataFrame, z: float = 1.96) -> DataFrame:
-    """``host``, ``template``, ``branch``: templates of a host that differ in their first segment only, and that a
-    two-proportion test cannot tell apart by their labels, share a branch. ``templates``: host, template,
-    labelled, blocked.
+        step = F.when(F.col("_lone"), "**").when(F.col("_kept"), F.col("_seg")).otherwise(wild)
+        tree = tree.join(known, ["host", "_node", "_seg"]).withColumn(
+            "chain", F.array_append("chain", F.concat("_node", F.lit("/"), step)))
+        # a lone path ends here
+        tree = tree.withColumn("_parts", F.when(F.col("_lone"), F.slice("_parts", 1, F.size("chain") - 1)).otherwise(F.col("_parts")))
+        tree = written(tree.drop("_node", "_seg", "_kept", "_lone"), "tree")
+    return reduce(DataFrame.unionByName, done)
+
+
+def merged_branches(nodes: DataFrame, z: float = 1.96) -> DataFrame:
+    """``nodes`` (host, parent, template, labelled, blocked) with ``_l``, ``_b``: the labels pooled over the siblings that
+    a two-proportion test cannot tell apart.
 
     Siblings are ordered by their share and each is compared with the one before; those without labels stay apart.
     """
-    rows = templates.withColumn("_shape", F.regexp_replace("template", r"^/[^/]*", ""))
-    known = rows.where("labelled > 0").withColumn("_share", F.col("blocked") / F.col("labelled"))
-    order = Window.partitionBy("host", "_shape").orderBy("_share", "template")      # bounded: see path_templates
+    known = nodes.where("labelled > 0").withColumn("_share", F.col("blocked") / F.col("labelled"))
+    order = Window.partitionBy("host", "parent").orderBy("_share", "template")      # bounded: see path_templates
     before = known.withColumn("_b", F.lag("blocked").over(order)).withColumn("_n", F.lag("labelled").over(order))
     pooled = (F.col("blocked") + F.col("_b")) / (F.col("labelled") + F.col("_n"))
     error = F.sqrt(pooled * (1 - pooled) * (1 / F.col("labelled") + 1 / F.col("_n")))
     gap = F.abs(F.col("_share") - F.col("_b") / F.col("_n"))
     fresh = F.when(F.col("_n").isNull(), 1).when(gap > z * error, 1).otherwise(0)
     known = before.withColumn("_fresh", fresh).withColumn("_run", F.sum("_fresh").over(order))
-    known = known.select("host", "template", F.concat(F.lit("~"), F.col("_run").cast("string"), "_shape").alias("branch"),
-                         "labelled", "blocked")
-    lone = rows.where("labelled = 0").select("host", "template", F.col("template").alias("branch"), "labelled", "blocked")
+    like = Window.partitionBy("host", "parent", "_run")
+    known = known.select(*nodes.columns, F.sum("labelled").over(like).alias("_l"), F.sum("blocked").over(like).alias("_b"))
+    lone = nodes.where("labelled = 0").select("*", F.col("labelled").alias("_l"), F.col("blocked").alias("_b"))
     return known.unionByName(lone)
 
 
+def smoothed_shares(paths: DataFrame, prior: float = 1.0) -> DataFrame:
+    """``host``, ``template``, ``rejected_share`` of the paths' own nodes. ``paths``: host, chain, labelled, blocked."""
+    leaves = paths.groupBy("host", "chain").agg(F.sum("labelled").alias("labelled"), F.sum("blocked").alias("blocked"))
+    leaves = written(leaves, "leaves")
+    steps = leaves.select("*", F.posexplode("chain").alias("k", "template")).withColumn(
+        "parent", F.when(F.col("k") > 0, F.get("chain", F.col("k") - 1)))
+    nodes = steps.groupBy("host", "parent", "template").agg(F.sum("labelled").alias("labelled"), F.sum("blocked").alias("blocked"))
+    nodes = written(merged_branches(written(nodes, "nodes")), "merged")
+    alike = nodes.groupBy("template").agg(F.sum("labelled").alias("_gl"), F.sum("blocked").alias("_gb"))
+    around = written(nodes.join(alike, "template").select("host", "template", "_l", "_b", "_gl", "_gb"), "evidence")
+    chains = steps.select("host", F.element_at("chain", -1).alias("leaf"), "k", "template").join(around, ["host", "template"])
+    # a group is one chain
+    chains = chains.groupBy("host", "leaf").agg(F.sort_array(F.collect_list(F.struct("k", "_l", "_b", "_gl", "_gb"))).alias("way"))
+    start = F.struct(F.lit(0.5).alias("everywhere"), F.lit(None).cast("double").alias("here"))
+
+    def down(state, node):
+        everywhere = (node["_gb"] + prior * state["everywhere"]) / (node["_gl"] + prior)
+        around = (F.coalesce(state["here"], everywhere) + everywhere) / 2
+        return F.struct(everywhere.alias("everywhere"), ((node["_b"] + prior * around) / (node["_l"] + prior)).alias("here"))
+
+    return chains.select("host", F.col("leaf").alias("template"), F.aggregate("way", start, down)["here"].alias("rejected_share"))
+
+
 def judge_urls(pages: DataFrame, rules=RULES, labels: DataFrame | None = None, reject_over: float = 0.8,
-               prior: float = 1.0, depth: int = 4, min_share: float = 0.02, min_urls: int = 2, id_col: str = "page_id",
+               prior: float = 1.0, min_share: float = 0.02, min_urls: int = 2, id_col: str = "page_id",
                url_col: str = "url") -> DataFrame:
     """``page_id``, ``host``, ``path``, ``rule``, ``verdict``, ``template``, ``rejected_share`` of every row.
 
     ``labels`` may add labelled urls (``host``, ``path``, ``blocked`` as 0 or 1) to those that the rules decide. A
-    null url, or one without ``://``, has an empty host and path and is allowed unless its (empty) template is
-    rejected. Null and repeated ids give a row each; an empty table gives none; other columns are ignored.
+    null url, or one without ``://``, has an empty host and path and is judged like any other. Null and repeated ids give
+    a row each; an empty table gives none; other columns are ignored. A very long url is a path of many segments; it ends
+    as ``/**`` where no other path goes with it.
     """
     rows = with_host_path(pages.select(F.col(id_col).alias("page_id"), F.col(url_col).alias("_url")), "_url").drop("_url")
     rule, verdict = _rule(rules, F.col("host"), F.col("path"))
@@ -117,15 +149,10 @@ def judge_urls(pages: DataFrame, rules=RULES, labels: DataFrame | None = None, r
         distinct = distinct.join(extra, ["host", "path"], "left").withColumn(
             "labelled", F.col("labelled") + F.coalesce("_l", F.lit(0))).withColumn(
             "blocked", F.col("blocked") + F.coalesce("_k", F.lit(0))).drop("_l", "_k")
-    tree = path_templates(distinct, depth, min_share, min_urls)
-    stats = tree.groupBy("host", "template").agg(F.sum("labelled").alias("labelled"), F.sum("blocked").alias("blocked"))
-    branches = merged_branches(written(stats, "templates"))
-    purity = branches.groupBy("host", "branch").agg(
-        ((F.sum("blocked") + prior) / (F.sum("labelled") + 2 * prior)).alias("rejected_share"))
-    judged = written(branches.join(purity, ["host", "branch"]).select("host", "template", "rejected_share"), "judged")
-    tree = written(tree.join(judged, ["host", "template"]).select(
+    tree = path_templates(written(distinct, "paths"), min_share, min_urls)
+    shares = written(smoothed_shares(tree, prior), "shares")
+    tree = written(tree.withColumn("template", F.element_at("chain", -1)).join(shares, ["host", "template"]).select(
         "host", "path", "rule", "template", "rejected_share", F.coalesce("ruled", F.when(
             F.col("rejected_share") > reject_over, "block").otherwise("allow")).alias("verdict")), "verdicts")
     return rows.join(tree, ["host", "path"]).select("page_id", "host", "path", "rule", "verdict", "template",
                                                     "rejected_share")
-

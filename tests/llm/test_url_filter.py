@@ -1,4 +1,6 @@
-from parcelkit.llm.url_filter import judge_urls, merged_branches, path_templates, with_host_path
+import random
+
+from parcelkit.llm.url_filter import judge_urls, merged_branches, path_templates, smoothed_shares, with_host_path
 
 
 def judged(spark, urls, **kw):
@@ -20,10 +22,23 @@ def test_host_path_and_rules(spark):
     assert judged(spark, []) == {}
 
 
+def chains(spark, paths):
+    df = spark.createDataFrame(paths, "host string, path string, n long")
+    return {(r.host, r.path): r.chain for r in path_templates(df).collect()}
+
+
 def test_variable_segments_become_wildcards(spark):
     paths = [("h", f"/blog/{i}.html", 1) for i in range(50)] + [("h", f"/user/u{i}x/about", 1) for i in range(50)] + [("h", "/a/b/c/d/e/f", 1)]
-    got = {r.path: r.template for r in path_templates(spark.createDataFrame(paths, "host string, path string, n long")).collect()}
-    assert set(list(got.values())) == {"/blog/#", "/user/*/about", "/*/*/*/*/**"}
+    got = chains(spark, paths + [("g", "/x/y", 3), ("g", "", 1), ("", "", 2)])
+    assert {c[-1] for (h, _), c in got.items() if h == "h"} == {"/blog/#", "/user/*/about", "/*/**"}
+    assert got["h", "/blog/7.html"] == ["", "/blog", "/blog/#"] and got["h", "/a/b/c/d/e/f"] == ["", "/*", "/*/**"]
+    assert got["g", "/x/y"] == ["", "/**"] and got["g", ""] == [""] and got["", ""] == [""] and len(got) == 104
+
+
+def test_paths_that_go_on_together_are_split_at_any_depth(spark):
+    deep = "/d" * 12
+    got = chains(spark, [("h", f"{deep}/{k}/{i}", 1) for k in ("x", "y") for i in range(30)] + [("h", "/z" * 300, 1)])
+    assert {c[-1] for c in got.values()} == {f"{deep}/x/#", f"{deep}/y/#", "/*/**"}
 
 
 def test_impure_templates_are_rejected(spark):
@@ -38,10 +53,81 @@ def test_impure_templates_are_rejected(spark):
 
 
 def test_similar_branches_merge(spark):
-    rows = [("h", "/a/#", 100, 95), ("h", "/b/#", 100, 97), ("h", "/c/#", 100, 10), ("h", "/d/#", 0, 0), ("h", "/e/*", 100, 96), ("g", "/a/#", 100, 95)]
-    got = {(r.host, r.template): r.branch for r in merged_branches(spark.createDataFrame(rows, "host string, template string, labelled long, blocked long")).collect()}
-    assert got["h", "/a/#"] == got["h", "/b/#"] != got["h", "/c/#"]
-    assert got["h", "/d/#"] == "/d/#" and got["h", "/e/*"] != got["h", "/a/#"]
+    rows = [("h", "", "/a", 100, 95), ("h", "", "/b", 100, 97), ("h", "", "/c", 100, 10), ("h", "", "/d", 0, 0), ("h", "/a", "/a/x", 100, 96),
+            ("g", "", "/a", 100, 95)]
+    df = spark.createDataFrame(rows, "host string, parent string, template string, labelled long, blocked long")
+    got = {(r.host, r.template): (r._l, r._b) for r in merged_branches(df).collect()}
+    assert got == {("h", "/a"): (200, 192), ("h", "/b"): (200, 192), ("h", "/c"): (100, 10), ("h", "/d"): (0, 0), ("h", "/a/x"): (100, 96),
+                   ("g", "/a"): (100, 95)}
+
+
+def test_evidence_comes_from_parents_and_from_like_templates(spark):
+    """Hosts without labels: their templates are judged as the same templates are elsewhere; a blocked parent rejects its children."""
+    rules = (("block", "bad.org/ads/"), ("allow", "bad.org/news/"), ("block", "worse.org/"))
+    urls = [f"http://bad.org/ads/{i}" for i in range(60)] + [f"http://bad.org/news/{i}" for i in range(60)]
+    urls += [f"http://new.net/ads/{i}" for i in range(9)] + [f"http://new.net/news/{i}" for i in range(9)]
+    got = judged(spark, urls, rules=rules)
+    assert {got[i].verdict for i in range(120, 129)} == {"block"} and {got[i].verdict for i in range(129, 138)} == {"allow"}
+    assert {got[i].rule for i in range(120, 138)} == {None} and got[120].template == "/ads/#"
+    # below a node whose labels are all blocked, a branch of its own without labels is rejected as well
+    urls = [f"http://h.org/en/{k}/{i}" for k in ("a", "b") for i in range(30)]
+    labels = spark.createDataFrame([("h.org", f"/en/a/{i}", 1) for i in range(30)], "host string, path string, blocked int")
+    got = judged(spark, urls, rules=(), labels=labels)
+    assert got[40].template == "/en/b/#" and got[40].rejected_share > 0.8 and {r.verdict for r in got.values()} == {"block"}
+
+
+def plain_shares(leaves, prior=1.0, z=1.96):
+    """The shares worked out node by node. ``leaves``: (host, chain, labelled, blocked)."""
+    own, world, parent = {}, {}, {}
+    for host, chain, n, b in leaves:
+        for k, t in enumerate(chain):
+            for table, key in ((own, (host, t)), (world, t)):
+                table[key] = tuple(x + y for x, y in zip(table.get(key, (0, 0)), (n, b)))
+            parent[host, t] = chain[k - 1] if k else None
+    pooled = dict(own)
+    for host, up in {(h, p) for (h, _), p in parent.items()}:
+        kin = sorted((own[h, t][1] / own[h, t][0], t) for (h, t), p in parent.items() if (h, p) == (host, up) and own[h, t][0])
+        group = []
+        for at, (share, t) in enumerate(kin):
+            if at:
+                (n0, b0), (n1, b1) = own[host, kin[at - 1][1]], own[host, t]
+                p = (b0 + b1) / (n0 + n1)
+                if abs(b1 / n1 - b0 / n0) > z * (p * (1 - p) * (1 / n0 + 1 / n1)) ** 0.5:
+                    group = []
+            group = [*group, t]
+            for m in group:
+                pooled[host, m] = tuple(sum(own[host, x][i] for x in group) for i in (0, 1))
+    out = {}
+    for host, chain, _, _ in leaves:
+        everywhere, here = 0.5, None
+        for t in chain:
+            everywhere = (world[t][1] + prior * everywhere) / (world[t][0] + prior)
+            around = everywhere if here is None else (here + everywhere) / 2
+            here = (pooled[host, t][1] + prior * around) / (pooled[host, t][0] + prior)
+        out[host, chain[-1]] = here
+    return out
+
+
+def test_shares_against_plain_python(spark):
+    rng = random.Random(8)
+    paths = sorted({(f"h{rng.randrange(4)}", "".join(f"/{rng.choice('abc9')}" for _ in range(rng.randrange(5)))) for _ in range(160)})
+    rows = []
+    for h, p in paths:
+        n = rng.randrange(1, 4)
+        labelled = rng.choice([0, n])
+        rows.append((h, p, n, labelled, rng.randint(0, labelled)))
+    tree = path_templates(spark.createDataFrame(rows, "host string, path string, n long, labelled long, blocked long"))
+    leaves = [(r.host, r.chain, r.labelled, r.blocked) for r in tree.collect()]
+    got = {(r.host, r.template): r.rejected_share for r in smoothed_shares(tree).collect()}
+    want = plain_shares(leaves)
+    assert got.keys() == want.keys() and all(abs(got[k] - want[k]) < 1e-12 for k in want)
+
+
+def test_odd_urls(spark):
+    rows = [(1, None), (1, None), (None, "http://h.org/a"), (2, "http://h.org/" + "x/" * 3000), (2, "http://h.org/" + "y" * 100_000), (3, "")]
+    df = spark.createDataFrame([(i, u, "t", 1.0) for i, u in rows], "page_id bigint, url string, template string, rejected_share double")
+    got = judge_urls(df).collect()
+    assert len(got) == 6 and all(0 < r.rejected_share < 1 and r.verdict == "allow" for r in got)
 
 
 def test_native_plan(spark):
