@@ -104,12 +104,16 @@ def _queries() -> dict[str, _Query]:
     sizes = {"acct": 13, "bld_num": 10, "impr_tp": 4, "date_erected": 4, "yr_remodel": 4, "structure_dscr": 50,
              "qa_cd": 2, "dscr": 50, "heat_ar": 10, "gross_ar": 10, "eff_ar": 10, "im_sq_ft": 10,
              "cama_replacement_cost": 12, "accrued_depr_pct": 9}
-    profiled = [(t, primary_key(t)) for t in DERIVED if primary_key(t)]
+    profiled = [("real_acct", ("acct",)), ("building_res", ("acct", "bld_num")),
+                ("fixtures", ("acct", "bld_num", "type")), ("jur_value", ("acct", "tax_district")),
+                ("deeds", ("acct", "deed_id")), ("arb_protest_real", ("acct", "protested_dt")),
+                ("jur_exempt", ("acct", "tax_district", "exempt_cat"))]
+    keyed = [(t, primary_key(t)) for t in DERIVED if primary_key(t)]
     counted = DERIVED
 
-    def key_profiles(t):
+    def key_profiles(t, which):
         from functools import reduce
-        return reduce(DataFrame.unionByName, [I.key_profile(t[n], k, n) for n, k in profiled])
+        return reduce(DataFrame.unionByName, [I.key_profile(t[n], k, n) for n, k in which])
 
     def priced(t):
         return R.recent_sales_priced(t["deeds_priced"], AS_OF)
@@ -210,7 +214,8 @@ def _queries() -> dict[str, _Query]:
                                                         t["real_acct_not_p"]), False),
         "orphan_rows": _q(lambda t: I.orphan_rows(t["building_res"].select("acct", "bld_num", "heat_ar"),
                                                   t["real_acct_not_p"]), False),
-        "key_profile": _q(key_profiles, False),
+        "key_profile": _q(lambda t: key_profiles(t, profiled), False),
+        "key_profile_all": _q(lambda t: key_profiles(t, keyed), False),
         "fk_coverage": _q(lambda t: I.fk_coverage(t["building_res"], t["real_acct_not_p"], ("acct",), ("acct",),
                                                   "building_res", "real_acct"), False),
         "fk_coverage_all": _q(coverage, False),
