@@ -30,6 +30,7 @@ WHITE_SPACE = "".join(map(chr, [*range(0x09, 0x0E), 0x20, 0x85, 0xA0, 0x1680, *r
 JAVA_BLANK = "".join(map(chr, range(0x21)))     # a line of these alone is blank to the text reader
 LINE_END = re.compile(rb"\r\n|\r|\n")
 HEADER_BYTES = 1 << 16
+BROADCAST_FILES = 50_000                        # files whose places (some 100 bytes each) are broadcast
 ROW_BITS_MASK = (1 << 33) - 1                   # the row number in monotonically_increasing_id
 
 
@@ -114,8 +115,8 @@ def _first_lines_by_driver(spark: SparkSession, paths: list[str]) -> dict[str, s
 class TableFiles:
     """A table's files: groups of equal headers, files without a header, and each file's place in the file order."""
 
-    def __init__(self, groups: dict[str, list[str]], blank: list[str], places: list[tuple[str, int]]):
-        self.groups, self.blank, self.places = groups, blank, places
+    def __init__(self, groups: dict[str, list[str]], blank: list[str], places: list[tuple[str, int]], longest: int):
+        self.groups, self.blank, self.places, self.longest = groups, blank, places, longest
 
 
 def table_files(spark: SparkSession, tables: dict[str, list[str]]) -> dict[str, TableFiles]:
@@ -127,34 +128,34 @@ def table_files(spark: SparkSession, tables: dict[str, list[str]]) -> dict[str,
     if not paths:
         return {}
     by_header: dict[str | None, list] = {}
+    listed = spark.read.format("binaryFile").load([_glob_quoted(p) for p in paths]).select(
+        "path", F.col("_metadata.file_path").alias("name"), "length")
     if all(openable(p) for p in paths):
         def run(batches):
             for batch in batches:
                 lines = [_first_line(p) for p in batch.column("path").to_pylist()]
-                yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(lines, pa.string())], ["path", "name", "header"])
+                yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(lines, pa.string())], [*batch.schema.names, "header"])
 
         ship_package(spark)
-        listed = spark.read.format("binaryFile").load([_glob_quoted(p) for p in paths]).select(
-            "path", F.col("_metadata.file_path").alias("name"))
         tasks = max(1, min(len(paths), spark.sparkContext.defaultParallelism * 4))
-        found = listed.repartition(tasks).mapInArrow(run, "path string, name string, header string")
-        for r in found.groupBy("header").agg(F.collect_list(F.struct("path", "name")).alias("files")).collect():
-            by_header[r["header"]] = [(f["path"], f["name"]) for f in r["files"]]
+        found = listed.repartition(tasks).mapInArrow(run, "path string, name string, length long, header string")
+        for r in found.groupBy("header").agg(F.collect_list(F.struct("path", "name", "length")).alias("files")).collect():
+            by_header[r["header"]] = r["files"]
     else:
-        names = {r["path"]: r["name"] for r in spark.read.format("binaryFile").load([_glob_quoted(p) for p in paths]).select(
-            "path", F.col("_metadata.file_path").alias("name")).collect()}
-        for path, line in _first_lines_by_driver(spark, paths).items():
-            by_header.setdefault(line, []).append((path, names[path]))
-    header = {path: line for line, files in by_header.items() for path, _ in files}
-    name = {path: n for files in by_header.values() for path, n in files}
+        lines = _first_lines_by_driver(spark, paths)
+        for r in listed.collect():
+            by_header.setdefault(lines[r["path"]], []).append(r)
+    header = {f["path"]: line for line, files in by_header.items() for f in files}
+    known = {f["path"]: f for files in by_header.values() for f in files}
     out = {}
     for table, own in tables.items():
-        own = sorted(own)
+        own = sorted(p for p in own if p in known)          # Spark lists no file without bytes
         groups: dict[str, list[str]] = {}
         for p in own:
             if header[p] is not None:
                 groups.setdefault(header[p], []).append(p)
-        out[table] = TableFiles(groups, [p for p in own if header[p] is None], [(name[p], k) for k, p in enumerate(own)])
+        out[table] = TableFiles(groups, [p for p in own if header[p] is None], [(known[p]["name"], k) for k, p in enumerate(own)],
+                                max((known[p]["length"] for p in own), default=0))
     return out
 
 
@@ -169,20 +170,31 @@ def header_names(line: str) -> list[str]:
     return [f"_c{i}" if not c else f"{c}{i}" if low.count(c.lower()) > 1 else c for i, c in enumerate(cells)]
 
 
-def _row_order(spark: SparkSession, scan: DataFrame, places: list[tuple[str, int]]) -> DataFrame:
+def _row_order(spark: SparkSession, scan: DataFrame, files: TableFiles) -> DataFrame:
     """``scan`` with ``_row_order``: the row's place in file order as one number of fixed width, so that the first of
     some rows is a hash aggregate. From the left: file, start of its split, row of the task (which reads a split's
-    rows in order)."""
-    scan = scan.withColumns({"__start": F.col("_metadata.file_block_start"), "__row": F.monotonically_increasing_id().bitwiseAND(
-        F.lit(ROW_BITS_MASK))})
-    if len(places) > 1:
-        scan = scan.withColumn("__name", F.col("_metadata.file_path")).join(
-            spark.createDataFrame(places, "__name string, __file long"), "__name").drop("__name")
-        place = F.col("__file").cast("decimal(10,0)") * F.lit(Decimal(1 << 76))
+    rows in order). A long where the files' number and size allow it, else a decimal."""
+    conf = spark._jsparkSession.sessionState().conf()
+    task = conf.filesMaxPartitionBytes()
+    # splits begin apart by this many bits at least; a row has a byte at least
+    apart = min(12, min(task, max(conf.filesOpenCostInBytes(), 1)).bit_length() - 1)
+    row_bits, start_bits = task.bit_length() + 1, (files.longest >> apart).bit_length()
+    start, row = F.col("__start"), F.col("__row")
+    scan = scan.withColumns({"__start": F.shiftright(F.col("_metadata.file_block_start"), apart),
+                             "__row": F.monotonically_increasing_id().bitwiseAND(F.lit(ROW_BITS_MASK))})
+    file = F.lit(0).cast("long")
+    if len(files.places) > 1:
+        places = spark.createDataFrame(files.places, "__name string, __file long")
+        # a row a file: broadcast while that is known to be small, so that the scan is not shuffled by its files
+        places = F.broadcast(places) if len(files.places) <= BROADCAST_FILES else places
+        scan = scan.withColumn("__name", F.col("_metadata.file_path")).join(places, "__name").drop("__name")
+        file = F.col("__file")
+    if len(files.places).bit_length() + start_bits + row_bits <= 63:
+        number = F.shiftleft(file, start_bits + row_bits) + F.shiftleft(start, row_bits) + row
     else:
-        place = F.lit(Decimal(0))
-    number = place + F.col("__start").cast("decimal(15,0)") * F.lit(Decimal(1 << 33)) + F.col("__row").cast("decimal(11,0)")
-    return scan.withColumn(ORDER_COL, number.cast("decimal(38,0)")).drop("__start", "__row", "__file")
+        number = (file.cast("decimal(10,0)") * F.lit(Decimal(1 << 76)) + start.cast("decimal(15,0)") * F.lit(Decimal(1 << 33))
+                  + row.cast("decimal(11,0)")).cast("decimal(38,0)")
+    return scan.withColumn(ORDER_COL, number).drop("__start", "__row", "__file")
 
 
 def raw_scan(spark: SparkSession, root: str, table: str, paths: list[str] | None = None,
@@ -204,7 +216,7 @@ def raw_scan(spark: SparkSession, root: str, table: str, paths: list[str] | None
     def scan(header: str, own: list[str]) -> DataFrame:
         schema = T.StructType([T.StructField(c, T.StringType()) for c in header_names(header)])
         df = _reader(spark).schema(schema).csv([_glob_quoted(p) for p in own])
-        return _row_order(spark, df, files.places) if ordered else df
+        return _row_order(spark, df, files) if ordered else df
 
     if not files.groups:
         empty = spark.createDataFrame([], T.StructType([]))
