@@ -268,6 +268,7 @@ def _queries() -> dict[str, _Query]:
         "q_current_owners": _q(lambda t: B.q_current_owners(t, a), False),
         "q_exemptions_by_jurisdiction": _q(lambda t: B.q_exemptions_by_jurisdiction(t, a), False),
         "q_values_by_jurisdiction": _q(lambda t: B.q_values_by_jurisdiction(t, a), False),
+        "q_values_by_jurisdiction_rated": _q(lambda t: B.q_values_by_jurisdiction(t, a, with_rate=True), False),
         "q_neighborhood_stats": _q(lambda t: B.q_neighborhood_stats(t, pre)),
         "q_market_area": _q(lambda t: B.q_market_area(t), False),
         "q_recent_sales_neighborhood": _q(lambda t: B.q_recent_sales_neighborhood(t, nb, AS_OF)),

@@ -135,16 +135,26 @@ def q_exemptions_by_jurisdiction(tables, acct: str) -> DataFrame:
             .orderBy(asc("jurisdiction"), asc("exempt_cat")))
 
 
-def q_values_by_jurisdiction(tables, acct: str) -> DataFrame:
-    """Appraised and taxable value of an account per taxing jurisdiction."""
+def q_values_by_jurisdiction(tables, acct: str, with_rate: bool = False) -> DataFrame:
+    """Appraised and taxable value of an account per taxing jurisdiction.
+
+    ``with_rate`` adds ``tax_rate``: the jurisdiction's current rate, from its rows without an exemption code (the
+    greatest if it has several; NULL if it has none).
+    """
     jv = tables["jur_value"].where(F.col("acct") == F.lit(acct))
     ra = tables["real_acct"].select("acct", "mailto")
     j = (jv.join(ra, "acct", "inner")
          .join(_lookup(tables["desc_r_12_real_jurisdictions"], "Code", "tax_district", "Description", "jurisdiction"),
                "tax_district", "left"))
-    return (j.select("acct", F.col("mailto").alias("owner"), "jurisdiction", "tax_district", "appraised_val",
-                     "taxable_val")
-            .orderBy(asc("jurisdiction"), asc("tax_district")))
+    out = ["acct", F.col("mailto").alias("owner"), "jurisdiction", "tax_district", "appraised_val", "taxable_val"]
+    if with_rate:
+        rates = tables["jur_tax_dist_exempt_value_rate"]
+        rates = (rates.where(F.nullif(F.col("exempt_cd"), F.lit("")).isNull())
+                 .select(F.col("tax_dist").alias("tax_district"), safe_num("curr").alias("_rate"))
+                 .groupBy("tax_district").agg(F.max("_rate").alias("tax_rate")))
+        j = j.join(rates, "tax_district", "left")
+        out.append("tax_rate")
+    return j.select(*out).orderBy(asc("jurisdiction"), asc("tax_district"))
 
 
 def q_neighborhood_stats(tables, prefix: str, state_class: str = "A1") -> DataFrame:
