@@ -20,8 +20,8 @@ def ref_safe_num(v):
         x = Decimal(digits)
     except InvalidOperation:
         return None
-    x = x.quantize(Decimal("0.0001"), rounding=ROUND_HALF_UP)
-    return None if abs(x) >= Decimal(10) ** 16 else x
+    x = x.quantize(Decimal("0.000001"), rounding=ROUND_HALF_UP)      # 20 integer digits, 6 decimals
+    return None if abs(x) >= Decimal(10) ** 20 else x
 
 
 def ref_clean(v):
