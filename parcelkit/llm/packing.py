@@ -122,7 +122,7 @@ def _word_ids(path: str) -> WordIds:
     return WordIds(path)
 
 
-def _slices(batch: pa.RecordBatch, limit: int = 16 << 20):
+def _slices(batch: pa.RecordBatch, limit: int = 4 << 20):
     """Parts of a batch of about ``limit`` bytes of text (a longer text is a part of its own)."""
     sizes = pc.fill_null(pc.binary_length(batch.column(1)), 0).to_numpy(zero_copy_only=False)
     part = np.cumsum(sizes) // limit
