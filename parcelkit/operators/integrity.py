@@ -16,7 +16,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 ORDER_COL = "_row_order"
@@ -77,7 +77,8 @@ def dedupe_keep_first(df: DataFrame, pk, order_cols=None) -> DataFrame:
     (file order even when a file is split across tasks). The keys that repeat
     are found from the key columns and that number alone, by a hash aggregate
     that combines map-side; whole rows only meet those keys. For inputs that are not files, pass ``order_cols``: rows are then
-    ranked by those columns ascending, NULLs first, and only the rows of repeated keys are compared.
+    ranked by those columns ascending, NULLs first, in one pass. Each task ranks its own rows first and sends on one row
+    of a key, so a hot key is spread over the tasks.
     Unlike ``dropDuplicates`` the surviving row is deterministic.
     """
     pk = list(pk)
@@ -91,13 +92,8 @@ def dedupe_keep_first(df: DataFrame, pk, order_cols=None) -> DataFrame:
         return df.select(*pk).distinct()
     if order_cols is None:
         return without_repeats(df, repeated_keys(df.select(*pk, ORDER_COL), pk), pk)
-    several = df.groupBy(*pk).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").drop("_n")
-    alone = _on_keys(df, several, pk, "left_anti", nulls=True)
-    order = F.struct(*[F.col(c) for c in order_cols])
-    kept = _on_keys(df, several, pk, "left_semi", nulls=True).groupBy(*pk).agg(
-        F.min_by(F.struct(*[F.col(c) for c in rest]), order).alias("_first"))
-    kept = kept.select(*[F.col(c) if c in pk else F.col(f"_first.{c}").alias(c) for c in cols])
-    return alone.unionByName(kept)
+    place = Window.partitionBy(*pk).orderBy(*[F.col(c) for c in order_cols])
+    return df.withColumn("_place", F.row_number().over(place)).where("_place = 1").drop("_place")
 
 
 def _complete(cols) -> Column:

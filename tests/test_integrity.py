@@ -97,3 +97,10 @@ def test_keep_first_with_null_keys_and_a_hot_key(spark):
     df = spark.createDataFrame(rows, "p string, q string, v string, n int").repartition(7)
     got = {(r.p, r.q): r.v for r in I.dedupe_keep_first(df, ["p", "q"], order_cols=["n"]).collect()}
     assert got == {(None, None): "b", ("k", None): "d", ("x", "y"): "e", ("hot", "hot"): "00000"}
+
+
+def test_keep_first_by_order_columns_is_one_pass(spark):
+    df = spark.range(50).selectExpr("cast(id % 7 as string) as p", "cast(id as string) as v")
+    plan = I.dedupe_keep_first(df, ["p"], order_cols=["v"])._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan and "SortAggregate" not in plan and plan.count("Range (") == 1
+    assert "WindowGroupLimit" in plan          # a task sends on one row of a key
