@@ -73,10 +73,10 @@ def building_summary(building_res: DataFrame, internal: bool = False) -> DataFra
     """Building count, primary-building pivots, totals and a text list of the other buildings.
 
     ``max(when(bld_num = '1', x))`` pivots the primary building in one
-    aggregation. Buildings are counted by two narrow hash aggregations (distinct
-    numbers, then their count), and only the text of the other buildings is
-    gathered: an account with primary rows alone gathers nothing. Rows without
-    an account form a group of their own, with a building count of 0.
+    aggregation over one scan. Only the number and text of the other buildings
+    are gathered, and the buildings are counted from those: an account with
+    primary rows alone gathers nothing. Rows without an account form a group of
+    their own, with a building count of 0.
     With ``internal=True`` the primary building's raw heated and improvement
     area is kept (``_primary_im_sq_ft``) so the protest view needs no second
     scan of the building table.
@@ -98,6 +98,7 @@ def building_summary(building_res: DataFrame, internal: bool = False) -> DataFra
     listed = F.collect_list(F.when(~one & F.col("_text").isNotNull(), F.struct(F.col("bld_num").alias("o"), F.col("_text").alias("v"))))
     aggs = [
         listed.alias("_bld"),
+        F.bool_or(one).alias("_has_one"),
         prim(F.col("date_erected")).alias("primary_year_built"),
         prim(F.col("yr_remodel")).alias("primary_year_remodel"),
         prim(F.col("structure_dscr")).alias("primary_structure_type"),
@@ -115,12 +116,12 @@ def building_summary(building_res: DataFrame, internal: bool = False) -> DataFra
     if internal:
         aggs += [prim(F.col("_im_sq_ft")).alias("_primary_im_sq_ft")]
     g = b.groupBy("acct").agg(*aggs)
-    counted = (building_res.select("acct", "bld_num").where("bld_num is not null").distinct()
-               .groupBy(F.col("acct").alias("_acct")).agg(F.count(F.lit(1)).alias("building_count")))
-    g = g.join(counted, F.col("acct") == F.col("_acct"), "left").drop("_acct")
+    # an account's numbers are the primary one and those of the listed buildings; no account, no count
+    others = F.size(F.array_distinct(F.transform("_bld", lambda x: x["o"])))
+    counted = F.when(F.col("acct").isNotNull(), others + F.when(F.col("_has_one"), 1).otherwise(0)).otherwise(0)
     texts = F.transform(F.array_sort("_bld"), lambda x: x["v"])
-    out = ["acct", F.coalesce("building_count", F.lit(0)).cast("bigint").alias("building_count")]
-    out += [c for c in g.columns if c not in ("acct", "_bld", "_primary_im_sq_ft", "building_count")]
+    out = ["acct", counted.cast("bigint").alias("building_count")]
+    out += [c for c in g.columns if c not in ("acct", "_bld", "_has_one", "_primary_im_sq_ft")]
     out += [F.when(F.size(texts) > 0, F.array_join(texts, "; ")).alias("additional_buildings")]
     if internal:
         out.append("_primary_im_sq_ft")

@@ -57,6 +57,17 @@ def test_building_summary_with_hot_account(spark):
     assert got["A00001"]["building_count"] == 3 and got["A00001"]["additional_buildings"].count("Unknown") == 2
 
 
+def test_building_summary_reads_its_table_once(spark, tmpdir_path):
+    rows, df = _hot_buildings(spark)
+    none = [(None, "1", "5", "B"), (None, "2", "5", "B"), ("N", None, "5", "B"), ("D", "2", "5", "B"), ("D", "2", "6", "B"), ("D", "1", "7", "B")]
+    more = spark.createDataFrame(none, "acct string, bld_num string, heat_ar string, structure_dscr string")
+    df.unionByName(more, allowMissingColumns=True).write.parquet(f"{tmpdir_path}/b")
+    out = R.building_summary(spark.read.parquet(f"{tmpdir_path}/b"))
+    assert out._jdf.queryExecution().executedPlan().toString().count("FileScan") == 1
+    got = {r["acct"]: r["building_count"] for r in out.collect()}
+    assert (got[None], got["N"], got["D"], got["HOT"], got["A00001"]) == (0, 0, 2, 3000, 3)
+
+
 def test_keep_first_and_hearings_with_hot_key(spark):
     dup = spark.createDataFrame([("K", f"{i:05d}", f"v{i}") for i in range(3000)] +
                                 [(f"k{i}", "00000", "w") for i in range(6000)], "acct string, ord string, v string")
