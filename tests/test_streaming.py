@@ -50,3 +50,15 @@ def test_a_first_batch_that_died_is_repeated(spark, tmpdir_path):
     _write(f"{landing}/real_acct/drop2.txt", "acct\tval\n1\tb\n2\tc\n")
     stream_drops(spark, landing, "real_acct", ["acct", "val"], ["acct"], target, ckpt).awaitTermination(120)
     assert {r["acct"]: r["val"] for r in spark.read.parquet(target).collect()} == {"1": "a", "2": "c"}
+
+
+def test_whole_rows_are_not_shuffled_to_find_the_new_ones(spark, tmpdir_path):
+    from parcelkit.operators.integrity import ORDER_COL
+    from parcelkit.streaming.drops import first_new_rows
+    rows = spark.createDataFrame([("a", "1", 5), ("a", "2", 3), ("b", "3", 1), ("c", "4", 0), ("d", "5", 7)], f"k string, v string, {ORDER_COL} long")
+    for i, held in enumerate((None, [], ["a"], ["b", "c", "d"], ["a", "b", "c", "d", "e"])):
+        old = None if held is None else spark.createDataFrame([(k,) for k in held], "k string")
+        out = first_new_rows(rows, rows.select("k", ORDER_COL), old, ["k"], f"{tmpdir_path}/{i}")
+        want = {k: v for k, v in (("a", "2"), ("b", "3"), ("c", "4"), ("d", "5")) if k not in (held or [])}
+        assert sorted((r.k, r.v) for r in out.collect()) == sorted(want.items())
+        assert "hashpartitioning" not in out._jdf.queryExecution().executedPlan().toString()
