@@ -155,12 +155,18 @@ def key_profile(df: DataFrame, pk, table_name: str = "", approx: bool = False, r
 
 def fk_coverage(child: DataFrame, parent: DataFrame, child_cols=("acct",), parent_cols=None,
                 child_name: str = "", parent_name: str = "") -> DataFrame:
-    """Child rows, rows with a NULL key, orphan rows and distinct orphan keys for one foreign key."""
+    """Child rows, rows with a NULL key, orphan rows and distinct orphan keys for one foreign key.
+
+    Both sides are keys alone: they are dealt by key and the parent's are hashed, part by part; neither side is sorted.
+    A part must fit a task's memory: let ``spark.sql.shuffle.partitions`` grow with the parent.
+    """
     child_cols = list(child_cols)
     child = child.select(*child_cols)
     any_null = reduce(lambda a, b: a | b, [F.col(c).isNull() for c in child_cols])
     total = child.agg(F.count(F.lit(1)).alias("child_rows"), F.count_if(any_null).alias("null_key_rows"))
-    orphans = orphan_rows(child, parent, child_cols, parent_cols).agg(
+    keys = _parent_keys(child_cols, parent, parent_cols)
+    keys = keys.where(_complete(child_cols)).hint("shuffle_hash")
+    orphans = orphan_rows(child, keys, child_cols).agg(
         F.count(F.lit(1)).alias("orphan_rows"),
         F.count_distinct(F.struct(*[F.col(c) for c in child_cols])).alias("distinct_orphan_keys"))
     return total.join(orphans, how="cross").select(        # two single rows

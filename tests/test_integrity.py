@@ -50,6 +50,22 @@ def test_reject_orphans_keeps_null_keys(spark):
     assert (cov["child_rows"], cov["null_key_rows"], cov["orphan_rows"], cov["distinct_orphan_keys"]) == (5, 1, 2, 1)
 
 
+def test_fk_coverage_sorts_no_keys(spark):
+    """Composite key, repeated and NULL parent keys, a parent too large to broadcast: hashed, neither side sorted."""
+    parent = spark.createDataFrame([("1", "a"), ("1", "a"), ("2", None), ("4", "d")], "p string, q string")
+    child = spark.createDataFrame([("1", "a"), ("1", "b"), ("1", "b"), ("2", None), ("4", "d"), ("5", "e")], "x string, y string")
+    kept = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        cov = I.fk_coverage(child, parent, ("x", "y"), ("p", "q"), "c", "p")
+        row = cov.first()
+        plan = cov._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", kept)
+    assert tuple(row)[3:] == (6, 1, 3, 2)
+    assert "ShuffledHashJoin" in plan and "SortMergeJoin" not in plan
+
+
 def test_key_profile(spark):
     df = spark.createDataFrame([("1", "a"), ("1", "a"), ("1", "b"), (None, "a")], "acct string, n string")
     r = I.key_profile(df, ["acct", "n"], "t").first()
