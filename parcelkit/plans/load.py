@@ -39,7 +39,7 @@ REPORT_SCHEMA = ("table_name string, status string, rows_read bigint, null_key_r
 def clean_table(spark: SparkSession, root: str, table: str, columns: list[str], spec: KeySpec,
                 parents: dict[str, DataFrame], files: TableFiles, scratch: str, sizes: dict | None = None,
                 raw: DataFrame | None = None) -> tuple[DataFrame, dict, list[str], list[str]]:
-    """Lazy cleaned DataFrame of one table plus the observations attached to it.
+    """Lazy cleaned DataFrame of one table plus the observations attached to it; ``raw``, if given, is a clean scan.
 
     The keys that repeat are found first, from a scan of the key columns alone, and written to ``scratch``: Spark then
     knows how many they are, and the scan of whole rows meets them without a shuffle unless they are too many.
@@ -49,20 +49,20 @@ def clean_table(spark: SparkSession, root: str, table: str, columns: list[str],
     the column): reported, never a failure, since Spark strings are unbounded.
     """
     pk = list(spec.primary_key)
-    raw = raw if raw is not None else raw_scan(spark, root, table, ordered=bool(pk), files=files)
+    raw = raw if raw is not None else raw_scan(spark, root, table, ordered=bool(pk), files=files, clean=True)
     missing = [k for k in pk if k not in raw.columns]
     unexpected = project_to_schema(raw, columns)[1]
     run = uuid.uuid4().hex[:12]
     obs = {k: Observation(f"{table}_{k}_{run}") for k in ("read", "keyed", "unique", "kept")}
     sized = [(i, c, n) for i, (c, n) in enumerate((sizes or {}).items()) if n and c in columns]
     over = [F.count_if(F.length(F.col(c)) > F.lit(n)).alias(f"over_{i}") for i, c, n in sized]
-    df = tsv_scan(spark, root, table, columns, raw=raw).observe(obs["read"], F.count(F.lit(1)).alias("n"), *over)
+    df = tsv_scan(spark, root, table, columns, clean=False, raw=raw).observe(obs["read"], F.count(F.lit(1)).alias("n"), *over)
     obs["_sized"] = sized
     stages = obs["_stages"] = {"read": df}
     df = I.drop_null_keys(df, pk) if not missing else df.where(F.lit(False))
     df = stages["keyed"] = df.observe(obs["keyed"], F.count(F.lit(1)).alias("n"))
     if pk and not missing:
-        keys = I.drop_null_keys(tsv_scan(spark, root, table, pk, raw=raw), pk)
+        keys = I.drop_null_keys(raw_scan(spark, root, table, ordered=True, files=files, clean=True, only=pk), pk)
         repeats = I.repeated_keys(keys, pk)
         repeats.write.mode("overwrite").parquet(f"{scratch}/{table}")
         df = I.without_repeats(df, spark.read.schema(repeats.schema).parquet(f"{scratch}/{table}"), pk)
@@ -128,11 +128,11 @@ def _load_one(spark, root, table, codebook, files, out_dir, mode, written, faile
     blank = f"; files without a header: {len(files.blank)}" if files.blank else ""
     try:
         pk = list(spec.primary_key)
-        raw = raw_scan(spark, root, table, ordered=bool(pk), files=files)
+        raw = raw_scan(spark, root, table, ordered=bool(pk), files=files, clean=True)
         missing = [k for k in pk if k not in raw.columns]
         if missing:
             # every row has a NULL key: write the empty table, report what was quarantined
-            scanned = tsv_scan(spark, root, table, cols, raw=raw).drop(I.ORDER_COL)
+            scanned = tsv_scan(spark, root, table, cols, clean=False, raw=raw).drop(I.ORDER_COL)
             n_read = scanned.count()
             scanned.limit(0).write.mode(mode).parquet(path)
             unexpected = project_to_schema(raw, cols)[1]

@@ -1,9 +1,9 @@
 """Tab-separated yearly text files -> all-string DataFrames.
 
-``spark.read.csv`` with ``sep='\\t'``, a header row and quoting switched off
-reads the files splittably: short rows are NULL-padded, extra cells dropped,
-blank lines skipped, CRLF endings and stray quotes kept literally, invalid
-UTF-8 replaced. Files are found recursively by base name, their headers by one
+``spark.read.csv`` with a header row and quoting switched off reads the files
+splittably, a line as one value that is then split at its tabs: short rows are
+NULL-padded, extra cells dropped, blank lines skipped, CRLF endings and stray
+quotes kept literally, invalid UTF-8 replaced. Files are found recursively by base name, their headers by one
 distributed job. Each row can carry a hidden ``_row_order`` (file, split start
 and position as one number) so key clean-up can keep the *first* row in file
 order even when a file is split across tasks.
@@ -27,6 +27,8 @@ from .files import filesystem, openable
 # --- fixed values: whitespace stripped around each cell (Unicode's White_Space) -----------
 WHITE_SPACE = "".join(map(chr, [*range(0x09, 0x0E), 0x20, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F,
                                 0x205F, 0x3000]))
+_EDGES = "[" + "".join(c for c in WHITE_SPACE if c not in "\t\n\r") + "]"
+CELL_EDGES = rf"(?<!{_EDGES}){_EDGES}++(?=\t|\z)|(?:\A|(?<=\t)){_EDGES}++"     # white space around the cells of a line
 JAVA_BLANK = "".join(map(chr, range(0x21)))     # a line of these alone is blank to the text reader
 LINE_END = re.compile(rb"\r\n|\r|\n")
 HEADER_BYTES = 1 << 16
@@ -53,11 +55,31 @@ def clean_cells(df: DataFrame, cols=None) -> DataFrame:
 
 
 def _reader(spark: SparkSession):
-    return (spark.read.option("sep", "\t").option("header", True).option("quote", "")
+    """Reader of whole lines: a line never holds the separator."""
+    return (spark.read.schema("__line string").option("sep", "\n").option("header", True).option("quote", "")
             .option("escape", "").option("inferSchema", False).option("mode", "PERMISSIVE")
             .option("encoding", "UTF-8").option("recursiveFileLookup", True))
 
 
+def _with_cells(lines: DataFrame, limit: int, clean: bool) -> DataFrame:
+    """``__line`` split into ``__cells`` (the first ``limit - 1`` and the rest; -1: all), and ``__odd``: whether it may
+    have other white space than blanks and tabs, or NUL characters. ``clean``: such lines are stripped and rid of NULs
+    as a whole, so that the cells of the others need only their blanks trimmed."""
+    line = F.col("__line")
+    odd = F.octet_length(line) != F.length(line)
+    for c in "\0\x0b\x0c":
+        odd = odd | F.contains(line, F.lit(c))
+    if clean:
+        line = F.when(odd, F.replace(F.regexp_replace(line, CELL_EDGES, ""), F.char(F.lit(0)), F.lit(""))).otherwise(line)
+    return lines.withColumns({"__cells": F.split(line, "\t", limit), "__odd": odd}).drop("__line")
+
+
+def _cell(i: int, clean: bool) -> Column:
+    """Cell ``i`` of :func:`_with_cells`; NULL if empty or absent. ``clean``: as by :func:`clean_cell`."""
+    c = F.get("__cells", F.lit(i))
+    return F.nullif(F.when(F.col("__odd"), c).otherwise(F.btrim(c)) if clean else c, F.lit(""))
+
+
 def find_table_files(spark: SparkSession, root: str) -> tuple[dict[str, list[str]], dict[str, str]]:
     """Data files of every table below ``root``, and the tables that cannot be read, with the reason.
 
@@ -198,9 +220,12 @@ def _row_order(spark: SparkSession, scan: DataFrame, files: TableFiles) -> DataF
 
 
 def raw_scan(spark: SparkSession, root: str, table: str, paths: list[str] | None = None,
-             ordered: bool = False, files: TableFiles | None = None) -> DataFrame:
+             ordered: bool = False, files: TableFiles | None = None, clean: bool = False, only=None) -> DataFrame:
     """The table's text file(s) as strings with the header as column names (``ordered``: and ``_row_order``).
 
+    ``clean``: the cells cleaned as by :func:`clean_cells`; lines of plain text need only their blanks trimmed.
+    ``only``: just these columns, where the header has them; lines are not split beyond the last.
+
     Part files with different headers are scanned apart and united by column name; files without a header have no rows.
     """
     if files is None:
@@ -214,9 +239,12 @@ def raw_scan(spark: SparkSession, root: str, table: str, paths: list[str] | None
         files = table_files(spark, {table: paths})[table]
 
     def scan(header: str, own: list[str]) -> DataFrame:
-        schema = T.StructType([T.StructField(c, T.StringType()) for c in header_names(header)])
-        df = _reader(spark).schema(schema).csv([_glob_quoted(p) for p in own])
-        return _row_order(spark, df, files) if ordered else df
+        cells = [(i, c) for i, c in enumerate(header_names(header)) if only is None or c in only]
+        lines = _reader(spark).csv([_glob_quoted(p) for p in own])
+        limit = -1 if only is None else max((i for i, _ in cells), default=0) + 2
+        df = _with_cells(lines, limit, clean)
+        df = _row_order(spark, df, files) if ordered else df
+        return df.select(*[_cell(i, clean).alias(c) for i, c in cells], *([ORDER_COL] if ordered else []))
 
     if not files.groups:
         empty = spark.createDataFrame([], T.StructType([]))
@@ -240,9 +268,12 @@ def tsv_scan(spark: SparkSession, root: str, table: str, columns=None, clean: bo
     """Scan one table's text file(s): header-driven projection onto ``columns`` plus ``_row_order``.
 
     With ``columns=None`` the header's columns are kept as they are. ``raw`` reuses a
-    :func:`raw_scan` of the same files with ``ordered=True`` (its header was already read).
+    :func:`raw_scan` of the same files with ``ordered=True`` (its header was already read; ``clean=False`` if it is clean).
     """
-    df = raw if raw is not None else raw_scan(spark, root, table, paths, ordered=True)
+    if raw is None:
+        df, clean = raw_scan(spark, root, table, paths, ordered=True, clean=clean, only=columns), False
+    else:
+        df = raw
     if columns is not None:
         df, _ = project_to_schema(df, list(columns))
     if clean:

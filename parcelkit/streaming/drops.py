@@ -74,10 +74,10 @@ def stream_drops(spark: SparkSession, landing: str, table: str, columns, pk, tar
         paths = sorted(r["path"] for r in batch.collect())               # the names of a drop's files
         if not paths:
             return
-        raw = raw_scan(session, landing, table, paths, ordered=True)
-        fresh = drop_null_keys(tsv_scan(session, landing, table, columns, raw=raw), pk)
+        raw = raw_scan(session, landing, table, paths, ordered=True, clean=True)
+        fresh = drop_null_keys(tsv_scan(session, landing, table, columns, clean=False, raw=raw), pk)
         if pk:
-            keys = drop_null_keys(tsv_scan(session, landing, table, pk, raw=raw), pk)
+            keys = drop_null_keys(tsv_scan(session, landing, table, pk, clean=False, raw=raw), pk)
             # else no batch has left rows: this is the first one, or its retry
             held = session.read.parquet(target).select(*pk) if path_exists(session, f"{target}/part-*") else None
             fresh = first_new_rows(fresh, keys, held, pk, f"{ensure_checkpoint_dir(session).rstrip('/')}/drop-keys-{uuid.uuid4().hex}")

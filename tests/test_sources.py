@@ -230,3 +230,20 @@ def test_an_archive_is_read_by_as_many_tasks_as_it_has_members(spark, tmpdir_pat
     scan = archive_scan(spark, tmpdir_path)
     per_task = scan.selectExpr("spark_partition_id() as p", "member").distinct().groupBy("p").count().collect()
     assert len(per_task) >= 10 and max(r["count"] for r in per_task) <= 2
+
+
+def test_clean_scan_of_plain_and_odd_lines(spark, tmpdir_path):
+    """Trimmed at any white space, then NULs deleted (what they kept from the edge stays), whatever the line holds beside."""
+    from parcelkit.sources.tsv import WHITE_SPACE
+    lines = ["1\t plain  \tx", "2\t\0 x\0\t y ", "3\t\xa0z\u3000\t \x0b ", "4\t \x1cq\t\u00e9 ", "5\tshort", "6\ta\tb\textra\tmore", " 7 \t\"q\t\0"]
+    with open(os.path.join(tmpdir_path, "t.txt"), "w", encoding="utf-8", newline="") as f:
+        f.write("acct\tv\tw\r\n" + "".join(f"{x}\r\n" for x in lines))
+    want = {}
+    for x in lines:
+        cells = [c.strip(WHITE_SPACE).replace("\0", "") or None for c in x.split("\t")] + [None, None]
+        want[cells[0]] = (cells[1], cells[2])
+    got = {r["acct"]: (r["v"], r["w"]) for r in tsv_scan(spark, tmpdir_path, "t").collect()}
+    assert got == want
+    some = raw_scan(spark, tmpdir_path, "t", ordered=True, clean=True, only=["v", "none"])
+    assert some.columns == ["v", "_row_order"]
+    assert sorted(r["v"] for r in some.collect()) == sorted(v for v, _ in want.values())
