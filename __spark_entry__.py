@@ -137,7 +137,7 @@ def _queries() -> dict[str, _Query]:
 
     def loaded_rows(t):
         """The rows that the loader keeps of a dirty drop: padded and blank cells, keys without a number, repeated keys,
-        orphans. The drop is written in the order of its cells (input construction), so the first row of a key is known."""
+        orphans. The rows of a key are written in the order of their cells (input construction), so the first of them is known."""
         import uuid
         from pyspark.sql import functions as F
         spark = t["building_res"].sparkSession

@@ -13,6 +13,8 @@ import re
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .catalog import primary_key
+
 DRIVER_TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem",
                  "events", "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
 
@@ -210,7 +212,7 @@ def oracle_with(*names: str) -> str:
 def write_text_drop(tables, names, root: str, sort: bool = False) -> dict:
     """Write derived tables as a yearly text drop: one folder of tab-separated part files per table.
 
-    With ``sort`` the rows are in the order of their cells, over all part files.
+    With ``sort`` the rows of a primary key are in one part file, in the order of their cells.
 
     Input construction only: every value is padded with a space on both sides
     (blank and NULL values are written as empty cells); the loader must undo it.
@@ -221,7 +223,8 @@ def write_text_drop(tables, names, root: str, sort: bool = False) -> dict:
     for name in names:
         df = tables[name]
         cols = df.columns
-        df = df.orderBy(*[F.coalesce(F.col(c), F.lit("")) for c in cols]) if sort else df
+        if sort:
+            df = df.repartition(*primary_key(name)).sortWithinPartitions(*[F.coalesce(F.col(c), F.lit("")) for c in cols])
         padded = df.select(*[F.when(F.col(c).isNull() | (F.col(c) == ""), F.lit(""))
                              .otherwise(F.concat(F.lit(" "), F.col(c), F.lit(" "))).alias(c) for c in cols])
         (padded.write.mode("overwrite").option("sep", "\t").option("header", True).option("quote", "")
