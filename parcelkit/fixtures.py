@@ -209,16 +209,21 @@ def oracle_with(*names: str) -> str:
     return "WITH " + ",\n".join(f"{n} AS ({DERIVED_SQL[n]})" for n in names) + "\n"
 
 
+DROP_ROWS = 1_000_000   # rows of a part file of write_text_drop: a compressed one is read by one task
+
+
 def write_text_drop(tables, names, root: str, sort: bool = False) -> dict:
-    """Write derived tables as a yearly text drop: one folder of tab-separated part files per table.
+    """Write derived tables as a yearly text drop: one folder of tab-separated, gzipped part files per table.
 
-    With ``sort`` the rows of a primary key are in one part file, in the order of their cells.
+    With ``sort`` the rows of a primary key are written by one task, in the order of their cells.
 
     Input construction only: every value is padded with a space on both sides
     (blank and NULL values are written as empty cells); the loader must undo it.
-    Written by Spark, one part file per partition. Returns ``table -> column names``.
+    Written by Spark, a part file per partition and ``DROP_ROWS`` rows. Returns ``table -> column names``.
     """
     from pyspark.sql import functions as F
+
+    from .session import FREE_SHUFFLES, settings
     cols_by_table = {}
     for name in names:
         df = tables[name]
@@ -227,8 +232,10 @@ def write_text_drop(tables, names, root: str, sort: bool = False) -> dict:
             df = df.repartition(*primary_key(name)).sortWithinPartitions(*[F.coalesce(F.col(c), F.lit("")) for c in cols])
         padded = df.select(*[F.when(F.col(c).isNull() | (F.col(c) == ""), F.lit(""))
                              .otherwise(F.concat(F.lit(" "), F.col(c), F.lit(" "))).alias(c) for c in cols])
-        (padded.write.mode("overwrite").option("sep", "\t").option("header", True).option("quote", "")
-         .option("escape", "").option("emptyValue", "").option("nullValue", "").csv(f"{root}/{name}"))
+        with settings(padded.sparkSession, FREE_SHUFFLES):
+            (padded.write.mode("overwrite").option("sep", "\t").option("header", True).option("quote", "")
+             .option("escape", "").option("emptyValue", "").option("nullValue", "").option("compression", "gzip")
+             .option("maxRecordsPerFile", DROP_ROWS).csv(f"{root}/{name}"))
         cols_by_table[name] = cols
     return cols_by_table
 

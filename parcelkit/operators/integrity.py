@@ -21,6 +21,10 @@ from pyspark.sql import functions as F
 
 ORDER_COL = "_row_order"
 
+# --- fixed values ---------------------------------------------------------------
+MARKED = 1 << 15            # rows of a block of marks: the bits of a bitmap that bitmap_construct_agg makes
+BROADCAST_MARKS = 1 << 14   # blocks of marks (4 KB each) that are broadcast
+
 
 def _missing(df: DataFrame, cols) -> list[str]:
     have = {c.lower() for c in df.columns}
@@ -70,6 +74,34 @@ def without_repeats(df: DataFrame, repeats: DataFrame, pk) -> DataFrame:
     return marked.where(F.col("_first").isNull() | (F.col(ORDER_COL) == F.col("_first"))).drop("_first")
 
 
+def first_rows(keys: DataFrame, pk) -> DataFrame:
+    """The row of each key in ``keys`` with the least ``_row_order``: a hash aggregate of narrow rows."""
+    rest = [c for c in keys.columns if c not in (*pk, ORDER_COL)]
+    return keys.groupBy(*pk).agg(*[F.min_by(c, ORDER_COL).alias(c) for c in rest], F.min(ORDER_COL).alias(ORDER_COL))
+
+
+def row_marks(rows: DataFrame) -> DataFrame:
+    """Which rows of a scan are in ``rows``, by ``_row_order``: a bit a row, ``MARKED`` rows together.
+
+    ``_block`` is the order of the first of them, ``_n`` how many are in ``rows``, ``_bits`` their bits in words of 64.
+    """
+    at = (F.col(ORDER_COL) % F.lit(MARKED)).cast("int")
+    blocks = rows.select((F.col(ORDER_COL) - at).alias("_block"), at.alias("_at")).repartition("_block")
+    blocks = blocks.groupBy("_block").agg(F.count(F.lit(1)).alias("_n"), F.bitmap_construct_agg("_at").alias("_bits"))
+    word = "cast(conv(hex(substring(_bits, i * 8 + 1, 8)), 16, -10) as bigint)"
+    return blocks.withColumn("_bits", F.expr(f"transform(sequence(0, {MARKED // 64 - 1}), i -> {word})"))
+
+
+def marked_rows(df: DataFrame, marks: DataFrame, blocks: int) -> DataFrame:
+    """The rows of ``df`` that ``marks`` (:func:`row_marks` of the same scan, so many blocks) hold. They are not shuffled
+    while the marks are known to be small."""
+    marks = F.broadcast(marks.drop("_n")) if blocks <= BROADCAST_MARKS else marks.drop("_n")
+    at = (F.col(ORDER_COL) % F.lit(MARKED)).cast("int")
+    # the bitmap's bytes begin with the lowest bits, a word with its highest
+    bit = F.bit_get(F.get("_bits", F.shiftright(at, 6)), at.bitwiseAND(F.lit(63)).bitwiseXOR(F.lit(56)))
+    return df.join(marks, (F.col(ORDER_COL) - at == F.col("_block")) & (bit == 1), "left_semi")
+
+
 def dedupe_keep_first(df: DataFrame, pk, order_cols=None) -> DataFrame:
     """One row per primary key: the first in ``order`` wins (``ON CONFLICT DO NOTHING``).
 

@@ -2,16 +2,18 @@
 
 Per table (parents before children so orphan rejection cascades):
 
+    scan of the key columns -> drop_null_keys -> keep the first row of a key
+      -> reject_orphans(parent written before) -> a bit for each row that is kept
     tsv_scan -> header projection onto the codebook -> clean_cells
-      -> drop_null_keys -> keep the first row of a key -> reject_orphans(parent written before)
-      -> write Parquet
+      -> rows whose bit is set -> write Parquet
 
-The headers of all files are read by one job. The keys that repeat come from a
-scan of the key columns alone; the scan of whole rows is shuffled only where
-they, or the parent's keys, are too many to broadcast.
+The headers of all files are read by one job. Which rows are kept depends on
+keys alone, so only keys and row numbers are shuffled, of large tables one at a
+time; the bits are broadcast to the scan of whole rows. Shuffle files are removed
+as each job ends: a table's stay on disk no longer than its keys are dealt.
 
 Counts of every stage are collected with ``DataFrame.observe`` during the
-single write job (no extra passes). Children read their parent's key set back
+two jobs of a table (no extra passes). Children read their parent's key set back
 from the written Parquet, which cuts the lineage and keeps a failed executor
 from recomputing the parent.
 """
@@ -20,6 +22,7 @@ from __future__ import annotations
 
 import os
 import uuid
+from contextlib import nullcontext
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -27,7 +30,7 @@ from pyspark.sql import types as T
 
 from ..catalog import KEYS, KeySpec, load_levels, parents_first
 from ..operators import integrity as I
-from ..session import ensure_checkpoint_dir, path_exists
+from ..session import FREE_SHUFFLES, ensure_checkpoint_dir, path_exists, settings
 from ..sources.codebook import read_codebook
 from ..sources.tsv import TableFiles, find_table_files, project_to_schema, raw_scan, table_files, tsv_scan
 
@@ -35,47 +38,50 @@ REPORT_SCHEMA = ("table_name string, status string, rows_read bigint, null_key_r
                  "orphan_rows bigint, rows_kept bigint, unexpected_columns string, missing_key_columns string, "
                  "over_length_columns string")
 
+# --- fixed values ---------------------------------------------------------------
+IN_TURN = 1 << 25   # bytes of the files of a table whose keys are not dealt while another such table's are
+SPLITS = "spark.sql.files.minPartitionNum"
+CODEC = "zstd"      # of the tables written
 
-def clean_table(spark: SparkSession, root: str, table: str, columns: list[str], spec: KeySpec,
-                parents: dict[str, DataFrame], files: TableFiles, scratch: str, sizes: dict | None = None,
-                raw: DataFrame | None = None) -> tuple[DataFrame, dict, list[str], list[str]]:
-    """Lazy cleaned DataFrame of one table plus the observations attached to it; ``raw``, if given, is a clean scan.
 
-    The keys that repeat are found first, from a scan of the key columns alone, and written to ``scratch``: Spark then
-    knows how many they are, and the scan of whole rows meets them without a shuffle unless they are too many.
+def mark_kept(spark: SparkSession, root: str, table: str, spec: KeySpec, parents: dict[str, DataFrame], files: TableFiles,
+              path: str) -> dict[str, int]:
+    """Find the rows of a table to keep from its keys alone and write their marks to ``path``.
 
-    The "read" observation also counts, per column with a declared size, the
-    values longer than that size (what forced the source database to widen
-    the column): reported, never a failure, since Spark strings are unbounded.
+    Returns the number of rows with a key (``keyed``), of keys (``unique``), of rows to keep (``kept``), of ``blocks``.
     """
     pk = list(spec.primary_key)
-    raw = raw if raw is not None else raw_scan(spark, root, table, ordered=bool(pk), files=files, clean=True)
-    missing = [k for k in pk if k not in raw.columns]
-    unexpected = project_to_schema(raw, columns)[1]
-    run = uuid.uuid4().hex[:12]
-    obs = {k: Observation(f"{table}_{k}_{run}") for k in ("read", "keyed", "unique", "kept")}
-    sized = [(i, c, n) for i, (c, n) in enumerate((sizes or {}).items()) if n and c in columns]
-    over = [F.count_if(F.length(F.col(c)) > F.lit(n)).alias(f"over_{i}") for i, c, n in sized]
-    df = tsv_scan(spark, root, table, columns, clean=False, raw=raw).observe(obs["read"], F.count(F.lit(1)).alias("n"), *over)
-    obs["_sized"] = sized
-    stages = obs["_stages"] = {"read": df}
-    df = I.drop_null_keys(df, pk) if not missing else df.where(F.lit(False))
-    df = stages["keyed"] = df.observe(obs["keyed"], F.count(F.lit(1)).alias("n"))
-    if pk and not missing:
-        keys = I.drop_null_keys(raw_scan(spark, root, table, ordered=True, files=files, clean=True, only=pk), pk)
-        repeats = I.repeated_keys(keys, pk)
-        repeats.write.mode("overwrite").parquet(f"{scratch}/{table}")
-        df = I.without_repeats(df, spark.read.schema(repeats.schema).parquet(f"{scratch}/{table}"), pk)
-    df = stages["unique"] = df.observe(obs["unique"], F.count(F.lit(1)).alias("n"))
-    for child_cols, parent, parent_cols in spec.single_column_fks:
-        if parent in parents and parent != table:
-            df = I.reject_orphans(df, parents[parent], child_cols, parent_cols, null_keys=not set(child_cols) <= set(pk))
-    df = df.drop(I.ORDER_COL)
-    if not pk:
-        # surrogate key for tables without one: unique (not dense), stable for a given input split
-        df = df.withColumn("row_id", F.monotonically_increasing_id())
-    df = stages["kept"] = df.observe(obs["kept"], F.count(F.lit(1)).alias("n"))
-    return df, obs, unexpected, missing
+    fks = [fk for fk in spec.single_column_fks if fk[1] in parents and fk[1] != table]
+    names = list(dict.fromkeys([*pk, *(c for fk in fks for c in fk[0])]))
+    raw = raw_scan(spark, root, table, ordered=True, files=files, clean=True, only=names)
+    watch = _Watch(table)
+    keys = I.drop_null_keys(tsv_scan(spark, root, table, names, clean=False, raw=raw), pk)
+    rows = watch("unique", I.first_rows(watch("keyed", keys), pk))
+    for child_cols, parent, parent_cols in fks:
+        rows = I.reject_orphans(rows, parents[parent], child_cols, parent_cols, null_keys=not set(child_cols) <= set(pk))
+    watch("marks", I.row_marks(rows), F.sum("_n").alias("kept")).write.mode("overwrite").parquet(path)
+    marks = watch.seen("marks")
+    return {"keyed": watch.seen("keyed")["n"], "unique": watch.seen("unique")["n"], "kept": marks["kept"] or 0, "blocks": marks["n"]}
+
+
+class _Watch:
+    """Counts rows (and other aggregates) of some stages of a table while a job runs over them."""
+
+    def __init__(self, table: str):
+        self.name, self.stages = f"{table}_{uuid.uuid4().hex[:12]}", {}
+
+    def __call__(self, stage: str, df: DataFrame, *more) -> DataFrame:
+        seen, aggs = Observation(f"{self.name}_{stage}"), (F.count(F.lit(1)).alias("n"), *more)
+        self.stages[stage] = seen, df, aggs
+        return df.observe(seen, *aggs)
+
+    def seen(self, stage: str) -> dict:
+        """What was observed; counted if the optimiser has left the stage out (as before a join with an empty parent)."""
+        seen, df, aggs = self.stages[stage]
+        try:
+            return seen.get
+        except Exception:
+            return df.agg(*aggs).first().asDict()
 
 
 def load_tables(spark: SparkSession, root: str, codebook: dict[str, T.StructType] | str, out_dir: str,
@@ -92,6 +98,7 @@ def load_tables(spark: SparkSession, root: str, codebook: dict[str, T.StructType
     are independent and are written as concurrent jobs from ``parallel`` threads.
     """
     from concurrent.futures import ThreadPoolExecutor
+    from threading import Lock
 
     if isinstance(codebook, str):
         codebook = read_codebook(spark, codebook)
@@ -99,15 +106,18 @@ def load_tables(spark: SparkSession, root: str, codebook: dict[str, T.StructType
     clashes = {t: why for t, why in clashes.items() if t in codebook and (tables is None or t in tables)}
     names = [t for t in sorted(set(files) & set(codebook)) if tables is None or t in tables]
     failed = set(clashes)
-    headers = table_files(spark, {t: files[t] for t in names})
     scratch = f"{ensure_checkpoint_dir(spark).rstrip('/')}/load-keys-{uuid.uuid4().hex}"
     written: dict[str, DataFrame] = {}
     results: dict[str, tuple] = {}
-    with ThreadPoolExecutor(max_workers=max(1, parallel)) as pool:
+    turn = Lock()
+    # both scans of a table are split alike, also where executors come or go between them
+    splits = spark.conf.get(SPLITS, None) or str(spark.sparkContext.defaultParallelism)
+    with settings(spark, {**FREE_SHUFFLES, SPLITS: splits}), ThreadPoolExecutor(max_workers=max(1, parallel)) as pool:
+        headers = table_files(spark, {t: files[t] for t in names})
         for level in load_levels(names):
             parents = dict(written)
-            futures = {t: pool.submit(_load_one, spark, root, t, codebook, headers[t], out_dir, mode, parents, set(failed), scratch)
-                       for t in level}
+            futures = {t: pool.submit(_load_one, spark, root, t, codebook, headers[t], out_dir, mode, parents, set(failed),
+                                      scratch, turn) for t in level}
             for t, f in futures.items():
                 results[t], df = f.result()
                 if df is not None:
@@ -120,8 +130,13 @@ def load_tables(spark: SparkSession, root: str, codebook: dict[str, T.StructType
     return spark.createDataFrame([results[t] for t in order], REPORT_SCHEMA)
 
 
-def _load_one(spark, root, table, codebook, files, out_dir, mode, written, failed, scratch):
-    """Load one table; returns (report row, the written table read back, or None on error)."""
+def _load_one(spark, root, table, codebook, files, out_dir, mode, written, failed, scratch, turn):
+    """Load one table; returns (report row, the written table read back, or None on error). ``turn``: held while
+    the keys of a large table are dealt.
+
+    The "read" count also has, per column with a declared size, the values longer than that size (what forced the source
+    database to widen the column): reported, never a failure, since Spark strings are unbounded.
+    """
     spec = KEYS.get(table, KeySpec())
     cols = codebook[table].fieldNames()
     path = os.path.join(out_dir, table)
@@ -129,36 +144,54 @@ def _load_one(spark, root, table, codebook, files, out_dir, mode, written, faile
     try:
         pk = list(spec.primary_key)
         raw = raw_scan(spark, root, table, ordered=bool(pk), files=files, clean=True)
+        unexpected = ",".join(project_to_schema(raw, cols)[1])
         missing = [k for k in pk if k not in raw.columns]
         if missing:
             # every row has a NULL key: write the empty table, report what was quarantined
             scanned = tsv_scan(spark, root, table, cols, clean=False, raw=raw).drop(I.ORDER_COL)
             n_read = scanned.count()
             scanned.limit(0).write.mode(mode).parquet(path)
-            unexpected = project_to_schema(raw, cols)[1]
-            return ((table, "missing key columns" + blank, n_read, n_read, 0, 0, 0, ",".join(unexpected),
+            return ((table, "missing key columns" + blank, n_read, n_read, 0, 0, 0, unexpected,
                      ",".join(missing), ""), spark.read.parquet(path))
-        sizes = {c.name: c.metadata.get("size") for c in codebook[table]}
         parents, absent = _parents(spark, table, spec, codebook, out_dir, written, failed)
-        df, obs, unexpected, missing = clean_table(spark, root, table, cols, spec, parents, files, scratch, sizes, raw)
-        sized, stages = obs.pop("_sized"), obs.pop("_stages")
-        df.write.mode(mode).parquet(path)
-        got = {k: _observed(o, stages[k]) for k, o in obs.items()}
-        n = {k: v["n"] for k, v in got.items()}
-        over = ",".join(f"{c}:{got['read'][f'over_{i}']}" for i, c, _ in sized if got["read"].get(f"over_{i}"))
+        marks, n = f"{scratch}/{table}", None
+        if pk:
+            with turn if files.size >= IN_TURN else nullcontext():
+                n = mark_kept(spark, root, table, spec, parents, files, marks)
+        watch, sized = _Watch(table), [(i, c.name, c.metadata.get("size")) for i, c in enumerate(codebook[table])]
+        sized = [(i, c, size) for i, c, size in sized if size]
+        over = [F.count_if(F.length(F.col(c)) > F.lit(size)).alias(f"over_{i}") for i, c, size in sized]
+        rows = watch("read", tsv_scan(spark, root, table, cols, clean=False, raw=raw), *over)
+        rows = watch("kept", keep_marked(rows, spec, n, marks) if pk else keep_all(rows, spec, parents, table))
+        rows.write.mode(mode).option("compression", CODEC).parquet(path)
+        read, kept = watch.seen("read"), watch.seen("kept")["n"]
+        n = n or {"keyed": read["n"], "unique": read["n"]}
+        if kept != n.get("kept", kept):
+            raise RuntimeError(f"{kept} rows were written where {n['kept']} have a key to keep: the files changed during the load")
+        over = ",".join(f"{c}:{read[f'over_{i}']}" for i, c, _ in sized if read[f"over_{i}"])
         status = (f"ok; parent not loaded: {','.join(absent)}" if absent else "ok") + blank
-        return ((table, status, n["read"], n["read"] - n["keyed"], n["keyed"] - n["unique"], n["unique"] - n["kept"],
-                 n["kept"], ",".join(unexpected), ",".join(missing), over), spark.read.parquet(path))
+        return ((table, status, read["n"], read["n"] - n["keyed"], n["keyed"] - n["unique"], n["unique"] - kept, kept,
+                 unexpected, "", over), spark.read.parquet(path))
     except Exception as e:  # keep loading the other tables, as the source does
         return _failed(table, f"{type(e).__name__}: {str(e)[:200]}"), None
 
 
-def _observed(o: Observation, df: DataFrame) -> dict:
-    """What was observed; counted if the optimiser has left the stage out (as before a join with an empty parent)."""
-    try:
-        return o.get
-    except Exception:
-        return {"n": df.count()}
+def keep_marked(rows: DataFrame, spec: KeySpec, n: dict[str, int], marks: str) -> DataFrame:
+    """Of a scan's ``rows``, those that :func:`mark_kept` marked (``n`` and ``marks``: its counts and its path)."""
+    rows = I.drop_null_keys(rows, spec.primary_key)
+    if n["kept"] < n["keyed"]:
+        order = rows.schema[I.ORDER_COL].dataType.simpleString()
+        written = rows.sparkSession.read.schema(f"_block {order}, _n bigint, _bits array<bigint>").parquet(marks)
+        rows = I.marked_rows(rows, written, n["blocks"])
+    return rows.drop(I.ORDER_COL)
+
+
+def keep_all(rows: DataFrame, spec: KeySpec, parents: dict[str, DataFrame], table: str) -> DataFrame:
+    """``rows`` of a table without a key, less orphans, with a surrogate key: unique (not dense), stable for a given input split."""
+    for child_cols, parent, parent_cols in spec.single_column_fks:
+        if parent in parents and parent != table:
+            rows = I.reject_orphans(rows, parents[parent], child_cols, parent_cols)
+    return rows.withColumn("row_id", F.monotonically_increasing_id())
 
 
 def _failed(table: str, why: str) -> tuple:

@@ -8,9 +8,13 @@ machine, UI off) and resolves the shared checkpoint folder.
 from __future__ import annotations
 
 import os
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
+#: Spark then removes a write's shuffle files when it ends, instead of when the driver's garbage collector finds them.
+FREE_SHUFFLES = {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true"}
+
 
 def get_session(master: str | None = None, shuffle_partitions: int | None = None,
                 app_name: str = "parcelkit") -> SparkSession:
@@ -41,6 +45,19 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
     return spark
 
 
+@contextmanager
+def settings(spark: SparkSession, values: dict[str, str]):
+    """Run a block with some SQL settings of the session, then put the former ones back."""
+    before = {k: spark.conf.get(k, None) for k in values}
+    try:
+        for k, v in values.items():
+            spark.conf.set(k, v)
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Make sure reliable checkpoints have a folder.
 

@@ -3,8 +3,8 @@
 ``spark.read.csv`` with a header row and quoting switched off reads the files
 splittably, a line as one value that is then split at its tabs: short rows are
 NULL-padded, extra cells dropped, blank lines skipped, CRLF endings and stray
-quotes kept literally, invalid UTF-8 replaced. Files are found recursively by base name, their headers by one
-distributed job. Each row can carry a hidden ``_row_order`` (file, split start
+quotes kept literally, invalid UTF-8 replaced. Part files may be compressed (``.gz``, ``.bz2``); a ``.gz`` one is read
+by one task. Files are found recursively by base name, their headers by one distributed job. Each row can carry a hidden ``_row_order`` (file, split start
 and position as one number) so key clean-up can keep the *first* row in file
 order even when a file is split across tasks.
 """
@@ -33,7 +33,10 @@ JAVA_BLANK = "".join(map(chr, range(0x21)))     # a line of these alone is blank
 LINE_END = re.compile(rb"\r\n|\r|\n")
 HEADER_BYTES = 1 << 16
 BROADCAST_FILES = 50_000                        # files whose places (some 100 bytes each) are broadcast
-ROW_BITS_MASK = (1 << 33) - 1                   # the row number in monotonically_increasing_id
+ROW_BITS = 33                                   # of the row number in monotonically_increasing_id
+ROW_BITS_MASK = (1 << ROW_BITS) - 1
+COMPRESSED = {".gz": "gzip", ".bz2": "bz2"}     # endings of part files that Spark and Arrow unpack alike
+WHOLE = ".gz"                                   # of those, files that are not split
 
 
 def clean_cell(col) -> Column:
@@ -102,10 +105,14 @@ def find_table_files(spark: SparkSession, root: str) -> tuple[dict[str, list[str
     return {t: p for t, p in {**singles, **parts}.items() if t not in clashes}, clashes
 
 
+def _compression(path: str) -> str | None:
+    return next((how for ending, how in COMPRESSED.items() if path.endswith(ending)), None)
+
+
 def _first_line(path: str) -> str | None:
     """The first line of a file that is not blank (its header); None if there is none."""
     fs, name = filesystem(path)
-    with fs.open_input_stream(name, compression=None) as f:
+    with fs.open_input_stream(name, compression=_compression(path)) as f:
         rest = b""
         while True:
             data = f.read(HEADER_BYTES)
@@ -122,10 +129,14 @@ def _first_line(path: str) -> str | None:
 def _first_lines_by_driver(spark: SparkSession, paths: list[str]) -> dict[str, str | None]:
     """The headers where only Spark's file systems open the files: one after the other, on the driver."""
     jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    codecs = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(conf)
     out = {}
     for path in paths:
         p = jvm.org.apache.hadoop.fs.Path(path)
-        reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(p.getFileSystem(conf).open(p), "UTF-8"))
+        stream = p.getFileSystem(conf).open(p)
+        if _compression(path):
+            stream = codecs.getCodec(p).createInputStream(stream)
+        reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(stream, "UTF-8"))
         line = reader.readLine()
         while line is not None and not line.strip(JAVA_BLANK):
             line = reader.readLine()
@@ -135,10 +146,11 @@ def _first_lines_by_driver(spark: SparkSession, paths: list[str]) -> dict[str, s
 
 
 class TableFiles:
-    """A table's files: groups of equal headers, files without a header, and each file's place in the file order."""
+    """A table's files: groups of equal headers, files without a header, each file's place in the file order, the length
+    of the longest that may be split, the length of all."""
 
-    def __init__(self, groups: dict[str, list[str]], blank: list[str], places: list[tuple[str, int]], longest: int):
-        self.groups, self.blank, self.places, self.longest = groups, blank, places, longest
+    def __init__(self, groups: dict[str, list[str]], blank: list[str], places: list[tuple[str, int]], longest: int, size: int):
+        self.groups, self.blank, self.places, self.longest, self.size = groups, blank, places, longest, size
 
 
 def table_files(spark: SparkSession, tables: dict[str, list[str]]) -> dict[str, TableFiles]:
@@ -177,7 +189,8 @@ def table_files(spark: SparkSession, tables: dict[str, list[str]]) -> dict[str,
             if header[p] is not None:
                 groups.setdefault(header[p], []).append(p)
         out[table] = TableFiles(groups, [p for p in own if header[p] is None], [(known[p]["name"], k) for k, p in enumerate(own)],
-                                max((known[p]["length"] for p in own), default=0))
+                                max((known[p]["length"] for p in own if not p.endswith(WHOLE)), default=0),
+                                sum(known[p]["length"] for p in own))
     return out
 
 
@@ -198,9 +211,10 @@ def _row_order(spark: SparkSession, scan: DataFrame, files: TableFiles) -> DataF
     rows in order). A long where the files' number and size allow it, else a decimal."""
     conf = spark._jsparkSession.sessionState().conf()
     task = conf.filesMaxPartitionBytes()
-    # splits begin apart by this many bits at least; a row has a byte at least
+    # splits begin apart by this many bits at least; a row has a byte at least, unless it is compressed
     apart = min(12, min(task, max(conf.filesOpenCostInBytes(), 1)).bit_length() - 1)
-    row_bits, start_bits = task.bit_length() + 1, (files.longest >> apart).bit_length()
+    row_bits = ROW_BITS if any(_compression(name) for name, _ in files.places) else task.bit_length() + 1
+    start_bits = (files.longest >> apart).bit_length()
     start, row = F.col("__start"), F.col("__row")
     scan = scan.withColumns({"__start": F.shiftright(F.col("_metadata.file_block_start"), apart),
                              "__row": F.monotonically_increasing_id().bitwiseAND(F.lit(ROW_BITS_MASK))})

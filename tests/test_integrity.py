@@ -120,3 +120,19 @@ def test_keep_first_by_order_columns_is_one_pass(spark):
     plan = I.dedupe_keep_first(df, ["p"], order_cols=["v"])._jdf.queryExecution().executedPlan().toString()
     assert "Join" not in plan and "SortAggregate" not in plan and plan.count("Range (") == 1
     assert "WindowGroupLimit" in plan          # a task sends on one row of a key
+
+
+def test_marked_rows_of_long_and_decimal_orders(spark, monkeypatch):
+    from pyspark.sql import functions as F
+
+    from parcelkit.operators import integrity
+    places = [0, 1, 7, 8, 63, 64, 127, 32767, 32768, 40000, (1 << 33) + 5, (1 << 62) + 63, (1 << 62) + 64]
+    kept = set(places[::2]) | {63, 64}
+    for kind in ("long", "decimal(38,0)"):
+        for most in (1 << 14, 0):           # broadcast or not
+            monkeypatch.setattr(integrity, "BROADCAST_MARKS", most)
+            df = spark.createDataFrame([(str(p),) for p in places], "p string").withColumn("_row_order", F.col("p").cast(kind))
+            marks = integrity.row_marks(df.where(F.col("p").isin([str(p) for p in kept])))
+            n = marks.agg(F.sum("_n"), F.count(F.lit(1))).first()
+            assert n[0] == len(kept)
+            assert {int(r["p"]) for r in integrity.marked_rows(df, marks, n[1]).collect()} == kept

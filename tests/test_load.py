@@ -211,3 +211,115 @@ def test_the_checkpoint_folder_is_kept_without_changing_the_setting():
                 raise AssertionError("spark.checkpoint.dir cannot be changed")
     first = session.ensure_checkpoint_dir(Session())
     assert first and session.ensure_checkpoint_dir(Session()) == first == Context.folder or Session.sparkContext.folder == first
+
+
+def _shuffle_files(spark):
+    dirs = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirs()
+    found = {}
+    for d in dirs:
+        for folder, _, names in os.walk(d.getPath()):
+            for n in names:
+                if n.startswith("shuffle_"):
+                    try:
+                        found[n] = os.path.getsize(os.path.join(folder, n))
+                    except FileNotFoundError:
+                        pass
+    return found
+
+
+def test_only_keys_are_shuffled_and_their_files_go(spark, tmpdir_path):
+    """Repeated keys and orphans that are too many to broadcast: whole rows stay where they are read."""
+    import random
+    import threading
+    import time
+    rng = random.Random(1)
+    wide = ["".join(rng.choices("abcdefghijklmnopqrstuvwxyz0123456789", k=2000)) for _ in range(3000)]
+    lines = [f"{k % 2000}\t{k % 2}\t{w}" for k, w in enumerate(wide)]
+    root = _drop(tmpdir_path, owners="acct\tln_num\tname\n" + "\n".join(lines) + "\n",
+                 real_acct="acct\tv\n" + "".join(f"{k}\tx\n" for k in range(0, 2000, 3)))
+    out = os.path.join(tmpdir_path, "out")
+    before, peak, stop = set(_shuffle_files(spark)), [0], threading.Event()
+    new = lambda: sum(size for n, size in _shuffle_files(spark).items() if n not in before)
+
+    def watch():
+        while not stop.is_set():
+            peak[0] = max(peak[0], new())
+            time.sleep(0.02)
+    threshold, parts = "spark.sql.autoBroadcastJoinThreshold", "spark.sql.files.minPartitionNum"
+    was = spark.conf.get(threshold)
+    spark.conf.set(threshold, "-1")
+    watcher = threading.Thread(target=watch)
+    watcher.start()
+    try:
+        rep = {r["table_name"]: r for r in load_tables(spark, root, BOOK, out).collect()}
+    finally:
+        stop.set()
+        watcher.join()
+        spark.conf.set(threshold, was)
+    assert (rep["owners"]["duplicate_rows"], rep["owners"]["orphan_rows"], rep["owners"]["rows_kept"]) == (1000, 1333, 667)
+    first = {k: wide[k] for k in range(0, 2000, 3)}
+    assert {int(r["acct"]): r["name"] for r in spark.read.parquet(os.path.join(out, "owners")).collect()} == first
+    assert 0 < peak[0] < 1_000_000          # the rows kept alone are 1.3 MB that hardly compress
+    for _ in range(100):
+        if not new():
+            break
+        time.sleep(0.1)
+    assert not new()
+    assert spark.conf.get(parts, None) is None      # the session's settings are as before
+
+
+def test_compressed_part_files(spark, tmpdir_path):
+    """More rows in a task than it has bytes: the first file's last rows still come before the second file's first."""
+    import bz2
+    import gzip
+    task = "spark.sql.files.maxPartitionBytes"
+    was = spark.conf.get(task)
+    for ending, opened in ((".gz", gzip.open), (".bz2", bz2.open)):
+        root = os.path.join(tmpdir_path, ending[1:], "real_acct")
+        os.makedirs(root)
+        with opened(os.path.join(root, f"part-0.csv{ending}"), "wt") as f:
+            f.write("acct\tv\n" + "same\tx\n" * 70_000 + "late\tfirst file\n")
+        with opened(os.path.join(root, f"part-1.csv{ending}"), "wt") as f:
+            f.write("v\tacct\nsecond file\tlate\nsecond file\tmore\n")
+        out = os.path.join(tmpdir_path, "out" + ending)
+        spark.conf.set(task, "8k")
+        try:
+            rep = load_tables(spark, os.path.dirname(root), BOOK, out).first()
+        finally:
+            spark.conf.set(task, was)
+        assert (rep["status"], rep["rows_read"], rep["duplicate_rows"], rep["rows_kept"]) == ("ok", 70_003, 70_000, 3)
+        got = {r["acct"]: r["v"] for r in spark.read.parquet(os.path.join(out, "real_acct")).collect()}
+        assert got == {"same": "x", "late": "first file", "more": "second file"}
+
+
+def test_the_written_drop_is_compressed(spark, tmpdir_path, monkeypatch):
+    from parcelkit import fixtures
+    monkeypatch.setattr(fixtures, "DROP_ROWS", 1000)
+    t = Tables(spark, SF)
+    root = os.path.join(tmpdir_path, "drop")
+    cols = fixtures.write_text_drop(t, ["real_acct"], root)["real_acct"]
+    files = [f for f in os.listdir(os.path.join(root, "real_acct")) if f.startswith("part-")]
+    assert len(files) > 1 and all(f.endswith(".gz") for f in files)
+    book = {"real_acct": T.StructType([column(c) for c in cols])}
+    rep = load_tables(spark, root, book, os.path.join(tmpdir_path, "out")).first()
+    assert rep["rows_kept"] == t["real_acct"].count()
+
+
+def test_over_length_values_are_counted_where_all_rows_are_orphans(spark, tmpdir_path):
+    root = _drop(tmpdir_path, owners="acct\tln_num\tname\n1\t1\tABC\n2\t1\tB\n")
+    book = BOOK | {"owners": T.StructType([column("acct"), column("ln_num"), column("name", 2, True)])}
+    rep = load_tables(spark, root, book, os.path.join(tmpdir_path, "out")).first()
+    assert (rep["rows_read"], rep["orphan_rows"], rep["over_length_columns"]) == (2, 2, "name:1")
+
+
+def test_a_foreign_key_beside_the_primary_key(spark, tmpdir_path, monkeypatch):
+    """It is the first row's foreign key that counts; a NULL one violates nothing."""
+    from parcelkit.catalog import KeySpec
+    from parcelkit.plans import load
+    monkeypatch.setitem(load.KEYS, "owners", KeySpec(("ln_num",), ((("acct",), "real_acct", ("acct",)),)))
+    root = _drop(tmpdir_path, real_acct="acct\tv\n1\tx\n",
+                 owners="acct\tln_num\tname\n1\ta\tA\n9\ta\tB\n9\tb\tC\n1\tb\tD\n\tc\tE\n")
+    out = os.path.join(tmpdir_path, "out")
+    rep = {r["table_name"]: r for r in load_tables(spark, root, BOOK, out).collect()}["owners"]
+    assert (rep["duplicate_rows"], rep["orphan_rows"], rep["rows_kept"]) == (2, 1, 2)
+    assert sorted(r["name"] for r in spark.read.parquet(os.path.join(out, "owners")).collect()) == ["A", "E"]
