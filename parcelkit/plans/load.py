@@ -42,6 +42,7 @@ REPORT_SCHEMA = ("table_name string, status string, rows_read bigint, null_key_r
 IN_TURN = 1 << 25   # bytes of the files of a table whose keys are not dealt while another such table's are
 SPLITS = "spark.sql.files.minPartitionNum"
 CODEC = "zstd"      # of the tables written
+PATIENT = {"spark.sql.broadcastTimeout": "86400"}   # seconds: marks may wait for the tasks of other tables
 
 
 def mark_kept(spark: SparkSession, root: str, table: str, spec: KeySpec, parents: dict[str, DataFrame], files: TableFiles,
@@ -112,7 +113,7 @@ def load_tables(spark: SparkSession, root: str, codebook: dict[str, T.StructType
     turn = Lock()
     # both scans of a table are split alike, also where executors come or go between them
     splits = spark.conf.get(SPLITS, None) or str(spark.sparkContext.defaultParallelism)
-    with settings(spark, {**FREE_SHUFFLES, SPLITS: splits}), ThreadPoolExecutor(max_workers=max(1, parallel)) as pool:
+    with settings(spark, {**FREE_SHUFFLES, **PATIENT, SPLITS: splits}), ThreadPoolExecutor(max_workers=max(1, parallel)) as pool:
         headers = table_files(spark, {t: files[t] for t in names})
         for level in load_levels(names):
             parents = dict(written)

@@ -323,3 +323,19 @@ def test_a_foreign_key_beside_the_primary_key(spark, tmpdir_path, monkeypatch):
     rep = {r["table_name"]: r for r in load_tables(spark, root, BOOK, out).collect()}["owners"]
     assert (rep["duplicate_rows"], rep["orphan_rows"], rep["rows_kept"]) == (2, 1, 2)
     assert sorted(r["name"] for r in spark.read.parquet(os.path.join(out, "owners")).collect()) == ["A", "E"]
+
+
+def test_marks_wait_for_other_tables(spark, tmpdir_path):
+    """The session's limit for a broadcast does not fail a table while others are loaded (without AQE it counts)."""
+    root = _drop(tmpdir_path, real_acct="acct\tv\n1\tx\n1\ty\n2\tz\n")
+    limits = {"spark.sql.adaptive.enabled": "false", "spark.sql.broadcastTimeout": "0"}
+    was = {k: spark.conf.get(k, None) for k in limits}
+    try:
+        for k, v in limits.items():
+            spark.conf.set(k, v)
+        rep = load_tables(spark, root, BOOK, os.path.join(tmpdir_path, "out")).first()
+        assert spark.conf.get("spark.sql.broadcastTimeout") == "0"
+    finally:
+        for k, v in was.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    assert (rep["status"], rep["duplicate_rows"], rep["rows_kept"]) == ("ok", 1, 2)
